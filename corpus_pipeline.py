@@ -1,10 +1,59 @@
-"""A training-corpus pipeline."""
+"""A training-corpus pipeline: quality, exact and near duplicates, benchmark leaks, token lengths.
+
+Each stage takes all that the one before it kept and returns the columns of ``documents``; the last adds the encoded length.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from placeloom.llm import bpe, gam, jaccard, quotient, templates
+from placeloom.llm.queries import QUALITY, VOCAB, quality_model
+from placeloom.llm.scratch import Scratch, ship
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+#: No SQL expresses the classifier; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    ship(spark)
+    return gam.keep(docs, quality_model(spark, sf_dir), QUALITY)
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return _only(docs, quotient.dedupe(docs).where("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group linked by five-word shingles at 0.8."""
+    return _only(docs, jaccard.link_components(docs, k=5, num=80, den=100).where("doc_id = component_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no question of the benchmark, in these or other values."""
+    return templates.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the number and digest of their tokens."""
+    return bpe.digests(docs, VOCAB).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("encode", encode)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again before the next."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    for _, stage in STAGES[:-1]:
+        docs = scratch.put(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,0 +1,32 @@
+"""Connected components of a link table by contraction; nothing is gathered on the driver but a row count per round."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .scratch import Scratch
+
+
+def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root): for each node of a link, the smallest node of its component.
+
+    Each round hooks every node to its least neighbour, follows the hooks once, and renames the links' ends; links inside a
+    tree vanish, so the number of nodes at least halves. A hub is reduced by partial minima before its rows are shuffled.
+    """
+    links = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") != F.col("b"))
+    links = scratch.put(links.distinct())
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    roots = scratch.put(nodes.select("node", F.col("node").alias("root")))
+    while links.limit(1).count():
+        both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = scratch.put(both.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p")))
+        up = hook.select(F.col("a").alias("p"), F.col("p").alias("q"))
+        jump = scratch.put(hook.join(up, "p").select("a", F.col("q").alias("to")))
+        old = links
+        links = links.join(jump, "a").select(F.col("to").alias("x"), "b").join(jump.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
+        links = scratch.put(links.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        was = roots
+        roots = scratch.put(roots.join(jump.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        scratch.drop(old, was, hook, jump)
+    return roots

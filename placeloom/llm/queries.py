@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quotient, shards
+from . import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
 from .scratch import ship
 
 TOKENIZERS = "/opt/tokenizers"
@@ -20,6 +20,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Hosts that the URL filter blocks with their subdomains.
+BLOCKED = [f"{name}.example.{end}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for end in ("com", "net", "org")]
+RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op1_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    domains = spark.createDataFrame([(d,) for d in BLOCKED], "domain string")
+    return cascade.judge(pages, domains, RULES).drop("url")
+
+
+OP1_SQL = r"""
+WITH p AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), rules(rh, rp, rv) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+names(d) AS (SELECT n || '.example.' || e FROM (VALUES ('adult-x'), ('ads-track'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) a(n), (VALUES ('com'), ('net'), ('org')) b(e)),
+best AS (
+  SELECT page_id, host, path, (
+    SELECT max_by(struct_pack(r := rh || rp, v := rv), length(rh || rp)) FROM rules
+    WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS x,
+    (SELECT count(*) FROM names WHERE host = d OR ends_with(host, '.' || d)) AS listed
+  FROM p
+)
+SELECT page_id, host, path, x.r AS rule, coalesce(x.v, CASE WHEN listed > 0 THEN 'block' ELSE 'allow' END) AS verdict FROM best
+"""
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
@@ -83,10 +113,67 @@ SELECT conv_id, count(*) AS n_turns,
 FROM told GROUP BY conv_id
 """
 
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM w
+), t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), e AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.c AS component_id
+FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = s.doc_id
+"""
+
+QUALITY = 0.7
+
+
+def remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> gam.Gam:
+    return gam.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), "quality", remainder(4) != 2)
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = gam.score(_table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", F.when(F.col("score") >= QUALITY, 1).otherwise(0).alias("predicted"))
+
+
+def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.suffix_sums(lengths.histogram(_table(spark, sf_dir, "documents"), VOCAB))
+
+
+def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = ngram.score(_table(spark, sf_dir, "documents"), remainder(5) != 1)
+    return got.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_cascade": op1_url_cascade,
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_templates": op4_templates,
     "op5_bpe": op5_bpe,
+    "op6_jaccard": op6_jaccard,
+    "op7_quality_gam": op7_quality_gam,
+    "op8_length_histogram": op8_length_histogram,
     "op9_reply_trees": op9_reply_trees,
+    "op10_ngram_trie": op10_ngram_trie,
 }
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op9_reply_trees": OP9_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL}
