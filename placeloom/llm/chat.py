@@ -60,7 +60,8 @@ def paths(nodes: DataFrame, node: str = "node", parent: str = "parent", score: s
         jumps.append(scratch.put(last.join(last.select(F.col("n").alias("a"), F.col("a").alias("b")), "a").select("n", F.col("b").alias("a"))))
     found = leaves.select(F.col("n").alias("path"), "n", F.lit(0).alias("up"))
     for k in range(len(jumps) - 1, -1, -1):
-        found = found.unionAll(found.join(jumps[k], "n").select("path", F.col("a").alias("n"), (F.col("up") + F.lit(1 << k)).alias("up")))
+        both = F.array(F.struct("n", "up"), F.when(F.col("a").isNotNull(), F.struct(F.col("a").alias("n"), (F.col("up") + F.lit(1 << k)).alias("up"))))
+        found = found.join(jumps[k], "n", "left").select("path", F.explode(F.array_compact(both)).alias("x")).select("path", "x.n", "x.up")
     found = scratch.put(found.join(up.select("n", "s", F.col("p").isNull().alias("root")), "n"))
     branch = found.groupBy("path").agg(F.max(F.when(F.col("root"), F.col("n"))).alias("root"), F.avg("s").alias("s"), F.max("up").alias("last")).where("root is not null")
     branch = branch.withColumn("rank", F.row_number().over(Window.partitionBy("root").orderBy(F.desc("s"), "path"))).where(F.col("rank") <= top)
