@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from placeloom.llm import bpe, gam, jaccard, quotient, templates
 from placeloom.llm.queries import QUALITY, VOCAB, quality_model
-from placeloom.llm.scratch import Scratch, ship
+from placeloom.plans.scratch import Scratch, ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

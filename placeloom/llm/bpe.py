@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import slices
-from .scratch import ship
+from placeloom.plans.scratch import ship
 
 _END = ""
 _loaded: dict[str, BacktrackingBPE] = {}

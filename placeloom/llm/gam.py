@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytetext import U, Words, mix, slices, text_bytes
-from .scratch import ship
+from placeloom.plans.scratch import ship
 
 FEATURES = (
     "words", "word_length", "symbols", "capitals", "bare_symbols", "digits", "distinct", "repeated_lines", "line_words",

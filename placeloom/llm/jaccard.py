@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import U, Words, mix, shingles, slices, text_bytes
-from .components import components
+from placeloom.operators.components import components
 from .quotient import CountingQuotientFilter
-from .scratch import Scratch
+from placeloom.plans.scratch import Scratch
 
 SLACK = 2
 BLOCK = 1000

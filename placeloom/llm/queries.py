@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
-from .scratch import ship
+from placeloom.plans.scratch import ship
 
 TOKENIZERS = "/opt/tokenizers"
 VOCAB = f"{TOKENIZERS}/word_bpe_49k.json"
