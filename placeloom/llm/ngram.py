@@ -237,13 +237,18 @@ def _send_words(chunks: DataFrame, bits: int) -> DataFrame:
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of each shard of a partition; the first column is the shard."""
-    held: dict[int, list[tuple]] = {}
+    """Rows of each shard in turn; rows come sorted by their first column, the shard."""
+    now, held = None, []
     for b in batches:
-        for row in zip(*(x.to_pylist() for x in b.columns), strict=True):
-            held.setdefault(row[0], []).append(row[1:])
-    for s in list(held):
-        yield s, held.pop(s)
+        for i in range(b.num_rows):
+            s, *row = (c[i].as_py() for c in b.columns)
+            if s != now and held:
+                yield now, held
+                held = []
+            now = s
+            held.append(tuple(row))
+    if held:
+        yield now, held
 
 
 def _count_words(sent: DataFrame, bits: int, most: int) -> DataFrame:
@@ -264,7 +269,7 @@ def _count_words(sent: DataFrame, bits: int, most: int) -> DataFrame:
                 yield _pack([(s, chunk, np.minimum(total[place[at : at + n]], 2**32 - 1).astype(np.uint32).tobytes(), None, None, None)], schema)
                 at += n
 
-    return sent.repartition(1 << bits, "shard").mapInArrow(run, "shard int, chunk long, c binary, n long, v long, most binary")
+    return sent.repartition(2 << bits, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, chunk long, c binary, n long, v long, most binary")
 
 
 class _Pairs:
@@ -349,10 +354,10 @@ def _answer_pairs(sent: DataFrame, shards: int, known: dict[int, int]) -> DataFr
                 backoff[found] = trie.backoff[i[found]]
                 yield _pack([(s, chunk, code.tobytes(), backoff.tobytes(), None)], schema)
 
-    return sent.repartition(shards, "shard").mapInArrow(run, "shard int, chunk long, code binary, backoff binary, types binary")
+    return sent.repartition(2 * shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, chunk long, code binary, backoff binary, types binary")
 
 
-def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", shard_tokens: int = 4_000_000) -> DataFrame:
+def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", shard_tokens: int = 2_500_000) -> DataFrame:
     """(``key``, training, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     ``training`` tells the rows to learn from. base_score is the sum of log10 P(w); score that of log10 P(w|c).
