@@ -5,7 +5,7 @@ sets are one class with one representative. Sizes fall into geometric groups; in
 shingles at most, so of d + 1 + SLACK fragments more than SLACK are equal in both. A representative sends a hash of each
 of its fragments, fragments that nobody shares are dropped by counting quotient filters, and what is left joins texts
 into loose clusters. Inside a cluster partial overlaps are counted fragment by fragment and summed per pair, in blocks of
-``BLOCK`` texts that are at most one size class apart; a task returns a spanning forest of its links, not its pairs.
+``BLOCK`` texts (or ``BLOCK_SHINGLES`` shingles) that are at most one size class apart; a task returns a spanning forest of its links, not its pairs.
 
 No link is lost: fragments prove a pair unlinked or put it into one cluster, and every pair of a cluster that its sizes
 admit is counted exactly.
@@ -30,7 +30,8 @@ from .quotient import CountingQuotientFilter
 from placeloom.plans.scratch import Scratch
 
 SLACK = 2
-BLOCK = 1000
+BLOCK = 400  # texts
+BLOCK_SHINGLES = 400_000
 FRAGMENTS = 8  # of the global order, in which a cluster's overlaps are counted
 SALTS = 32
 _KNOWN_BYTES = 16 << 20
@@ -218,15 +219,16 @@ def _links(docs: DataFrame, key: str, text: str, members: DataFrame, k: int, num
 def _blocks(loose: DataFrame, num: int, den: int) -> DataFrame:
     """(k, at): the tasks of each member of a loose cluster; at = array of (task, side).
 
-    A cluster of at most BLOCK texts is one task. Larger ones are cut by size class (ratio den/num, so linked sizes are in
+    A cluster of one block is one task. Larger ones are cut by size class (ratio den/num, so linked sizes are in
     one class or adjacent ones) and by hash; every two blocks that may hold a link share a task.
     """
-    size = loose.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int")
+    size = loose.groupBy("root").agg(blocks.alias("m"))
     kind = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num) + 1e-9))).cast("int")
     rows = loose.join(size, "root").withColumn("class", kind)
-    small = rows.where(F.col("m") <= BLOCK).select("k", F.array(F.struct(F.col("root").cast("string").alias("task"), F.lit(0).alias("side"))).alias("at"))
-    large = rows.where(F.col("m") > BLOCK)
-    count = large.groupBy("root", "class").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    small = rows.where("m = 1").select("k", F.array(F.struct(F.col("root").cast("string").alias("task"), F.lit(0).alias("side"))).alias("at"))
+    large = rows.where("m > 1")
+    count = large.groupBy("root", "class").agg(blocks.alias("blocks"))
     near = count.select("root", F.explode(F.array(*[F.struct((F.col("class") + d).alias("class"), F.lit(d).alias("d"), F.col("blocks").alias("b")) for d in (-1, 0, 1)])).alias("x"))
     near = near.groupBy("root", F.col("x.class").alias("class")).agg(*[F.coalesce(F.max(F.when(F.col("x.d") == d, F.col("x.b"))), F.lit(0)).alias(c) for d, c in ((0, "own"), (-1, "above"), (1, "below"))])
     cut = large.join(near, ["root", "class"]).withColumn("i", F.pmod(F.xxhash64("k"), F.col("own").cast("long")).cast("int"))
