@@ -8,8 +8,8 @@ item always stands for one value of the document and the other way round. So a q
 caught, and a chance mixture of the same template is not.
 
 A document and an item match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
-An item shorter than a window is one window of its own length. Windows with fewer than half literal words are left out,
-unless the item has no others.
+An item shorter than a window is one window of its own length. Windows with fewer than half literal words are left out;
+an item that has no others is matched by its words themselves, without slots.
 
 Defined results: null and empty texts match nothing; items without words never match; repeated rows of either table match
 each; repeated ids are one document (or item) with the windows of all its rows; empty tables give no matches; a null id is
@@ -68,7 +68,7 @@ class Template:
         a, b, self.doc = a[keep], b[keep], w.doc[keep]
         start, end = (good[a], good[b - 1] + 1) if len(good) else (w.start[keep], w.end[keep])
         n = len(start)
-        self.value = w.hashes(True, start, end)
+        self.value = self.word = w.hashes(True, start, end)
         first = raw[start] if n else np.zeros(0, np.uint8)
         second = raw[np.minimum(start + 1, max(len(raw) - 1, 0))] if n else first
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
@@ -90,24 +90,24 @@ class Template:
         self.value = np.where(self.slot, mix(self.value ^ kind), U(0))
         self.count = np.bincount(self.doc, minlength=len(at) - 1) if n else np.zeros(len(at) - 1, np.int64)
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, hash, literal words) of each window of k template words inside one text."""
-        h = window_hashes(self.symbol, k)
+    def windows(self, k: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, hash, literal words) of each window of k template words inside one text; of the words themselves if ``exact``."""
+        h = window_hashes(self.word ^ U(0xE8AC7) if exact else self.symbol, k)
         inside = np.flatnonzero(self.doc[: len(h)] == self.doc[k - 1 :]) if len(h) else np.zeros(0, np.int64)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
         return inside, mix(h[inside] + U(k)), k - (slots[inside + k] - slots[inside])
 
-    def slots(self, first: np.ndarray, k: int) -> list[list[int]]:
+    def slots(self, first: np.ndarray, k: int, exact: bool = False) -> list[list[int]]:
         """Values of the slots of each window, by place; 0 for a literal word."""
-        return self.value[first[:, None] + np.arange(k)].view(np.int64).tolist() if len(first) else []
+        return [[0] * k] * len(first) if exact else self.value[first[:, None] + np.arange(k)].view(np.int64).tolist() if len(first) else []
 
 
 def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(item, k, pos, h, slots, total): the windows that stand for each item."""
+    """(item, k, exact, pos, h, slots, total): the windows that stand for each item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["item", "k", "pos", "h", "slots", "total"]
-        kinds = [None, pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32()]
+        names = ["item", "k", "exact", "pos", "h", "slots", "total"]
+        kinds = [None, pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32()]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
                 t = Template(*text_bytes(b.column(1).slice(i, 1)))
@@ -116,14 +116,14 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
                     continue
                 first, h, literal = t.windows(k)
                 rich = literal * 2 >= k
-                if rich.any():
-                    first, h = first[rich], h[rich]
+                exact = not rich.any()
+                first, h = t.windows(k, True)[:2] if exact else (first[rich], h[rich])
                 n = len(first)
-                cols = [[b.column(0)[i].as_py()] * n, [k] * n, first, h.view(np.int64), t.slots(first, k), [n] * n]
+                cols = [[b.column(0)[i].as_py()] * n, [k] * n, [exact] * n, first, h.view(np.int64), t.slots(first, k, exact), [n] * n]
                 yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else kinds[j]) for j, c in enumerate(cols)], names)
 
     kind = items.schema[key].dataType.simpleString()
-    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, pos int, h long, slots array<long>, total int")
+    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, exact boolean, pos int, h long, slots array<long>, total int")
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST) -> DataFrame:
@@ -133,7 +133,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     bench = scratch.put(benchmark_windows(items, item_key, item_text, window))
     n = bench.count()
     bits = min(_BITS, max(12, (64 * n).bit_length()))
-    ks = sorted(r.k for r in bench.select("k").distinct().collect())  # ``window`` values at most
+    ks = sorted((r.k, r.exact) for r in bench.select("k", "exact").distinct().collect())  # 2 * ``window`` at most
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,14 +150,14 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
         for b in slices(batches, "t"):
             t = Template(*text_bytes(b.column(1)))
             start = np.concatenate([[0], np.cumsum(t.count)])
-            for k in ks:
-                first, h, _ = t.windows(k)
+            for k, exact in ks:
+                first, h, _ = t.windows(k, exact)
                 p = (h >> U(64 - bits)).astype(np.int64)
                 on = table[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
                 first, h = first[on], h[on]
                 doc = t.doc[first]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(doc)), pa.array(first - start[doc], pa.int64()), pa.array(h.view(np.int64)), pa.array(t.slots(first, k), pa.list_(pa.int64()))],
+                    [b.column(0).take(pa.array(doc)), pa.array(first - start[doc], pa.int64()), pa.array(h.view(np.int64)), pa.array(t.slots(first, k, exact), pa.list_(pa.int64()))],
                     ["doc", "at", "h", "seen"],
                 )
 
