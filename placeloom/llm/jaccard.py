@@ -2,9 +2,10 @@
 
 All shingles stand in one global order (that of their hashes), and the order is cut into fragments. Texts of equal shingle
 sets are one class with one representative. Sizes fall into geometric groups; in a group two linked sets differ in d
-shingles at most, so of d + 1 + SLACK fragments more than SLACK are equal in both. A representative sends a hash of each
-of its fragments, fragments that nobody shares are dropped by counting quotient filters, and what is left joins texts
-into loose clusters. Inside a cluster partial overlaps are counted fragment by fragment and summed per pair, in blocks of
+shingles at most, so of d + 1 + s fragments more than s are equal in both. A representative sends a hash of each of its
+fragments; fragments that nobody shares are dropped by counting quotient filters. A fragment is weak if it is empty or
+more than ``COMMON`` texts have it; that depends on the fragment alone, so a text with at most s weak fragments may leave
+all of them out, and still meets each text it links with in another. What is left joins texts into loose clusters. Inside a cluster partial overlaps are counted fragment by fragment and summed per pair, in blocks of
 ``BLOCK`` texts (or ``BLOCK_SHINGLES`` shingles) that are at most one size class apart; a task returns a spanning forest of its links, not its pairs.
 
 No link is lost: fragments prove a pair unlinked or put it into one cluster, and every pair of a cluster that its sizes
@@ -29,7 +30,7 @@ from placeloom.operators.components import components
 from .quotient import CountingQuotientFilter
 from placeloom.plans.scratch import Scratch
 
-SLACK = 2
+COMMON = 4
 BLOCK = 400  # texts
 BLOCK_SHINGLES = 400_000
 FRAGMENTS = 8  # of the global order, in which a cluster's overlaps are counted
@@ -45,12 +46,13 @@ def size_groups(num: int, den: int, upto: int = 1 << 40) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def fragment_hashes(value: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the fragments that each sorted set sends, and n+1 offsets."""
+def fragment_hashes(value: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the fragments that each sorted set sends, n+1 offsets, and how many more each set may leave out."""
     size = np.diff(at)
     first = size_groups(num, den, int(size.max(initial=1)))
     own = np.searchsorted(first, size, "right") - 1
     found, of = [], []
+    spare = np.full(len(size), 1 << 30)
     for back in range(64):
         group = own - back
         last = first[np.maximum(group, 0) + 1] - 1
@@ -61,7 +63,8 @@ def fragment_hashes(value: np.ndarray, at: np.ndarray, num: int, den: int) -> tu
         use, differ = use[differ > 0], differ[differ > 0]  # else only equal sets link
         if not len(use):
             continue
-        pieces = differ + 1 + SLACK
+        slack = 3 + differ // 8
+        pieces = differ + 1 + slack
         base = np.concatenate([[0], np.cumsum(pieces)])
         rows = np.repeat(np.arange(len(use)), size[use])
         v = value[np.repeat(at[use] - np.concatenate([[0], np.cumsum(size[use])])[:-1], size[use]) + np.arange(len(rows))]
@@ -73,34 +76,35 @@ def fragment_hashes(value: np.ndarray, at: np.ndarray, num: int, den: int) -> tu
         place = np.arange(base[-1]) - base[row]
         sent = mix(mix(run[end] - run[end - count] + count.astype(np.uint64) * U(0x9E3779B97F4A7C15)) + place.astype(np.uint64) * U(0xD6E8FEB86659FD93) + (own[use][row] - back).astype(np.uint64))
         empty = count == 0
-        spare = np.bincount(row[empty], minlength=len(use)) <= SLACK
-        keep = ~(empty & spare[row])
+        left = slack - np.bincount(row[empty], minlength=len(use))
+        spare[use] = np.minimum(spare[use], np.maximum(left, 0))
+        keep = ~(empty & (left >= 0)[row])
         found.append(sent[keep])
         of.append(use[row[keep]])
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64), np.zeros(len(size), np.int32)
     found, of = np.concatenate(found), np.concatenate(of)
     order = np.argsort(of, kind="stable")
-    return found[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(size)))]).astype(np.int64)
+    return found[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(size)))]).astype(np.int64), spare.astype(np.int32)
 
 
 def _sets(docs: DataFrame, key: str, text: str, k: int, num: int, den: int) -> DataFrame:
-    """(k, n, s1, s2, sent): size and 128-bit digest of each set, and the hashes of its fragments."""
+    """(k, n, s1, s2, sent, spare): size and 128-bit digest of each set, the hashes of its fragments, and how many it may leave out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
             value, at = shingles(Words(*text_bytes(b.column(1))), k)
             sums = [np.concatenate([[U(0)], np.cumsum(mix(value ^ U(c)))]) for c in (0x1234567, 0x89ABCDEF)]
             s = [mix(x[at[1:]] - x[at[:-1]]).view(np.int64) for x in sums]
-            sent, cut = fragment_hashes(value, at, num, den)
+            sent, cut, spare = fragment_hashes(value, at, num, den)
             lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(sent.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at)), pa.array(s[0]), pa.array(s[1]), lists], ["k", "n", "s1", "s2", "sent"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at)), pa.array(s[0]), pa.array(s[1]), lists, pa.array(spare)], ["k", "n", "s1", "s2", "sent", "spare"])
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t")).mapInArrow(run, "k long, n long, s1 long, s2 long, sent array<long>")
+    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t")).mapInArrow(run, "k long, n long, s1 long, s2 long, sent array<long>, spare int")
 
 
 def _shared(sent: DataFrame, ranges: int) -> DataFrame:
-    """(h): fragment hashes that at least two rows of ``sent`` have."""
+    """(h, common): fragment hashes that at least two rows of ``sent`` have, and whether more than COMMON do."""
     schema = "part int, f binary, c binary"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +129,10 @@ def _shared(sent: DataFrame, ranges: int) -> DataFrame:
         for part in list(parts):
             x, *more = parts.pop(part)
             x = x.merge(*more)
-            yield pa.RecordBatch.from_arrays([pa.array(x.fingerprints()[x.counts > 1].view(np.int64))], ["h"])
+            many = x.counts > 1
+            yield pa.RecordBatch.from_arrays([pa.array(x.fingerprints()[many].view(np.int64)), pa.array(x.counts[many] > COMMON)], ["h", "common"])
 
-    return sent.select("sent").mapInArrow(build, schema).repartition(1 << ranges, "part").mapInArrow(merge, "h long")
+    return sent.select("sent").mapInArrow(build, schema).repartition(1 << ranges, "part").mapInArrow(merge, "h long, common boolean")
 
 
 def overlaps(value: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
@@ -255,12 +260,15 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     few = copied.limit(300_000).count() < 300_000  # 24 bytes each
     copies = F.broadcast(copied) if few else copied
     # a row stands for its class unless the class has a smaller id
-    reps = sets.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k").select("k", "n", "sent")
+    reps = sets.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k").select("k", "n", "sent", "spare")
     reps = scratch.put(reps)
     ranges = max(3, (int(total[1] or 0) // 4_000_000).bit_length())
     shared = scratch.put(_shared(reps, ranges))
     known = F.broadcast(shared) if shared.count() * 8 <= _KNOWN_BYTES else shared
-    sent = scratch.put(reps.select("k", F.explode("sent").alias("h")).join(known, "h", "left_semi"))
+    sent = scratch.put(reps.select("k", "spare", F.explode("sent").alias("h")).join(known, "h"))
+    scratch.drop(shared)
+    weak = sent.where("common").groupBy("k").agg(F.count(F.lit(1)).alias("weak"))
+    sent = sent.join(weak, "k", "left").where("not common or weak > spare").select("k", "h")
     hub = sent.groupBy("h").agg(F.min("k").alias("b"))
     loose = components(sent.join(hub, "h").select(F.col("k").alias("a"), "b").distinct(), scratch)
     loose = loose.join(reps.select(F.col("k").alias("node"), "n"), "node").select(F.col("node").alias("k"), "root", "n")

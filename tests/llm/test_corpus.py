@@ -192,6 +192,7 @@ def linked(texts, k, num, den):
 @pytest.mark.parametrize("k,num,den,block", [(3, 90, 100, 400), (5, 80, 100, 400), (5, 80, 100, 6), (3, 90, 100, 5)])
 def test_jaccard_components(spark, monkeypatch, k, num, den, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "COMMON", 1 + block % 3)
     rng = random.Random(k * den + block)
     texts = list(ODD[:8]) + ["Two words", "two  WORDS"]
     for _ in range(12):
@@ -222,7 +223,7 @@ def test_fragments_share_one_for_every_link():
                 b = np.sort(np.concatenate([a[: n - cut // 2], rng.integers(0, 2**63, cut - cut // 2).astype(np.uint64)]))
                 inter = len(np.intersect1d(a, b))
                 if 100 * inter >= num * (len(a) + len(b) - inter) and inter < max(len(a), len(b)):
-                    h, at = jaccard.fragment_hashes(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), num, 100)
+                    h, at, _ = jaccard.fragment_hashes(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), num, 100)
                     assert len(np.intersect1d(h[: at[1]], h[at[1] :])), (n, num, cut)
 
 
