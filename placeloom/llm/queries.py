@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
-from placeloom.plans.scratch import ship
+from placeloom.plans.scratch import Scratch, ship
 
 TOKENIZERS = "/opt/tokenizers"
 VOCAB = f"{TOKENIZERS}/word_bpe_49k.json"
@@ -156,7 +156,8 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lengths.suffix_sums(lengths.histogram(_table(spark, sf_dir, "documents"), VOCAB))
+    hist = Scratch(spark, "lengths").put(lengths.histogram(_table(spark, sf_dir, "documents"), VOCAB))  # the sums read it twice
+    return lengths.suffix_sums(hist)
 
 
 def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
