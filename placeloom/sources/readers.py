@@ -178,19 +178,20 @@ def catalogue(places: DataFrame, divisions: DataFrame, config: CityConfig) -> Da
     box = _box(config.bbox)
     areas = divisions.where(wanted & box).select(label.alias("district"), "region", "bbox", "geometry")
     food = (F.try_element_at("taxonomy.hierarchy", F.lit(1)) == "food_and_drink") & (F.col("confidence") >= o.get("min_confidence", 0.5)) & (F.coalesce("operating_status", F.lit("open")) == "open")
-    point = [F.reverse(F.substring("geometry", s, 8)) for s in (6, 14)]
-    number = lambda b: bits_to_double(b)
+    number = lambda at: wkb_double(F.col("geometry"), at)
     rows = places.where(box & food).select(
         "id", F.col("names.primary").alias("name"), F.col("names.common")["en"].alias("name_en"), F.col("taxonomy.hierarchy").alias("hierarchy"), "websites", "emails", "socials", "phones",
         F.try_element_at("addresses", F.lit(1))["freeform"].alias("address"), F.try_element_at("addresses", F.lit(1))["postcode"].alias("postcode"), "confidence", "operating_status",
-        F.try_element_at("sources", F.lit(1))["dataset"].alias("dataset"), number(point[1]).alias("lat"), number(point[0]).alias("lon"),
+        F.try_element_at("sources", F.lit(1))["dataset"].alias("dataset"), number(14).alias("lat"), number(6).alias("lon"),
     )
     return clip(geo.point_in_polygon(rows, areas), o.get("divisions", []))
 
 
-def bits_to_double(b: Column) -> Column:
-    """A double from its 8 bytes, most significant first."""
-    bits = F.hex(b)
+def wkb_double(geometry: Column, at: int) -> Column:
+    """The double at byte ``at`` (from 1) of well-known binary, in the byte order that its first byte names."""
+    h = F.hex(F.substring(geometry, at, 8))
+    turned = F.concat(*[F.substring(h, i, 2) for i in range(15, 0, -2)])
+    bits = F.when(F.hex(F.substring(geometry, 1, 1)) == "01", turned).otherwise(h)
     high = F.conv(F.substring(bits, 1, 3), 16, 10).cast("long")
     mantissa = F.conv(F.substring(bits, 4, 13), 16, 10).cast("double")
     sign, exponent = F.when(high >= 2048, -1.0).otherwise(1.0), high % 2048
