@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import geo, text
 from ..operators import enrich, joins, relations, resolve
 from ..operators.predicates import is_closed, wanted
 from ..sources import readers
@@ -41,6 +41,15 @@ def collect_boroughs(elements: DataFrame, register: DataFrame | None, today: str
     return resolve.drop_repeats(got)
 
 
+def extra_area(elements: DataFrame, register: DataFrame, places: DataFrame, name: str, metres: float, today: str) -> DataFrame | None:
+    """Venues within ``metres`` of the place ``name``, for areas outside all units; None if there is no such place."""
+    at = readers.place_point(places, name)
+    if at is None:
+        return None
+    near = geo.located(F.col("lat")) & geo.within(F.lit(at[0]), F.lit(at[1]), F.col("lat"), F.col("lon"), metres)
+    return collect_boroughs(readers.around(elements, *at, metres), register, today).where((F.col("source") != "food standards agency") | near)
+
+
 def localise(venues: DataFrame, local: str) -> DataFrame:
     """Names in the local script stand aside where an English one exists; categories follow the name that is shown."""
     is_local = F.col("name").rlike(local) if local else F.lit(False)

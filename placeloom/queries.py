@@ -395,6 +395,45 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.reject_reasons(rejected)
 
 
+@query("""SELECT doc_id, trim(regexp_replace(replace(replace(lower(strip_accents(text)), '&', ' and '), chr(39), ''), '[^a-z0-9]+', ' ', 'g')) AS folded FROM (SELECT doc_id, left(text, 80) AS text FROM documents WHERE lang IN ('fr', 'es') AND NOT contains(text, 'œ')) d""")
+def fold_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles: the first 80 characters of a text."""
+    rows = _table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "es"))
+    return rows.select("doc_id", text.fold(F.substring("text", 1, 80)).alias("folded"))
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 AND n_name <> 'x' THEN 'City of London' ELSE n_name END AS short FROM nation""")
+def short_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("London Borough of "), "n_name")).when(k == 1, F.concat(F.lit("Royal Borough of "), "n_name")).otherwise("City of London")
+    return _table(spark, sf_dir, "nation").select("n_nationkey", text.short_borough(name).alias("short"))
+
+
+@query(f"""WITH {_OWN} SELECT count(*) AS venues, CAST(0 AS BIGINT) AS closed, count(*) FILTER (WHERE mail <> '' OR website <> '') AS reachable FROM own""")
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relations.totals(venues(spark, sf_dir))
+
+
+@query("""SELECT n_name AS name, n_name || ' District' AS label FROM nation""")
+def district_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _table(spark, sf_dir, "nation")
+    known = n.where("n_nationkey % 2 = 0").select(F.concat("n_name", F.lit(" District")).alias("label"))
+    return joins.district_labels(n.select(F.col("n_name").alias("name")), known)
+
+
+@query(f"""WITH {_LIVE} SELECT seq, array_to_string(list_sort(list_distinct(CASE WHEN r > 0 THEN [mail] END)), '; ') AS email, borough AS district FROM mails""")
+def email_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The e-mail relation: one row per address."""
+    _, emails, _ = _live(spark, sf_dir)
+    return emails.select("seq", "email", F.col("borough").alias("district"))
+
+
+@query(f"""WITH {_LIVE} SELECT seq, website FROM sites""")
+def site_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, sites = _live(spark, sf_dir)
+    return sites.select("seq", "website")
+
+
 @query()
 def domain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = venues(spark, sf_dir)

@@ -66,6 +66,17 @@ def around(rows: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
     return rows.where(geo.within(F.lit(lat), F.lit(lon), y, x, metres))
 
 
+def place_nodes(rows: DataFrame) -> DataFrame:
+    """(ord, name, lat, lon) of named points."""
+    return rows.where(text.blank(F.col("tags")["name"]) != "").select(F.col("pos").alias("ord"), F.col("tags")["name"].alias("name"), "lat", "lon")
+
+
+def place_point(places: DataFrame, name: str) -> tuple[float, float] | None:
+    """Where the first place of this name lies."""
+    r = places.where(F.col("name") == name).orderBy("ord").select("lat", "lon").first()
+    return (r.lat, r.lon) if r else None
+
+
 def units(rows: DataFrame, config: CityConfig) -> DataFrame:
     """(label, id) of administrative areas, without excluded ones, by label and id."""
     label = F.coalesce(F.nullif(F.col("tags")["name:en"], F.lit("")), F.col("tags")["name"])
