@@ -64,6 +64,49 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert_index")
 
 
+def _hilbert_sql(source: str, cells: int, bits: int) -> tuple[str, str]:
+    """CTEs that add the curve index ``h`` to ``source`` with columns x0, x1, ..., and the name of the last."""
+    steps = [("s", "CAST(0 AS BIGINT)"), ("t", "CAST(0 AS BIGINT)")]
+    for b in range(bits - 1, 0, -1):
+        low = (1 << b) - 1
+        steps.append(("x0", f"CASE WHEN x0 & {1 << b} <> 0 THEN xor(x0, {low}) ELSE x0 END"))
+        for i in range(1, cells):
+            steps += [("s", f"xor(x0, x{i}) & {low}"), ("x0", f"CASE WHEN x{i} & {1 << b} <> 0 THEN xor(x0, {low}) ELSE xor(x0, s) END"), (f"x{i}", f"CASE WHEN x{i} & {1 << b} <> 0 THEN x{i} ELSE xor(x{i}, s) END")]
+    steps += [(f"x{i}", f"xor(x{i}, x{i - 1})") for i in range(1, cells)]
+    steps += [("t", f"CASE WHEN x{cells - 1} & {1 << b} <> 0 THEN xor(t, {(1 << b) - 1}) ELSE t END") for b in range(bits - 1, 0, -1)]
+    steps.append(("h", " | ".join(f"(((xor(x{i}, t) >> {b}) & 1) << {b * cells + cells - 1 - i})" for b in range(bits) for i in range(cells))))
+    text, last, known = [], source, {f"x{i}" for i in range(cells)}
+    for n, (name, expr) in enumerate(steps):
+        text.append(f"hs{n} AS (SELECT * REPLACE ({expr} AS {name}) FROM {last})" if name in known else f"hs{n} AS (SELECT *, {expr} AS {name} FROM {last})")
+        last = f"hs{n}"
+        known.add(name)
+    return ", ".join(text), last
+
+
+_CURVE, _LAST = _hilbert_sql("placed", 3, 4)
+OP2_SQL = f"""
+WITH RECURSIVE bits(i, r, c) AS (
+  SELECT i, 0, CAST(i AS BIGINT) FROM range(256) q(i)
+  UNION ALL SELECT i, r + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END FROM bits WHERE r < 8
+), tab AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE r = 8),
+byt AS (
+  SELECT doc_id, lang, source, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))) AS b
+  FROM documents
+), placed AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, xor(list_reduce(b, lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])), CAST(4294967295 AS BIGINT)) AS text_crc32,
+    CAST(coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{{1,9}})', 1), '') AS BIGINT), 0) % 16 AS BIGINT) AS x0,
+    CAST(coalesce((ascii(lang) * 7 + ascii(substr(lang, 2, 1))) % 16, 0) AS BIGINT) AS x1,
+    CAST(least(15, greatest(0, length(bin(CAST(size AS BIGINT))) - 4)) AS BIGINT) AS x2
+  FROM byt, tab
+), {_CURVE}, line AS (
+  SELECT *, row_number() OVER (ORDER BY h, ((doc_id % 4294967296) * 1103515245) % 4294967296, doc_id) - 1 AS p, count(*) OVER () AS n FROM {_LAST}
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p * {SHARDS} // n AS INTEGER) AS shard, p - (n * (p * {SHARDS} // n) + {SHARDS - 1}) // {SHARDS} AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard, h AS hilbert_index FROM line
+"""
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient.dedupe(_table(spark, sf_dir, "documents"))
 
@@ -177,4 +220,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_reply_trees": op9_reply_trees,
     "op10_ngram_trie": op10_ngram_trie,
 }
-ORACLES = {"op1_url_cascade": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op2_hilbert_shards": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL}
