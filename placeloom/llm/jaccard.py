@@ -117,22 +117,29 @@ def _shared(sent: DataFrame, ranges: int) -> DataFrame:
 
         for b in batches:
             held.append(b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-            if sum(map(len, held)) > 2_000_000:
+            if sum(map(len, held)) > 1_000_000:
                 yield close()
         yield close()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[CountingQuotientFilter]] = {}
-        for b in batches:
-            for part, f, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                parts.setdefault(part, []).append(CountingQuotientFilter.piece(f, c))
-        for part in list(parts):
-            x, *more = parts.pop(part)
-            x = x.merge(*more)
+        def close() -> pa.RecordBatch:
+            x = held[0].merge(*held[1:])
             many = x.counts > 1
-            yield pa.RecordBatch.from_arrays([pa.array(x.fingerprints()[many].view(np.int64)), pa.array(x.counts[many] > COMMON)], ["h", "common"])
+            return pa.RecordBatch.from_arrays([pa.array(x.fingerprints()[many].view(np.int64)), pa.array(x.counts[many] > COMMON)], ["h", "common"])
+
+        now, held = None, []
+        for b in batches:
+            for i in range(b.num_rows):
+                part, f, c = (x[i].as_py() for x in b.columns)
+                if part != now and held:
+                    yield close()
+                    held = []
+                now = part
+                held.append(CountingQuotientFilter.piece(f, c))
+        if held:
+            yield close()
 
-    return sent.select("sent").mapInArrow(build, schema).repartition(1 << ranges, "part").mapInArrow(merge, "h long, common boolean")
+    return sent.select("sent").mapInArrow(build, schema).repartition(1 << ranges, "part").sortWithinPartitions("part").mapInArrow(merge, "h long, common boolean")
 
 
 def overlaps(value: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
@@ -262,7 +269,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     # a row stands for its class unless the class has a smaller id
     reps = sets.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k").select("k", "n", "sent", "spare")
     reps = scratch.put(reps)
-    ranges = max(3, (int(total[1] or 0) // 4_000_000).bit_length())
+    ranges = max(3, (int(total[1] or 0) // 500_000).bit_length())
     shared = scratch.put(_shared(reps, ranges))
     known = F.broadcast(shared) if shared.count() * 8 <= _KNOWN_BYTES else shared
     sent = scratch.put(reps.select("k", "spare", F.explode("sent").alias("h")).join(known, "h"))
