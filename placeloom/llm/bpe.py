@@ -16,7 +16,6 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 
 import ahocorasick
@@ -40,8 +39,8 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
-class _Parts(dict):
-    """Ids, as bytes, of the parts seen so far; of bounded size."""
+class _Seen(dict):
+    """Ids, as bytes, of the parts and words seen so far; of bounded size."""
 
     def __init__(self, bpe: BacktrackingBPE):
         super().__init__()
@@ -49,35 +48,24 @@ class _Parts(dict):
 
     def __missing__(self, part: str) -> bytes:
         bpe = self.bpe
-        if len(self) >= bpe.CACHE:
-            self.clear()
-        ids = (bpe.special[part],) if part in bpe.special else tuple(chain.from_iterable(map(bpe.cache.__getitem__, bpe.words(part))))
-        got = np.array(ids, np.int32).tobytes()
-        if len(part) < 64:
-            self[part] = got
-        return got
-
-
-class _Seen(dict):
-    """Words encoded so far; of bounded size."""
+        if part in bpe.special:
+            return self.keep(part, np.array([bpe.special[part]], np.int32).tobytes())
+        words = bpe.words(part)
+        got = b"".join([self.get(w) or self.keep(w, bpe.encode_piece(w)) for w in words])
+        return got if words == [part] else self.keep(part, got)
 
-    def __init__(self, bpe: BacktrackingBPE):
-        super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def keep(self, part: str, ids: bytes) -> bytes:
         if len(self) >= self.bpe.CACHE:
             self.clear()
-        got = self.bpe.encode_word(word if word.isascii() and word.isprintable() else "".join(map(self.bpe.alphabet.__getitem__, word.encode())))
-        if len(word) < 64:
-            self[word] = got
-        return got
+        if len(part) < 64:
+            self[part] = ids
+        return ids
 
 
 class BacktrackingBPE:
     """Encoder and decoder for a vocabulary file of the ``tokenizers`` library: BPE over byte-level words with word ends."""
 
-    CACHE = 500_000  # entries of each cache; beyond that it starts again
+    CACHE = 400_000  # parts of text kept; beyond that the table starts again
 
     def __init__(self, spec: dict):
         model = spec["model"]
@@ -114,7 +102,7 @@ class BacktrackingBPE:
         self.buffer = np.frombuffer(b"".join(pieces), np.uint8)
         self.decimal = [str(i) for i in range(len(pieces))]
         self.alphabet = byte_alphabet()
-        self.cache, self.parts_seen = _Seen(self), _Parts(self)
+        self.seen = _Seen(self)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # ranges serve where all letters are Latin and all numbers [0-9]; else the classes that the file names
         self.plain = re.compile(r"[a-zªµºÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9ªµºÀ-ÖØ-öø-ɏ]+")
@@ -150,7 +138,7 @@ class BacktrackingBPE:
                 before_a, a = ra, self.parts[a][1]
             else:
                 before_b, b = rb, self.parts[b][0]
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) > 500_000:
             self.fits.clear()
         self.fits[left * self.wide + right] = fits
         return fits
@@ -194,6 +182,10 @@ class BacktrackingBPE:
                 token = shorter[token]
         return tuple(out[1:])
 
+    def encode_piece(self, word: str) -> bytes:
+        mapped = word if word.isascii() and word.isprintable() else "".join(map(self.alphabet.__getitem__, word.encode()))
+        return np.array(self.encode_word(mapped), np.int32).tobytes()
+
     def words(self, text: str) -> list[str]:
         """Pieces of a text without special tokens, normalised and split as the vocabulary's file says."""
         if not text.isascii():
@@ -211,7 +203,7 @@ class BacktrackingBPE:
                 yield from part.split()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.parts_seen.__getitem__, self.pieces(text))), np.int32)
+        return np.frombuffer(b"".join(map(self.seen.__getitem__, self.pieces(text))), np.int32)
 
     def show(self, ids: np.ndarray) -> str:
         """The ids in decimal, joined by spaces."""
