@@ -1,0 +1,44 @@
+"""Every query over the smallest driver tables: against its SQL in DuckDB where it has one, else that it runs."""
+
+import os
+
+import pytest
+
+from placeloom import queries
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+
+
+def plain(v):
+    return "" if v is None or v != v else f"{v:.6f}" if isinstance(v, float) else str(v)
+
+
+def against_sql(spark, query, sql):
+    import duckdb
+
+    con = duckdb.connect()
+    for f in os.listdir(SF):
+        con.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+    want = con.sql(sql)
+    names = sorted(want.columns)
+    got = query(spark, SF)
+    assert sorted(got.columns) == names
+    rows = lambda it: sorted(tuple(map(plain, r)) for r in it)
+    assert rows(got.select(*names).collect()) == rows(con.sql(f"SELECT {', '.join(names)} FROM want").fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    against_sql(spark, queries.QUERIES[name], queries.ORACLES[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_query_runs(spark, name):
+    assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+def test_entry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() == 25
