@@ -35,3 +35,18 @@ def test_pipeline_stages(spark):
     leaks = {r.doc_id for r in templates.matches(c, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert {r.doc_id for r in d.collect()} == {r.doc_id for r in c.collect()} - leaks
     assert p.run(spark, SF).count() == steps["encode"](spark, d, SF).count() == d.count()
+
+
+def test_registered_queries_equal_their_sql(spark):
+    import duckdb
+
+    from placeloom.llm import queries
+
+    con = duckdb.connect()
+    for f in os.listdir(SF):
+        con.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+    for name, sql in queries.ORACLES.items():
+        want = con.sql(sql)
+        names = sorted(want.columns)
+        got = sorted(tuple(map(str, r)) for r in queries.QUERIES[name](spark, SF).select(*names).collect())
+        assert got == sorted(tuple(map(str, r)) for r in con.sql(f"SELECT {', '.join(names)} FROM want").fetchall()), name
