@@ -31,8 +31,8 @@ from .quotient import CountingQuotientFilter
 from placeloom.plans.scratch import Scratch
 
 COMMON = 4
-BLOCK = 400  # texts
-BLOCK_SHINGLES = 400_000
+BLOCK = 1500  # texts
+BLOCK_SHINGLES = 1_500_000
 FRAGMENTS = 8  # of the global order, in which a cluster's overlaps are counted
 SALTS = 32
 _KNOWN_BYTES = 16 << 20
@@ -186,8 +186,7 @@ def _count_block(ids: list[int], sides: list[int], sets: list[bytes], num: int,
     linked = den * both >= num * (size[:, None] + size[None, :] - both)
     np.fill_diagonal(linked, False)
     side = np.array(sides)
-    if side.any():  # two blocks meet; each has a task of its own for the pairs inside
-        linked &= side[:, None] != side[None, :]
+    linked &= (side[:, None] != side[None, :]) | (side == 0)[:, None]  # pairs inside a block of another side are another task's
     return [(ids[a], ids[b]) for a, b in forest(linked)]
 
 
@@ -248,8 +247,9 @@ def _blocks(loose: DataFrame, num: int, den: int) -> DataFrame:
     upto = lambda n: F.filter(F.sequence(F.lit(-1), F.col(n) - 1), lambda j: j >= 0)
     task = lambda t, s: F.struct(t.alias("task"), s.cast("int").alias("side"))
     c, i = F.col("class"), F.col("i")
-    inside = F.transform(upto("own"), lambda j: task(name(c, F.least(i, j), F.lit("="), F.greatest(i, j)), F.when(i == j, 0).otherwise(F.when(i < j, 1).otherwise(2))))
-    above = F.transform(upto("above"), lambda j: task(name(c, i, F.lit("+"), j), F.lit(1)))
+    # pairs inside a block are counted where it meets the first block above, or alone where there is none
+    inside = F.transform(F.filter(upto("own"), lambda j: (i != j) | (F.col("above") == 0)), lambda j: task(name(c, F.least(i, j), F.lit("="), F.greatest(i, j)), F.when(i == j, 0).otherwise(F.when(i < j, 1).otherwise(2))))
+    above = F.transform(upto("above"), lambda j: task(name(c, i, F.lit("+"), j), F.when(j == 0, 0).otherwise(1)))
     below = F.transform(upto("below"), lambda j: task(name(c - 1, j, F.lit("+"), i), F.lit(2)))
     return small.unionAll(cut.select("k", F.concat(inside, above, below).alias("at")))
 
@@ -257,8 +257,9 @@ def _blocks(loose: DataFrame, num: int, den: int) -> DataFrame:
 def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, n_shingles, component_id): documents link when den * intersection >= num * union of their k-word shingle sets."""
     scratch = Scratch(docs.sparkSession, "jaccard")
-    sets = scratch.put(_sets(docs, key, text, k, num, den))
-    total = sets.agg(F.count(F.lit(1)), F.sum(F.size("sent"))).first()
+    full = scratch.put(_sets(docs, key, text, k, num, den))
+    sets = scratch.put(full.select("k", "n", "s1", "s2"))
+    total = full.agg(F.count(F.lit(1)), F.sum(F.size("sent"))).first()
     salt = F.pmod(F.hash("k"), F.lit(SALTS))
     lean = sets.where("n > 0").select("k", "s1", "s2", salt.alias("salt"))
     some = lean.groupBy("s1", "s2", "salt").agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("c"))
@@ -267,18 +268,18 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     few = copied.limit(300_000).count() < 300_000  # 24 bytes each
     copies = F.broadcast(copied) if few else copied
     # a row stands for its class unless the class has a smaller id
-    reps = sets.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k").select("k", "n", "sent", "spare")
-    reps = scratch.put(reps)
+    reps = full.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k").select("k", "n", "sent", "spare")
     ranges = max(3, (int(total[1] or 0) // 500_000).bit_length())
     shared = scratch.put(_shared(reps, ranges))
     known = F.broadcast(shared) if shared.count() * 8 <= _KNOWN_BYTES else shared
     sent = scratch.put(reps.select("k", "spare", F.explode("sent").alias("h")).join(known, "h"))
-    scratch.drop(shared)
+    sizes = scratch.put(reps.select(F.col("k").alias("node"), "n"))
+    scratch.drop(shared, full)
     weak = sent.where("common").groupBy("k").agg(F.count(F.lit(1)).alias("weak"))
     sent = sent.join(weak, "k", "left").where("not common or weak > spare").select("k", "h")
     hub = sent.groupBy("h").agg(F.min("k").alias("b"))
     loose = components(sent.join(hub, "h").select(F.col("k").alias("a"), "b").distinct(), scratch)
-    loose = loose.join(reps.select(F.col("k").alias("node"), "n"), "node").select(F.col("node").alias("k"), "root", "n")
+    loose = loose.join(sizes, "node").select(F.col("node").alias("k"), "root", "n")
     members = scratch.put(_blocks(scratch.put(loose), num, den))
     slim = members.count() < 100_000  # under 16 MB
     tasks = max(8, int(total[0] or 0) // 8_000)
