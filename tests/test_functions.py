@@ -12,10 +12,10 @@ def each(spark, fn, xs, kind="string"):
 
 
 def test_names(spark):
-    assert each(spark, text.fold, ["Hon’s BBQ", "Café & Co.", "  A--b ", None, "ร้าน"]) == ["hons bbq", "cafe and co", "a b", "", ""]
+    assert each(spark, text.fold, ["Ann’s BBQ", "Café & Co.", "  A--b ", None, "ร้าน"]) == ["anns bbq", "cafe and co", "a b", "", ""]
     assert each(spark, text.slug, ["Pie & Mash's", "É"]) == ["pieandmashs", "e"]
     assert each(spark, text.usable, ["Mr Smith", "The Cafe Ltd", "Kite & Anchor", ""]) == [False, False, True, False]
-    assert each(spark, text.area_names, ["Barnet (also High Barnet, Chipping)", "Burroughs, The"]) == [["Barnet", "High Barnet", "Chipping"], ["The Burroughs"]]
+    assert each(spark, text.area_names, ["Alderton (also High Alderton, Nether)", "Meadows, The"]) == [["Alderton", "High Alderton", "Nether"], ["The Meadows"]]
     assert each(spark, text.area_norm, ["Saint Ann's", "St. Ann's"]) == ["stanns"] * 2
     pairs = spark.createDataFrame([("kite", "thekitepub", "", ""), ("ab", "abc", "", ""), ("", "", "ก", "ก "), ("", "", "", "")], "a string, b string, c string, d string")
     assert [r.y for r in pairs.select(text.names_match(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("y")).collect()] == [True, False, True, False]
