@@ -3,9 +3,11 @@
 Words lose their outer punctuation and case; numbers, units after a number, and names (capitalised words inside a sentence)
 become typed placeholders that keep their values as slots. Windows of ``WINDOW`` template words of every document are
 tested against a bit table of the benchmark's windows in the scan; what passes is hash-joined with the benchmark's
-windows. Windows of one pair on one diagonal are an alignment; it counts only if its slots are consistent: each value of the
-item always stands for one value of the document and the other way round. So a question with other numbers or names is
-caught, and a chance mixture of the same template is not.
+windows. Windows of one pair on one diagonal are an alignment; those of its windows count that are consistent (``agreed``):
+each name of the item stands for one name of the document and the other way round, as most of its mentions have it; a window
+with another name is left out, one whose values are all unchanged never. Numbers and units may coincide by chance in the item or
+in the document, so they are free, unless a name is evenly torn between others: then each must stand for one value too. So a
+question with other numbers or names is caught, and a chance mixture of the same template is not.
 
 A document and an item match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
 An item shorter than a window is one window of its own length. Windows with fewer than half literal words are left out;
@@ -18,7 +20,8 @@ an id; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,8 @@ _SMALL[97:123] = True
 _SMALL[128:] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
+#: What holds for the value of a word of an item.
+LITERAL, FREE, NAME = 0, 1, 2
 _NUMBER, _NAME, _UNIT = U(0xA11CE), U(0xB0B), U(0xCA7)
 
 
@@ -88,6 +93,7 @@ class Template:
         kind = np.where(number, _NUMBER, np.where(unit, _UNIT, _NAME))
         self.symbol = np.where(self.slot, mix(kind), self.value)
         self.value = np.where(self.slot, mix(self.value ^ kind), U(0))
+        self.kind = np.where(self.slot, np.where(number | unit, FREE, NAME), LITERAL).astype(np.int8)
         self.count = np.bincount(self.doc, minlength=len(at) - 1) if n else np.zeros(len(at) - 1, np.int64)
 
     def windows(self, k: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,13 +107,53 @@ class Template:
         """Values of the slots of each window, by place; 0 for a literal word."""
         return [[0] * k] * len(first) if exact else self.value[first[:, None] + np.arange(k)].view(np.int64).tolist() if len(first) else []
 
+    def kinds(self, first: np.ndarray, k: int, exact: bool = False) -> list[list[int]]:
+        """What holds for each word of each window, by place."""
+        return [[LITERAL] * k] * len(first) if exact else self.kind[first[:, None] + np.arange(k)].tolist() if len(first) else []
+
+
+def _votes(pairs: Iterable[tuple[int, int]]) -> dict[int, int | None]:
+    """For each left value the right one that it has most often, itself where it is among those; None if others tie."""
+    count: dict[int, Counter] = defaultdict(Counter)
+    for x, y in pairs:
+        count[x][y] += 1
+    out: dict[int, int | None] = {}
+    for x, c in count.items():
+        most = max(c.values())
+        best = [y for y, n in c.items() if n == most]
+        out[x] = x if x in best else best[0] if len(best) == 1 else None
+    return out
+
+
+def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> tuple[list[int], bool]:
+    """Places of the windows (place, kinds, slots, seen) of one diagonal that are consistent, and whether one has another value."""
+    mention: dict[int, set[tuple[int, int, int]]] = {FREE: set(), NAME: set()}
+    for pos, kinds, slots, seen in windows:
+        for i, kind in enumerate(kinds):
+            if kind:
+                mention[kind].add((pos + i, slots[i], seen[i]))
+    there, back = _votes((x, y) for _, x, y in mention[NAME]), _votes((y, x) for _, x, y in mention[NAME])
+    torn = None in there.values() or None in back.values()
+    free = _votes((x, y) for _, x, y in mention[FREE]) if torn else {}
+
+    def fits(kind: int, x: int, y: int) -> bool:
+        return kind == LITERAL or (there[x] == y and back[y] == x if kind == NAME else not torn or free[x] == y)
+
+    places, changed = set(), False
+    for pos, kinds, slots, seen in windows:
+        same = all(x == y for kind, x, y in zip(kinds, slots, seen, strict=True) if kind)
+        if same or all(map(fits, kinds, slots, seen)):
+            places.add(pos)
+            changed |= not same
+    return sorted(places), changed
+
 
 def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(item, k, exact, pos, h, slots, total): the windows that stand for each item."""
+    """(item, k, exact, pos, h, kinds, slots, total): the windows that stand for each item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["item", "k", "exact", "pos", "h", "slots", "total"]
-        kinds = [None, pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32()]
+        names = ["item", "k", "exact", "pos", "h", "kinds", "slots", "total"]
+        types = [None, pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
                 t = Template(*text_bytes(b.column(1).slice(i, 1)))
@@ -119,11 +165,11 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
                 exact = not rich.any()
                 first, h = t.windows(k, True)[:2] if exact else (first[rich], h[rich])
                 n = len(first)
-                cols = [[b.column(0)[i].as_py()] * n, [k] * n, [exact] * n, first, h.view(np.int64), t.slots(first, k, exact), [n] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else kinds[j]) for j, c in enumerate(cols)], names)
+                cols = [[b.column(0)[i].as_py()] * n, [k] * n, [exact] * n, first, h.view(np.int64), t.kinds(first, k, exact), t.slots(first, k, exact), [n] * n]
+                yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else types[j]) for j, c in enumerate(cols)], names)
 
     kind = items.schema[key].dataType.simpleString()
-    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, exact boolean, pos int, h long, slots array<long>, total int")
+    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, exact boolean, pos int, h long, kinds array<tinyint>, slots array<long>, total int")
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST) -> DataFrame:
@@ -165,15 +211,20 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     found = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("t")).mapInArrow(scan, f"doc {kind}, at long, h long, seen array<long>")
     small = n * 8 * (window + 8) <= 16 << 20
     pair = found.join(F.broadcast(bench) if small else bench, "h").withColumn("diagonal", F.col("at") - F.col("pos"))
-    # one diagonal has each window of an item at most once, so the lists are as long as the item at most
-    line = pair.groupBy("doc", "item", "diagonal").agg(F.collect_list(F.arrays_zip("slots", "seen")).alias("z"), F.collect_set("pos").alias("pos"), F.max("total").alias("total"))
-    slots = F.array_distinct(F.filter(F.flatten("z"), lambda s: s["slots"] != 0))
-    left, right = F.size(F.array_distinct(F.col("s.slots"))), F.size(F.array_distinct(F.col("s.seen")))
-    line = line.withColumn("s", slots).where((F.size("s") == left) & (F.size("s") == right))
-    both = line.groupBy("doc", "item").agg(
+    # distinct windows of one diagonal: as many as the item has, if the id is not repeated
+    window_of = F.struct("pos", "kinds", "slots", "seen")
+    line = pair.groupBy("doc", "item", "diagonal").agg(F.collect_set(window_of).alias("z"), F.max("total").alias("total"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [agreed([(w["pos"], w["kinds"], w["slots"], w["seen"]) for w in z]) for z in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([x for x, _ in got], pa.list_(pa.int32())), pa.array([x for _, x in got], pa.bool_())], ["doc", "item", "total", "pos", "changed"])
+
+    line = line.select("doc", "item", "total", "z").mapInArrow(judge, f"doc {kind}, item {items.schema[item_key].dataType.simpleString()}, total int, pos array<int>, changed boolean")
+    both = line.where(F.size("pos") > 0).groupBy("doc", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("pos")))).alias("n_windows"),
         F.max("total").alias("item_windows"),
-        F.max(F.exists("s", lambda x: x["slots"] != x["seen"])).alias("reparameterised"),
+        F.max("changed").alias("reparameterised"),
     )
     both = both.where(F.col("n_windows") >= F.least(F.lit(least), F.col("item_windows")))
     return both.withColumnsRenamed({"doc": key, "item": item_key})
