@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose their outer punctuation and case; numbers, units after a number, and names (capitalised words inside a sentence)
+Words lose their outer punctuation and case (folded over all of Unicode); numbers, units after a number, and names (capitalised words inside a sentence)
 become typed placeholders that keep their values as slots. Windows of ``WINDOW`` template words of every document are
 tested against a bit table of the benchmark's windows in the scan; what passes is hash-joined with the benchmark's
 windows. Windows of one pair on one diagonal are an alignment; those of its windows count that are consistent (``agreed``):
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from placeloom.plans.scratch import Scratch
 
 WINDOW = 8
 LEAST = 4
+_CASED = 0x1F000  # no letter from here on has case
 _BITS = 28  # of the largest bit table: 32 MB
 
 #: Unit words.
@@ -47,9 +49,6 @@ _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), ord("%")]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_SMALL = np.zeros(256, bool)
-_SMALL[97:123] = True
-_SMALL[128:] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
 #: What holds for the value of a word of an item.
@@ -62,24 +61,63 @@ def _hash_words(words: list[str]) -> np.ndarray:
     return Words(raw, at).hashes()
 
 
+def _folded(texts: pa.Array) -> pa.Array:
+    """Case-folded texts; bytes that are not UTF-8 stay."""
+    fold = lambda t: t.lower() if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+    return pa.array([fold(t or b"") for t in texts.cast(pa.binary()).to_pylist()], pa.large_binary())
+
+
+def _inner(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words have a letter or digit, and the byte range of each of those without outer punctuation."""
+    good = np.flatnonzero(_ALNUM[w.raw]) if len(w.raw) else np.zeros(0, np.int64)
+    a, b = np.searchsorted(good, w.start), np.searchsorted(good, w.end)
+    keep = b > a
+    return keep, *((good[a[keep]], good[b[keep] - 1] + 1) if len(good) else (w.start[keep], w.end[keep]))
+
+
+@cache
+def _cases() -> tuple[np.ndarray, np.ndarray]:
+    """Whether each code point below ``_CASED`` is an upper-case, a lower-case letter."""
+    every = [chr(i) for i in range(_CASED)]
+    return np.array([c.isupper() or c.istitle() for c in every]), np.array([c.islower() for c in every])
+
+
+def _points(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the UTF-8 letters at byte positions (0 from ``_CASED`` on), and where the next ones start."""
+    b = [raw[np.minimum(at + i, len(raw) - 1)].astype(np.int64) for i in range(4)]
+    size = 1 + (b[0] >= 0xC0) + (b[0] >= 0xE0) + (b[0] >= 0xF0)
+    point = np.where(size == 1, b[0], b[0] & np.array([0, 0, 0x1F, 0x0F, 0x07])[size])
+    for i in range(1, 4):
+        point = np.where(size > i, point << 6 | b[i] & 0x3F, point)
+    return np.where(point < _CASED, point, 0), at + size
+
+
+def _capitals(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which words are an upper-case letter and then a lower-case one."""
+    out = np.zeros(len(start), bool)
+    if len(start):
+        some = np.flatnonzero((raw[start] >= 65) & (raw[start] <= 90) | (raw[start] >= 0xC3))
+        upper, lower = _cases()
+        first, at = _points(raw, start[some])
+        out[some] = upper[first] & (at < end[some]) & lower[_points(raw, at)[0]]
+    return out
+
+
 class Template:
     """Template words of a piece of texts: ``symbol``, ``value`` (of slots), ``slot`` and ``doc`` of each."""
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray):
+    def __init__(self, texts: pa.Array):
+        raw, at = text_bytes(texts)
         w = Words(raw, at)
-        good = np.flatnonzero(_ALNUM[raw]) if len(raw) else np.zeros(0, np.int64)
-        a, b = np.searchsorted(good, w.start), np.searchsorted(good, w.end)
-        keep = b > a
-        a, b, self.doc = a[keep], b[keep], w.doc[keep]
-        start, end = (good[a], good[b - 1] + 1) if len(good) else (w.start[keep], w.end[keep])
+        keep, start, end = _inner(w)
+        self.doc = w.doc[keep]
         n = len(start)
-        self.value = self.word = w.hashes(True, start, end)
-        first = raw[start] if n else np.zeros(0, np.uint8)
-        second = raw[np.minimum(start + 1, max(len(raw) - 1, 0))] if n else first
+        # folding changes lengths of words, but neither their number nor which have letters or digits
+        folded = Words(*text_bytes(_folded(texts)))
+        self.value = self.word = folded.hashes(False, *_inner(folded)[1:])
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
         number = digits[end] > digits[start]
-        capital = (first >= 65) & (first <= 90) & _SMALL[second] & (end - start > 1)
-        capital |= (first == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (end - start > 2)
+        capital = _capitals(raw, start, end)
         # a sentence starts a text, follows a full stop, or a line break
         opens = np.ones(n, bool)
         if n > 1:
@@ -156,7 +194,7 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
         types = [None, pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
-                t = Template(*text_bytes(b.column(1).slice(i, 1)))
+                t = Template(b.column(1).slice(i, 1))
                 k = min(window, len(t.symbol))
                 if not k:
                     continue
@@ -194,7 +232,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value
         for b in slices(batches, "t"):
-            t = Template(*text_bytes(b.column(1)))
+            t = Template(b.column(1))
             start = np.concatenate([[0], np.cumsum(t.count)])
             for k, exact in ks:
                 first, h, _ = t.windows(k, exact)

@@ -8,10 +8,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from placeloom.llm import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
+from placeloom.llm import bpe, bytetext, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
 from placeloom.llm.queries import VOCAB, remainder
 
 EXTRA = "k long, t string, n long, score double"  # names that operators use inside
@@ -152,6 +153,23 @@ def test_templates_drop_only_windows_that_conflict(spark):
     assert matched(spark, gave.format("Anna", 12, "Anna", 12), [gave.format("Clara", 7, "Eve", 8), gave.format("Clara", 7, "Clara", 8)]) == [False, True]
 
 
+def test_templates_fold_all_case(spark):
+    spanish = "el niño pequeño comió la manzana roja en el jardín de su abuela durante la última tarde de otoño porque él tenía hambre"
+    german = "die große straße führt über den fluss und an den äckern vorbei bis zu einem schönen schloss auf der höhe"
+    russian = "маленький мальчик ел красное яблоко в саду у своей бабушки прошлой осенью когда он был очень голоден и устал"
+    for item in (spanish, german, russian):
+        assert matched(spark, item, [f"ABC DEF {item.upper()} XYZ", "nothing of this is in here"]) == [True, False]
+        assert matched(spark, item.upper(), [f"abc def {item} xyz"]) == [True]
+
+
+def test_folding_keeps_the_words():
+    text = " ".join(f"{chr(i)} a{chr(i)}" for i in range(33, 0x20000) if not 0xD800 <= i < 0xE000)
+    column = pa.array([text, None, "", "ÀÉ ß"])
+    before, after = (bytetext.Words(*bytetext.text_bytes(c)) for c in (column, templates._folded(column)))
+    assert before.count.tolist() == after.count.tolist() and (templates._inner(before)[0] == templates._inner(after)[0]).all()
+    assert len(templates._folded(pa.array([b"\xff A"]))[0].as_py()) == 3
+
+
 @pytest.mark.parametrize("numbers", [False, True])
 def test_verbatim_passages_against_brute_force(spark, numbers):
     rng = random.Random(9)
