@@ -1,7 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words lose their outer punctuation and case (folded over all of Unicode); numbers, units after a number, and names (capitalised words inside a sentence)
-become typed placeholders that keep their values as slots. Windows of ``WINDOW`` template words of every document are
+become typed placeholders that keep their values as slots. A capital that opens a sentence may be a name or not, and texts
+are quoted inside other sentences, so every text has three readings: ``CAPITALS`` takes each capitalised word for a slot wherever
+it stands (in items one that opens a sentence may change only if it is a name elsewhere in the item or opens several
+sentences), ``OPENERS`` leaves those that open a sentence literal, ``WORDS`` has no slots at all. Windows of ``WINDOW`` template words of every document are
 tested against a bit table of the benchmark's windows in the scan; what passes is hash-joined with the benchmark's
 windows. Windows of one pair on one diagonal are an alignment; those of its windows count that are consistent (``agreed``):
 each name of the item stands for one name of the document and the other way round, as most of its mentions have it; a window
@@ -10,8 +13,8 @@ in the document, so they are free, unless a name is evenly torn between others:
 question with other numbers or names is caught, and a chance mixture of the same template is not.
 
 A document and an item match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
-An item shorter than a window is one window of its own length. Windows with fewer than half literal words are left out;
-an item that has no others is matched by its words themselves, without slots.
+An item shorter than a window is one window of its own length. Windows with fewer than half literal words in every reading with
+slots are left out; an item that has no others is matched by its words themselves, without slots.
 
 Defined results: null and empty texts match nothing; items without words never match; repeated rows of either table match
 each; repeated ids are one document (or item) with the windows of all its rows; empty tables give no matches; a null id is
@@ -52,7 +55,8 @@ _DIGIT[48:58] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
 #: What holds for the value of a word of an item.
-LITERAL, FREE, NAME = 0, 1, 2
+LITERAL, FREE, NAME, FIXED = 0, 1, 2, 3
+CAPITALS, OPENERS, WORDS = 0, 1, 2
 _NUMBER, _NAME, _UNIT = U(0xA11CE), U(0xB0B), U(0xCA7)
 
 
@@ -104,7 +108,7 @@ def _capitals(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
 
 
 class Template:
-    """Template words of a piece of texts: ``symbol``, ``value`` (of slots), ``slot`` and ``doc`` of each."""
+    """Template words of a piece of texts: ``symbol``, ``value`` (of slots), ``kind`` by reading, ``word`` and ``doc`` of each."""
 
     def __init__(self, texts: pa.Array):
         raw, at = text_bytes(texts)
@@ -114,7 +118,7 @@ class Template:
         n = len(start)
         # folding changes lengths of words, but neither their number nor which have letters or digits
         folded = Words(*text_bytes(_folded(texts)))
-        self.value = self.word = folded.hashes(False, *_inner(folded)[1:])
+        self.word = folded.hashes(False, *_inner(folded)[1:])
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
         number = digits[end] > digits[start]
         capital = _capitals(raw, start, end)
@@ -123,31 +127,43 @@ class Template:
         if n > 1:
             lines = np.concatenate([[0], np.cumsum(raw == 10)])
             opens[1:] = (self.doc[1:] != self.doc[:-1]) | _STOP[raw[w.end[keep][:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
-        name = capital & ~opens & ~number
         after = np.zeros(n, bool)
         after[1:] = number[:-1] & (self.doc[1:] == self.doc[:-1])
-        unit = after & np.isin(self.value, _hash_words(UNITS)) & ~number
-        self.slot = number | name | unit
-        kind = np.where(number, _NUMBER, np.where(unit, _UNIT, _NAME))
-        self.symbol = np.where(self.slot, mix(kind), self.value)
-        self.value = np.where(self.slot, mix(self.value ^ kind), U(0))
-        self.kind = np.where(self.slot, np.where(number | unit, FREE, NAME), LITERAL).astype(np.int8)
+        unit = after & np.isin(self.word, _hash_words(UNITS)) & ~number
+        free = number | unit
+        name = capital & ~free
+        first = name & opens
+        self.opener = np.concatenate([[0], np.cumsum(first)])
+        self.symbol, self.value, self.kind = [], [], []
+        for slot in (free | name, free | name & ~opens):
+            kind = np.where(number, _NUMBER, np.where(unit, _UNIT, _NAME))
+            self.symbol.append(np.where(slot, mix(kind), self.word))
+            self.value.append(np.where(slot, mix(self.word ^ kind), U(0)))
+            self.kind.append(np.where(slot, np.where(free, FREE, NAME), LITERAL).astype(np.int8))
+        # of one item: what opens a sentence is a name if it is one inside a sentence or opens several
+        word, count = np.unique(self.word[first], return_counts=True)
+        known = np.concatenate([word[count > 1], self.word[name & ~opens]])
+        self.kind[CAPITALS][first & ~np.isin(self.word, known)] = FIXED
         self.count = np.bincount(self.doc, minlength=len(at) - 1) if n else np.zeros(len(at) - 1, np.int64)
 
-    def windows(self, k: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, hash, literal words) of each window of k template words inside one text; of the words themselves if ``exact``."""
-        h = window_hashes(self.word ^ U(0xE8AC7) if exact else self.symbol, k)
+    def windows(self, k: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of each window of k template words inside one text."""
+        h = window_hashes(self.word ^ U(0xE8AC7) if reading == WORDS else self.symbol[reading], k)
         inside = np.flatnonzero(self.doc[: len(h)] == self.doc[k - 1 :]) if len(h) else np.zeros(0, np.int64)
-        slots = np.concatenate([[0], np.cumsum(self.slot)])
-        return inside, mix(h[inside] + U(k)), k - (slots[inside + k] - slots[inside])
+        return inside, mix(h[inside] + U(k))
 
-    def slots(self, first: np.ndarray, k: int, exact: bool = False) -> list[list[int]]:
+    def literals(self, first: np.ndarray, k: int, reading: int) -> np.ndarray:
+        """Number of words of each window that have to be the same."""
+        slots = np.concatenate([[0], np.cumsum((self.kind[reading] == FREE) | (self.kind[reading] == NAME))])
+        return k - (slots[first + k] - slots[first])
+
+    def slots(self, first: np.ndarray, k: int, reading: int) -> list[list[int]]:
         """Values of the slots of each window, by place; 0 for a literal word."""
-        return [[0] * k] * len(first) if exact else self.value[first[:, None] + np.arange(k)].view(np.int64).tolist() if len(first) else []
+        return [[0] * k] * len(first) if reading == WORDS else self.value[reading][first[:, None] + np.arange(k)].view(np.int64).tolist() if len(first) else []
 
-    def kinds(self, first: np.ndarray, k: int, exact: bool = False) -> list[list[int]]:
+    def kinds(self, first: np.ndarray, k: int, reading: int) -> list[list[int]]:
         """What holds for each word of each window, by place."""
-        return [[LITERAL] * k] * len(first) if exact else self.kind[first[:, None] + np.arange(k)].tolist() if len(first) else []
+        return [[LITERAL] * k] * len(first) if reading == WORDS else self.kind[reading][first[:, None] + np.arange(k)].tolist() if len(first) else []
 
 
 def _votes(pairs: Iterable[tuple[int, int]]) -> dict[int, int | None]:
@@ -168,14 +184,16 @@ def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> tuple[
     mention: dict[int, set[tuple[int, int, int]]] = {FREE: set(), NAME: set()}
     for pos, kinds, slots, seen in windows:
         for i, kind in enumerate(kinds):
-            if kind:
+            if kind in mention:
                 mention[kind].add((pos + i, slots[i], seen[i]))
     there, back = _votes((x, y) for _, x, y in mention[NAME]), _votes((y, x) for _, x, y in mention[NAME])
     torn = None in there.values() or None in back.values()
     free = _votes((x, y) for _, x, y in mention[FREE]) if torn else {}
 
     def fits(kind: int, x: int, y: int) -> bool:
-        return kind == LITERAL or (there[x] == y and back[y] == x if kind == NAME else not torn or free[x] == y)
+        if kind == NAME:
+            return there[x] == y and back[y] == x
+        return kind == LITERAL or (x == y if kind == FIXED else not torn or free[x] == y)
 
     places, changed = set(), False
     for pos, kinds, slots, seen in windows:
@@ -187,27 +205,32 @@ def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> tuple[
 
 
 def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(item, k, exact, pos, h, kinds, slots, total): the windows that stand for each item."""
+    """(item, k, reading, pos, h, kinds, slots, total): the windows that stand for each item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["item", "k", "exact", "pos", "h", "kinds", "slots", "total"]
-        types = [None, pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
+        names = ["item", "k", "reading", "pos", "h", "kinds", "slots", "total"]
+        types = [None, pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
                 t = Template(b.column(1).slice(i, 1))
-                k = min(window, len(t.symbol))
+                k = min(window, len(t.word))
                 if not k:
                     continue
-                first, h, literal = t.windows(k)
-                rich = literal * 2 >= k
-                exact = not rich.any()
-                first, h = t.windows(k, True)[:2] if exact else (first[rich], h[rich])
-                n = len(first)
-                cols = [[b.column(0)[i].as_py()] * n, [k] * n, [exact] * n, first, h.view(np.int64), t.kinds(first, k, exact), t.slots(first, k, exact), [n] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else types[j]) for j, c in enumerate(cols)], names)
+                got = {x: t.windows(k, x) for x in (CAPITALS, OPENERS, WORDS)}
+                rich = {x: t.literals(got[x][0], k, x) * 2 >= k for x in (CAPITALS, OPENERS)}
+                rich[WORDS] = rich[CAPITALS] | rich[OPENERS]
+                if not rich[WORDS].any():
+                    rich[WORDS][:] = True
+                rich[OPENERS] &= t.opener[got[OPENERS][0] + k] > t.opener[got[OPENERS][0]]  # else as in CAPITALS
+                n = int(rich[WORDS].sum())
+                for x, (first, h) in got.items():
+                    first, h = first[rich[x]], h[rich[x]]
+                    m = len(first)
+                    cols = [[b.column(0)[i].as_py()] * m, [k] * m, [x] * m, first, h.view(np.int64), t.kinds(first, k, x), t.slots(first, k, x), [n] * m]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else types[j]) for j, c in enumerate(cols)], names)
 
     kind = items.schema[key].dataType.simpleString()
-    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, exact boolean, pos int, h long, kinds array<tinyint>, slots array<long>, total int")
+    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, reading int, pos int, h long, kinds array<tinyint>, slots array<long>, total int")
 
 
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST) -> DataFrame:
@@ -217,7 +240,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     bench = scratch.put(benchmark_windows(items, item_key, item_text, window))
     n = bench.count()
     bits = min(_BITS, max(12, (64 * n).bit_length()))
-    ks = sorted((r.k, r.exact) for r in bench.select("k", "exact").distinct().collect())  # 2 * ``window`` at most
+    ks = sorted((r.k, r.reading) for r in bench.select("k", "reading").distinct().collect())  # 3 * ``window`` at most
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,14 +257,14 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
         for b in slices(batches, "t"):
             t = Template(b.column(1))
             start = np.concatenate([[0], np.cumsum(t.count)])
-            for k, exact in ks:
-                first, h, _ = t.windows(k, exact)
+            for k, reading in ks:
+                first, h = t.windows(k, reading)
                 p = (h >> U(64 - bits)).astype(np.int64)
                 on = table[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
                 first, h = first[on], h[on]
                 doc = t.doc[first]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(doc)), pa.array(first - start[doc], pa.int64()), pa.array(h.view(np.int64)), pa.array(t.slots(first, k, exact), pa.list_(pa.int64()))],
+                    [b.column(0).take(pa.array(doc)), pa.array(first - start[doc], pa.int64()), pa.array(h.view(np.int64)), pa.array(t.slots(first, k, reading), pa.list_(pa.int64()))],
                     ["doc", "at", "h", "seen"],
                 )
 

@@ -153,6 +153,17 @@ def test_templates_drop_only_windows_that_conflict(spark):
     assert matched(spark, gave.format("Anna", 12, "Anna", 12), [gave.format("Clara", 7, "Eve", 8), gave.format("Clara", 7, "Clara", 8)]) == [False, True]
 
 
+def test_templates_read_openers_as_names_too(spark):
+    short = "Which of the eight planets has the most moons today?"
+    tail = "wa wb wc wd we wf wg wh some text before and"
+    assert matched(spark, short, [f"{tail} {short} {tail}", f"{tail}. {short}", f"{tail} {short.replace('Which', 'None')}"]) == [True, True, False]
+    sums = "{0} has {1} apples. {0} buys {2} more apples. {0} gives {3} apples away. How many apples does {0} have left?"
+    assert matched(spark, sums.format("Anna", 12, 7, 5), [sums.format("Clara", 31, 8, 4), f"{tail} {sums.format('Clara', 31, 8, 4)}"]) == [True, True]
+    named = "the farmer Anna has {1} red apples. {0} sells {2} of the apples to the miller"
+    broken = named.format("Anna", 12, 7).replace("farmer Anna", "farmer\nAnna")
+    assert matched(spark, named.format("Anna", 12, 7), [broken, broken.replace("Anna", "Clara"), broken.replace("12", "9").upper()]) == [True, True, True]
+
+
 def test_templates_fold_all_case(spark):
     spanish = "el niño pequeño comió la manzana roja en el jardín de su abuela durante la última tarde de otoño porque él tenía hambre"
     german = "die große straße führt über den fluss und an den äckern vorbei bis zu einem schönen schloss auf der höhe"
