@@ -6,9 +6,11 @@ Each stage takes all that the one before it kept and returns the columns of ``do
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from placeloom.llm import bpe, gam, jaccard, quotient, templates
 from placeloom.llm.queries import QUALITY, VOCAB, quality_model
+from placeloom.llm.rows import keyed, without
 from placeloom.plans.scratch import Scratch, ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -23,18 +25,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return gam.keep(docs, quality_model(spark, sf_dir), QUALITY)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
-
-
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _only(docs, quotient.dedupe(docs).where("kept"))
+    """One row of each group of equal texts, whatever the ids."""
+    scratch = Scratch(spark, "exact_dedup")
+    rows, key = keyed(docs, scratch)
+    gone = scratch.put(quotient.dedupe(rows, key=key).where("not kept").select(key))
+    return without(rows, gone, key).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group linked by five-word shingles at 0.8."""
-    return _only(docs, jaccard.link_components(docs, k=5, num=80, den=100).where("doc_id = component_id"))
+    """The first row of each group linked by five-word shingles at 0.8, whatever the ids."""
+    scratch = Scratch(spark, "near_dedup")
+    rows, key = keyed(docs, scratch)
+    gone = scratch.put(jaccard.link_components(rows, k=5, num=80, den=100, key=key).where(F.col(key) != F.col("component_id")).select(key))
+    return without(rows, gone, key).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

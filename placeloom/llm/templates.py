@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import SPACE, U, Words, mix, slices, text_bytes, window_hashes
+from .rows import keyed, without
 from placeloom.plans.scratch import Scratch
 
 WINDOW = 8
@@ -292,6 +293,8 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that match an item."""
-    hit = matches(docs, items, key, **options).select(F.col(key).alias("_hit")).distinct()
-    return docs.join(hit, docs[key].eqNullSafe(F.col("_hit")), "left_anti")
+    """``docs`` without the rows that match an item; each is judged by itself, whatever its id."""
+    scratch = Scratch(docs.sparkSession, "clean")
+    rows, row = keyed(docs, scratch, key)
+    gone = scratch.put(matches(rows, items, row, **options).select(row).distinct())
+    return without(rows, gone, row).select(docs.columns)

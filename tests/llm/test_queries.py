@@ -37,6 +37,25 @@ def test_pipeline_stages(spark):
     assert p.run(spark, SF).count() == steps["encode"](spark, d, SF).count() == d.count()
 
 
+def test_pipeline_stages_go_by_rows(spark):
+    import corpus_pipeline as p
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 150").first().text
+    text = lambda n: " ".join(f"word{'abcdefghij'[n]}{i}" for i in range(60))
+    # nulls with own texts, a null with a copy, one id with equal rows, one id with a copy of another's text, near copies
+    rows = [(None, text(0)), (None, text(1)), (None, text(2)), (5, text(2)), (6, text(3)), (6, text(3)), (7, text(4)), (7, text(5)), (8, text(5)), (9, text(6)), (None, text(6) + " more"), (None, item[:60]), (None, item[60:]), (None, item)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    steps = dict(p.STAGES)
+    a = steps["exact_dedup"](spark, docs, SF)
+    assert sorted(r.text for r in a.collect()) == sorted({t for _, t in rows}) and a.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in a.collect()} >= {(5, text(2)), (7, text(5)), (None, text(0))}
+    b = steps["near_dedup"](spark, a, SF)
+    assert sorted(r.text for r in b.collect()) == sorted({t for _, t in rows} - {text(6) + " more"}) and b.columns == docs.columns
+    c = steps["decontaminate"](spark, b, SF)
+    left = {r.text for r in c.collect()}
+    assert item not in left and {text(i) for i in range(7)} <= left and c.columns == docs.columns
+
+
 def test_registered_queries_equal_their_sql(spark):
     import duckdb
 
