@@ -9,7 +9,8 @@ texts themselves are grouped, and a fingerprint shared by different texts keeps
 Copies never meet in one task: rows are reduced by (text digest, salt) before the digest alone, and results return the same way.
 
 Defined results: a null text counts as empty, so all null and empty texts are one group; white space [\\x20\\x09-\\x0D] never
-matters; among equals the longest original text stays, then the smallest id; repeated ids keep a row each; an empty table
+matters; among equals the longest original text of a row with an id stays, then the smallest id; a null id stays only among null ids;
+repeated ids keep a row each, and so do null ids alone; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -159,7 +160,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int
 
     salt = F.pmod(F.hash("k"), F.lit(salts))
     part = rows.withColumn("fp", fp).join(again, "fp", "left_semi").withColumn("salt", salt)
-    best = F.max(F.struct("points", (-F.col("k")).alias("k")))
+    best = F.max(F.struct(F.col("k").isNotNull().alias("has"), "points", (-F.col("k")).alias("k")))
     some = part.groupBy("sha", "salt").agg(best.alias("best"))
     group = some.groupBy("sha").agg(F.max("best").alias("best")).join(clash, "sha").where("bad is null")
     group = scratch.put(some.select("sha", "salt").join(group.select("sha", (-F.col("best.k")).alias("keep"), "group_size"), "sha"))

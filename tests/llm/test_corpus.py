@@ -116,6 +116,11 @@ def test_exact_dedup(spark):
     assert quotient.dedupe(table(spark, ["q", "r"], [None, 1])).count() == 2
 
 
+def test_exact_dedup_keeps_no_null_id_among_others(spark):
+    got = quotient.dedupe(table(spark, ["a b  ", "ab", "a b", "c"], [None, 3, 4, None])).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in got) == [(0, 0, 1, True), (0, 4, 3, False), (3, 4, 3, False), (4, 4, 3, True)]
+
+
 # --- 4: decontamination ---
 
 
