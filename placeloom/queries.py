@@ -402,6 +402,12 @@ def fold_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", text.fold(F.substring("text", 1, 80)).alias("folded"))
 
 
+@query()
+def fold_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text, folded; no SQL, as ``strip_accents`` differs for ligatures."""
+    return _table(spark, sf_dir, "documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
+
+
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 AND n_name <> 'x' THEN 'City of London' ELSE n_name END AS short FROM nation""")
 def short_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey") % 3

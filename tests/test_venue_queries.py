@@ -38,6 +38,15 @@ def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
 
 
+def test_fold_texts_is_whole(spark):
+    from placeloom.functions import text
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r.folded for r in queries.QUERIES["fold_texts"](spark, SF).collect()}
+    assert got == {r.doc_id: r.f for r in docs.select("doc_id", text.fold(docs.text).alias("f")).collect()}
+    assert len(got) == docs.count() and max(len(x or "") for x in got.values()) > 80
+
+
 def test_entry(spark):
     import __spark_entry__
 
