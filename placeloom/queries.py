@@ -116,8 +116,9 @@ def raw_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def clean_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Addresses of texts after cleaning; those under example domains all go."""
-    return _table(spark, sf_dir, "documents").where(F.contains("text", F.lit("@"))).select("doc_id", _joined(pages.page_emails(F.col("text"))).alias("emails"))
+    """Addresses of texts after cleaning, hidden ones too; those under example domains all go, their texts stay."""
+    found = _table(spark, sf_dir, "documents").select("doc_id", "text", _joined(pages.page_emails(F.col("text"))).alias("emails"))
+    return found.where(F.contains("text", F.lit("@")) | (F.col("emails") != "")).select("doc_id", "emails")
 
 
 @query()

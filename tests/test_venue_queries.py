@@ -47,6 +47,13 @@ def test_fold_texts_is_whole(spark):
     assert len(got) == docs.count() and max(len(x or "") for x in got.values()) > 80
 
 
+def test_clean_emails_finds_hidden_addresses(spark, tmp_path):
+    rows = [(1, "write to info [at] redlion [dot] test today"), (2, "nothing here"), (3, "a@b"), (4, None), (5, "me@redlion.test")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.emails for r in queries.QUERIES["clean_emails"](spark, str(tmp_path)).collect()}
+    assert got == {1: "info@redlion.test", 3: "", 5: "me@redlion.test"}
+
+
 def test_entry(spark):
     import __spark_entry__
 
