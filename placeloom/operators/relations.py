@@ -16,7 +16,8 @@ def by_borough() -> list[Column]:
 
 
 def by_score() -> list[Column]:
-    return [F.desc("english_score"), F.col("borough"), F.lower("name"), F.col("seq")]
+    """As ascending columns; what has no score comes last."""
+    return [F.coalesce(-F.col("english_score"), F.lit(1 << 30)), F.col("borough"), F.lower("name"), F.col("seq")]
 
 
 def email_rows(venues: DataFrame, order: list[Column]) -> DataFrame:

@@ -1,16 +1,18 @@
-"""Entity resolution. Each rule reads rows in order and changes the state later rows see, so rows that can
-influence one another are brought together and replayed by ``seq``; everything else runs apart.
+"""Entity resolution. Each rule reads rows in order and changes the state that later rows see, so rows that can
+influence one another are brought together and replayed by ``seq``; everything else runs apart and never leaves the JVM.
+
+What a replay compares is prepared by column expressions: folded names, and the keys of addresses, sites, phones and places.
+``Rule`` says which of them lead to an earlier row, which prove it the same, and which blanks it fills.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import unicodedata
-from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,86 +20,167 @@ from ..functions import geo, text
 from ..plans.scratch import Scratch, ship
 from .components import components
 
-_QUOTES = str.maketrans({"’": "'", "‘": "'", "“": '"', "”": '"', "´": "'", "`": "'"})
-
-
-def _has(x: object) -> bool:
-    """Neither missing, nor empty, nor zero."""
-    return x is not None and x == x and x != "" and x != 0
+_STRINGS = "array<string>"
 
 
-def _folded(name: str) -> str:
-    s = unicodedata.normalize("NFKD", name.translate(_QUOTES)).encode("ascii", "ignore").decode().lower()
-    return re.sub("[^a-z0-9]+", "", s.replace("&", " and ").replace("'", ""))
+@dataclass(frozen=True)
+class Rule:
+    """How a row finds the earlier one that it joins.
 
+    ``probe`` and ``post`` are array columns: the keys under which a row looks, in turn, and those under which it is found once it
+    stays. A row found under a key that starts with one of ``sure`` is the same, as is one with an equal value in a column of
+    ``equal`` (its own or one that it was given), or one whose name agrees, within ``metres`` where they are given. ``fills`` names the
+    columns that a row takes over while its own are blank, with the key column that goes with each.
+    """
 
-def _same_name(a: dict, b: dict) -> bool:
-    x, y = a["_fold"], b["_fold"]
-    if not x or not y:
-        return bool(a["name"]) and a["name"].strip() == b["name"].strip()
-    return x == y or (len(min(x, y, key=len)) >= 4 and (x in y if len(x) <= len(y) else y in x))
+    probe: str
+    post: str
+    fills: dict[str, str | None]
+    equal: tuple[str, ...] = ()
+    sure: str = ""
+    metres: float | None = None
+    measured_at_holder: bool = False  # degrees of longitude are as wide as at the earlier row, else as at the later
+    joins: str | None = None  # boolean column: rows that may join others; all if None
+    last: str | None = None  # seq of a row to join where no key leads to one
+    adds: tuple[str, ...] = ()  # "; " lists that take over what they lack, whatever they have
+    notes: dict[str, str] = field(default_factory=dict)  # columns that every joining row changes: "append" or "replace"
+
+    def columns(self) -> list[str]:
+        """What a replay may change."""
+        return list(dict.fromkeys([*self.fills, *self.adds, *self.notes]))
+
+
+class _Replay:
+    """Rows of one component in order; columns are lists, rows are numbers."""
+
+    def __init__(self, rows: pd.DataFrame, rule: Rule):
+        rows = rows.sort_values("seq", ignore_index=True)
+        self.rule, self.n = rule, len(rows)
+        self.col = {c: rows[c].astype(object).where(rows[c].notna(), None).tolist() for c in rows.columns}
+        self.number = {s: i for i, s in enumerate(self.col["seq"])}
+        self.found: dict[str, list[int]] = {}
+        self.into: list[int | None] = [None] * self.n
+        self.by: list[str | None] = [None] * self.n
+        self.count = [0] * self.n
+
+    def _names_agree(self, i: int, j: int) -> bool:
+        (a, b), raw = sorted((self.col["_fold"][i], self.col["_fold"][j]), key=len), self.col["_raw"]
+        if not a:
+            return raw[i] != "" and raw[i] == raw[j]
+        return a == b or (len(a) >= 4 and a in b)
+
+    def _close(self, i: int, j: int) -> bool:
+        (y, x), (v, u) = ((self.col["lat"][k], self.col["lon"][k]) for k in (i, j))
+        if not y or not v:
+            return False
+        return geo.METRES * math.hypot(y - v, (x - u) * math.cos(math.radians(y))) <= self.rule.metres
+
+    def _same(self, j: int, i: int, key: str) -> bool:
+        """Whether row ``i`` is row ``j``, which it found under ``key``."""
+        rule, col = self.rule, self.col
+        if key[:1] in rule.sure or any(col[c][i] and col[c][i] == col[c][j] for c in rule.equal):
+            return True
+        pair = (j, i) if rule.measured_at_holder else (i, j)
+        return self._names_agree(i, j) and (rule.metres is None or self._close(*pair))
+
+    def holder(self, i: int) -> tuple[int | None, str | None]:
+        """The row that row ``i`` joins, and by what."""
+        for key in self.col[self.rule.probe][i]:
+            for j in self.found.get(key, ()):
+                if self._same(j, i, key):
+                    return j, "key"
+        last = self.col[self.rule.last][i] if self.rule.last else None
+        return (None, None) if last is None else (self.number[int(last)], "name")
+
+    def take(self, j: int, i: int) -> None:
+        """Row ``j`` takes over what it lacks of row ``i``."""
+        lacks = [c for c in self.rule.fills if not self.col[c][j] and self.col[c][i]]
+        for c in [*lacks, *(k for c in lacks if (k := self.rule.fills[c]))]:
+            self.col[c][j] = self.col[c][i]
+        for c in self.rule.adds:
+            known, more = ([x for x in re.split(r"[;,\s]+", self.col[c][k]) if "@" in x] for k in (j, i))
+            more = [x for x in more if x.lower() not in {y.lower() for y in known}]
+            self.col[c][j] = "; ".join([self.col[c][j], *more])
+        for c, how in self.rule.notes.items():
+            self.col[c][j] = self.col[c][i] if how == "replace" else f"{self.col[c][j]} + {self.col[c][i]}"
+        self.count[j] += 1
+
+    def run(self) -> pd.DataFrame:
+        may = self.col[self.rule.joins] if self.rule.joins else [True] * self.n
+        for i in range(self.n):
+            j, self.by[i] = self.holder(i) if may[i] else (None, None)
+            if j is None:
+                for key in self.col[self.rule.post][i]:
+                    self.found.setdefault(key, []).append(i)
+            else:
+                self.into[i] = self.col["seq"][j]
+                self.take(j, i)
+        out = {"seq": self.col["seq"], "into": pd.array(self.into, "Int64"), "by": self.by, "joined": self.count}
+        return pd.DataFrame(out | {c: self.col[c] for c in self.rule.columns()})
 
 
-def _close(a: dict, b: dict, metres: float) -> bool:
-    if not (_has(a["lat"]) and _has(b["lat"])):
-        return False
-    east = (a["lon"] - b["lon"]) * geo.METRES * math.cos(math.radians(a["lat"]))
-    return math.hypot((a["lat"] - b["lat"]) * geo.METRES, east) <= metres
+def _star(keys: DataFrame, key: str = "k") -> DataFrame:
+    """Links of every row to the first row with the same key; linear in the rows."""
+    first = keys.groupBy(key).agg(F.min("seq").alias("b"))
+    return keys.join(first, key).where("seq <> b").select(F.col("seq").alias("a"), "b").distinct()
 
 
-def _phone(x: str, country: str) -> str:
-    d = re.sub("[^0-9]", "", x or "")
-    d = "0" + d[len(country) :] if country and d.startswith(country) else d
-    return d if len(d) >= 8 else ""
+def _replay(rows: DataFrame, links: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """(seq, into, by, joined, ...) for the rows of each component of ``links`` (a, b), replayed in order; rows without links get none."""
+    grouped = rows.join(components(links, scratch).withColumnRenamed("node", "seq"), "seq")
+    schema = ", ".join(["seq long, into long, by string, joined long", *[f"{c} string" for c in rule.columns()]])
+    return scratch.put(grouped.groupBy("root").applyInPandas(lambda pdf: _Replay(pdf, rule).run(), schema))
 
 
-def _site(x: str) -> str:
-    return re.split("[#?]", re.sub(r"^https?://(www\.)?", "", (x or "").lower().strip()))[0].rstrip("/")
+def _settled(rows: DataFrame, acts: DataFrame, columns: list[str], merged: str | None = None) -> DataFrame:
+    """``rows`` that stay, with the values of ``columns`` after the replay, and ``merged`` raised by the rows that joined."""
+    done = acts.select("seq", "into", "joined", *[F.col(c).alias(f"_{c}") for c in columns])
+    kept = rows.join(done, "seq", "left").where("into is null")
+    value = lambda c: F.coalesce(f"_{c}", c).alias(c) if c in columns else (F.col(c) + F.coalesce("joined", F.lit(0))).alias(c) if c == merged else F.col(c)
+    return kept.select([value(c) for c in rows.columns])
 
 
-def drop_repeats(venues: DataFrame) -> DataFrame:
-    """Keeps a venue unless a kept earlier one has its name and (postcode or address, site), or its name and place to three places.
+def _prepared(rows: DataFrame, country: str) -> DataFrame:
+    """``rows`` with what rules compare: folded and plain name, and the keys of address, site and phone (empty where there is none)."""
+    return rows.withColumns(
+        {
+            "_fold": F.replace(text.fold(F.col("name")), F.lit(" "), F.lit("")), "_raw": text.strip(text.blank(F.col("name"))), "_mail": F.lower(text.blank(F.col("email"))),
+            "_site": text.site_key(F.col("website")), "_phone": text.phone_key(F.col("phone"), country),
+        }
+    )
 
-    Both keys hold the lower-case name, so names are scanned apart from each other.
-    """
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen, keep = set(), []
-        for r in pdf.sort_values("seq").itertuples():
-            keys = {("a", (r.postcode or "").lower() or (r.address or "").lower(), (r.website or "").lower())}
-            if _has(r.lat) and _has(r.lon):
-                keys.add(("b", round(r.lat, 3), round(r.lon, 3)))  # rounds the exact binary value
-            if not keys & seen:
-                seen |= keys
-                keep.append(r.seq)
-        return pd.DataFrame({"seq": keep})
+def _spot(rows: DataFrame) -> Column:
+    """The cell of three decimals, rounded from the exact binary value; null without a place."""
 
-    thin = venues.select("seq", F.lower("name").alias("_n"), "postcode", "address", "website", "lat", "lon")
-    kept = thin.groupBy("_n").applyInPandas(scan, "seq long")
-    return venues.join(kept, "seq", "left_semi")
+    @F.pandas_udf(T.StringType())
+    def key(lat: pd.Series, lon: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) or pd.isna(b) else f"{round(a, 3) + 0.0}:{round(b, 3) + 0.0}" for a, b in zip(lat, lon, strict=True)], dtype=object)
 
+    return key("lat", "lon")
 
-def _replay(rows: DataFrame, links: DataFrame, scratch: Scratch, fn: Callable[[list[dict]], pd.DataFrame], schema: str) -> DataFrame:
-    """``fn`` over the rows of each component of ``links`` (a, b), in the order of seq; rows without links go alone."""
-    roots = components(links, scratch).withColumnRenamed("node", "seq")
-    grouped = rows.join(roots, "seq", "left").withColumn("_g", F.coalesce("root", "seq")).drop("root")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        told = pdf.drop(columns="_g").sort_values("seq").to_dict("records")
-        for r in told:
-            r["_fold"] = _folded(r["name"] or "")
-        return fn(told)
+def _listed(*keys: Column) -> Column:
+    return F.coalesce(F.array_compact(F.array(*keys)), F.array().cast(_STRINGS))
 
-    return grouped.groupBy("_g").applyInPandas(run, schema)
 
+_FILL = ["email", "website", "phone", "facebook", "instagram"]
 
-def _star(keys: DataFrame, key: str = "k") -> DataFrame:
-    """Links of every row to the first row with the same key; linear in the rows."""
-    first = keys.groupBy(key).agg(F.min("seq").alias("b"))
-    return keys.join(first, key).where("seq <> b").select(F.col("seq").alias("a"), "b").distinct()
 
+def drop_repeats(venues: DataFrame) -> DataFrame:
+    """Keeps a venue unless a kept earlier one has its name and (postcode or address, site), or its name and place to three places.
 
-_FILL = ["email", "website", "phone", "facebook", "instagram"]
+    Rows are replayed with those they share a key with, so the branches of a chain at different places stay apart.
+    """
+    scratch = Scratch(venues.sparkSession, "repeats")
+    low = lambda c: F.lower(text.blank(F.col(c)))
+    where = F.when(low("postcode") != "", low("postcode")).otherwise(low("address"))
+    thin = venues.select("seq", low("name").alias("n"), where.alias("p"), low("website").alias("w"), F.when(geo.located(F.col("lat"), F.col("lon")), F.col("lat")).alias("lat"), "lon")
+    spot = _spot(thin)
+    keys = _listed(F.to_json(F.struct(F.lit("a").alias("k"), "n", "p", "w")), F.when(spot.isNotNull(), F.to_json(F.struct(F.lit("b").alias("k"), "n", spot.alias("s")))))
+    thin = scratch.put(thin.select("seq", keys.alias("keys")))
+    acts = _replay(thin, _star(thin.select("seq", F.explode("keys").alias("k"))), Rule("keys", "keys", {}, sure="{"), scratch)
+    return venues.join(acts.where("into is not null").select("seq"), "seq", "left_anti")
 
 
 def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres: float = 150) -> tuple[DataFrame, DataFrame]:
@@ -105,48 +188,40 @@ def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres
 
     Both need ``seq``, places after venues. Returns all kept rows, and (seq, into) of the merged places. Rows that could meet
     have names that contain one another in neighbouring cells, or share a phone within two cells (a phone may be filled
-    once from one cell away, and matched from one further).
+    once from one cell away, and matched from one further). Names meet by the first four letters of the shorter one, which the
+    longer one must hold, so a dense cell is not compared with itself.
     """
     scratch = Scratch(venues.sparkSession, "places")
     columns = venues.columns
     both = venues.select("*", F.lit(False).alias("_new")).unionByName(places.select(*columns, F.lit(True).alias("_new")).where(geo.located(F.col("lat")) & (F.col("name") != "")))
-    both = both.withColumns({"cy": geo.cell(F.col("lat"), 200), "cx": geo.cell(F.col("lon"), 200)})
-    thin = scratch.put(both.where(geo.located(F.col("lat"))).select("seq", "_new", "cy", "cx", "lat", "lon", "name", F.replace(text.fold(F.col("name")), F.lit(" "), F.lit("")).alias("f"), text.phone_key(F.col("phone"), country).alias("p")))
-    new = thin.where("_new").select(*[F.col(c).alias(f"n_{c}") for c in thin.columns])
-    around = geo.neighbours(new, F.col("n_cy"), F.col("n_cx"))
-    near = around.join(thin, ["cy", "cx"]).where("seq < n_seq")
-    named = near.where(text.names_match(F.col("f"), F.col("n_f"), F.col("name"), F.col("n_name")) & geo.within(F.col("lat"), F.col("lon"), F.col("n_lat"), F.col("n_lon"), metres))
-    links = named.select(F.col("n_seq").alias("a"), F.col("seq").alias("b"))
+    cells = {"cy": F.when(geo.located(F.col("lat")), geo.cell(F.col("lat"), 200)), "cx": F.when(geo.located(F.col("lat")), geo.cell(F.col("lon"), 200))}
+    cell = lambda dy, dx: F.concat_ws("/", F.col("cy") + dy, F.col("cx") + dx)
+    here = F.col("cy").isNotNull()
+    around = F.array(*[cell(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
+    none = F.array().cast(_STRINGS)
+    rows = _prepared(both, country).withColumns(cells).withColumns({"_post": F.when(here, F.array(cell(0, 0))).otherwise(none), "_probe": F.when(here, around).otherwise(none)})
+    rows = scratch.put(rows.select("seq", "_new", "cy", "cx", "lat", "lon", "_fold", "_raw", "_phone", "_post", "_probe", *_FILL))
+    at = rows.where("cy is not null")
+
+    # names: (cell, four letters); the shorter side asks for its first four, the longer side has all of its own
+    start = F.when(F.length("_fold") >= 4, F.substring("_fold", 1, 4)).when(F.length("_fold") > 0, F.concat(F.lit("="), "_fold")).when(F.col("_raw") != "", F.concat(F.lit("~"), "_raw"))
+    spots = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_fold") - 3, F.lit(1))), lambda i: F.substr(F.col("_fold"), i, F.lit(4)))
+    grams = F.when(F.length("_fold") >= 4, F.array_distinct(spots)).otherwise(F.array(start))
+    side = lambda d, p: d.select(*[F.col(c).alias(f"{p}{c}") for c in ("seq", "_new", "lat", "lon", "_fold", "_raw")], "c", "g")
+    asks = side(at.withColumn("c", F.explode("_probe")).withColumn("g", start), "x")
+    has = side(at.withColumn("c", cell(0, 0)).withColumn("g", F.explode(grams)), "y")
+    named = asks.join(has, ["c", "g"]).where("xseq <> yseq and length(x_fold) <= length(y_fold) and (x_new or y_new)")
+    early = lambda c: F.when(F.col("xseq") < F.col("yseq"), F.col(f"x{c}")).otherwise(F.col(f"y{c}"))
+    late = lambda c: F.when(F.col("xseq") < F.col("yseq"), F.col(f"y{c}")).otherwise(F.col(f"x{c}"))
+    named = named.where(text.names_match(F.col("x_fold"), F.col("y_fold"), F.col("x_raw"), F.col("y_raw")) & geo.within(early("lat"), early("lon"), late("lat"), late("lon"), metres))
+    links = named.select(late("seq").alias("a"), early("seq").alias("b")).distinct()
     # equal phones: every row is tied to the first of its phone in each cell around, which ties all within two cells
-    phones = geo.neighbours(thin.where("p <> ''").select("seq", "p", F.col("cy").alias("y"), F.col("cx").alias("x")), F.col("y"), F.col("x"))
-    links = links.unionAll(_star(phones.select("seq", F.concat_ws("/", "p", "cy", "cx").alias("k"))))
-
-    def fold_in(rows: list[dict]) -> pd.DataFrame:
-        grid: dict[tuple, list[dict]] = {}
-        out = []
-        for r in rows:
-            at = (r["cy"], r["cx"]) if _has(r["lat"]) else None
-            into = None
-            if r["_new"]:
-                phone = _phone(r["phone"], country)
-                for dy in (-1, 0, 1):
-                    for dx in (-1, 0, 1):
-                        for o in grid.get((at[0] + dy, at[1] + dx), ()):
-                            if into is None and ((_same_name(o, r) and _close(o, r, metres)) or (phone and phone == _phone(o["phone"], country))):
-                                into = o
-                if into is not None:
-                    for f in _FILL:
-                        if not into[f] and r[f]:
-                            into[f] = r[f]
-            if into is None and at:
-                grid.setdefault(at, []).append(r)
-            r["into"] = None if into is None else into["seq"]
-            out.append(r)
-        return pd.DataFrame(out, columns=["seq", "into", *_FILL]).astype({"into": "Int64"})
-
-    acts = scratch.put(_replay(both.select("seq", "_new", "cy", "cx", "lat", "lon", "name", *_FILL), links, scratch, fold_in, "seq long, into long, " + ", ".join(f"{f} string" for f in _FILL)))
-    kept = both.drop(*_FILL).join(acts.where("into is null").drop("into"), "seq").select(columns)
-    return kept, acts.where("into is not null").select("seq", "into")
+    phones = at.where("_phone <> ''").select("seq", "_phone", F.explode("_probe").alias("c"))
+    links = links.unionAll(_star(phones.select("seq", F.concat_ws("/", "_phone", "c").alias("k"))))
+
+    fills: dict[str, str | None] = {c: "_phone" if c == "phone" else None for c in _FILL}
+    acts = _replay(rows, links, Rule("_probe", "_post", fills, equal=("_phone",), metres=metres, measured_at_holder=True, joins="_new"), scratch)
+    return _settled(both, acts, _FILL).select(columns), acts.where("into is not null").select("seq", "into")
 
 
 def master(venues: DataFrame, country: str = "") -> tuple[DataFrame, DataFrame]:
@@ -155,67 +230,27 @@ def master(venues: DataFrame, country: str = "") -> tuple[DataFrame, DataFrame]:
     Returns the kept rows and (seq, into). Keys are those a row had when it was read; the match itself sees filled values.
     """
     scratch = Scratch(venues.sparkSession, "master")
-    phone = text.phone_key(F.col("phone"), country)
-    keys = F.array_compact(
-        F.array(
-            F.when(F.col("email") != "", F.concat(F.lit("e:"), F.lower("email"))), F.when(F.col("website") != "", F.concat(F.lit("w:"), text.site_key(F.col("website")))),
-            F.when(phone != "", F.concat(F.lit("p:"), phone)),
-        )
-    )
-    thin = venues.select("seq", F.explode(keys).alias("k"))
-    spot = _thousandths(venues.where(geo.located(F.col("lat"))).select("seq", "lat", "lon"))
-    links = _star(thin.unionAll(spot))
-
-    def fold_in(rows: list[dict]) -> pd.DataFrame:
-        known: dict[str, list[dict]] = {}
-        out = []
-        for r in rows:
-            keys = [f"e:{r['email'].lower()}"] if r["email"] else []
-            keys += [f"w:{_site(r['website'])}"] if r["website"] else []
-            keys += [f"p:{p}"] if (p := _phone(r["phone"], country)) else []
-            keys += [f"g:{round(r['lat'], 3)}:{round(r['lon'], 3)}"] if _has(r["lat"]) else []
-            into = next((o for k in keys for o in known.get(k, ()) if _same_venue(r, o, country)), None)
-            if into is not None:
-                for f in ("email", "website", "phone"):
-                    if not into[f] and r[f]:
-                        into[f] = r[f]
-                into["merged"] += 1
-            else:
-                for k in keys:
-                    known.setdefault(k, []).append(r)
-            r["into"] = None if into is None else into["seq"]
-            out.append(r)
-        return pd.DataFrame(out, columns=["seq", "into", "email", "website", "phone", "merged"]).astype({"into": "Int64"})
-
-    acts = scratch.put(_replay(venues.select("seq", "name", "lat", "lon", "email", "website", "phone", "merged"), links, scratch, fold_in, "seq long, into long, email string, website string, phone string, merged long"))
-    kept = venues.drop("email", "website", "phone", "merged").join(acts.where("into is null").drop("into"), "seq").select(venues.columns)
-    return kept, acts.where("into is not null").select("seq", "into")
-
-
-def _thousandths(rows: DataFrame) -> DataFrame:
-    """(seq, k): the cell of three decimals, rounded from the exact binary value."""
-
-    @F.pandas_udf(T.StringType())
-    def key(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        return pd.Series([f"g:{round(a, 3)}:{round(b, 3)}" for a, b in zip(lat, lon, strict=True)], dtype=object)
-
-    return rows.where("lon is not null").select("seq", key("lat", "lon").alias("k"))
-
-
-def _same_venue(a: dict, b: dict, country: str) -> bool:
-    if a["email"] and a["email"].lower() == (b["email"] or "").lower():
-        return True
-    if a["website"] and _site(a["website"]) == _site(b["website"]):
-        return True
-    phone = _phone(a["phone"], country)
-    return bool(phone and phone == _phone(b["phone"], country)) or (_same_name(a, b) and _close(a, b, 100))
-
-
-def unique_rows(rows: DataFrame, key: Column, order: list) -> DataFrame:
-    """The first row of each key in ``order``, with ``locations``, the number of rows that share it."""
-    keyed = rows.withColumn("_k", key)
-    first = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("_k").orderBy(*order))).withColumn("locations", F.count(F.lit(1)).over(Window.partitionBy("_k")))
-    return first.where("_n = 1").drop("_n", "_k")
+    rows = _prepared(venues, country)
+    spot = _spot(rows)
+    keyed = lambda p, c: F.when(F.col(c) != "", F.concat(F.lit(p), c))
+    where = F.when(geo.located(F.col("lat")) & spot.isNotNull(), F.concat(F.lit("g:"), spot))
+    rows = rows.withColumn("keys", _listed(keyed("e:", "_mail"), keyed("w:", "_site"), keyed("p:", "_phone"), where))
+    rows = scratch.put(rows.select("seq", "lat", "lon", "_fold", "_raw", "_mail", "_site", "_phone", "keys", "email", "website", "phone"))
+    fills: dict[str, str | None] = {"email": "_mail", "website": "_site", "phone": "_phone"}
+    rule = Rule("keys", "keys", fills, equal=("_mail", "_site", "_phone"), metres=100)
+    acts = _replay(rows, _star(rows.select("seq", F.explode("keys").alias("k"))), rule, scratch)
+    return _settled(venues, acts, list(fills), "merged"), acts.where("into is not null").select("seq", "into")
+
+
+def unique_rows(rows: DataFrame, key: Column, order: list[Column]) -> DataFrame:
+    """The first row of each key in ``order`` (ascending columns that tell rows apart), with ``locations``, the rows that share it.
+
+    Each task reduces its rows of a key to the first before they meet, so a key that many rows share is one row a task.
+    """
+    keep = [c for c in rows.columns if c != "locations"]
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    first = rows.groupBy(key.alias("_k")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep]), place).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    return first.select(*[F.col(f"_r.`{c}`") for c in keep], F.col("_n").alias("locations"))
 
 
 def collect_social(venues: DataFrame) -> DataFrame:
@@ -236,67 +271,38 @@ def collect_social(venues: DataFrame) -> DataFrame:
 def merge_partners(venues: DataFrame, partners: DataFrame, country: str = "") -> tuple[DataFrame, DataFrame]:
     """Merges partner venues (seq after all venues; ``excluded`` tells why a row is left out) by contact, then by unique name.
 
-    Returns (seq, outcome, into, contacts...) for every row of a changed or partner venue, and the report (outcome, n).
+    Returns (seq, outcome, into, changed, contacts...) for every row, and the report (outcome, n).
     Both inputs have canonical social links. A name counts as unique if exactly one venue that is not a partner's has it.
     """
-    spark = venues.sparkSession
-    ship(spark)
-    scratch = Scratch(spark, "partners")
-    cols = ["seq", "name", "email", "website", "social_website", "phone", "facebook", "instagram", "source", "partner_notes"]
-    own = venues.select(*cols, F.lit(False).alias("_new"))
-    rows = scratch.put(own.unionByName(partners.where("excluded = ''").select(*cols, F.lit(True).alias("_new"))))
-    folded = F.replace(text.fold(F.col("name")), F.lit(" "), F.lit(""))
-    named = rows.select("seq", "_new", folded.alias("f")).where(F.length("f") >= 6)
-    held = named.where("not _new").groupBy("f").agg(F.count(F.lit(1)).alias("held"), F.min("seq").alias("first"))
-    look = named.where("_new").join(held, "f").select("seq", F.col("held").alias("_held"), F.col("first").alias("_first"))
-    rows = rows.join(look, "seq", "left")
+    ship(venues.sparkSession)
+    scratch = Scratch(venues.sparkSession, "partners")
+    told = ["email", "website", "social_website", "phone", "facebook", "instagram", "source", "partner_notes"]
+    own = venues.select("seq", "name", *told, F.lit(False).alias("_new"))
+    rows = _prepared(own.unionByName(partners.where("excluded = ''").select("seq", "name", *told, F.lit(True).alias("_new"))), country)
 
     phones = F.filter(F.transform(F.split("phone", "[;,/]"), lambda x: text.phone_key(x, country)), lambda x: x != "")
-    mails = F.transform(F.filter(text.split_emails(F.lower("email")), lambda e: F.contains(e, F.lit("@"))), lambda e: F.concat(F.lit("e:"), e))
-    site = F.when((F.col("website") != "") & ~text.not_venue_site(F.col("website")), F.concat(F.lit("w:"), text.site_key(F.col("website"))))
+    mails = F.filter(text.split_emails(F.col("_mail")), lambda e: F.contains(e, F.lit("@")))
+    named = lambda p, xs: F.transform(xs, lambda x: F.concat(F.lit(p), x))
+    site = F.when((F.col("website") != "") & ~text.not_venue_site(F.col("website")), F.col("_site"))
     social = [F.when(F.col(c) != "", F.concat(F.lit(p), F.lower(c))) for c, p in (("instagram", "i:"), ("facebook", "f:"))]
-    keys = F.concat(mails, F.array_compact(F.array(*social)), F.array_compact(F.array(site)), F.transform(phones, lambda p: F.concat(F.lit("p:"), p)))
+    keys = F.concat(named("e:", mails), _listed(*social), named("w:", _listed(site)), named("p:", phones))
     rows = scratch.put(rows.withColumn("keys", keys))
-    links = _star(rows.select("seq", F.explode("keys").alias("k")))
-    links = links.unionAll(look.where("_held = 1").select(F.col("seq").alias("a"), F.col("_first").alias("b")))
-
-    def fill(into: dict, p: dict) -> None:
-        for f in _FILL:
-            if not into[f] and p[f]:
-                into[f] = p[f]
-        have = {e.strip().lower() for e in re.split(r"[;,\s]+", into["email"]) if "@" in e}
-        extra = [e for e in re.split(r"[;,\s]+", p["email"]) if "@" in e and e.lower() not in have]
-        if extra:
-            into["email"] = "; ".join([into["email"], *extra])
-        into["social_website"] = into["social_website"] or p["social_website"]
-        into["source"] += " + " + p["source"]
-        into["partner_notes"] = p["partner_notes"]
-        into["changed"] = True
-
-    def fold_in(told: list[dict]) -> pd.DataFrame:
-        known: dict[str, list[dict]] = {}
-        at = {r["seq"]: r for r in told}
-        for r in told:
-            r |= {"outcome": "ours", "into": None, "changed": False}
-            if r["_new"]:
-                strong = lambda k: k[0] in "eif"
-                into = next((o for k in r["keys"] for o in known.get(k, ()) if strong(k) or _same_name(o, r)), None)
-                r["outcome"] = "merged" if into is not None else "new"
-                if into is None and r["_held"] == 1:
-                    into, r["outcome"] = at[r["_first"]], "merged by name"
-                if into is not None:
-                    fill(into, r)
-                    r["into"] = into["seq"]
-                    continue
-            for k in r["keys"]:
-                known.setdefault(k, []).append(r)
-        return pd.DataFrame(told, columns=["seq", "outcome", "into", "changed", *cols[2:]]).astype({"into": "Int64"})
-
-    schema = "seq long, outcome string, into long, changed boolean, " + ", ".join(f"{c} string" for c in cols[2:])
-    acts = scratch.put(_replay(rows, links, scratch, fold_in, schema))
+
+    long = rows.where(F.length("_fold") >= 6)
+    held = long.where("not _new").groupBy("_fold").agg(F.count(F.lit(1)).alias("held"), F.min("seq").alias("_first")).where("held = 1")
+    alone = scratch.put(long.where("_new").join(held, "_fold").select("seq", "_first"))
+    links = _star(rows.select("seq", F.explode("keys").alias("k"))).unionAll(alone.select(F.col("seq").alias("a"), F.col("_first").alias("b")))
+    fills: dict[str, str | None] = dict.fromkeys([*_FILL, "social_website"])
+    rule = Rule("keys", "keys", fills, sure="eif", joins="_new", last="_first", adds=("email",), notes={"source": "append", "partner_notes": "replace"})
+    done = _replay(rows.join(alone, "seq", "left"), links, rule, scratch)
+
+    after = done.select("seq", "into", "by", "joined", *[F.col(c).alias(f"_{c}") for c in told])
+    outcome = F.when(~F.col("_new"), "ours").when(F.col("into").isNull(), "new").when(F.col("by") == "name", "merged by name").otherwise("merged")
+    acts = rows.select("seq", "_new", *told).join(after, "seq", "left")
+    acts = scratch.put(acts.select("seq", outcome.alias("outcome"), "into", (F.coalesce("joined", F.lit(0)) > 0).alias("changed"), *[F.coalesce(f"_{c}", c).alias(c) for c in told]))
     report = acts.where("outcome <> 'ours'").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    report = report.unionAll(partners.where("excluded <> ''").groupBy(F.concat(F.lit("excluded: "), "excluded").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
-    return acts, report
+    left_out = partners.where("excluded <> ''").groupBy(F.concat(F.lit("excluded: "), "excluded").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return acts, report.unionAll(left_out)
 
 
 def with_partners(venues: DataFrame, partners: DataFrame, acts: DataFrame, local: str = "") -> DataFrame:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import enrich, joins, relations, resolve
 from ..operators.predicates import is_closed, wanted
-from ..sources import readers
+from ..sources import readers, schemas
 from ..sources.readers import CityConfig
+from ..streaming.logs import exists
 from .scratch import Scratch
 
 _STEP = 1 << 40  # sources follow one another in seq
+CRAWL_VERSION = 4  # of crawl records
 
 
 @dataclass
@@ -89,9 +91,56 @@ def collect_city(elements: DataFrame, config: CityConfig, today: str, places: Da
     return got, report
 
 
-def enrich_venues(venues: DataFrame, wikidata: DataFrame | None, pages: DataFrame | None, dns: DataFrame | None, config: CityConfig | None, limit: int = 0) -> DataFrame:
-    """Contacts split, sites from items, chains and searches, then what the sites say."""
-    scratch = Scratch(venues.sparkSession, "enrich")
+@dataclass
+class Logs:
+    """Folders of JSON lines that runs append to, so that a later run only tries what no earlier one has."""
+
+    crawl: str = ""
+    discovery: str = ""
+
+
+def _known(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    return readers.read_log(spark, path, schema) if path and exists(spark, path) else None
+
+
+def _append(rows: DataFrame, path: str, known: DataFrame | None) -> DataFrame:
+    """Appends ``rows`` after all that the log has, and returns them with their places."""
+    last = -1 if known is None else known.agg(F.max("pos")).first()[0]
+    rows = Scratch(rows.sparkSession, "log").put(rows.withColumn("pos", F.monotonically_increasing_id() + F.lit((-1 if last is None else last) + 1)))
+    if path:
+        relations.append_log(rows, path)
+    return rows
+
+
+def find_sites(venues: DataFrame, pages: DataFrame, dns: DataFrame, config: CityConfig | None, limit: int = 0, log: str = "") -> DataFrame:
+    """Sites found by name, in this run or an earlier one; ``limit`` venues that no run has tried are tried."""
+    known = _known(venues.sparkSession, log, schemas.DISCOVERY_LOG)
+    new = enrich.discover(enrich.queue(venues, known, limit), pages, dns, config)
+    # venues of one name and postcode share a record, the last one tried
+    new = readers.last_wins(new, "key", "seq").select("key", "website", "evidence", "tried")
+    new = _append(new, log, known)
+    every = new if known is None else new.unionByName(known.select(new.columns))
+    return joins.take_discovery(venues, readers.last_wins(every, "key"))
+
+
+def read_sites(venues: DataFrame, pages: DataFrame, log: str = "") -> DataFrame:
+    """What the venues' sites say; sites with a fresh record are not read again."""
+    known = _known(venues.sparkSession, log, schemas.CRAWL_LOG)
+    todo = venues.where("website <> ''").select("website")
+    if known is not None:
+        fresh = readers.last_wins(readers.fresh_crawls(known), "key")
+        todo = todo.withColumn("key", text.crawl_key(F.col("website"))).join(fresh.select("key"), "key", "left_anti").select("website")
+    new = _append(enrich.crawl(todo, pages).withColumn("v", F.lit(CRAWL_VERSION)), log, known)
+    if known is not None:
+        new = readers.last_wins(new.unionByName(fresh.select(new.columns)), "key")
+    return joins.take_crawl(venues, new)
+
+
+def enrich_venues(
+    venues: DataFrame, wikidata: DataFrame | None, pages: DataFrame | None, dns: DataFrame | None, config: CityConfig | None, limit: int = 0, logs: Logs | None = None, lookup: DataFrame | None = None,
+) -> DataFrame:
+    """Contacts split, sites from items, chains and searches, then what the sites say; ``lookup`` is a table of sites by seq."""
+    scratch, logs = Scratch(venues.sparkSession, "enrich"), logs or Logs()
     got = relations.split_contacts(venues)
     if wikidata is not None:
         got = joins.add_wikidata(got, wikidata)
@@ -99,33 +148,35 @@ def enrich_venues(venues: DataFrame, wikidata: DataFrame | None, pages: DataFram
     if pages is not None and dns is not None:
         if config is not None and config.english_priority:
             got = got.withColumn("english_hint", text.english_hint(F.col("categories"), F.col("latin_name"))).select(venues.columns)
-        log = enrich.discover(enrich.queue(got, limit=limit), pages, dns, config)
-        # venues of one name and postcode share a record, the last one tried
-        log = readers.last_wins(log, "key", "seq")
-        got = scratch.put(joins.take_discovery(got, log))
+        got = scratch.put(find_sites(got, pages, dns, config, limit, logs.discovery))
+    if lookup is not None:
+        got = joins.take_places_lookup(got, lookup)
     if pages is not None:
-        got = joins.take_crawl(got, enrich.crawl(got.select("website"), pages))
+        got = read_sites(got, pages, logs.crawl)
     return scratch.put(got)
 
 
-def borough_run(venues: DataFrame, areas: DataFrame, place_nodes: DataFrame, mx: DataFrame, wikidata: DataFrame | None = None, pages: DataFrame | None = None, dns: DataFrame | None = None) -> Run:
-    """The job over boroughs: areas, contacts, validation, and one row per e-mail, site and profile."""
+def borough_run(venues: DataFrame, areas: DataFrame, place_nodes: DataFrame, mx: DataFrame, wikidata: DataFrame | None = None, pages: DataFrame | None = None, dns: DataFrame | None = None, **more) -> Run:
+    """The job over boroughs: areas, contacts, validation, and one row per e-mail, site and profile.
+
+    The summary has the areas of boroughs that have venues. ``more`` goes to ``enrich_venues``.
+    """
     located = joins.locate_areas(areas, place_nodes, venues)
-    got = enrich_venues(joins.assign_areas(venues, located), wikidata, pages, dns, None)
+    got = enrich_venues(joins.assign_areas(venues, located), wikidata, pages, dns, None, **more)
     live, rejected = joins.validate(got.where("not closed"), mx)
     live = Scratch(venues.sparkSession, "live").put(resolve.collect_social(live))
     order = relations.by_borough()
     emails, sites = relations.email_rows(live, order), relations.site_rows(live, order)
-    return Run(live, emails, sites, relations.social_rows(live, order), rejected, relations.area_summary(emails, sites, located))
+    return Run(live, emails, sites, relations.social_rows(live, order), rejected, relations.area_summary(emails, sites, located.join(venues.select("borough").distinct(), "borough", "left_semi")))
 
 
-def city_run(venues: DataFrame, config: CityConfig, mx: DataFrame, wikidata: DataFrame | None = None, pages: DataFrame | None = None, dns: DataFrame | None = None) -> Run:
+def city_run(venues: DataFrame, config: CityConfig, mx: DataFrame, wikidata: DataFrame | None = None, pages: DataFrame | None = None, dns: DataFrame | None = None, **more) -> Run:
     """The job over a city: contacts, validation, scores, master list and relations.
 
     E-mail and site relations hold contacts as they were before the master list filled blanks, the social relation those after.
     """
     scratch = Scratch(venues.sparkSession, "city")
-    got = enrich_venues(venues, wikidata, pages, dns, config)
+    got = enrich_venues(venues, wikidata, pages, dns, config, **more)
     live, rejected = joins.validate(got.where("not closed"), mx)
     live = scratch.put(relations.score(resolve.collect_social(live)))
     order = relations.by_score()
@@ -145,4 +196,4 @@ def _ranked(live: DataFrame) -> DataFrame:
     Rows are ranged by score, borough and name and numbered inside their range, so no task sees them all.
     """
     n = max(1, int(live.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return live.repartitionByRange(n, F.desc("english_score"), "borough", F.lower("name"), "seq").sortWithinPartitions(*relations.by_score()).withColumn("place", F.monotonically_increasing_id())
+    return live.repartitionByRange(n, *relations.by_score()).sortWithinPartitions(*relations.by_score()).withColumn("place", F.monotonically_increasing_id())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -15,52 +16,67 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one is set only where the session has none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not _own:
-            _own.append(tempfile.mkdtemp(prefix="placeloom-"))
-            atexit.register(_remove, _own[0])
-        found = _own[0]
-    return found.rstrip("/")
-
+    """Folder named by ``spark.checkpoint.dir``.
 
-def _remove(path: str) -> None:
-    import shutil
-
-    shutil.rmtree(path, ignore_errors=True)
+    Only a session whose executors are threads of this process (``local[N]``, as in tests) gets a temporary folder where none
+    is set; on a cluster a folder of this machine would lose tables, so there it is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="placeloom-"))
+        atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+    return _own[0]
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package when it is run from a source tree."""
+    """Lets Python workers import this package when it is run from a source tree, and has them give back large arrays at once."""
     env = spark.sparkContext.environment
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(8 << 20))
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", str(16 << 20))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
 class Scratch:
-    """Tables of one run: ``put`` writes and rereads one, ``drop`` removes those no later step reads."""
+    """Tables of one run: ``put`` writes and rereads one, ``drop`` removes those that no later step reads.
 
-    def __init__(self, spark: SparkSession, label: str):
+    ``part`` gives an inner step a folder of its own, which ``clear`` removes as a whole once its result is written elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, base: str | None = None):
         ship(spark)
         self.spark = spark
-        self.base = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        self.base = f"{base or shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self.n = 0
-        self.paths: dict[int, str] = {}
+        self.paths: dict[int, tuple[str, DataFrame]] = {}  # a table that is held keeps its id
+
+    def part(self, label: str) -> Scratch:
+        return Scratch(self.spark, label, self.base)
 
     def put(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.paths[id(out)] = (path, out)
         return out
 
+    def _remove(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def drop(self, *tables: DataFrame) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for t in tables:
-            path = self.paths.pop(id(t), None)
-            if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            if own := self.paths.pop(id(t), None):
+                self._remove(own[0])
+
+    def clear(self) -> None:
+        """Removes every table of this run and of its parts."""
+        self.paths.clear()
+        self._remove(self.base)

@@ -11,19 +11,39 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.readers import last_wins
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The table that ``follow`` keeps, in its latest finished version."""
+    (row,) = spark.read.schema("v long").parquet(f"{target}/version").collect()
+    return spark.read.parquet(f"{target}/v={row.v}")
+
+
 def follow(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str = "key", pos: str = "pos") -> StreamingQuery:
-    """Keeps ``target`` (two parquet versions, ``current`` named in ``target/version``) at the last record of each key.
+    """Keeps ``target`` at the last record of each key; ``current`` reads it.
 
-    A batch that is repeated after a failure writes the same version again, so each record counts once.
+    Each batch writes a version of its own, the one before joined with the new records, then names it in ``target/version``; of
+    older versions one is kept, so a reader that has just begun can finish. A batch that is repeated after a failure writes
+    the same version again. If the version before is gone the query fails: it never starts again from nothing. A batch costs a
+    rewrite of the table, so triggers should gather as much as they may.
     """
 
     def upsert(batch: DataFrame, number: int) -> None:
-        rows = batch.drop("_corrupt_record") if "_corrupt_record" in batch.columns else batch
-        before = f"{target}/v={number - 1}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(before)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(before))
-        last_wins(rows, key, pos).write.mode("overwrite").parquet(f"{target}/v={number}")
+        rows = batch.where("_corrupt_record is null").drop("_corrupt_record") if "_corrupt_record" in batch.columns else batch
+        if number > 0:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{target}/v={number - 1}"))
+        last_wins(rows.where(f"{key} is not null"), key, pos).write.mode("overwrite").parquet(f"{target}/v={number}")
+        spark.createDataFrame([(number,)], "v long").coalesce(1).write.mode("overwrite").parquet(f"{target}/version")
+        fs, old = _path(spark, f"{target}/v={number - 2}")
+        fs.delete(old, True)
 
     rows = spark.readStream.schema(schema).json(source)
     return rows.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
