@@ -54,8 +54,7 @@ def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _view(spark, sf_dir)
     tags = F.create_map(F.lit("cuisine"), "cuisine", F.lit("amenity"), "amenity", F.lit("name"), "name")
     rows = readers.venue_rows(v.select("seq", "borough", "name", "lat", "lon", tags.alias("tags"), F.col("mail").alias("email"), F.col("site").alias("website"), F.col("tel").alias("phone"), F.col("pc").alias("postcode"), F.lit("openstreetmap").alias("source"), F.lit(True).alias("latin_name")))
-    rows = relations.split_contacts(rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))))
-    return Scratch(spark, "venues").put(rows)  # many steps read it
+    return relations.split_contacts(rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))))
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -114,20 +113,30 @@ def raw_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").where(F.col("text").rlike(V.EMAIL)).select("doc_id", _joined(found).alias("emails"))
 
 
-@query()
+_JUNK = " OR ".join([f"contains(x, '{j}')" for j in V.JUNK_PARTS] + [f"ends_with(x, '{e}')" for e in V.JUNK_ENDS])
+
+
+@query(f"""WITH e AS (SELECT doc_id, text, list_distinct(list_filter(list_transform(regexp_extract_all(text, '{V.EMAIL.replace("'", "''")}'), lambda x: lower(trim(x, '.'))), lambda x: NOT ({_JUNK} OR regexp_matches(x, '{V.NOT_FOR_CONTACT}')))) AS found FROM documents)
+SELECT doc_id, array_to_string(found, '; ') AS emails FROM e WHERE contains(text, '@') OR len(found) > 0""")
 def clean_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of texts after cleaning, hidden ones too; those under example domains all go, their texts stay."""
     found = _table(spark, sf_dir, "documents").select("doc_id", "text", _joined(pages.page_emails(F.col("text"))).alias("emails"))
     return found.where(F.contains("text", F.lit("@")) | (F.col("emails") != "")).select("doc_id", "emails")
 
 
-@query()
+@query("""SELECT p_partkey, 'info@' || replace(p_name, ' ', '') || '.test; hello@' || lower(replace(p_brand, '#', '')) || '.test' AS emails FROM part""")
 def deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hidden = F.concat(F.lit("write to info [at] "), F.replace("p_name", F.lit(" "), F.lit("")), F.lit(" [dot] test, or hello at "), F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.lit(" dot test"))
     return _table(spark, sf_dir, "part").select("p_partkey", _joined(pages.page_emails(hidden)).alias("emails"))
 
 
-@query()
+_LINK = V.LINK.replace("'", "''")
+
+
+@query(rf"""WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS root, url, regexp_extract_all(html, '{_LINK}', 1) AS hrefs, regexp_extract_all(html, '{_LINK}', 2) AS labels FROM pages),
+h AS (SELECT page_id, url, list_transform(list_filter(range(1, len(hrefs) + 1), lambda i: starts_with(hrefs[i], '/') AND (regexp_matches(hrefs[i], '{V.CONTACT_HINT}') OR regexp_matches(regexp_replace(labels[i], '<[^>]+>', '', 'g'), '{V.CONTACT_HINT}'))), lambda i: root || replace(hrefs[i], '&amp;', '&')) AS found FROM l),
+d AS (SELECT page_id, list_filter(found, lambda x: rtrim(x, '/') <> rtrim(url, '/')) AS f FROM h)
+SELECT page_id, array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i)[1:4], '; ') AS links FROM d""")
 def links_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "pages").select("page_id", _joined(pages.contact_links(F.col("html"), F.col("url"))).alias("links"))
 
@@ -238,7 +247,16 @@ def grid_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.neighbours(v, F.col("y"), F.col("x")).join(own, ["cy", "cx"]).where("o < seq").groupBy("seq").agg(F.count(F.lit(1)).alias("candidates"))
 
 
-@query()
+#: A coordinate to three decimals, rounded from its exact binary value.
+_DECIMALS = "replace(printf('%.3f', {0}), '-0.000', '0.000')"
+
+
+@query(f"""WITH RECURSIVE {_OWN}, r AS (SELECT seq, name, borough, lower(name) AS g, row_number() OVER (PARTITION BY lower(name) ORDER BY seq) AS i, 'a' || lower(pc) || '|' || lower(website) AS a,
+  CASE WHEN lat <> 0 AND lon <> 0 THEN 'b' || {_DECIMALS.format("lat")} || ':' || {_DECIMALS.format("lon")} ELSE 'a' || lower(pc) || '|' || lower(website) END AS b FROM own),
+f(g, i, seq, name, borough, kept, seen) AS (
+  SELECT g, i, seq, name, borough, true, [a, b] FROM r WHERE i = 1
+  UNION ALL SELECT r.g, r.i, r.seq, r.name, r.borough, NOT list_has_any(f.seen, [r.a, r.b]), CASE WHEN list_has_any(f.seen, [r.a, r.b]) THEN f.seen ELSE list_concat(f.seen, [r.a, r.b]) END FROM f JOIN r ON r.g = f.g AND r.i = f.i + 1)
+SELECT seq, name, borough FROM f WHERE kept""")
 def collect_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.drop_repeats(venues(spark, sf_dir)).select("seq", "name", "borough")
 
@@ -249,20 +267,72 @@ def collect_dedupe_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.drop_repeats(venues(spark, sf_dir).withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double"), "address": F.lit("")})).select("seq")
 
 
-@query()
+#: Whether the names of rows x and r agree: equal, or the shorter, of four letters at least, inside the longer.
+_NAMES = "(x.f = r.f OR (length(x.f) <= length(r.f) AND length(x.f) >= 4 AND contains(r.f, x.f)) OR (length(r.f) <= length(x.f) AND length(r.f) >= 4 AND contains(x.f, r.f)))"
+_METRES = "111320 * sqrt((x.lat - r.lat) * (x.lat - r.lat) + (x.lon - r.lon) * cos(radians({0}.lat)) * (x.lon - r.lon) * cos(radians({0}.lat)))"
+_SAME = f"((x.mail <> '' AND x.mail = r.mail) OR (x.key <> '' AND x.key = r.key) OR (x.phone <> '' AND x.phone = r.phone) OR ({_NAMES} AND {_METRES.format('r')} <= 100))"
+_ROW = "struct_pack(seq := seq, f := f, lat := lat, lon := lon, spot := spot, mail0 := mail, key0 := key, phone0 := phone, mail := mail, key := key, phone := phone, website := website, tel := tel, merged := CAST(1 AS BIGINT))"
+
+
+def _filled(column: str, by: str) -> str:
+    """What row x has in ``column`` once it has joined with the present row: the same unless it has no ``by``."""
+    return f"{column} := CASE WHEN x.{by} = '' THEN {column} ELSE x.{column} END"
+
+
+@query(f"""WITH RECURSIVE {_OWN}, r AS (SELECT row_number() OVER (ORDER BY seq) AS i, seq, replace(name, ' ', '') AS f, name, lat, lon, mail, website, tel, {_KEY.format("website")} AS key, regexp_replace(tel, '[^0-9]', '', 'g') AS phone,
+  {_DECIMALS.format("lat")} || ':' || {_DECIMALS.format("lon")} AS spot FROM own),
+s(i, kept) AS (
+  SELECT CAST(0 AS BIGINT), list({_ROW}) FILTER (WHERE false) FROM r
+  UNION ALL
+  SELECT i, CASE WHEN j IS NULL THEN list_append(coalesce(kept, []), {_ROW})
+    ELSE list_transform(kept, lambda x: CASE WHEN x.seq = j THEN struct_pack(seq := x.seq, f := x.f, lat := x.lat, lon := x.lon, spot := x.spot, mail0 := x.mail0, key0 := x.key0, phone0 := x.phone0, {_filled("mail", "mail")},
+      {_filled("key", "website")}, {_filled("phone", "tel")}, {_filled("website", "website")}, {_filled("tel", "tel")}, merged := x.merged + 1) ELSE x END) END
+  FROM (SELECT r.*, s.kept, coalesce(list_filter(s.kept, lambda x: r.mail <> '' AND x.mail0 = r.mail)[1].seq, list_filter(s.kept, lambda x: r.key <> '' AND x.key0 = r.key)[1].seq, list_filter(s.kept, lambda x: r.phone <> '' AND x.phone0 = r.phone)[1].seq,
+    list_filter(s.kept, lambda x: x.spot = r.spot AND {_SAME})[1].seq) AS j FROM s JOIN r ON r.i = s.i + 1) q)
+SELECT x.seq AS seq, name, x.mail AS email, x.website AS website, x.tel AS phone, x.merged AS merged FROM (SELECT unnest(kept) AS x FROM (SELECT kept FROM s ORDER BY i DESC LIMIT 1)) u JOIN r ON r.seq = x.seq""")
 def master_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = resolve.master(venues(spark, sf_dir), "44")
     return kept.select("seq", "name", "email", "website", "phone", "merged")
 
 
-@query()
+#: The catalogue has every second of our venues once more, a hundred metres or two further north.
+_MOVED = "CASE WHEN seq % 8 = 0 THEN CAST(0.002 AS DOUBLE) ELSE CAST(0.001 AS DOUBLE) END"
+_PLACE = "struct_pack(seq := {0}, f := f, lat := lat, lon := lon, cy := cy, cx := cx, mail := mail, website := website, tel := tel, phone := phone)"
+
+
+@query(f"""WITH RECURSIVE {_OWN}, r AS (SELECT seq, replace(name, ' ', '') AS f, name, lat, lon, CAST(round_even(lat * 200, 0) AS BIGINT) AS cy, CAST(round_even(lon * 200, 0) AS BIGINT) AS cx, mail, website, tel, regexp_replace(tel, '[^0-9]', '', 'g') AS phone FROM own),
+new AS (SELECT row_number() OVER (ORDER BY seq) AS i, * REPLACE (lat + {_MOVED} AS lat, CAST(round_even((lat + {_MOVED}) * 200, 0) AS BIGINT) AS cy) FROM r WHERE seq % 4 = 0),
+s(i, kept) AS (
+  SELECT CAST(0 AS BIGINT), list({_PLACE.format("seq")} ORDER BY seq) FROM r WHERE seq % 2 = 0
+  UNION ALL
+  SELECT i, CASE WHEN j IS NULL THEN list_append(kept, {_PLACE.format("seq + 1099511627776")})
+    ELSE list_transform(kept, lambda x: CASE WHEN x.seq = j THEN struct_pack(seq := x.seq, f := x.f, lat := x.lat, lon := x.lon, cy := x.cy, cx := x.cx, {_filled("mail", "mail")}, {_filled("website", "website")}, {_filled("tel", "tel")}, {_filled("phone", "tel")}) ELSE x END) END
+  FROM (SELECT r.*, s.kept, list_sort(list_transform(list_filter(s.kept, lambda x: abs(x.cy - r.cy) <= 1 AND abs(x.cx - r.cx) <= 1 AND (({_NAMES} AND {_METRES.format('x')} <= 150) OR (r.phone <> '' AND r.phone = x.phone))),
+    lambda x: struct_pack(cy := x.cy, cx := x.cx, seq := x.seq)))[1].seq AS j FROM s JOIN new r ON r.i = s.i + 1) q)
+SELECT x.seq AS seq, name, x.mail AS email, x.website AS website, x.tel AS phone FROM (SELECT unnest(kept) AS x FROM (SELECT kept FROM s ORDER BY i DESC LIMIT 1)) u JOIN r ON r.seq = x.seq % 1099511627776""")
 def overture_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = venues(spark, sf_dir)
-    kept, _ = resolve.merge_places(v.where("seq % 2 = 0"), v.where("seq % 2 = 1").withColumn("seq", F.col("seq") + F.lit(1 << 40)), "44")
+    moved = v.where("seq % 4 = 0").withColumn("lat", F.col("lat") + F.expr(_MOVED)).withColumn("seq", F.col("seq") + F.lit(1 << 40))
+    kept, _ = resolve.merge_places(v.where("seq % 2 = 0"), moved, "44")
     return kept.select("seq", "name", "email", "website", "phone")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_OWN}, c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'redwidget' ELSE regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') END AS f,
+  CASE WHEN c_custkey % 11 = 0 THEN 'not a food venue' WHEN c_custkey % 13 = 0 THEN 'permanently closed' WHEN c_mktsegment = 'MACHINERY' THEN 'outside the area' ELSE '' END AS excluded,
+  list_filter([CASE WHEN c_custkey % 5 = 0 THEN 'e:x' || (c_custkey % 50) || '.y@gmail.com' END, CASE WHEN c_custkey % 7 = 0 THEN 'f:https://www.facebook.com/brand' || (c_custkey % 30) END, CASE WHEN c_custkey % 4 = 0 THEN 'w:redwidget.test' END], lambda x: x IS NOT NULL) AS keys FROM customer),
+o AS (SELECT seq, replace(name, ' ', '') AS f, list_filter([CASE WHEN mail <> '' THEN 'e:' || mail END, CASE WHEN site LIKE 'facebook.com/%' THEN 'f:https://www.' || site END, CASE WHEN website <> '' THEN 'w:' || {_KEY.format("website")} END,
+  CASE WHEN tel <> '' THEN 'p:' || regexp_replace(tel, '[^0-9]', '', 'g') END], lambda x: x IS NOT NULL) AS keys FROM own),
+posts AS (SELECT f, unnest(keys) AS key FROM o),
+hit AS (SELECT DISTINCT x.k FROM (SELECT k, f, unnest(keys) AS key FROM c WHERE excluded = '') x JOIN posts r USING (key) WHERE left(x.key, 1) IN ('e', 'f') OR {_NAMES}),
+alone AS (SELECT f FROM o WHERE length(f) >= 6 GROUP BY f HAVING count(*) = 1),
+n AS (SELECT row_number() OVER (ORDER BY k) AS i, k, f, keys, f IN (SELECT f FROM alone) AS named FROM c WHERE excluded = '' AND k NOT IN (SELECT k FROM hit)),
+s(i, kept, k, outcome) AS (
+  SELECT CAST(0 AS BIGINT), list(struct_pack(key := '', f := '')) FILTER (WHERE false), CAST(0 AS BIGINT), '' FROM n
+  UNION ALL
+  SELECT i, CASE WHEN hits = 0 AND NOT named THEN list_concat(coalesce(kept, []), list_transform(keys, lambda y: struct_pack(key := y, f := f))) ELSE kept END, k, CASE WHEN hits > 0 THEN 'merged' WHEN named THEN 'merged by name' ELSE 'new' END
+  FROM (SELECT r.*, s.kept, coalesce(len(list_filter(s.kept, lambda x: list_contains(r.keys, x.key) AND (left(x.key, 1) IN ('e', 'f') OR {_NAMES}))), 0) AS hits FROM s JOIN n r ON r.i = s.i + 1) q),
+every AS (SELECT outcome FROM s WHERE k > 0 UNION ALL SELECT 'merged' FROM hit UNION ALL SELECT 'excluded: ' || excluded FROM c WHERE excluded <> '')
+SELECT outcome, count(*) AS n FROM every GROUP BY outcome""")
 def partner_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = resolve.collect_social(venues(spark, sf_dir))
     k = F.col("c_custkey")
@@ -396,16 +466,10 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.reject_reasons(rejected)
 
 
-@query("""SELECT doc_id, trim(regexp_replace(replace(replace(lower(strip_accents(text)), '&', ' and '), chr(39), ''), '[^a-z0-9]+', ' ', 'g')) AS folded FROM (SELECT doc_id, left(text, 80) AS text FROM documents WHERE lang IN ('fr', 'es') AND NOT contains(text, 'œ')) d""")
-def fold_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles: the first 80 characters of a text."""
-    rows = _table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "es"))
-    return rows.select("doc_id", text.fold(F.substring("text", 1, 80)).alias("folded"))
-
-
-@query()
+@query(r"""WITH p AS (SELECT doc_id, regexp_replace(strip_accents(regexp_replace(text, '[’‘´`]', chr(39), 'g')), '[^\x00-\x7F]', '', 'g') AS t FROM documents)
+SELECT doc_id, trim(regexp_replace(replace(replace(lower(t), '&', ' and '), chr(39), ''), '[^a-z0-9]+', ' ', 'g')) AS folded FROM p""")
 def fold_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's whole text, folded; no SQL, as ``strip_accents`` differs for ligatures."""
+    """Every document's whole text, folded."""
     return _table(spark, sf_dir, "documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
 
 
@@ -441,19 +505,18 @@ def site_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.select("seq", "website")
 
 
-@query()
-def domain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = venues(spark, sf_dir)
-    return v.select("seq", _joined(text.domain_candidates(F.col("name"), F.col("borough"), F.col("categories"))).alias("domains"))
+_FEW, _ENDS = V.DOMAIN_ENDS[:2], V.DOMAIN_ENDS
+_KIND = {w: f"list_has_any(cats, {kinds})" if kinds else "true" for w, kinds in V.DOMAIN_WORDS}
+_WORDS = ", ".join(f"CASE WHEN NOT contains(stem, '{w}') AND {k} THEN list_transform({_FEW}, lambda e: stem || '{w}' || e) ELSE [] END" for w, k in _KIND.items())
 
 
-@query()
-def crawl_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl records over the stored pages."""
-    p = _table(spark, sf_dir, "pages")
-    stored = p.select("url", F.col("url").alias("final_url"), F.lit(200).alias("http_status"), F.lit(None).cast("string").alias("error"), F.lit(True).alias("robots_allowed"), "html")
-    got = enrich.crawl(p.select(F.col("url").alias("website")), stored)
-    return got.select("key", _joined(F.col("emails")).alias("emails"), "status", "final_url", "lang")
+@query(rf"""WITH c AS (SELECT seq, lower(name) AS name, {_CATS} AS cats FROM ({VENUES}) v), w AS (SELECT *, replace(name, ' ', '') AS stem, replace(name, ' ', '-') AS dashed, list_filter(string_split(name, ' '), lambda x: length(x) >= 3 AND NOT list_contains({V.GENERIC}, x)) AS good FROM c),
+d AS (SELECT seq, stem, good, flatten([list_transform({_ENDS}, lambda e: stem || e), CASE WHEN contains(dashed, '-') THEN list_transform({_FEW}, lambda e: dashed || e) ELSE [] END,
+  CASE WHEN NOT contains(stem, 'london') THEN list_transform({_FEW}, lambda e: stem || 'london' || e) ELSE [] END, {_WORDS}]) AS found FROM w)
+SELECT seq, CASE WHEN len(good) > 0 AND length(stem) BETWEEN 4 AND 40 THEN array_to_string(found[1:30], '; ') ELSE '' END AS domains FROM d""")
+def domain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = venues(spark, sf_dir)
+    return v.select("seq", _joined(text.domain_candidates(F.col("name"), F.lit(""), F.col("categories"))).alias("domains"))
 
 
 @query()

@@ -4,9 +4,10 @@ import os
 
 import pytest
 
-from placeloom import queries
+from placeloom import job_queries, queries
 
 SF = "/root/testdata/sf0.001"
+assert job_queries.QUERIES is queries.QUERIES
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
 
