@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +16,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
-_SYMBOL = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)
-_SYMBOL_LOWER = _SYMBOL[LOWER]
-_powers: list[np.ndarray] = []
+_BLOCKS = 4  # of 8 bytes; longer words go through a cryptographic hash
+_ONE_MORE = U(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,16 +27,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
-        tables = []
-        for b in (_BASE, _INV):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            tables.append(np.multiply.accumulate(p))
-        _powers[:] = tables
-    return _powers[0], _powers[1]
+def hash_ranges(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range.
+
+    Up to 32 bytes are chained 8 at a time through a bijection, starting from the length, so ranges of equal length that
+    differ in one block never meet; longer ranges take 8 bytes of BLAKE2b.
+    """
+    size = end - start
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    block = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # the 8 bytes from each place on
+    out = mix(size.astype(np.uint64) * _ONE_MORE + U(1))
+    short = size <= 8 * _BLOCKS
+    for i in range(_BLOCKS):
+        on = np.flatnonzero(short & (size > 8 * i)) if i else np.flatnonzero(short & (size > 0))
+        if not len(on):
+            break
+        got = block[start[on] + 8 * i]
+        rest = np.minimum(size[on] - 8 * i, 8).astype(np.uint64)
+        got &= U(0xFFFFFFFFFFFFFFFF) >> (U(64) - U(8) * rest)
+        out[on] = mix((out[on] ^ got) + _ONE_MORE)
+    long = np.flatnonzero(~short)
+    if len(long):
+        data = raw.tobytes() if len(long) > 64 else memoryview(np.ascontiguousarray(raw))
+        digest = b"".join(hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True))
+        out[long] = np.frombuffer(digest, np.uint64)
+    return out
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +70,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw, at - at[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that a piece holds about ``limit`` bytes of text (a single longer text stays whole)."""
     for batch in batches:
         if not batch.num_rows:
@@ -89,15 +103,9 @@ class Words:
         self.count = np.diff(np.searchsorted(self.start, at))
         self.doc = np.repeat(np.arange(len(at) - 1), self.count)
 
-    def hashes(self, lower: bool = True, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of every word (or of the given byte ranges); A-Z count as a-z if ``lower``."""
-        start, end = self.start if start is None else start, self.end if end is None else end
-        if not len(start):
-            return np.zeros(0, np.uint64)
-        power, inverse = _power_tables(len(self.raw) + 1)
-        total = np.zeros(len(self.raw) + 1, np.uint64)
-        np.cumsum((_SYMBOL_LOWER if lower else _SYMBOL)[self.raw] * power[: len(self.raw)], out=total[1:])
-        return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93))
+    def hashes(self, lower: bool = True) -> np.ndarray:
+        """A 64-bit hash of every word; A-Z count as a-z if ``lower``."""
+        return hash_ranges(LOWER[self.raw] if lower else self.raw, self.start, self.end) if len(self.start) else np.zeros(0, np.uint64)
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
