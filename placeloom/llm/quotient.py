@@ -10,8 +10,8 @@ Copies never meet in one task: rows are reduced by (text digest, salt) before th
 
 Defined results: a null text counts as empty, so all null and empty texts are one group; white space [\\x20\\x09-\\x0D] never
 matters; among equals the longest original text of a row with an id stays, then the smallest id; a null id stays only among null ids;
-repeated ids keep a row each, and so do null ids alone; an empty table
-gives an empty result; other columns are ignored.
+repeated ids keep a row each, and so do null ids alone; ids may be of any type that has an order; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import slices
+from .rows import small
 from placeloom.plans.scratch import Scratch
 
 WHITE = b" \t\n\v\f\r"
@@ -101,7 +102,7 @@ def _digest_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sha = hashlib.sha256
-        for b in slices(batches, "t", 8_000_000):
+        for b in slices(batches, "t", 4_000_000):
             raw = [sha((t or b"").translate(None, WHITE)).digest() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pc.fill_null(pc.utf8_length(b.column(1)), 0).cast(pa.int64())], ["k", "sha", "points"])
 
@@ -141,16 +142,14 @@ def repeated_fingerprints(rows: DataFrame, ranges: int) -> DataFrame:
     return rows.select("sha").mapInArrow(build, "part int, f binary, c binary").repartition(1 << ranges, "part").mapInArrow(merge, "fp long")
 
 
-def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 32) -> DataFrame:
-    """One row per document: ``key``, keep_id, group_size, kept, text_sha256."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "dedupe")
+def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int = 32, scratch: Scratch | None = None) -> DataFrame:
+    """One row per document: ``key``, keep_id, group_size, kept, text_sha256. With ``scratch`` the tables that it reads are parts of it."""
+    scratch = scratch.part("dedupe") if scratch else Scratch(docs.sparkSession, "dedupe")
     rows = scratch.put(_digest_rows(docs, key, text))
     n = rows.count()
     repeated = scratch.put(repeated_fingerprints(rows, max(3, (n // 2_000_000).bit_length())))
     fp = F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long")
-    small = repeated.count() * 8 <= 16 << 20  # else a shuffled join
-    again = F.broadcast(repeated) if small else repeated
+    again = small(repeated)
 
     # byte verification: equal digests must be equal texts
     same = docs.select(normalised(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("t")).withColumn("sha", F.unhex(F.sha2("t", 256)))
@@ -160,12 +159,11 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int
 
     salt = F.pmod(F.hash("k"), F.lit(salts))
     part = rows.withColumn("fp", fp).join(again, "fp", "left_semi").withColumn("salt", salt)
-    best = F.max(F.struct(F.col("k").isNotNull().alias("has"), "points", (-F.col("k")).alias("k")))
+    best = F.min(F.struct(F.col("k").isNull().alias("none"), (-F.col("points")).alias("points"), "k"))
     some = part.groupBy("sha", "salt").agg(best.alias("best"))
-    group = some.groupBy("sha").agg(F.max("best").alias("best")).join(clash, "sha").where("bad is null")
-    group = scratch.put(some.select("sha", "salt").join(group.select("sha", (-F.col("best.k")).alias("keep"), "group_size"), "sha"))
-    tiny = group.limit(100_000).count() < 100_000  # under 8 MB
-    out = rows.withColumn("salt", salt).join(F.broadcast(group) if tiny else group, ["sha", "salt"], "left")
+    group = some.groupBy("sha").agg(F.min("best").alias("best")).join(clash, "sha").where("bad is null")
+    group = scratch.put(some.select("sha", "salt").join(group.select("sha", F.col("best.k").alias("keep"), "group_size"), "sha"))
+    out = rows.withColumn("salt", salt).join(small(group, 100_000), ["sha", "salt"], "left")
     keep = F.coalesce("keep", "k")
     first = keep.eqNullSafe(F.col("k"))
     return out.select(F.col("k").alias(key), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), first.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
