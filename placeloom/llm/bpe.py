@@ -6,7 +6,8 @@ fits, the encoder goes back one token and tries its next shorter prefix. Positio
 so the work is linear in the word's length. Decoding gathers bytes from one buffer through an offset table.
 
 Defined results: a null text counts as empty; an empty text has no tokens and decodes to the empty text; equal rows get
-equal results; texts of any length are encoded whole; other columns of the input are ignored or carried, never renamed.
+equal results; null and repeated ids keep a row each; texts of any length are encoded whole; an empty table gives an empty result; other
+columns of the input are ignored or carried, whatever their names (``lengths`` replaces ``n_tokens``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import slices
+from .rows import free_name
 from placeloom.plans.scratch import ship
 
 _END = ""
@@ -65,7 +67,7 @@ class _Seen(dict):
 class BacktrackingBPE:
     """Encoder and decoder for a vocabulary file of the ``tokenizers`` library: BPE over byte-level words with word ends."""
 
-    CACHE = 400_000  # parts of text kept; beyond that the table starts again
+    CACHE = 200_000  # parts of text kept; beyond that the table starts again
 
     def __init__(self, spec: dict):
         model = spec["model"]
@@ -138,7 +140,7 @@ class BacktrackingBPE:
                 before_a, a = ra, self.parts[a][1]
             else:
                 before_b, b = rb, self.parts[b][0]
-        if len(self.fits) > 500_000:
+        if len(self.fits) > 200_000:
             self.fits.clear()
         self.fits[left * self.wide + right] = fits
         return fits
@@ -258,13 +260,14 @@ def digests(docs: DataFrame, vocab_path: str, text: str = "text", key: str = "do
 def lengths(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
     """All columns but ``text``, plus n_tokens: the encoded length of the whole text."""
     ship(docs.sparkSession)
-    rest = [c for c in docs.columns if c not in (text, "n_tokens")]
+    rest = [c for c in docs.columns if c.lower() not in (text.lower(), "n_tokens")]
+    held = free_name("text", rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = BacktrackingBPE.load(vocab_path)
-        for b in slices(batches, "__text"):
+        for b in slices(batches, held):
             n = pa.array([len(bpe.encode(t or "")) for t in b.column(len(rest)).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], n], [*rest, "n_tokens"])
 
-    schema = docs.select(*rest).schema.add("n_tokens", "long")
-    return docs.select(*rest, F.col(text).alias("__text")).mapInArrow(run, schema)
+    schema = docs.select(*[F.col(f"`{c}`") for c in rest]).schema.add("n_tokens", "long")
+    return docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias(held)).mapInArrow(run, schema)

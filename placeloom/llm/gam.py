@@ -7,8 +7,8 @@ structure get two-dimensional tables, boosted in the same way. Scoring bins the
 The model is fitted on the driver from a bounded sample, ``sample`` labelled rows at most, those with the least hash of their id.
 
 Defined results: a null text counts as empty, and empty texts are scored as any other; rows whose label is null or not 0 or 1
-are not learnt from; without labels every score is 0.5; repeated rows are scored each; an empty table gives an empty result;
-other columns are ignored.
+are not learnt from, nor are those of a null id; without labels every score is 0.5; null and repeated ids are scored each; an empty
+table gives an empty result; other columns are ignored, and carried by ``keep``.
 """
 
 from __future__ import annotations

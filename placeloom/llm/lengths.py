@@ -3,7 +3,7 @@
 Documents are counted by encoded length as they are scanned; only (length, count) pairs are shuffled. Suffix sums run over
 ranges of lengths and then inside each range, so no task holds the whole histogram.
 
-Defined results: a null or empty text has length 0; repeated rows count each; an empty table gives an empty histogram; other
+Defined results: a null or empty text has length 0; ids play no part; repeated rows count each; an empty table gives an empty histogram; other
 columns are ignored unless they are named as groups, where null is a group of its own.
 """
 
