@@ -62,33 +62,27 @@ def polygon_rings(wkb: bytes) -> list[np.ndarray]:
     return read(0)[0]
 
 
-def inside(rings: list[np.ndarray], x: float, y: float) -> bool:
-    """Even-odd rule over all rings, so holes are outside; so is the border itself."""
-    hit = False
-    for r in rings:
-        (x0, y0), (x1, y1) = r[:-1].T, r[1:].T
-        on = (x1 - x0) * (y - y0) == (y1 - y0) * (x - x0)
-        if np.any(on & (np.minimum(x0, x1) <= x) & (x <= np.maximum(x0, x1)) & (np.minimum(y0, y1) <= y) & (y <= np.maximum(y0, y1))):
-            return False
-        cross = (y0 > y) != (y1 > y)
-        hit ^= bool(np.count_nonzero(x < x0[cross] + (y - y0[cross]) * (x1[cross] - x0[cross]) / (y1[cross] - y0[cross])) % 2)
-    return hit
+def inside(rings: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which points lie inside: the even-odd rule over all rings, so holes are outside; so is the border itself."""
+    hit, border = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for ring in rings:
+        for (x0, y0), (x1, y1) in zip(ring[:-1], ring[1:], strict=True):
+            on = (x1 - x0) * (y - y0) == (y1 - y0) * (x - x0)
+            border |= on & (min(x0, x1) <= x) & (x <= max(x0, x1)) & (min(y0, y1) <= y) & (y <= max(y0, y1))
+            if y0 != y1:
+                hit ^= ((y0 > y) != (y1 > y)) & (x < x0 + (y - y0) * (x1 - x0) / (y1 - y0))
+    return hit & ~border
 
 
 @F.pandas_udf(T.BooleanType())
 def contains(wkb: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-    known: dict[bytes, list[np.ndarray]] = {}
-    out = []
-    for w, a, b in zip(wkb, x, y, strict=True):
-        if w is None or a is None or b is None:
-            out.append(False)
-            continue
-        if w not in known:
-            if len(known) > 200:
-                known.clear()
-            known[w] = polygon_rings(w)
-        out.append(inside(known[w], a, b))
-    return pd.Series(out, dtype=bool)
+    """Whether each polygon holds its point; a batch's points of one polygon are tested together."""
+    out = np.zeros(len(wkb), bool)
+    known = wkb.notna() & x.notna() & y.notna()
+    for shape, rows in pd.Series(np.flatnonzero(known)).groupby(wkb[known].to_numpy()):
+        at = rows.to_numpy()
+        out[at] = inside(polygon_rings(shape), x.to_numpy()[at], y.to_numpy()[at])
+    return pd.Series(out)
 
 
 def point_in_polygon(points: DataFrame, areas: DataFrame, lat: str = "lat", lon: str = "lon", size: float = 0.25) -> DataFrame:

@@ -95,13 +95,25 @@ def layout(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumns(joined).select(*V.LAYOUTS[name])
 
 
-def write_csv(rows: DataFrame, path: str, by: str | None = None) -> None:
-    """CSV with a header; one folder per value of ``by`` where it is given (values without rows get none)."""
-    out = rows.write.mode("overwrite").option("header", True).option("escape", '"')
-    if by:
-        part = F.trim(F.regexp_replace(F.regexp_replace(by, r"(?U)\W+", "_"), "^_+|_+$", ""))
-        out = rows.withColumn("part", part).write.mode("overwrite").option("header", True).option("escape", '"').partitionBy("part")
-    out.csv(path)
+def _file_name(c: Column) -> Column:
+    """Runs of other characters than letters, digits and underscores as one underscore."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)\W+", "_"), "^_+|_+$", "")
+
+
+def write_csv(rows: DataFrame, path: str, by: str | None = None, every: DataFrame | None = None) -> None:
+    """CSV with a header; one folder per value of ``by`` where it is given.
+
+    Values of ``every`` (one column, a short list of units) that have no rows get a file of the header alone.
+    """
+    option = {"header": True, "escape": '"'}
+    if by is None:
+        rows.write.mode("overwrite").options(**option).csv(path)
+        return
+    rows.withColumn("part", _file_name(F.col(by))).write.mode("overwrite").options(**option).partitionBy("part").csv(path)
+    if every is not None:
+        parts = every.select(_file_name(F.col(every.columns[0])).alias("part")).distinct()
+        for r in parts.join(rows.select(_file_name(F.col(by)).alias("part")).distinct(), "part", "left_anti").collect():
+            rows.limit(0).coalesce(1).write.mode("overwrite").options(**option).csv(f"{path}/part={r.part}")
 
 
 def append_log(rows: DataFrame, path: str) -> None:

@@ -99,7 +99,8 @@ class Logs:
     discovery: str = ""
 
 
-def _known(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+def known_records(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """What earlier runs have logged, if there is a log."""
     return readers.read_log(spark, path, schema) if path and exists(spark, path) else None
 
 
@@ -114,7 +115,7 @@ def _append(rows: DataFrame, path: str, known: DataFrame | None) -> DataFrame:
 
 def find_sites(venues: DataFrame, pages: DataFrame, dns: DataFrame, config: CityConfig | None, limit: int = 0, log: str = "") -> DataFrame:
     """Sites found by name, in this run or an earlier one; ``limit`` venues that no run has tried are tried."""
-    known = _known(venues.sparkSession, log, schemas.DISCOVERY_LOG)
+    known = known_records(venues.sparkSession, log, schemas.DISCOVERY_LOG)
     new = enrich.discover(enrich.queue(venues, known, limit), pages, dns, config)
     # venues of one name and postcode share a record, the last one tried
     new = readers.last_wins(new, "key", "seq").select("key", "website", "evidence", "tried")
@@ -125,7 +126,7 @@ def find_sites(venues: DataFrame, pages: DataFrame, dns: DataFrame, config: City
 
 def read_sites(venues: DataFrame, pages: DataFrame, log: str = "") -> DataFrame:
     """What the venues' sites say; sites with a fresh record are not read again."""
-    known = _known(venues.sparkSession, log, schemas.CRAWL_LOG)
+    known = known_records(venues.sparkSession, log, schemas.CRAWL_LOG)
     todo = venues.where("website <> ''").select("website")
     if known is not None:
         fresh = readers.last_wins(readers.fresh_crawls(known), "key")
@@ -145,7 +146,7 @@ def enrich_venues(
     if wikidata is not None:
         got = joins.add_wikidata(got, wikidata)
     got = scratch.put(joins.add_brand_sites(got))
-    if pages is not None and dns is not None:
+    if pages is not None and dns is not None:  # a search needs both
         if config is not None and config.english_priority:
             got = got.withColumn("english_hint", text.english_hint(F.col("categories"), F.col("latin_name"))).select(venues.columns)
         got = scratch.put(find_sites(got, pages, dns, config, limit, logs.discovery))

@@ -66,6 +66,28 @@ def around(rows: DataFrame, lat: float, lon: float, metres: float) -> DataFrame:
     return rows.where(geo.within(F.lit(lat), F.lit(lon), y, x, metres))
 
 
+def custom_elements(rows: DataFrame, spec: dict, areas: DataFrame | None = None) -> DataFrame:
+    """Elements of one entry of ``osm_areas``: around a point, or inside the administrative area of an English name and level.
+
+    ``areas`` is (name_en, admin_level, bbox, geometry); it is needed for the latter only.
+    """
+    if "around" in spec:
+        return around(rows, *spec["around"])
+    own = areas.where((F.col("name_en") == spec["admin_name_en"]) & (F.col("admin_level").cast("string") == str(spec["admin_level"])))
+    at = rows.withColumns({"_y": F.coalesce("lat", "center.lat"), "_x": F.coalesce("lon", "center.lon")})
+    inside = geo.point_in_polygon(at, own.select("bbox", "geometry"), "_y", "_x")
+    return inside.select(*rows.columns).dropDuplicates(["type", "id"])
+
+
+def snapshot(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` as they were when first asked for: written to ``path`` unless that holds them already."""
+    spark = rows.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def place_nodes(rows: DataFrame) -> DataFrame:
     """(ord, name, lat, lon) of named points."""
     return rows.where(text.blank(F.col("tags")["name"]) != "").select(F.col("pos").alias("ord"), F.col("tags")["name"].alias("name"), "lat", "lon")
