@@ -1,24 +1,28 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose their outer punctuation and case (folded over all of Unicode); numbers, units after a number, and names (capitalised words inside a sentence)
+Words lose their outer punctuation and case (folded over all of Unicode); numbers, units after a number, and names (capitalised words)
 become typed placeholders that keep their values as slots. A capital that opens a sentence may be a name or not, and texts
 are quoted inside other sentences, so every text has three readings: ``CAPITALS`` takes each capitalised word for a slot wherever
-it stands (in items one that opens a sentence may change only if it is a name elsewhere in the item or opens several
-sentences), ``OPENERS`` leaves those that open a sentence literal, ``WORDS`` has no slots at all. Windows of ``WINDOW`` template words of every document are
-tested against a bit table of the benchmark's windows in the scan; what passes is hash-joined with the benchmark's
-windows. Windows of one pair on one diagonal are an alignment; those of its windows count that are consistent (``agreed``):
+it stands (in items one that opens a sentence must keep its value if it is one of the ``OPENING`` words and no name elsewhere in the
+item), ``OPENERS`` leaves those that open a sentence literal, ``WORDS`` has no slots at all.
+
+Items whose templates agree in every placeholder, in the pattern of equal names and in the values that may not change are one class
+under their least id, and share windows; only their exact words are kept apart. Windows of ``WINDOW`` template words of every
+document are tested against a bit table of the benchmark's windows in the scan; what passes is hash-joined with the windows of
+the classes. Windows of one pair on one diagonal are an alignment; those of its windows count that are consistent (``agreed``):
 each name of the item stands for one name of the document and the other way round, as most of its mentions have it; a window
 with another name is left out, one whose values are all unchanged never. Numbers and units may coincide by chance in the item or
 in the document, so they are free, unless a name is evenly torn between others: then each must stand for one value too. So a
 question with other numbers or names is caught, and a chance mixture of the same template is not.
 
-A document and an item match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
+A document and a class match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
 An item shorter than a window is one window of its own length. Windows with fewer than half literal words in every reading with
-slots are left out; an item that has no others is matched by its words themselves, without slots.
+slots are left out, unless the item has no others: then those with a fifth at least stand for it, and where there are none
+of these either its words themselves, without slots.
 
 Defined results: null and empty texts match nothing; items without words never match; repeated rows of either table match
-each; repeated ids are one document (or item) with the windows of all its rows; empty tables give no matches; a null id is
-an id; other columns are ignored.
+each; repeated ids are one document with the windows of all its rows, and an item for each text; empty tables give no matches; a
+null id is an id, but names a class only if none of its items has another; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import SPACE, U, Words, mix, slices, text_bytes, window_hashes
-from .rows import keyed, without
+from .bits import bit_table, held, prefix_bits
+from .bytetext import U, Words, hash_ranges, mix, slices, text_bytes, window_hashes
+from .rows import FEW, keyed, small, without
 from placeloom.plans.scratch import Scratch
 
 WINDOW = 8
 LEAST = 4
 _CASED = 0x1F000  # no letter from here on has case
-_BITS = 28  # of the largest bit table: 32 MB
 
 #: Unit words.
 UNITS = """
@@ -49,6 +53,19 @@ year years hz khz mhz ghz v kv a ma w kw mw j kj n pa kpa k kb mb gb tb byte byt
 dollar dollars euro euros pound pounds cent cents degree degrees
 """.split()
 
+#: Words that open sentences without being names, in English, French, Spanish and German.
+OPENING = """
+a an the this that these those it he she we you they i there here his her its our your their my
+what which who whom whose when where why how if in on at of by for from to with without after before during between among
+and or but as so then thus because while since although each every all any some no one two three both
+is are was were do does did has have had can could will would should may might must let given suppose assume
+add answer calculate choose compare compute convert count describe draw estimate evaluate explain express factor fill find
+give identify list make multiply name order prove read round select show simplify solve state subtract sum use write
+le la les un une des il elle on nous vous ils elles ce cette ces que qui quel quelle où quand comment pourquoi si dans calculer trouver
+el los las uno una unos unas ella ellos este esta cada qué cuál quién dónde cuándo cómo por en calcula halla
+der die das ein eine er sie es wir ihr was wer wie wo wann warum welche wenn in berechne finde
+""".split()
+
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), ord("%")]] = True
 _DIGIT = np.zeros(256, bool)
@@ -119,7 +136,7 @@ class Template:
         n = len(start)
         # folding changes lengths of words, but neither their number nor which have letters or digits
         folded = Words(*text_bytes(_folded(texts)))
-        self.word = folded.hashes(False, *_inner(folded)[1:])
+        self.word = hash_ranges(folded.raw, *_inner(folded)[1:])
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
         number = digits[end] > digits[start]
         capital = _capitals(raw, start, end)
@@ -141,10 +158,9 @@ class Template:
             self.symbol.append(np.where(slot, mix(kind), self.word))
             self.value.append(np.where(slot, mix(self.word ^ kind), U(0)))
             self.kind.append(np.where(slot, np.where(free, FREE, NAME), LITERAL).astype(np.int8))
-        # of one item: what opens a sentence is a name if it is one inside a sentence or opens several
-        word, count = np.unique(self.word[first], return_counts=True)
-        known = np.concatenate([word[count > 1], self.word[name & ~opens]])
-        self.kind[CAPITALS][first & ~np.isin(self.word, known)] = FIXED
+        # of one item: what opens a sentence is a name unless it is a word that often does, and no name inside one
+        fixed = np.isin(self.word, _hash_words(OPENING)) & ~np.isin(self.word, self.word[name & ~opens])
+        self.kind[CAPITALS][first & fixed] = FIXED
         self.count = np.bincount(self.doc, minlength=len(at) - 1) if n else np.zeros(len(at) - 1, np.int64)
 
     def windows(self, k: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,8 +196,8 @@ def _votes(pairs: Iterable[tuple[int, int]]) -> dict[int, int | None]:
     return out
 
 
-def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> tuple[list[int], bool]:
-    """Places of the windows (place, kinds, slots, seen) of one diagonal that are consistent, and whether one has another value."""
+def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> list[int]:
+    """Places of the windows (place, kinds, slots, seen) of one diagonal that are consistent."""
     mention: dict[int, set[tuple[int, int, int]]] = {FREE: set(), NAME: set()}
     for pos, kinds, slots, seen in windows:
         for i, kind in enumerate(kinds):
@@ -196,21 +212,36 @@ def agreed(windows: list[tuple[int, list[int], list[int], list[int]]]) -> tuple[
             return there[x] == y and back[y] == x
         return kind == LITERAL or (x == y if kind == FIXED else not torn or free[x] == y)
 
-    places, changed = set(), False
+    places = set()
     for pos, kinds, slots, seen in windows:
-        same = all(x == y for kind, x, y in zip(kinds, slots, seen, strict=True) if kind)
-        if same or all(map(fits, kinds, slots, seen)):
+        if all(x == y for kind, x, y in zip(kinds, slots, seen, strict=True) if kind) or all(map(fits, kinds, slots, seen)):
             places.add(pos)
-            changed |= not same
-    return sorted(places), changed
+    return sorted(places)
+
+
+def _first_seen(values: np.ndarray) -> np.ndarray:
+    """For each value the number of distinct ones that came before its first occurrence."""
+    _, first, place = np.unique(values, return_index=True, return_inverse=True)
+    return np.argsort(np.argsort(first))[place]
+
+
+def signature(t: Template) -> int:
+    """Equal for items of one template: placeholders, which names are equal, and the values that must stay."""
+    symbol, value, kind = t.symbol[CAPITALS], t.value[CAPITALS], t.kind[CAPITALS]
+    slot = np.zeros(len(symbol), np.uint64)
+    slot[kind == FIXED] = value[kind == FIXED]
+    names = np.flatnonzero(kind == NAME)
+    slot[names] = _first_seen(value[names]).astype(np.uint64) + U(1)
+    every = mix(symbol + mix(slot + kind.astype(np.uint64) * U(0x51ED)))
+    return int(window_hashes(every, len(every)).view(np.int64)[0])
 
 
 def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(item, k, reading, pos, h, kinds, slots, total): the windows that stand for each item."""
+    """(item, sign, k, reading, pos, h, kinds, slots, total): the windows that stand for each item; ``sign`` tells its class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["item", "k", "reading", "pos", "h", "kinds", "slots", "total"]
-        types = [None, pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
+        names = ["item", "sign", "k", "reading", "pos", "h", "kinds", "slots", "total"]
+        types = [None, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
                 t = Template(b.column(1).slice(i, 1))
@@ -218,40 +249,47 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
                 if not k:
                     continue
                 got = {x: t.windows(k, x) for x in (CAPITALS, OPENERS, WORDS)}
-                rich = {x: t.literals(got[x][0], k, x) * 2 >= k for x in (CAPITALS, OPENERS)}
+                literal = {x: t.literals(got[x][0], k, x) for x in (CAPITALS, OPENERS)}
+                rich = {x: literal[x] * 2 >= k for x in literal}
+                if not (rich[CAPITALS] | rich[OPENERS]).any():
+                    rich = {x: literal[x] * 5 >= k for x in literal}
                 rich[WORDS] = rich[CAPITALS] | rich[OPENERS]
                 if not rich[WORDS].any():
                     rich[WORDS][:] = True
                 rich[OPENERS] &= t.opener[got[OPENERS][0] + k] > t.opener[got[OPENERS][0]]  # else as in CAPITALS
-                n = int(rich[WORDS].sum())
+                n, sign = int(rich[WORDS].sum()), signature(t)
                 for x, (first, h) in got.items():
                     first, h = first[rich[x]], h[rich[x]]
                     m = len(first)
-                    cols = [[b.column(0)[i].as_py()] * m, [k] * m, [x] * m, first, h.view(np.int64), t.kinds(first, k, x), t.slots(first, k, x), [n] * m]
+                    cols = [[b.column(0)[i].as_py()] * m, [sign] * m, [k] * m, [x] * m, first, h.view(np.int64), t.kinds(first, k, x), t.slots(first, k, x), [n] * m]
                     yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else types[j]) for j, c in enumerate(cols)], names)
 
     kind = items.schema[key].dataType.simpleString()
-    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, f"item {kind}, k int, reading int, pos int, h long, kinds array<tinyint>, slots array<long>, total int")
+    schema = f"item {kind}, sign long, k int, reading int, pos int, h long, kinds array<tinyint>, slots array<long>, total int"
+    return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, schema)
 
 
-def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST) -> DataFrame:
-    """(``key``, ``item_key``, n_windows, item_windows, reparameterised): every matching pair of document and item."""
+def item_classes(windows: DataFrame) -> DataFrame:
+    """(sign, class, n_items): the least id and the number of items of each class, from ``benchmark_windows``."""
+    return windows.select("sign", "item").distinct().groupBy("sign").agg(F.min("item").alias("class"), F.count(F.lit(1)).alias("n_items"))
+
+
+def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST, scratch: Scratch | None = None) -> DataFrame:
+    """(``key``, ``item_key``, n_items, n_windows, item_windows, reparameterised): every matching pair of document and class of items.
+
+    The class is named by its least id and has ``n_items`` items; ``reparameterised`` tells that too few windows are verbatim.
+    """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "templates")
-    bench = scratch.put(benchmark_windows(items, item_key, item_text, window))
+    scratch = scratch.part("templates") if scratch else Scratch(spark, "templates")
+    every = scratch.put(benchmark_windows(items, item_key, item_text, window))
+    classes = scratch.put(item_classes(every))
+    # items of one class share a row for each window but for those of exact words that differ
+    bench = every.groupBy("sign", "k", "reading", "pos", "h").agg(F.min_by(F.struct("kinds", "slots"), "item").alias("x"), F.max("total").alias("total"))
+    bench = scratch.put(bench.join(small(classes), "sign").select("sign", "n_items", "k", "reading", "pos", "h", "x.kinds", "x.slots", "total"))
     n = bench.count()
-    bits = min(_BITS, max(12, (64 * n).bit_length()))
+    bits = prefix_bits(n, 64)
     ks = sorted((r.k, r.reading) for r in bench.select("k", "reading").distinct().collect())  # 3 * ``window`` at most
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = np.unique(b.column(0).to_numpy().view(np.uint64) >> U(64 - bits)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h)], ["p"])
-
-    table = np.zeros(1 << bits >> 3, np.uint8)
-    for r in bench.select("h").mapInArrow(fill, "p long").distinct().toLocalIterator():  # 2**_BITS places at most
-        table[r.p >> 3] |= 1 << (r.p & 7)
-    known = spark.sparkContext.broadcast(table)
+    known = spark.sparkContext.broadcast(bit_table(bench, bits))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value
@@ -260,8 +298,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
             start = np.concatenate([[0], np.cumsum(t.count)])
             for k, reading in ks:
                 first, h = t.windows(k, reading)
-                p = (h >> U(64 - bits)).astype(np.int64)
-                on = table[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
+                on = held(table, bits, h)
                 first, h = first[on], h[on]
                 doc = t.doc[first]
                 yield pa.RecordBatch.from_arrays(
@@ -271,30 +308,31 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
 
     kind = docs.schema[key].dataType.simpleString()
     found = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("t")).mapInArrow(scan, f"doc {kind}, at long, h long, seen array<long>")
-    small = n * 8 * (window + 8) <= 16 << 20
-    pair = found.join(F.broadcast(bench) if small else bench, "h").withColumn("diagonal", F.col("at") - F.col("pos"))
-    # distinct windows of one diagonal: as many as the item has, if the id is not repeated
-    window_of = F.struct("pos", "kinds", "slots", "seen")
-    line = pair.groupBy("doc", "item", "diagonal").agg(F.collect_set(window_of).alias("z"), F.max("total").alias("total"))
+    pair = found.join(small(bench, FEW // (window + 4)), "h").withColumn("diagonal", F.col("at") - F.col("pos"))
+    # distinct windows of one diagonal: as many as the class has there, if the id is not repeated
+    window_of = F.struct("pos", "kinds", "slots", "seen", (F.col("reading") == WORDS).alias("exact"))
+    line = pair.groupBy("doc", "sign", "diagonal").agg(F.collect_set(window_of).alias("z"), F.max("total").alias("total"), F.max("n_items").alias("n_items"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [agreed([(w["pos"], w["kinds"], w["slots"], w["seen"]) for w in z]) for z in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([x for x, _ in got], pa.list_(pa.int32())), pa.array([x for _, x in got], pa.bool_())], ["doc", "item", "total", "pos", "changed"])
+            told = b.column(4).to_pylist()
+            places = [agreed([(w["pos"], w["kinds"], w["slots"], w["seen"]) for w in z]) for z in told]
+            exact = [sorted({w["pos"] for w in z if w["exact"]}) for z in told]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], *[pa.array(x, pa.list_(pa.int32())) for x in (places, exact)]], ["doc", "sign", "total", "n_items", "pos", "exact"])
 
-    line = line.select("doc", "item", "total", "z").mapInArrow(judge, f"doc {kind}, item {items.schema[item_key].dataType.simpleString()}, total int, pos array<int>, changed boolean")
-    both = line.where(F.size("pos") > 0).groupBy("doc", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("pos")))).alias("n_windows"),
-        F.max("total").alias("item_windows"),
-        F.max("changed").alias("reparameterised"),
-    )
-    both = both.where(F.col("n_windows") >= F.least(F.lit(least), F.col("item_windows")))
-    return both.withColumnsRenamed({"doc": key, "item": item_key})
+    line = line.select("doc", "sign", "total", "n_items", "z").mapInArrow(judge, f"doc {kind}, sign long, total int, n_items long, pos array<int>, exact array<int>")
+    places = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    both = line.where(F.size("pos") > 0).groupBy("doc", "sign").agg(places("pos").alias("n_windows"), places("exact").alias("exact"), F.max("total").alias("item_windows"), F.max("n_items").alias("n_items"))
+    due = F.least(F.lit(least), F.col("item_windows"))
+    both = both.where(F.col("n_windows") >= due).join(small(classes.select("sign", "class")), "sign")
+    return both.select(F.col("doc").alias(key), F.col("class").alias(item_key), "n_items", "n_windows", "item_windows", (F.col("exact") < due).alias("reparameterised"))
 
 
-def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", scratch: Scratch | None = None, **options) -> DataFrame:
     """``docs`` without the rows that match an item; each is judged by itself, whatever its id."""
-    scratch = Scratch(docs.sparkSession, "clean")
+    scratch = scratch.part("clean") if scratch else Scratch(docs.sparkSession, "clean")
     rows, row = keyed(docs, scratch, key)
-    gone = scratch.put(matches(rows, items, row, **options).select(row).distinct())
+    inner = scratch.part("matches")
+    gone = scratch.put(matches(rows, items, row, scratch=inner, **options).select(row).distinct())
+    inner.clear()
     return without(rows, gone, row).select(docs.columns)
