@@ -4,12 +4,14 @@ Each dimension is quantised to ``bits`` bits, the cells are numbered along a Hil
 and the ordered rows are cut into runs. The law is ``rows``: run sizes differ by one row at most.
 
 No step needs one task to see all rows: rows are counted by (cell, bucket of a mixed key), the counts of at most
-2**(dimensions * bits) cells are summed by one small window, and each row is numbered inside its own bucket. A cell that
-holds a third of all rows has ``BUCKETS`` buckets.
+2**(dimensions * bits) cells are summed by one small window, and each row is numbered inside its own bucket. The number of buckets of
+a cell follows the number of rows, ``PER_BUCKET`` on average where one cell holds them all.
 
 Defined results: a null or NaN dimension counts as the lowest value; ties in the curve order are settled by the mixed key, then
-the key itself; repeated keys keep a row each (their order among themselves is not defined, their shard sizes are); an
-empty table gives an empty result; other columns are carried as they are.
+the key itself; a null key, or one that is no number, is replaced by a hash of its row, so such rows spread over buckets; repeated
+keys keep a row each (their order among themselves is not defined, their shard sizes are); an empty table gives an empty result; other
+columns are carried as they are, but for those named like the new ones (``hilbert_index``, ``position``, ``shard``, ``slot``), which
+are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+PER_BUCKET = 50_000
+_LEAST = 1024  # buckets
 _SPREAD = 1103515245  # odd multiplier of the mixed key; products stay below 2**63
 
 
@@ -55,13 +58,20 @@ def hilbert_index(cells: list[Column], bits: int) -> list[tuple[str, Column]]:
     return [*steps, ("h", index)]
 
 
-def curve_order(df: DataFrame, cells: list[Column], bits: int, key: str) -> DataFrame:
-    """``df`` with ``hilbert_index`` and ``position``, its place from 0 in curve order."""
-    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
-    work = df.select(F.struct(*[F.col(f"`{c}`").alias(a) for c, a in names.items()]).alias("row"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(0)).alias("k"), *[c.alias(f"x{i}") for i, c in enumerate(cells)])
+def bucket_bits(rows: int) -> int:
+    """Bits of a bucket's number for this many rows."""
+    return min(31, (max(_LEAST, rows // PER_BUCKET) - 1).bit_length())
+
+
+def curve_order(df: DataFrame, cells: list[Column], bits: int, key: str, rows: int | None = None) -> DataFrame:
+    """``df`` with ``hilbert_index`` and ``position``, its place from 0 in curve order; ``rows`` is its count, if it is known."""
+    keep = [c for c in df.columns if c.lower() not in ("hilbert_index", "position")]
+    names = {c: f"_c{i}" for i, c in enumerate(keep)}
+    spare = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() != "map"])
+    work = df.select(F.struct(*[F.col(f"`{c}`").alias(a) for c, a in names.items()]).alias("row"), F.coalesce(F.col(f"`{key}`").try_cast("long"), spare).alias("k"), *[F.coalesce(c.try_cast("long"), F.lit(0)).alias(f"x{i}") for i, c in enumerate(cells)])
     mixed = (F.pmod(F.col("k"), F.lit(1 << 32)) * F.lit(_SPREAD)) % F.lit(1 << 32)
     x = [f"x{i}" for i in range(len(cells))]
-    work = work.withColumn("m", mixed).withColumn("b", F.shiftright("m", 32 - (BUCKETS - 1).bit_length()))
+    work = work.withColumn("m", mixed).withColumn("b", F.shiftright("m", 32 - bucket_bits(df.count() if rows is None else rows)))
     count = work.groupBy(*x, "b").agg(F.count(F.lit(1)).alias("n"))
     # the curve index belongs to a cell, so it is worked out once for each of the few distinct cells
     cell = count.groupBy(*x).agg(F.sum("n").alias("n"))
@@ -84,10 +94,12 @@ def cut(df: DataFrame, shards: int, rows: int) -> DataFrame:
     return df.withColumn("shard", shard.cast("int")).withColumn("slot", F.col("position") - start)
 
 
-def write_shards(df: DataFrame, cells: list[Column], bits: int, key: str, shards: int, path: str, stats: list[str]) -> DataFrame:
-    """Writes one folder ``shard=N`` per run, rows in curve order; returns the least and greatest of ``stats`` per shard."""
+def write_shards(df: DataFrame, cells: list[Column], bits: int, key: str, shards: int, path: str, files: int = 1) -> None:
+    """Writes one folder ``shard=N`` per run, rows in curve order, cut into about ``files`` files each by ranges of the order.
+
+    The writer's statistics give each file the range of every dimension, so readers skip files on any of them.
+    """
     rows = df.count()
-    out = cut(curve_order(df, cells, bits, key), shards, rows)
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return back.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"), *[f(c).alias(f"{n}_{c}") for c in stats for n, f in (("min", F.min), ("max", F.max))])
+    out = cut(curve_order(df, cells, bits, key, rows), shards, rows)
+    dealt = out.repartitionByRange(shards * files, "shard", "slot").sortWithinPartitions("shard", "slot")
+    dealt.write.mode("overwrite").partitionBy("shard").parquet(path)
