@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from . import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
 from placeloom.plans.scratch import Scratch, ship
 
-TOKENIZERS = "/opt/tokenizers"
-VOCAB = f"{TOKENIZERS}/word_bpe_49k.json"
+try:
+    from public_tokenizers import path as vocabulary
+except ModuleNotFoundError:  # the same files where the package is not on the path
+
+    def vocabulary(name: str) -> str:
+        return f"/opt/tokenizers/{name}"
+
+
+VOCAB = vocabulary("word_bpe_49k.json")
 SHARDS = 16
 
 
@@ -59,8 +66,8 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.pmod(F.ascii("lang") * 7 + F.ascii(F.substring("lang", 2, 1)), F.lit(16)), F.lit(0)).cast("long"),
         F.least(F.lit(15), F.greatest(F.lit(0), F.length(F.bin("size")) - 4)).cast("long"),
     ]
-    placed = shards.curve_order(docs, cells, 4, "doc_id")
-    out = shards.cut(placed, SHARDS, docs.count())
+    rows = docs.count()
+    out = shards.cut(shards.curve_order(docs, cells, 4, "doc_id", rows), SHARDS, rows)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert_index")
 
 
@@ -156,6 +163,37 @@ SELECT conv_id, count(*) AS n_turns,
 FROM told GROUP BY conv_id
 """
 
+
+def reply_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best branches of each conversation taken as a tree in which turn i answers turn i div 2, formatted and read back."""
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    line = told.withColumn("i", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")))
+    above = F.when(F.col("i") > 1, F.struct(F.col("conv_id"), F.shiftright("i", 1).alias("i")))
+    nodes = line.select(F.struct("conv_id", "i").alias("node"), above.alias("parent"), F.length(F.coalesce("text", F.lit(""))).alias("score"))
+    chosen = chat.paths(nodes, top=2).select(F.col("path.conv_id").alias("conv_id"), F.col("path.i").alias("leaf"), "rank", "depth", F.col("node.i").alias("i"))
+    turns = chosen.join(line, ["conv_id", "i"]).select(F.struct("conv_id", "rank", "leaf").alias("path"), "depth", "i", "role", "text")
+    done = chat.format_paths(turns, "path", "depth").select("path", chat.read_back(F.col("formatted")).alias("turns"))
+    routes = turns.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "i"))), lambda x: x["i"].cast("string")), ">").alias("route"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("score"))
+    every = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    out = done.join(routes, "path")
+    return out.select("path.conv_id", F.col("path.rank").cast("long").alias("rank"), F.col("path.leaf").cast("long").alias("leaf"), "route", "score", F.sha2(every, 256).alias("turns_sha256"))
+
+
+BRANCHES_SQL = r"""
+WITH RECURSIVE line AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), path(conv_id, i, route, score, n, told) AS (
+  SELECT conv_id, i, CAST(i AS VARCHAR), CAST(length(text) AS BIGINT), 1, role || chr(10) || text || chr(10) FROM line WHERE i = 1
+  UNION ALL
+  SELECT l.conv_id, l.i, p.route || '>' || l.i, p.score + length(l.text), p.n + 1, p.told || l.role || chr(10) || l.text || chr(10)
+  FROM path p JOIN line l ON l.conv_id = p.conv_id AND l.i // 2 = p.i WHERE l.i > 1
+), leaf AS (
+  SELECT * FROM path p WHERE NOT EXISTS (SELECT 1 FROM line l WHERE l.conv_id = p.conv_id AND l.i // 2 = p.i AND l.i > 1)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score / n DESC, i) AS rank FROM leaf)
+SELECT conv_id, rank, i AS leaf, route, score, sha256(told) AS turns_sha256 FROM ranked WHERE rank <= 2
+"""
+
+
 def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -219,5 +257,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_histogram": op8_length_histogram,
     "op9_reply_trees": op9_reply_trees,
     "op10_ngram_trie": op10_ngram_trie,
+    "reply_branches": reply_branches,
 }
-ORACLES = {"op1_url_cascade": OP1_SQL, "op2_hilbert_shards": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL}
+ORACLES = {"op1_url_cascade": OP1_SQL, "op2_hilbert_shards": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL, "reply_branches": BRANCHES_SQL}
