@@ -54,7 +54,8 @@ def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _view(spark, sf_dir)
     tags = F.create_map(F.lit("cuisine"), "cuisine", F.lit("amenity"), "amenity", F.lit("name"), "name")
     rows = readers.venue_rows(v.select("seq", "borough", "name", "lat", "lon", tags.alias("tags"), F.col("mail").alias("email"), F.col("site").alias("website"), F.col("tel").alias("phone"), F.col("pc").alias("postcode"), F.lit("openstreetmap").alias("source"), F.lit(True).alias("latin_name")))
-    return relations.split_contacts(rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))))
+    rows = relations.split_contacts(rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))))
+    return Scratch(spark, "venues").put(rows)  # long expressions, which plans that read it several times would repeat
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
