@@ -66,17 +66,18 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", h
     ends = links.select(F.least(a, b).cast("long").alias("a"), F.greatest(a, b).cast("long").alias("b"))
     left, roots = scratch.put(ends.where("a <> b").distinct()), None
     while True:
-        tasks = max(1, -(-left.count() // held))
+        n = left.count()
+        tasks = max(1, -(-n // held))
         tree = scratch.put(_contract(left, tasks, held))
         scratch.drop(left)
         if tasks == 1:
             return _renamed(roots, tree, scratch)
         tied = tree.where("node <> root")
         both = tied.select("node", "root").unionAll(tied.select(F.col("root").alias("node"), F.col("node").alias("root")))
-        hook = scratch.put(both.groupBy("node").agg(F.min("root").alias("up")).select("node", F.least("node", "up").alias("up")))
+        hook = scratch.put(both.groupBy("node").agg(F.min("root").alias("up")).select("node", F.least("node", "up").alias("up")), 2 * n)
         while True:
             above = hook.select(F.col("node").alias("up"), F.col("up").alias("next"))
-            jump = scratch.put(hook.join(above, "up").select("node", F.col("next").alias("up"), (F.col("next") != F.col("up")).alias("moved")))
+            jump = scratch.put(hook.join(above, "up").select("node", F.col("next").alias("up"), (F.col("next") != F.col("up")).alias("moved")), 2 * n)
             scratch.drop(hook)
             hook = jump
             if not hook.where("moved").limit(1).count():
@@ -85,8 +86,8 @@ def components(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", h
         # most links of a star end in one row here, before the hub's own hook is looked up
         near = tied.join(hook.select("node", "up"), "node").select(F.col("up").alias("a"), "root").distinct()
         far = near.join(hook.select(F.col("node").alias("root"), F.col("up").alias("b")), "root")
-        left = scratch.put(far.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        roots, was = _renamed(roots, scratch.put(step), scratch), roots
+        left = scratch.put(far.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), n)
+        roots, was = _renamed(roots, scratch.put(step, 2 * n), scratch), roots
         scratch.drop(tree, hook)
         if was is not None:
             scratch.drop(was)

@@ -59,8 +59,14 @@ class Scratch:
     def part(self, label: str) -> Scratch:
         return Scratch(self.spark, label, self.base)
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """``df``, written and read again; with ``rows``, its rows at most, as files of a million rows, or as two files a core.
+
+        So a small table is not a file for each of many shuffle partitions, and no core is left without work.
+        """
         self.n += 1
+        if rows is not None:
+            df = df.coalesce(max(2 * self.spark.sparkContext.defaultParallelism, rows // 1_000_000))
         path = f"{self.base}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
