@@ -55,16 +55,51 @@ def test_cascade_judges_every_page(spark, most, per_shard):
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
     got = cascade.judge(pages, spark.createDataFrame([(d,) for d in listed], "domain string"), RULES, most=most, per_shard=per_shard).collect()
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {i: judged(u, listed) for i, u in enumerate(urls)}
+    odd = spark.createDataFrame([(None, "http://b.org/x", 1), (2, "http://b.org/x", 2), (2, "http://b.org/x", 2)], "page_id long, url string, listed int").withColumn("Rule", F.lit("r"))
+    got = cascade.judge(odd, spark.createDataFrame([("B.org",), (None,), ("",)], "domain string"), [], most=most)
+    assert got.columns == ["page_id", "url", "listed", "host", "path", "rule", "verdict"] and [r.verdict for r in got.collect()] == ["block"] * 3
     assert cascade.judge(pages.where("false"), spark.createDataFrame([], "domain string"), RULES, most=most).count() == 0
 
 
 def test_cascade_is_exact_over_its_universe():
     h = np.unique(np.random.default_rng(3).integers(0, 2**63, 50_000).astype(np.uint64))
     for n in (0, 1, 500, 25_000, len(h)):
-        c = cascade.Cascade.from_bytes(cascade.Cascade.build(h[:n], h[n:]).to_bytes())
+        first = cascade.Cascade.first(h[:n])
+        passed = first.listed(h)
+        assert passed[:n].all() and passed[n:].sum() < 0.03 * len(h) + 10
+        c = cascade.Cascade.from_bytes(cascade.Cascade.from_bytes(first.to_bytes()).grow(h[:n], h[n:][passed[n:]]).to_bytes())
         assert c.listed(h[:n]).all() and not c.listed(h[n:]).any()
 
 
+def test_cascade_keeps_equal_hashes_apart():
+    first = cascade.Cascade.first(np.array([7, 8], np.uint64)).to_bytes()
+    built, alike = cascade.grown(first, ["in", "twin", "out"], np.array([7, 7, 9], np.uint64), np.array([True, False, False]))
+    assert alike == ["twin"] and cascade.Cascade.from_bytes(built).listed(np.array([7, 9], np.uint64)).tolist() == [True, False]
+
+
+def test_keys_of_hosts():
+    raw, _ = bytetext.text_bytes(hosts := pa.array(["a.b.org", "", None, "x.", ".y", "z"]))
+    got = [(int(r), raw[s:e].tobytes()) for r, s, e in zip(*cascade.host_keys(hosts), strict=True)]
+    assert got == [(0, b"a.b.org"), (0, b"b.org"), (0, b"org"), (3, b"x."), (4, b".y"), (4, b"y"), (5, b"z")]
+
+
+# --- words ---
+
+
+def thue_morse(n):
+    t = "a"
+    while len(t) < n:
+        t += "".join("b" if c == "a" else "a" for c in t)
+    return t, "".join("b" if c == "a" else "a" for c in t)
+
+
+def test_words_have_hashes_of_their_own():
+    one, two = thue_morse(1024)
+    texts = [" ".join([one, two, "Abc", "abc", "q" * 32, "q" * 33, "q" * 33, "q" * 34, "abcdefgh", "abcdefghi", "abc\0"]), None, "", one]
+    h = bytetext.Words(*bytetext.text_bytes(pa.array(texts))).hashes().tolist()
+    assert h[2] == h[3] and h[5] == h[6] and h[11] == h[0] and len(set(h)) == 9
+
+
 # --- 2: sharding ---
 
 
@@ -88,6 +123,35 @@ def test_shards_are_even_and_gapless(spark, n):
     assert all(sorted(r["slot"] for r in out if r["shard"] == s) == list(range(c)) for s, c in slots.items())
 
 
+def test_shards_take_odd_keys_and_names(spark):
+    df = spark.createDataFrame([(k, x, "h") for k in (None, "7", "x y") for x in (None, 1.0, float("nan"), 2.0)], "doc_id string, x double, slot string").withColumn("shard", F.lit("s"))
+    out = shards.cut(shards.curve_order(df, [F.col("x")], 2, "doc_id"), 3, 12)
+    rows = out.collect()
+    assert sorted(r.position for r in rows) == list(range(12)) and Counter(r["shard"] for r in rows) == {0: 4, 1: 4, 2: 4}
+    assert [r.x for r in sorted(rows, key=lambda r: r.position)][-6:] == [1.0] * 3 + [2.0] * 3 and len(set(out.columns)) == len(out.columns)
+
+
+def test_written_shards_prune_on_every_dimension(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(4096).select("id", (F.col("id") * 7919 % 64).alias("x"), (F.col("id") * 104729 % 61).alias("y")).repartition(8)
+    shards.write_shards(df, [F.shiftright("x", 3), F.shiftright("y", 3)], 3, "id", 8, str(tmp_path / "out"), files=2)
+    df.repartition(16).write.parquet(str(tmp_path / "plain"))
+
+    def reads(folder, column, least, most):
+        """Files whose statistics let them hold a value of the range, and all files."""
+        every = [f for f in (tmp_path / folder).rglob("*.parquet")]
+        stats = [pq.read_metadata(f).row_group(0).column(pq.read_schema(f).get_field_index(column)).statistics for f in every]
+        return sum(s.min <= most and s.max >= least for s in stats), len(every)
+
+    for column in "xy":
+        some, every = reads("out", column, 0, 7)
+        assert some <= every // 2 and reads("plain", column, 0, 7)[0] == 16
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 4096 and {r["count"] for r in back.groupBy("shard").count().collect()} == {512}
+    assert sorted(r.id for r in back.where("x < 8 and y < 8").collect()) == sorted(r.id for r in df.where("x < 8 and y < 8").collect())
+
+
 # --- 3: exact duplicates ---
 
 
@@ -114,6 +178,8 @@ def test_exact_dedup(spark):
     twice = quotient.dedupe(table(spark, ["q", "q"], [4, 4])).collect()
     assert [(r.keep_id, r.group_size) for r in twice] == [(4, 2)] * 2
     assert quotient.dedupe(table(spark, ["q", "r"], [None, 1])).count() == 2
+    named = spark.createDataFrame([("q", "a"), ("p", "a"), (None, "a  "), ("z", "b")], "name string, text string")
+    assert sorted((r.name or "", r.keep_id, r.kept) for r in quotient.dedupe(named, key="name").collect()) == [("", "p", False), ("p", "p", True), ("q", "p", False), ("z", "z", True)]
 
 
 def test_exact_dedup_keeps_no_null_id_among_others(spark):
@@ -186,6 +252,69 @@ def test_folding_keeps_the_words():
     assert len(templates._folded(pa.array([b"\xff A"]))[0].as_py()) == 3
 
 
+def test_short_items_of_numbers_and_names(spark):
+    tail = "wa wb wc wd we wf wg wh some text before"
+    cases = {
+        "Add 12 7 3 and 5": ("Add 4 9 8 and 1", "Add 4 9 8 or 1"), "Compute 3 * 4 + 5 - 6": ("Compute 7 * 8 + 1 - 2", "Divide 7 * 8 + 1 - 2"), "Anna has 5 apples": ("Ben has 7 apples", "the ben has some apples"),
+        "Which town has 3 mills?": ("Which town has 8 mills?", "Every town has 8 mills?"), "12 7 3": ("12 7 3", "4 5 6"),
+    }
+    for item, (same, other) in cases.items():
+        assert matched(spark, item, [same, f"{tail}. {same} {tail}", f"{tail}. {other} {tail}"]) == [True, True, False], item
+
+
+def test_items_of_one_template_are_one_class(spark):
+    ask = "the farmer {} sold {} red apples to his neighbour and {} pears to the miller"
+    items = spark.createDataFrame([(i, ask.format("Anna" if i % 2 else "Ben", i, 2 * i)) for i in range(40)] + [(50, ask.replace("miller", "baker").format("Eve", 1, 1)), (None, None)], "item_id long, text string")
+    docs = [f"wa wb. {ask.format('Carl', 99, 98)} wc", f"wa wb. {ask.format('Anna', 7, 14)} wc", "wa wb wc", ask.replace("miller", "baker").format("Tom", 5, 6)]
+    got = {(r.doc_id, r.item_id, r.n_items, r.reparameterised) for r in templates.matches(table(spark, docs), items).collect()}
+    assert {x for x in got if x[1] == 0 and x[0] < 2} == {(0, 0, 40, True), (1, 0, 40, False)} and (3, 50, 1, True) in got and 2 not in {x[0] for x in got}
+    twice = "first {} met {} at the mill and then {} went home with all of the flour"
+    same, other = (spark.createDataFrame([(1, twice.format("Anna", "Ben", x))], "item_id long, text string") for x in ("Anna", "Ben"))
+    assert templates.item_classes(templates.benchmark_windows(same.unionAll(other.withColumn("item_id", F.lit(2).cast("long"))), "item_id", "text", 8)).count() == 2
+
+
+def questions(rng):
+    """Templates with slots {n} numbers, {u} units, and {A} {B} names, of several lengths and with names at any place."""
+    names, units = ["Anna", "Ben", "Clara", "David", "Eve", "Frank", "Élise", "Jürgen"], ["kg", "metres", "hours", "litres", "dollars", "%"]
+    shapes = [
+        "{A} buys {n} apples and {n} pears. {A} gives {n} of them to {B}. How many does {A} have left?", "A train leaves {A} at {n} hours and goes {n} {u} to the north. When does it reach {B}?",
+        "{A} is {n} years old. {B} is {n} years older than {A}. How old is {B}?", "What is {n} plus {n} minus {n}?", "Compute {n} * {n} + {n} - {n}", "Add {n} {n} {n} and {n}", "{A} has {n} coins",
+        "If {A} and {B} share {n} {u} of flour evenly, how much does each of them get?", "The sum of {n} and {n} is how much more than {n}?", "How many {u} are there in {n} {u} of water?",
+        "In a field of {n} {u} by {n} {u} the farmer {A} plants {n} trees in each row; how many rows does {A} need?", "Le fermier {A} vend {n} pommes rouges à son voisin {B} pour {n} euros et achète {n} poires",
+        "Yesterday {A} met {B} near the old mill and lent him {n} {u} until the end of the week", "Which number comes next after {n} {n} {n} {n}?", "Der Bauer {A} verkauft {n} rote Äpfel an {B} und kauft dann {n} Birnen",
+    ]
+
+    def filled(shape):
+        pair = rng.sample(names, 2)
+        text = shape.replace("{A}", pair[0]).replace("{B}", pair[1])
+        while "{n}" in text or "{u}" in text:
+            text = text.replace("{n}", str(rng.randrange(2, 500)), 1).replace("{u}", rng.choice(units), 1)
+        return text
+
+    return shapes, filled
+
+
+def test_recall_of_other_values(spark):
+    """Of re-parameterised questions inside prose at least 0.9 are found, and no text without one is taken for one."""
+    rng = random.Random(17)
+    shapes, filled = questions(rng)
+    items = spark.createDataFrame([(i, filled(s)) for i, s in enumerate(shapes)], "item_id long, text string")
+    docs, want = [], []
+    for _ in range(20):
+        for i, s in enumerate(shapes):
+            lead = prose(rng, rng.randrange(5, 40), 5000)
+            docs.append(f"{lead}{rng.choice(['. ', ': ', chr(10), ' '])}{filled(s)} {prose(rng, 20, 5000)}")
+            want.append(i)
+    words_ = [filled(s).split() for s in shapes for _ in range(20)]
+    clean = [" ".join(rng.sample(w, len(w))) for w in words_ if len(w) > 8] + [prose(rng, 60, 5000) for _ in range(100)]
+    clean += [f"{rng.choice(['Tom', 'Lea'])} sees {rng.randrange(90)} birds in the tall tree behind the {w} and counts them again" for w in ("house", "barn", "mill", "church", "school")]
+    got = {(r.doc_id, r.item_id) for r in templates.matches(table(spark, docs + clean), items).collect()}
+    found = sum((d, i) in got for d, i in enumerate(want))
+    false = {d for d, _ in got if d >= len(docs)}
+    print(f"recall {found / len(want):.3f}, false {len(false)} of {len(clean)}; missed {Counter(i for d, i in enumerate(want) if (d, i) not in got)}")
+    assert found >= 0.9 * len(want) and not false
+
+
 @pytest.mark.parametrize("numbers", [False, True])
 def test_verbatim_passages_against_brute_force(spark, numbers):
     rng = random.Random(9)
@@ -217,6 +346,10 @@ def test_bpe_equals_the_library(spark):
     plain = bpe.encode(table(spark, ["two words", None]), VOCAB).orderBy("doc_id").collect()
     assert plain[0].ids == t.encode("two words", add_special_tokens=False).ids and plain[1].ids == [] and plain[1].decoded == ""
     assert bpe.digests(table(spark, []), VOCAB).count() == 0
+    odd = spark.createDataFrame([(None, "the"), (3, "the"), (3, "of the")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in bpe.digests(odd, VOCAB).collect()) == [(0, 1), (3, 1), (3, 2)]
+    clash = bpe.lengths(odd.select(F.col("text").alias("t"), F.lit(1).alias("text_"), F.lit("x").alias("n_tokens"), F.lit("y").alias("__text")), VOCAB, "t")
+    assert clash.columns == ["text_", "__text", "n_tokens"] and sorted(r.n_tokens for r in clash.collect()) == [1, 1, 2]
 
 
 # --- 6: Jaccard join ---
@@ -245,7 +378,6 @@ def linked(texts, k, num, den):
 @pytest.mark.parametrize("k,num,den,block", [(3, 90, 100, 400), (5, 80, 100, 400), (5, 80, 100, 6), (3, 90, 100, 5)])
 def test_jaccard_components(spark, monkeypatch, k, num, den, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
-    monkeypatch.setattr(jaccard, "COMMON", 1 + block % 3)
     rng = random.Random(k * den + block)
     texts = list(ODD[:8]) + ["Two words", "two  WORDS"]
     for _ in range(12):
@@ -257,6 +389,10 @@ def test_jaccard_components(spark, monkeypatch, k, num, den, block):
             if rng.random() < 0.3:
                 copy = copy[: max(1, int(len(copy) * rng.uniform(0.8, 1)))]
             texts.append(" ".join(copy))
+    passage = prose(rng, 40)
+    texts += [f"{passage} {prose(rng, n)}" for n in (3, 4, 5, 6, 7, 8, 9, 10, 40, 41, 42, 300)]
+    base = prose(rng, 50).split()
+    texts += [" ".join(base[:i] + ["z"] + base[i + 1 :]) for i in range(0, 50, 4)] + [" ".join(base)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(table(spark, texts), k, num, den).collect()}
     assert got == linked(texts, k, num, den)
 
@@ -265,6 +401,33 @@ def test_jaccard_odd_tables(spark):
     assert jaccard.link_components(table(spark, [])).count() == 0
     got = jaccard.link_components(table(spark, ["a b c", "a b c", "a b c", None], [5, 5, None, None])).collect()
     assert sorted((r.doc_id or -1, r.n_shingles) for r in got) == [(-1, 0), (-1, 1), (5, 1), (5, 1)]
+    named = spark.createDataFrame([("q", "a b c d"), ("p", "a b  c d"), (None, "a b c d"), ("r", ""), ("p", "x y z")], "name string, text string")
+    got = jaccard.link_components(named, 3, 90, 100, key="name").collect()
+    assert sorted((r.name or "", r.n_shingles, r.component_id or "") for r in got) == [("", 2, ""), ("p", 1, "p"), ("p", 2, "p"), ("q", 2, "p"), ("r", 0, "r")]
+
+
+def test_jaccard_tells_long_words_apart(spark):
+    one, two = thue_morse(1024)
+    got = jaccard.link_components(table(spark, [f"{one} x y", f"{two} x y", f"{one} x y"]), 3, 90, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 0}
+
+
+def test_overlaps_of_very_large_sets_are_whole():
+    shared, n = 671_121, 0
+    base = np.arange(shared, dtype=np.uint64) * np.uint64(2**40)
+    a, b = (np.concatenate([base, np.arange(m, dtype=np.uint64) + np.uint64(2**63 + at)]) for m, at in ((37_284, 1), (37_285, 10**9)))
+    size = len(a) + len(b) - shared
+    assert 100 * shared >= 90 * size > 100 * shared - 100
+    for n, want in ((0, 1), (9, 0)):
+        wider = np.concatenate([b, np.arange(n, dtype=np.uint64) + np.uint64(2**63 + 10**12)])
+        node, _ = jaccard._count_block([1, 2], [1, 2], [a.tobytes(), wider.tobytes()], 90, 100)
+        assert len(node) == want
+
+
+def test_counting_a_block():
+    sets = [np.array(x, np.uint64).tobytes() for x in ([1, 2, 3, 4, 5], [1, 2, 3, 4, 5, 6], [], [1, 2, 3, 4], [1, 2, 3, 4, 9, 10, 11])]
+    links = lambda sides: sorted(zip(*(x.tolist() for x in jaccard._count_block([0, 1, 2, 3, 4], sides, sets, 80, 100)), strict=True))
+    assert links([0] * 5) == [(1, 0), (3, 0)] and links([1, 2, 2, 1, 1]) == [(1, 0)] and links([2] * 5) == [] and links([0, 2, 2, 2, 2]) == [(1, 0), (3, 0)]
 
 
 def test_fragments_share_one_for_every_link():
@@ -295,6 +458,8 @@ def test_gam_learns_held_out_texts(spark):
     held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum((got[i] >= 0.7) == (i % 2 == 0) for i in held) >= 0.98 * len(held) and all(0 <= s <= 1 for s in got.values()) and len(got) == len(texts)
     assert gam.keep(docs, model, 0.7).count() == sum(s >= 0.7 for s in got.values())
+    odd = spark.createDataFrame([(None, good[0], 1), (1, good[1], 2), (1, bad[0], 3)], "doc_id long, text string, x long")
+    assert [r.x for r in gam.keep(odd, model, 0.7).orderBy("x").collect()] == [1, 2] and gam.score(odd, model).count() == 3
     none = gam.train(docs, labels.where("false"), "quality", F.lit(True))
     assert {r.score for r in gam.score(docs, none).collect()} == {0.5} and gam.score(table(spark, []), model).count() == 0
 
@@ -323,8 +488,8 @@ def test_length_histogram(spark):
 
 
 def test_reply_trees_pick_the_best_branch(spark):
-    rows = [("r", None, 1.0), ("a", "r", 5.0), ("b", "r", 1.0), ("a1", "a", 1.0), ("a2", "a", 9.0), ("solo", "gone", None), ("x", "y", 1.0), ("y", "x", 1.0)]
-    nodes = spark.createDataFrame(rows, "node string, parent string, score double")
+    rows = [("r", None, 1.0), ("a", "r", 5.0), ("b", "r", 1.0), ("a1", "a", 1.0), ("a2", "a", 9.0), ("solo", "gone", None), ("x", "y", 1.0), ("y", "x", 1.0), ("z", "y", 1.0), (None, "r", 99.0)]
+    nodes = spark.createDataFrame(rows, "node string, parent string, score double").withColumns({"n": F.lit(1), "path": F.lit("p"), "rank": F.lit(2)})
     got = {}
     for r in chat.paths(nodes, top=2).collect():
         got.setdefault((r["path"], r["rank"]), {})[r["depth"]] = r["node"]
@@ -334,6 +499,32 @@ def test_reply_trees_pick_the_best_branch(spark):
     assert sorted(r.depth for r in chat.paths(chain).collect()) == list(range(300))
 
 
+def test_repeated_messages_are_one(spark):
+    rows = [(i, i - 1 if i else None, float(s)) for i in range(3) for s in (1, 2)] + [(2, 0, 5.0)]
+    got = chat.paths(spark.createDataFrame(rows, "node long, parent long, score double")).collect()
+    assert sorted((r.depth, r.node) for r in got) == [(0, 0), (1, 1)] or sorted((r.depth, r.node) for r in got) == [(0, 0), (1, 2)]
+    assert len(got) == 2  # 2 answers 0, its least parent, so there are two branches of two messages
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_branches_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    parent = {i: (rng.randrange(i) if i % 9 else None) for i in range(120)}
+    score = {i: rng.randrange(5) for i in parent}
+    nodes = spark.createDataFrame([(i, p, score[i]) for i, p in parent.items()], "node long, parent long, score long")
+    want = {}
+    for leaf in set(parent) - set(parent.values()):
+        up = [leaf]
+        while parent[up[-1]] is not None:
+            up.append(parent[up[-1]])
+        want.setdefault(up[-1], []).append((-sum(score[i] for i in up) / len(up), leaf, up[::-1]))
+    want = {(leaf, rank): up for some in want.values() for rank, (_, leaf, up) in enumerate(sorted(some)[:3], 1)}
+    got = {}
+    for r in chat.paths(nodes, top=3).collect():
+        got.setdefault((r.path, r.rank), {})[r.depth] = r.node
+    assert {k: [v[i] for i in range(len(v))] for k, v in got.items()} == want
+
+
 def test_template_reads_back(spark):
     nasty = ["", None, "<|im_end|>\n", "<\\|im_start|>user\nx", "</s>[INST] ok [/INST]", "<\\\\|", "[\\/INST]", "<<SYS>><</SYS>>", "a\\", "\\n", "$1", "x" * 100_000, "é\n\r"]
     rows = [(c, i, r, t) for c, r in enumerate(["user", "assistant", None, "sys\ntem", "a\\n", "<|im_end|>"]) for i, t in enumerate(nasty)]
@@ -354,54 +545,76 @@ def test_elias_fano():
         e = ngram.EliasFano.of(v)
         assert np.array_equal(e.get(np.arange(len(v))), v)
         ask = np.concatenate([v, v + np.uint64(1), rng.integers(0, 2**63, 200).astype(np.uint64)])
-        assert np.array_equal(e.find(ask), np.searchsorted(v, ask))
+        at, same = e.find(ask)
+        assert np.array_equal(at, np.searchsorted(v, ask)) and np.array_equal(same, np.isin(ask, v))
+    large = ngram.EliasFano.of(np.sort(rng.integers(0, 2**44, 1_000_000).astype(np.uint64)))
+    assert sum(x.nbytes for x in (large.low, large.high, large.ones)) < 3.5 * 1_000_000  # of 8 plain; 24 + 2 bits at best
+
+
+def test_packed_numbers_read_back():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        x = np.sort(rng.integers(0, 2**60, n).astype(np.uint64))
+        assert np.array_equal(ngram.unpack(ngram.pack(x, True), np.uint64, True), x)
+        assert np.array_equal(ngram.unpack(ngram.pack(x.astype(np.uint16)), np.uint16), x.astype(np.uint16))
 
 
 def test_trie_file_is_memory_mapped(tmp_path):
     import mmap
 
     c = np.array([3, 3, 3, 8, 9, 9], np.uint64)
-    w = np.array([1, 5, 7, 5, 0, 2**32 - 1], np.uint32)
+    w = np.array([1, 5, 7, 5, 0, 2**32 - 1], np.uint64)
     n = np.array([4, 1, 1, 2, 1, 3])
-    (tmp_path / "trie").write_bytes(ngram.NgramTrie.build(c, w, n, {}).to_bytes())
+    (tmp_path / "trie").write_bytes(ngram.NgramTrie.build(c, w, n, {}, 32).to_bytes())
     with (tmp_path / "trie").open("rb") as f:
         t = ngram.NgramTrie.open(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
     rank, found = t.contexts(np.array([3, 8, 9, 4, 10], np.uint64))
     assert found.tolist() == [True, True, True, False, False]
-    got = ngram.probability(t.lookup(rank, found, np.array([1, 5, 2**32 - 1, 1, 1], np.uint32)))
-    assert np.allclose(got, [3.25 / 6, 1.25 / 2, 2.25 / 4, 0, 0], rtol=1e-3)
-    assert ngram.probability(t.lookup(rank[:1], found[:1], np.array([2], np.uint32)))[0] == 0
+    got = ngram.probability(t.lookup(rank, found, np.array([3, 1, 1, 1, 0], np.uint32), np.array([1, 2, 7, 5, 2**32 - 1, 1], np.uint64)))
+    assert np.allclose(got, [3.25 / 6, 0, 0.25 / 6, 1.25 / 2, 2.25 / 4, 0], rtol=1e-3)
 
 
-@pytest.mark.parametrize("chunk,shard", [(1_500_000, 2_500_000), (120, 300)])
-def test_scores_against_brute_force(spark, monkeypatch, chunk, shard):
+@pytest.mark.parametrize("order,chunk,shard", [(3, 1_500_000, 2_500_000), (2, 120, 300), (3, 120, 300), (4, 500, 300)])
+def test_scores_against_brute_force(spark, monkeypatch, order, chunk, shard):
     monkeypatch.setattr(ngram, "CHUNK", chunk)
     rng = random.Random(7)
+    long = thue_morse(1024)
     texts = ODD[:8] + [" ".join(rng.choice(["the", "The", "of", f"w{rng.randrange(40)}", f"v{rng.randrange(3000)}"]) for _ in range(rng.randrange(50))) for _ in range(150)]
     train = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
-    seqs = [[*words("".join(c.lower() if c.isascii() else c for c in t or "")), None] for t in texts]
-    uni, bi = Counter(), Counter()
+    texts[train.index(True, 20)], texts[train.index(False, 20)] = f"{long[0]} x", f"{long[1]} x"
+    seqs = [["<s>"] * (order - 1) + [*words("".join(c.lower() if c.isascii() else c for c in t or "")), None] for t in texts]
+    count = {n: Counter() for n in range(1, order + 1)}
     for s, on in zip(seqs, train, strict=True):
-        if on:
-            uni.update(s)
-            bi.update(zip(["<s>", *s], s, strict=False))
-    total, types = sum(uni.values()), len(uni)
-    ctx, succ = Counter(), Counter()
-    for (c, _), n in bi.items():
-        ctx[c] += n
-        succ[c] += 1
-    got = {r.doc_id: r for r in ngram.score(table(spark, texts), remainder(5) != 1, shard_tokens=shard).collect()}
+        for i in range(order - 1, len(s)) if on else ():
+            for n in count:
+                count[n][tuple(s[i - n + 1 : i + 1])] += 1
+    total, types = sum(count[1].values()), len(count[1])
+    context, successors = Counter(), Counter()
+    for n in range(2, order + 1):
+        for g, c in count[n].items():
+            context[g[:-1]] += c
+            successors[g[:-1]] += 1
+    got = {r.doc_id: r for r in ngram.score(table(spark, texts), remainder(5) != 1, order=order, shard_tokens=shard).collect()}
     for i, s in enumerate(seqs):
-        p = [(uni[w] + 0.5) / (total + 0.5 * (types + 1)) for w in s]
-        full = 0.0
-        for c, w, q in zip(["<s>", *s], s, p, strict=False):
-            full += math.log10(max(bi[c, w] - 0.75, 0) / ctx[c] + 0.75 * succ[c] / ctx[c] * q) if ctx[c] else math.log10(q)
+        base = full = known = 0.0
+        for j in range(order - 1, len(s)):
+            p = (count[1][s[j],] + 0.5) / (total + 0.5 * (types + 1))
+            known += count[1][s[j],] > 0
+            base += math.log10(p)
+            for n in range(2, order + 1):
+                c = tuple(s[j - n + 1 : j])
+                if context[c]:
+                    p = max(count[n][*c, s[j]] - 0.75, 0) / context[c] + 0.75 * successors[c] / context[c] * p
+            full += math.log10(p)
         r = got[i]
-        assert (r.training, r.n_tokens, r.n_known, r.train_tokens) == (train[i], len(s), sum(uni[w] > 0 for w in s), total)
-        assert math.isclose(r.base_score, sum(map(math.log10, p)), rel_tol=1e-9) and math.isclose(r.score, full, rel_tol=2e-3, abs_tol=1e-3)
+        assert (r.training, r.n_tokens, r.n_known, r.train_tokens) == (train[i], len(s) - order + 1, known, total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, full, rel_tol=2e-3, abs_tol=1e-3)
 
 
 def test_scores_of_odd_tables(spark):
     assert ngram.score(table(spark, []), F.lit(True)).count() == 0
     got = ngram.score(table(spark, ["a b", None]), F.lit(False)).collect()
     assert [r.n_known for r in got] == [0, 0] and all(math.isfinite(r.score) for r in got)
+    odd = spark.createDataFrame([(None, "a b", True), (1, "a b", None), (1, "a c", True)], "doc_id long, text string, c boolean").withColumns({"chunk": F.lit(1), "k": F.lit("k")})
+    got = sorted((r.doc_id or 0, r.training, r.n_known, r.train_tokens) for r in ngram.score(odd, F.col("c")).collect())
+    assert got == [(0, True, 3, 6), (1, False, 3, 6), (1, True, 3, 6)]
