@@ -227,16 +227,16 @@ def brand_site_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.add_brand_sites(venues(spark, sf_dir), agreement=0.5).where(F.col("website_type").startswith("chain")).select("seq", "website", "website_type")
 
 
-@query(f"""WITH v AS ({VENUES}), i AS (SELECT s_suppkey AS iseq, 51.28 + ((s_suppkey * 7919 * 13) % 4200) / CAST(10000.0 AS DOUBLE) AS y, -0.52 + ((s_suppkey * 104729 * 13) % 8600) / CAST(10000.0 AS DOUBLE) AS x FROM supplier)
-SELECT seq, min(iseq) AS item FROM v, i WHERE abs(y - lat) < 0.01 AND sqrt((y - lat) * (y - lat) + ((x - lon) * cos(radians(y))) * ((x - lon) * cos(radians(y)))) * 111320 <= 200 GROUP BY seq""")
+_LABEL = "CASE seq % 3 WHEN 0 THEN concat('The ', name) WHEN 1 THEN name ELSE 'Else' END"
+
+
+@query(f"""WITH v AS (SELECT *, replace(name, ' ', '') AS f FROM ({VENUES}) x), i AS (SELECT seq AS iseq, lat + 0.001 AS lat, lon, replace(lower({_LABEL}), ' ', '') AS f FROM v WHERE seq % 4 <> 0)
+SELECT r.seq AS seq, min(x.iseq) AS item FROM v r JOIN i x ON abs(x.lat - r.lat) < 0.01 WHERE (x.f = r.f OR (length(r.f) >= 4 AND contains(x.f, r.f)) OR (length(x.f) >= 4 AND contains(r.f, x.f)))
+  AND sqrt((x.lat - r.lat) * (x.lat - r.lat) + ((x.lon - r.lon) * cos(radians(x.lat))) * ((x.lon - r.lon) * cos(radians(x.lat)))) * 111320 <= 200 GROUP BY r.seq""")
 def range_join_200m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = readers.venue_rows(_view(spark, sf_dir).drop("site").withColumn("name", F.lit("same name")))
-    k = F.col("s_suppkey")
-    items = _table(spark, sf_dir, "supplier").select(
-        k.alias("seq"), F.lit("same name").alias("label"), F.concat(F.lit("https://item.test/"), k.cast("string")).alias("site"),
-        (F.lit(51.28) + ((k * 7919 * 13) % 4200) / F.lit(10000.0)).alias("lat"), (F.lit(-0.52) + ((k * 104729 * 13) % 8600) / F.lit(10000.0)).alias("lon"),
-    )
-    got = joins.add_wikidata(v, items).where("website <> ''")
+    v = _view(spark, sf_dir)
+    items = v.where("seq % 4 <> 0").select("seq", F.expr(_LABEL).alias("label"), F.concat(F.lit("https://item.test/"), F.col("seq").cast("string")).alias("site"), (F.col("lat") + F.lit(0.001)).alias("lat"), "lon")
+    got = joins.add_wikidata(readers.venue_rows(v.drop("site")), items).where("website <> ''")
     return got.select("seq", F.substring_index("website", "/", -1).cast("long").alias("item"))
 
 
@@ -349,18 +349,24 @@ def partner_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.merge_partners(v, told, "44")[1]
 
 
-_LIVE = f"""{_OWN}, scored AS (SELECT *, CASE WHEN kind IN ('ECONOMY', 'MEDIUM') OR amenity = 'pub' THEN 3 ELSE 1 END AS s FROM own),
-mails AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mail ORDER BY s DESC, borough, lower(name), seq) AS r FROM scored WHERE mail <> '') x WHERE r = 1),
-sites AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY.format("website")} ORDER BY s DESC, borough, lower(name), seq) AS r FROM scored WHERE website <> '') x WHERE r = 1)"""
+_LIVE = f"""{_OWN}, hinted AS (SELECT *, CASE WHEN kind IN ('ECONOMY', 'MEDIUM') OR amenity = 'pub' THEN 3 ELSE 1 END AS s FROM own), scored AS (SELECT *, s + CASE seq % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 0 END AS e FROM hinted),
+mails AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mail ORDER BY e DESC, borough, lower(name), seq) AS r FROM scored WHERE mail <> '') x WHERE r = 1),
+sites AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY.format("website")} ORDER BY e DESC, borough, lower(name), seq) AS r FROM scored WHERE website <> '') x WHERE r = 1)"""
+
+
+def _scored(v: DataFrame) -> DataFrame:
+    """Venues with scores, as if their sites had been read."""
+    lang = F.when(F.col("seq") % 3 == 0, "English").when(F.col("seq") % 3 == 1, "Bilingual").otherwise("Local")
+    return relations.score(v.withColumn("site_language", lang))
 
 
 def _live(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    v = relations.score(venues(spark, sf_dir))
+    v = _scored(venues(spark, sf_dir))
     return v, relations.email_rows(v, relations.by_score()), relations.site_rows(v, relations.by_score())
 
 
-@query(f"""WITH {_LIVE}, b AS (SELECT borough, count(*) AS n FROM scored GROUP BY 1), m AS (SELECT borough, count(*) AS n FROM mails GROUP BY 1), w AS (SELECT borough, count(*) AS n FROM sites GROUP BY 1)
-SELECT b.borough AS district, b.n AS venues, coalesce(m.n, 0) AS emails, coalesce(w.n, 0) AS websites, CAST(0 AS BIGINT) AS high_priority_emails, CAST(0 AS BIGINT) AS high_priority_websites FROM b LEFT JOIN m USING (borough) LEFT JOIN w USING (borough)""")
+@query(f"""WITH {_LIVE}, b AS (SELECT borough, count(*) AS n FROM scored GROUP BY 1), m AS (SELECT borough, count(*) AS n, count(*) FILTER (WHERE e >= 4) AS high FROM mails GROUP BY 1), w AS (SELECT borough, count(*) AS n, count(*) FILTER (WHERE e >= 4) AS high FROM sites GROUP BY 1)
+SELECT b.borough AS district, b.n AS venues, coalesce(m.n, 0) AS emails, coalesce(w.n, 0) AS websites, coalesce(m.high, 0) AS high_priority_emails, coalesce(w.high, 0) AS high_priority_websites FROM b LEFT JOIN m USING (borough) LEFT JOIN w USING (borough)""")
 def district_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, emails, sites = _live(spark, sf_dir)
     return relations.district_summary(v, emails, sites)
@@ -372,7 +378,7 @@ k AS (SELECT borough, area FROM m UNION SELECT borough, area FROM w UNION SELECT
 SELECT k.borough, CASE WHEN k.area = '' THEN '(unassigned)' ELSE k.area END AS area, coalesce(m.n, 0) AS emails, coalesce(w.n, 0) AS websites FROM k LEFT JOIN m USING (borough, area) LEFT JOIN w USING (borough, area)""")
 def area_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = _areas(spark, sf_dir)
-    v = relations.score(joins.assign_areas(venues(spark, sf_dir), areas))
+    v = _scored(joins.assign_areas(venues(spark, sf_dir), areas))
     return relations.area_summary(relations.email_rows(v, relations.by_score()), relations.site_rows(v, relations.by_score()), areas)
 
 
@@ -536,3 +542,29 @@ def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["point_in_polygon"] = f"""WITH v AS ({VENUES}) SELECT seq, d AS district FROM v, (VALUES ('a', -0.4, 51.3, 0.0, 51.5), ('b', -0.1, 51.4, 0.2, 51.6)) t(d, w, s, e, n) WHERE lon > w AND lon < e AND lat > s AND lat < n"""
+
+
+_VALUES = sorted({v for vs in V.CUISINES.values() for v in vs} | {"other"})
+_SERVED = ", ".join(f"('{v}', '{c}')" for c, vs in V.CUISINES.items() for v in vs)
+
+
+@query(f"""WITH t(v, c) AS (VALUES {_SERVED}), s AS (SELECT s_suppkey, unnest(list_distinct([{_VALUES}[s_suppkey % {len(_VALUES)} + 1], {_VALUES}[s_suppkey * 7 % {len(_VALUES)} + 1]])) AS v FROM supplier)
+SELECT s_suppkey, coalesce(string_agg(DISTINCT c, '; ' ORDER BY c), 'Restaurant') AS categories FROM s LEFT JOIN t USING (v) GROUP BY s_suppkey""")
+def categorize_cuisines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two cuisine tags of all that are known, in turn, written with another case and separator."""
+    values, k = text.strings(_VALUES), F.col("s_suppkey")
+    pick = lambda i: F.element_at(values, (i % len(_VALUES) + 1).cast("int"))
+    tags = F.create_map(F.lit("cuisine"), F.concat(F.upper(pick(k)), F.when(k % 2 == 0, "; ").otherwise(","), pick(k * 7)))
+    return _table(spark, sf_dir, "supplier").select("s_suppkey", _joined(text.categorize(tags, F.lit("x"))).alias("categories"))
+
+
+_SITES = [f"https://www.{h}/a" for h in V.OTHER_SITE_HOSTS] + [f"m.{x}.co.uk/b" for x in [*V.OTHER_SITE_LABELS, *V.COMPANY_LABELS]] + ["https://a.x.com", "myfacebook.test", "https://kite.test/?u=facebook.com", "xx.com", ""]
+
+
+@query(rf"""WITH s AS (SELECT c_custkey, {_SITES}[c_custkey % {len(_SITES)} + 1] AS url FROM customer), h AS (SELECT c_custkey, regexp_replace(regexp_extract(regexp_replace(url, '^https?://', ''), '^[^/?#]*'), '^www\.', '') AS host FROM s),
+k AS (SELECT c_custkey, host IN {tuple(V.OTHER_SITE_HOSTS)} OR ends_with(host, '.x.com') OR list_has_any(string_split(host, '.'), {V.OTHER_SITE_LABELS}) AS other, list_has_any(string_split(host, '.'), {V.COMPANY_LABELS}) AS company FROM h)
+SELECT c_custkey, other AS not_venue_site, other OR company AS aggregator FROM k""")
+def site_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which web addresses are a venue's own: every host and label of the lists, and some that only look like them."""
+    url = F.element_at(text.strings(_SITES), (F.col("c_custkey") % len(_SITES) + 1).cast("int"))
+    return _table(spark, sf_dir, "customer").select("c_custkey", text.not_venue_site(url).alias("not_venue_site"), text.is_aggregator(url).alias("aggregator"))
