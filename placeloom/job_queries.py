@@ -107,12 +107,12 @@ def catalogue_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("seq", F.col("borough").alias("district"), F.col("tags")["amenity"].alias("amenity"), F.col("tags")["cuisine"].alias("cuisine"), "email", "website", "lat", "lon")
 
 
-@query(f"""SELECT seq, name AS label, lat, lon FROM ({VENUES}) v WHERE seq % 4 <> 3""")
+@query(f"""SELECT seq, name AS label, CAST(printf('%.4f', lat) AS DOUBLE) AS lat, CAST(printf('%.4f', lon) AS DOUBLE) AS lon FROM ({VENUES}) v WHERE seq % 4 <> 3""")
 def wikidata_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = F.concat(F.lit("Point("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")"))
+    place = F.format_string("Point(%.4f %.4f)", "lon", "lat")
     value = lambda c: F.struct(c.alias("value"))
     rows = _view(spark, sf_dir).select("seq", value(F.col("name")).alias("itemLabel"), value(F.col("site")).alias("site"), value(F.when(F.col("seq") % 4 == 3, "t123").otherwise(place)).alias("coord"))
-    return readers.wikidata_points(rows).select("seq", "label", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
+    return readers.wikidata_points(rows).select("seq", "label", "lat", "lon")
 
 
 @query(f"""WITH p AS (SELECT v.*, CASE WHEN seq % 13 = 0 THEN 'NOT A FOOD VENUE' WHEN seq % 17 = 0 THEN 'Permanently closed' WHEN seq % 19 = 0 THEN 'temporarily closed' ELSE '' END AS notes FROM ({VENUES}) v), {_OWN.replace(f"v AS ({VENUES})", "v AS (SELECT * FROM p)")}
