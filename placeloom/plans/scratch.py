@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = str(Path(__file__).resolve().parents[2])
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own: list[str] = []
 
 
@@ -34,10 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package when it is run from a source tree, and has them give back large arrays at once."""
+    """Lets Python workers import this package when it is run from a source tree, has them give back large arrays at once, and keeps batches small."""
     env = spark.sparkContext.environment
     env.setdefault("MALLOC_MMAP_THRESHOLD_", str(8 << 20))
     env.setdefault("MALLOC_TRIM_THRESHOLD_", str(16 << 20))
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    if spark.conf.get(_BATCH, None) is None:  # texts may be long, so batches end by bytes, not by rows alone
+        spark.conf.set(_BATCH, str(4 << 20))
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
