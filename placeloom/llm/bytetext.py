@@ -70,7 +70,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw, at - at[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 500_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 300_000) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that a piece holds about ``limit`` bytes of text (a single longer text stays whole)."""
     for batch in batches:
         if not batch.num_rows:

@@ -251,11 +251,12 @@ def judge(pages: DataFrame, domains: DataFrame, rules: list[tuple[str, str, str]
     flag = free_name("listed", rest)
     rows = pages.select(*[F.col(f"`{c}`") for c in rest], host(url).alias("host"), path(url).alias("path"))
     listed = scratch.put(domains.select(_lowered(F.col("domain")).alias("domain"), F.lit(True).alias("listed")).where("domain <> ''").distinct())
-    shards = max(1, -(-listed.count() // per_shard))
-    first = scratch.put(first_levels(listed, shards))
+    size = listed.count()
+    shards = max(1, -(-size // per_shard))
+    first = scratch.put(first_levels(listed, shards), shards)
     passed = _sift(rows.select("host").distinct(), Shipped(first, shards, most))
     passed = scratch.put(passed.join(listed, "domain", "left").select("domain", F.coalesce("listed", F.lit(False)).alias("listed")))
-    built = scratch.put(all_levels(first, passed, shards))
+    built = scratch.put(all_levels(first, passed, shards), shards)
     cascades = Shipped(built, shards, most)
     alike = frozenset(r.x for r in built.select(F.explode("alike").alias("x")).toLocalIterator())  # pairs of one 64-bit hash
 

@@ -276,20 +276,20 @@ def _hub_members(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return own.unionAll(count.select(F.col("hub").alias("k"), F.explode(F.transform(_upto(F.col("m")), lambda i: _place(name(i), 1))).alias("at")))
 
 
-def _label_members(passed: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
+def _label_members(passed: DataFrame, sizes: DataFrame, most: int, scratch: Scratch) -> DataFrame:
     """(k, at): tasks for the texts of two labels that both have texts which pass; ``passed`` is (k, label, other).
 
     Labels that are tied so by pairs are one task as long as their texts fit a block; beyond that each pair of labels is a task, or
     as many as it has pairs of blocks.
     """
     rows = passed.join(sizes.withColumnRenamed("node", "k"), "k")
-    rows = scratch.put(rows.select("k", "n", F.least("label", "other").alias("x"), F.greatest("label", "other").alias("y"), (F.col("label") > F.col("other")).alias("upper")))
+    rows = scratch.put(rows.select("k", "n", F.least("label", "other").alias("x"), F.greatest("label", "other").alias("y"), (F.col("label") > F.col("other")).alias("upper")), most)
     count = rows.groupBy("x", "y", "upper").agg(_blocks_of().alias("m"))
     count = count.groupBy("x", "y").agg(*[F.max(F.when(F.col("upper") == u, F.col("m"))).alias(c) for u, c in ((False, "mx"), (True, "my"))])
-    count = scratch.put(count.where("mx > 0 and my > 0"))
+    count = scratch.put(count.where("mx > 0 and my > 0"), most)
     tied = components(count.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch).withColumnRenamed("node", "x")
-    rows = scratch.put(rows.join(small(count.join(small(tied), "x")), ["x", "y"]))
-    whole = scratch.put(rows.select("k", "n", "root").distinct().groupBy("root").agg(_blocks_of().alias("m")))
+    rows = scratch.put(rows.join(small(count.join(small(tied), "x")), ["x", "y"]), most)
+    whole = scratch.put(rows.select("k", "n", "root").distinct().groupBy("root").agg(_blocks_of().alias("m")), most)
     alone = rows.join(small(whole.where("m = 1").select("root")), "root").select("k", _place(F.concat_ws("=", F.lit(""), "root"), 0).alias("at")).distinct()
     name = lambda i, j: F.concat_ws("/", F.col("x"), F.col("y"), i, j)
     block = lambda m: F.pmod(F.xxhash64("k"), F.col(m).cast("long")).cast("int")
@@ -329,7 +329,7 @@ def _postings(reps: DataFrame, total: int, scratch: Scratch) -> DataFrame:
     They are sifted in the scan; a few that only one has pass by mistake, and meet nobody.
     """
     ranges = max(3, (total // 500_000).bit_length())
-    shared = scratch.put(_shared(reps, ranges))
+    shared = scratch.put(_shared(reps, ranges), total)
     n = shared.count()
     bits = prefix_bits(n)
     known = reps.sparkSession.sparkContext.broadcast(bit_table(shared, bits))
@@ -345,7 +345,7 @@ def _postings(reps: DataFrame, total: int, scratch: Scratch) -> DataFrame:
 
     sifted = reps.select("k", "spare", "sent").mapInArrow(sift, "k long, h long, spare int")
     common = small(shared.where("common").select("h", "common"))
-    out = scratch.put(sifted.join(common, "h", "left").select("k", "h", "spare", F.coalesce("common", F.lit(False)).alias("common")))
+    out = scratch.put(sifted.join(common, "h", "left").select("k", "h", "spare", F.coalesce("common", F.lit(False)).alias("common")), total)
     scratch.drop(shared)
     return out
 
@@ -361,47 +361,47 @@ def _linked(docs: DataFrame, key: str, text: str, reps: DataFrame, sizes: DataFr
     posts = _postings(reps, fragments, scratch)
 
     def counted(members: DataFrame) -> DataFrame:
-        at = scratch.put(members.groupBy("k").agg(F.collect_set("at").alias("at")))
-        out = scratch.put(_links(docs, key, text, at, k, num, den, tasks))
+        at = scratch.put(members.groupBy("k").agg(F.collect_set("at").alias("at")), fragments)
+        out = scratch.put(_links(docs, key, text, at, k, num, den, tasks), fragments)
         scratch.drop(at)
         return out
 
     # 1: each heavy text against one hub
-    heavy = scratch.put(_heavy(posts))
+    heavy = scratch.put(_heavy(posts), fragments)
     weak = posts.where("common").select("k", "h").join(small(heavy), "k")
     hub = weak.groupBy("h").agg(F.max(F.struct("weak", (-F.col("k")).alias("k"))).alias("m")).select("h", (-F.col("m.k")).alias("hub"))
     star = weak.join(hub, "h").where("k <> hub").groupBy("k", "hub").agg(F.count(F.lit(1)).alias("c"))
     best = star.groupBy("k").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
-    found = counted(_hub_members(scratch.put(best), sizes))
+    found = counted(_hub_members(scratch.put(best, fragments), sizes))
     label = components(found, scratch)
 
     # 2: texts against the labels that they share enough fragments with
     own = posts.join(small(label.withColumnRenamed("node", "k")), "k", "left")
-    own = scratch.put(own.select("k", "h", "spare", F.coalesce("root", "k").alias("label")))
+    own = scratch.put(own.select("k", "h", "spare", F.coalesce("root", "k").alias("label")), fragments)
     scratch.drop(posts, heavy)
-    labels = scratch.put(own.select("h", "label").distinct())
-    many = scratch.put(labels.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    rows = scratch.put(own.join(small(many), "h"))
+    labels = scratch.put(own.select("h", "label").distinct(), fragments)
+    many = scratch.put(labels.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), fragments)
+    rows = scratch.put(own.join(small(many), "h"), fragments)
     weak = rows.where(F.col("c") > COMMON)
-    left_out = scratch.put(weak.groupBy("k").agg(F.count(F.lit(1)).alias("weak"), F.min("spare").alias("spare")))
+    left_out = scratch.put(weak.groupBy("k").agg(F.count(F.lit(1)).alias("weak"), F.min("spare").alias("spare")), fragments)
     scratch.drop(own)
     others = labels.withColumnRenamed("label", "other").join(small(many.where(F.col("c") <= COMMON).select("h")), "h", "left_semi")
     met = rows.where(F.col("c") <= COMMON).join(others, "h").where("label <> other")
     met = met.groupBy("k", "label", "other").agg(F.count(F.lit(1)).alias("c"), F.min("spare").alias("spare"))
     met = met.join(small(left_out.select("k", "weak")), "k", "left")
     due = F.greatest(F.lit(1), F.col("spare") + 1 - F.coalesce("weak", F.lit(0)))
-    members = _label_members(met.where(F.col("c") >= due).select("k", "label", "other"), sizes, scratch)
+    members = _label_members(met.where(F.col("c") >= due).select("k", "label", "other"), sizes, fragments, scratch)
 
     # 3: what is heavy still
-    rest = scratch.put(left_out.where("weak > spare").select("k"))
+    rest = scratch.put(left_out.where("weak > spare").select("k"), fragments)
     if rest.limit(1).count():
         weak = weak.select("k", "h").join(small(rest), "k")
         first = weak.groupBy("h").agg(F.min("k").alias("b"))
         loose = components(weak.join(first, "h").select(F.col("k").alias("a"), "b").where("a <> b").distinct(), scratch)
         kind = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num) + 1e-9))).cast("int")
         loose = loose.join(sizes, "node").select(F.col("node").alias("k"), "root", "n", kind.alias("class"))
-        members = members.unionAll(_cluster_members(scratch.put(loose)))
-    members = scratch.put(members)
+        members = members.unionAll(_cluster_members(scratch.put(loose, fragments)))
+    members = scratch.put(members, fragments)
     scratch.drop(labels, rows, many)
     return components(found.unionAll(counted(members)), scratch)
 
@@ -419,25 +419,26 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
         nulls = link_components(rows.where(F.col(key).isNull()).select(F.lit(None).cast("long").alias(row), text), k, num, den, row, text, scratch)
         return got.unionAll(nulls.select(F.lit(None).cast(got.schema[key].dataType).alias(key), "n_shingles", F.lit(None).cast(got.schema[key].dataType).alias("component_id")))
     full = scratch.put(_sets(docs, key, text, k, num, den))
-    sets = scratch.put(full.select("k", "n", "s1", "s2"))
     total = full.agg(F.count(F.lit(1)), F.sum(F.size("sent"))).first()
+    rows = int(total[0] or 0)
+    sets = scratch.put(full.select("k", "n", "s1", "s2"), rows)
     salt = F.pmod(F.hash("k"), F.lit(SALTS))
     lean = sets.where("n > 0").select("k", "s1", "s2", salt.alias("salt"))
     some = lean.groupBy("s1", "s2", "salt").agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("c"))
     whole = some.groupBy("s1", "s2").agg(F.min("rep").alias("rep"), F.sum("c").alias("c"))
-    copied = scratch.put(whole.where("c > 1 and rep is not null").select("s1", "s2", "rep"))
+    copied = scratch.put(whole.where("c > 1 and rep is not null").select("s1", "s2", "rep"), rows)
     copies = small(copied)
     # a row stands for its class unless the class has a smaller id
     reps = full.where("n > 0 and k is not null").join(copies, ["s1", "s2"], "left").where("rep is null or rep = k")
-    reps = scratch.put(reps.select("k", "n", "sent", "spare"))
+    reps = scratch.put(reps.select("k", "n", "sent", "spare"), rows)
     scratch.drop(full)
-    sizes = scratch.put(reps.groupBy(F.col("k").alias("node")).agg(F.max("n").alias("n")))
-    tasks = max(8, int(total[0] or 0) // 8_000)
+    sizes = scratch.put(reps.groupBy(F.col("k").alias("node")).agg(F.max("n").alias("n")), rows)
+    tasks = max(8, rows // 8_000)
     roots = _linked(docs, key, text, reps, sizes, int(total[1] or 0), k, num, den, tasks, scratch)
     scratch.drop(reps, sizes)
     # classes and components meet, then go back to the rows by (set, salt), so that no hot class meets in one task
-    of = scratch.put(copied.join(small(roots.withColumnRenamed("node", "rep")), "rep", "left").select("s1", "s2", F.coalesce("root", "rep").alias("component")))
-    back = scratch.put(some.select("s1", "s2", "salt").join(small(of), ["s1", "s2"]))
+    of = scratch.put(copied.join(small(roots.withColumnRenamed("node", "rep")), "rep", "left").select("s1", "s2", F.coalesce("root", "rep").alias("component")), rows)
+    back = scratch.put(some.select("s1", "s2", "salt").join(small(of), ["s1", "s2"]), rows)
     out = sets.select("k", "n", "s1", "s2", salt.alias("salt")).join(small(back), ["s1", "s2", "salt"], "left")
     out = out.join(small(roots.withColumnRenamed("node", "k")), "k", "left")
     component = F.when(F.col("n") == 0, F.col("k")).otherwise(F.coalesce("component", "root", "k"))

@@ -147,7 +147,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int
     scratch = scratch.part("dedupe") if scratch else Scratch(docs.sparkSession, "dedupe")
     rows = scratch.put(_digest_rows(docs, key, text))
     n = rows.count()
-    repeated = scratch.put(repeated_fingerprints(rows, max(3, (n // 2_000_000).bit_length())))
+    repeated = scratch.put(repeated_fingerprints(rows, max(3, (n // 2_000_000).bit_length())), n)
     fp = F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long")
     again = small(repeated)
 
@@ -162,7 +162,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int
     best = F.min(F.struct(F.col("k").isNull().alias("none"), (-F.col("points")).alias("points"), "k"))
     some = part.groupBy("sha", "salt").agg(best.alias("best"))
     group = some.groupBy("sha").agg(F.min("best").alias("best")).join(clash, "sha").where("bad is null")
-    group = scratch.put(some.select("sha", "salt").join(group.select("sha", F.col("best.k").alias("keep"), "group_size"), "sha"))
+    group = scratch.put(some.select("sha", "salt").join(group.select("sha", F.col("best.k").alias("keep"), "group_size"), "sha"), n)
     out = rows.withColumn("salt", salt).join(small(group, 100_000), ["sha", "salt"], "left")
     keep = F.coalesce("keep", "k")
     first = keep.eqNullSafe(F.col("k"))

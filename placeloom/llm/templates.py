@@ -282,10 +282,11 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     spark = docs.sparkSession
     scratch = scratch.part("templates") if scratch else Scratch(spark, "templates")
     every = scratch.put(benchmark_windows(items, item_key, item_text, window))
-    classes = scratch.put(item_classes(every))
+    size = every.count()
+    classes = scratch.put(item_classes(every), size)
     # items of one class share a row for each window but for those of exact words that differ
     bench = every.groupBy("sign", "k", "reading", "pos", "h").agg(F.min_by(F.struct("kinds", "slots"), "item").alias("x"), F.max("total").alias("total"))
-    bench = scratch.put(bench.join(small(classes), "sign").select("sign", "n_items", "k", "reading", "pos", "h", "x.kinds", "x.slots", "total"))
+    bench = scratch.put(bench.join(small(classes), "sign").select("sign", "n_items", "k", "reading", "pos", "h", "x.kinds", "x.slots", "total"), size)
     n = bench.count()
     bits = prefix_bits(n, 64)
     ks = sorted((r.k, r.reading) for r in bench.select("k", "reading").distinct().collect())  # 3 * ``window`` at most
