@@ -40,7 +40,7 @@ def _kept(docs: DataFrame, scratch: Scratch, gone) -> DataFrame:
     """The rows of ``docs`` without those whose keys ``gone`` (rows, key, scratch) returns; of its tables only the keys stay."""
     rows, key = keyed(docs, scratch)
     inner = scratch.part("work")
-    left = scratch.put(gone(rows, key, inner).select(key))
+    left = scratch.put(gone(rows, key, inner).select(key), rows.count())
     inner.clear()
     return without(rows, left, key).select(docs.columns)
 
