@@ -44,6 +44,7 @@ _STEP = 1 / 4096  # of quantised log10 probabilities
 _SPREAD = 64  # shards of a hot context
 _NONE = np.uint16(0)
 CHUNK = 1_500_000
+LOOKUPS = 200_000  # pairs that are looked up together
 
 
 _L8, _H8 = U(0x0101010101010101), U(0x8080808080808080)
@@ -444,6 +445,19 @@ def _send_grams(chunks: DataFrame, order: int, shards: int, hot: np.ndarray) ->
     return chunks.select("chunk", "train", "lens", "tokens", "rank").mapInArrow(run, "shard int, chunk long, context binary, n binary, word binary, c binary")
 
 
+def _runs(rows: list[tuple], most: int) -> Iterator[list[tuple]]:
+    """Messages (chunk, context, n, word, c) in runs of about ``most`` pairs."""
+    held, n = [], 0
+    for row in rows:
+        held.append(row)
+        n += int.from_bytes(row[3][:8], "little")  # what ``pack`` puts first
+        if n >= most:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _by_both(context: np.ndarray, word: np.ndarray, order: int, width: int) -> np.ndarray:
     """The order of pairs by context, then word; as one key where ranks of ``width`` bits leave room."""
     if order == 2 and 2 * width <= 64:
@@ -485,12 +499,17 @@ def _answer_grams(sent: DataFrame, order: int, shards: int, known: dict[int, int
             i, found = trie.contexts(hot)
             types = trie.pointer.get(i[found] + 1) - trie.pointer.get(i[found])
             yield _pack_rows([(s, None, None, None, np.stack([hot[found], types]).tobytes(), most.tobytes())], schema)
-            for chunk, context, size, word, _ in rows:
-                i, found = trie.contexts(unpack(context, np.uint64, True))
-                code = trie.lookup(i, found, unpack(size, np.uint32), unpack(word, np.uint64))
+            for some in _runs(rows, LOOKUPS):
+                keys, sizes, words = ([unpack(x[i], kind, up) for x in some] for i, kind, up in ((1, np.uint64, True), (2, np.uint32, False), (3, np.uint64, False)))
+                i, found = trie.contexts(np.concatenate(keys))
+                code = trie.lookup(i, found, np.concatenate(sizes), np.concatenate(words))
                 backoff = np.full(len(i), 65535, np.uint16)  # an unseen context leaves everything to the order below
                 backoff[found] = trie.backoff[i[found]]
-                yield _pack_rows([(s, chunk, pack(code), pack(backoff), None, None)], schema)
+                ends = zip(np.cumsum([len(x) for x in keys]).tolist(), np.cumsum([len(x) for x in words]).tolist(), strict=True)
+                x = y = 0
+                for row, (x_end, y_end) in zip(some, ends, strict=True):
+                    yield _pack_rows([(s, row[0], pack(code[y:y_end]), pack(backoff[x:x_end]), None, None)], schema)
+                    x, y = x_end, y_end
 
     dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(run, "shard int, chunk long, code binary, backoff binary, types binary, most binary")
@@ -507,10 +526,10 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     bits = max(3, (size["words"] // shard_tokens).bit_length())
     shards = max(8, size["tokens"] // shard_tokens + 1)
     parts = max(8, size["chunks"] // 4)  # a task takes its chunks one after another
-    words = scratch.put(_count_words(_send_words(chunks, bits), bits, 4 * shards), size["chunks"])
+    words = scratch.put(_count_words(_send_words(chunks, bits), bits, 4 * shards), 1_000_000 << bits)
     told = words.where("chunk is null").agg(*[F.coalesce(f(c), F.lit(0)).alias(c) for f, c in ((F.sum, "n"), (F.sum, "v"), (F.max, "size"))]).first()
     total, distinct, width = int(told.n), int(told.v), ((int(told.size) + 1) << bits).bit_length()
-    ranked = scratch.put(_ranked_chunks(chunks, words, parts), size["chunks"])
+    ranked = scratch.put(_ranked_chunks(chunks, words, parts), 1_000_000 * parts)
     # hot contexts have over a quarter of a shard's tokens: 4 * shards of them at most
     least = max(1, total // (4 * shards))
     known: dict[int, int] = {}
@@ -526,7 +545,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         if begin >= least:
             known[0] = begin
         hot = np.array(sorted(known), np.uint64)
-        got = scratch.put(_answer_grams(_send_grams(ranked, n, shards, hot), n, shards, known, width, least), size["chunks"])
+        got = scratch.put(_answer_grams(_send_grams(ranked, n, shards, hot), n, shards, known, width, least), 1_000_000 * shards)
         rest, following = dict.fromkeys(known, 0.0), {}
         for r in got.where("chunk is null").select("types", "most").toLocalIterator():  # 4 * shards * _SPREAD pairs at most
             for k, types in np.frombuffer(bytes(r.types), np.uint64).reshape(2, -1).T.tolist():
