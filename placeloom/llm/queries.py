@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, cascade, chat, gam, jaccard, lengths, ngram, quotient, shards, templates
+from . import bpe, cascade, centroids, chat, cobucket, gam, jaccard, lengths, ngram, quotient, shards, simhash, templates
 from placeloom.plans.scratch import Scratch, ship
 
 try:
@@ -20,6 +20,7 @@ except ModuleNotFoundError:  # the same files where the package is not on the pa
 
 VOCAB = vocabulary("word_bpe_49k.json")
 SHARDS = 16
+BUCKETS = 600
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -246,6 +247,53 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_weighted_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), clusters=16, rounds=3)
+
+
+def _lloyd_sql(rounds: int, clusters: int) -> str:
+    """Lloyd's rounds as a CTE each: (r, c, d) assigns row r, (c, q) are the centroids."""
+    steps = [
+        """kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, q FROM (SELECT sha256('1:' || vec_id) AS h, q FROM kept ORDER BY h LIMIT {clusters}))",
+    ]
+    gap = "CAST(list_sum(list_transform(list_zip(k.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    for i in range(rounds + 1):
+        steps.append(f"g{i} AS (SELECT k.r, c.c, {gap} AS d FROM kept k, c{i} c)")
+        steps.append(f"a{i} AS (SELECT r, c, d FROM g{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS q FROM (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT a.c, unnest(k.q) AS x, generate_subscripts(k.q, 1) AS i FROM a{i} a JOIN kept k USING (r)) GROUP BY c, i
+  ) GROUP BY c
+)""")
+            steps.append(f"c{i + 1} AS (SELECT c.c, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN m{i} m USING (c))")
+    return ",\n".join(steps)
+
+
+OP11_SQL = f"""
+WITH {_lloyd_sql(3, 16)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a3 a JOIN kept USING (r) JOIN c3 c ON c.c = a.c
+"""
+
+
+def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(_table(spark, sf_dir, "documents"), k=4, radius=4)
+
+
+def op13_cobucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales, lines = (_table(spark, sf_dir, name) for name in ("sales", "sale_lines"))
+    sale = F.coalesce(cobucket.bucket_of(F.col("sale_id"), BUCKETS), F.lit(BUCKETS + 1))
+    start = F.when(sale % 4 == 1, sale - 1).otherwise(sale)
+    item = F.coalesce(cobucket.bucket_of(F.col("item_id"), BUCKETS, salt=""), F.lit(0))
+    return cobucket.pair(sales, lines, "sale_id", ("sales", "sale_lines"), (start, item), BUCKETS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_cascade": op1_url_cascade,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -257,6 +305,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_histogram": op8_length_histogram,
     "op9_reply_trees": op9_reply_trees,
     "op10_ngram_trie": op10_ngram_trie,
+    "op11_weighted_centroids": op11_weighted_centroids,
+    "op12_covering_simhash": op12_covering_simhash,
+    "op13_cobucket": op13_cobucket,
     "reply_branches": reply_branches,
 }
-ORACLES = {"op1_url_cascade": OP1_SQL, "op2_hilbert_shards": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL, "op9_reply_trees": OP9_SQL, "reply_branches": BRANCHES_SQL}
+ORACLES = {
+    "op1_url_cascade": OP1_SQL, "op2_hilbert_shards": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op6_jaccard": OP6_SQL,
+    "op9_reply_trees": OP9_SQL, "op11_weighted_centroids": OP11_SQL, "reply_branches": BRANCHES_SQL,
+}
