@@ -1,15 +1,14 @@
 """Entity resolution. Each rule reads rows in order and changes the state that later rows see, so rows that can
-influence one another are brought together and replayed by ``seq``; everything else runs apart and never leaves the JVM.
+influence one another are brought together: small groups are replayed by ``seq`` (``replay``), large ones settle in parallel rounds as
+far as keys decide (``greedy``). Everything else runs apart and never leaves the JVM.
 
-What a replay compares is prepared by column expressions: folded names, and the keys of addresses, sites, phones and places.
+What is compared is prepared by column expressions: folded names, and the keys of addresses, sites, phones and places.
 ``Rule`` says which of them lead to an earlier row, which prove it the same, and which blanks it fills.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from dataclasses import dataclass, field
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,125 +18,70 @@ from pyspark.sql import types as T
 from ..functions import geo, text
 from ..plans.scratch import Scratch, ship
 from .components import components
+from .greedy import settle
+from .replay import Rule, first_filled, replay
+from .skew import with_values
 
-_STRINGS = "array<string>"
-
+HELD = 20_000  # rows of a component that one task replays before others
 
-@dataclass(frozen=True)
-class Rule:
-    """How a row finds the earlier one that it joins.
+_STRINGS = "array<string>"
 
-    ``probe`` and ``post`` are array columns: the keys under which a row looks, in turn, and those under which it is found once it
-    stays. A row found under a key that starts with one of ``sure`` is the same, as is one with an equal value in a column of
-    ``equal`` (its own or one that it was given), or one whose name agrees, within ``metres`` where they are given. ``fills`` names the
-    columns that a row takes over while its own are blank, with the key column that goes with each.
-    """
 
-    probe: str
-    post: str
-    fills: dict[str, str | None]
-    equal: tuple[str, ...] = ()
-    sure: str = ""
-    metres: float | None = None
-    measured_at_holder: bool = False  # degrees of longitude are as wide as at the earlier row, else as at the later
-    joins: str | None = None  # boolean column: rows that may join others; all if None
-    last: str | None = None  # seq of a row to join where no key leads to one
-    adds: tuple[str, ...] = ()  # "; " lists that take over what they lack, whatever they have
-    notes: dict[str, str] = field(default_factory=dict)  # columns that every joining row changes: "append" or "replace"
-
-    def columns(self) -> list[str]:
-        """What a replay may change."""
-        return list(dict.fromkeys([*self.fills, *self.adds, *self.notes]))
-
-
-class _Replay:
-    """Rows of one component in order; columns are lists, rows are numbers."""
-
-    def __init__(self, rows: pd.DataFrame, rule: Rule):
-        rows = rows.sort_values("seq", ignore_index=True)
-        self.rule, self.n = rule, len(rows)
-        self.col = {c: rows[c].astype(object).where(rows[c].notna(), None).tolist() for c in rows.columns}
-        self.number = {s: i for i, s in enumerate(self.col["seq"])}
-        self.found: dict[str, list[int]] = {}
-        self.into: list[int | None] = [None] * self.n
-        self.by: list[str | None] = [None] * self.n
-        self.count = [0] * self.n
-
-    def _names_agree(self, i: int, j: int) -> bool:
-        (a, b), raw = sorted((self.col["_fold"][i], self.col["_fold"][j]), key=len), self.col["_raw"]
-        if not a:
-            return raw[i] != "" and raw[i] == raw[j]
-        return a == b or (len(a) >= 4 and a in b)
-
-    def _close(self, i: int, j: int) -> bool:
-        (y, x), (v, u) = ((self.col["lat"][k], self.col["lon"][k]) for k in (i, j))
-        if not y or not v:
-            return False
-        return geo.METRES * math.hypot(y - v, (x - u) * math.cos(math.radians(y))) <= self.rule.metres
-
-    def _same(self, j: int, i: int, key: str) -> bool:
-        """Whether row ``i`` is row ``j``, which it found under ``key``."""
-        rule, col = self.rule, self.col
-        if key[:1] in rule.sure or any(col[c][i] and col[c][i] == col[c][j] for c in rule.equal):
-            return True
-        pair = (j, i) if rule.measured_at_holder else (i, j)
-        return self._names_agree(i, j) and (rule.metres is None or self._close(*pair))
-
-    def holder(self, i: int) -> tuple[int | None, str | None]:
-        """The row that row ``i`` joins, and by what."""
-        for key in self.col[self.rule.probe][i]:
-            for j in self.found.get(key, ()):
-                if self._same(j, i, key):
-                    return j, "key"
-        last = self.col[self.rule.last][i] if self.rule.last else None
-        return (None, None) if last is None else (self.number[int(last)], "name")
-
-    def take(self, j: int, i: int) -> None:
-        """Row ``j`` takes over what it lacks of row ``i``."""
-        lacks = [c for c in self.rule.fills if not self.col[c][j] and self.col[c][i]]
-        for c in [*lacks, *(k for c in lacks if (k := self.rule.fills[c]))]:
-            self.col[c][j] = self.col[c][i]
-        for c in self.rule.adds:
-            known, more = ([x for x in re.split(r"[;,\s]+", self.col[c][k]) if "@" in x] for k in (j, i))
-            more = [x for x in more if x.lower() not in {y.lower() for y in known}]
-            self.col[c][j] = "; ".join([self.col[c][j], *more])
-        for c, how in self.rule.notes.items():
-            self.col[c][j] = self.col[c][i] if how == "replace" else f"{self.col[c][j]} + {self.col[c][i]}"
-        self.count[j] += 1
-
-    def run(self) -> pd.DataFrame:
-        may = self.col[self.rule.joins] if self.rule.joins else [True] * self.n
-        for i in range(self.n):
-            j, self.by[i] = self.holder(i) if may[i] else (None, None)
-            if j is None:
-                for key in self.col[self.rule.post][i]:
-                    self.found.setdefault(key, []).append(i)
-            else:
-                self.into[i] = self.col["seq"][j]
-                self.take(j, i)
-        out = {"seq": self.col["seq"], "into": pd.array(self.into, "Int64"), "by": self.by, "joined": self.count}
-        return pd.DataFrame(out | {c: self.col[c] for c in self.rule.columns()})
-
-
-def _star(keys: DataFrame, key: str = "k") -> DataFrame:
+def _star(keys: DataFrame, scratch: Scratch, key: str = "k") -> DataFrame:
     """Links of every row to the first row with the same key; linear in the rows."""
-    first = keys.groupBy(key).agg(F.min("seq").alias("b"))
-    return keys.join(first, key).where("seq <> b").select(F.col("seq").alias("a"), "b").distinct()
+    total = keys.count()
+    first = scratch.put(keys.groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.min("seq").alias("b")).where("c > 1"), total)
+    met = with_values(keys.select("seq", key), first, key, "seq", total)
+    return met.where("seq <> b").select(F.col("seq").alias("a"), "b").distinct()
+
 
+def _roots(links: DataFrame, scratch: Scratch) -> DataFrame:
+    return components(links, scratch).withColumnRenamed("node", "seq")
 
-def _replay(rows: DataFrame, links: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(seq, into, by, joined, ...) for the rows of each component of ``links`` (a, b), replayed in order; rows without links get none."""
-    grouped = rows.join(components(links, scratch).withColumnRenamed("node", "seq"), "seq")
-    schema = ", ".join(["seq long, into long, by string, joined long", *[f"{c} string" for c in rule.columns()]])
-    return scratch.put(grouped.groupBy("root").applyInPandas(lambda pdf: _Replay(pdf, rule).run(), schema))
 
+def _matched(rows: DataFrame, rule: Rule, scratch: Scratch, held: int) -> DataFrame:
+    """(seq, into) for the rows of (seq, keys, what ``rule`` reads) that join an earlier one; sure keys are the rule's.
 
-def _settled(rows: DataFrame, acts: DataFrame, columns: list[str], merged: str | None = None) -> DataFrame:
-    """``rows`` that stay, with the values of ``columns`` after the replay, and ``merged`` raised by the rows that joined."""
-    done = acts.select("seq", "into", "joined", *[F.col(c).alias(f"_{c}") for c in columns])
+    Components up to ``held`` rows are replayed. The rows of larger ones settle in rounds (see ``greedy``); what is still open
+    then, as it depends on names, places or values that others were given, is replayed with the rows that it can meet only.
+    """
+    keys = scratch.put(rows.select("seq", F.posexplode("keys").alias("pos", "k")))
+    roots = _roots(_star(keys, scratch), scratch)
+    large = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > held).select("root")
+    large = scratch.put(large)
+    if not large.limit(1).count():
+        return replay(rows, roots, rule, scratch).where("into is not null").select("seq", "into")
+
+    few = replay(rows, roots.join(large, "root", "left_anti"), rule, scratch).where("into is not null").select("seq", "into")
+    sure = F.substring("k", 1, 1).isin(list(rule.sure))
+    own = scratch.put(keys.join(roots.join(large, "root", "left_semi").select("seq"), "seq").withColumn("sure", sure))
+    joined, stayed, open_ = (scratch.put(t) for t in settle(own, scratch))
+    if not open_.limit(1).count():
+        return few.unionAll(joined)
+
+    asks = own.join(open_, "seq").select("k").distinct()
+    meets = own.join(stayed, "seq").join(asks, "k", "left_semi").select("seq").distinct()
+    meets = scratch.put(meets.select("seq", F.col("seq").alias("_told")))
+    fills = list(rule.fills)
+    given = joined.join(meets.select(F.col("seq").alias("into")), "into").join(rows.select("seq", *fills), "seq")
+    first = [F.min(F.when(F.col(c) != "", F.col("seq"))) for c in fills]
+    given = given.groupBy("into").agg(F.array_distinct(F.array_compact(F.array(*first))).alias("s")) if fills else None
+    part = open_.select("seq", F.lit(None).cast("long").alias("_told")).unionAll(meets)
+    if given is not None:
+        part = part.unionAll(given.select(F.explode("s").alias("seq"), F.col("into").alias("_told")))
+    part = scratch.put(part)
+    links = _star(own.join(part.where("_told is null or _told = seq").select("seq"), "seq"), scratch)
+    links = links.unionAll(part.where("_told <> seq").select(F.col("seq").alias("a"), F.col("_told").alias("b")))
+    rest = replay(rows.join(part, "seq"), _roots(links, scratch), replace(rule, told="_told"), scratch)
+    rest = rest.join(open_, "seq", "left_semi").where("into is not null").select("seq", "into")
+    return few.unionAll(joined).unionAll(rest)
+
+
+def _settled(rows: DataFrame, acts: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` that stay, with the values of ``columns`` after the replay."""
+    done = acts.select("seq", "into", *[F.col(c).alias(f"_{c}") for c in columns])
     kept = rows.join(done, "seq", "left").where("into is null")
-    value = lambda c: F.coalesce(f"_{c}", c).alias(c) if c in columns else (F.col(c) + F.coalesce("joined", F.lit(0))).alias(c) if c == merged else F.col(c)
-    return kept.select([value(c) for c in rows.columns])
+    return kept.select([F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in rows.columns])
 
 
 def _prepared(rows: DataFrame, country: str) -> DataFrame:
@@ -167,10 +111,10 @@ def _listed(*keys: Column) -> Column:
 _FILL = ["email", "website", "phone", "facebook", "instagram"]
 
 
-def drop_repeats(venues: DataFrame) -> DataFrame:
+def drop_repeats(venues: DataFrame, held: int = HELD) -> DataFrame:
     """Keeps a venue unless a kept earlier one has its name and (postcode or address, site), or its name and place to three places.
 
-    Rows are replayed with those they share a key with, so the branches of a chain at different places stay apart.
+    Rows meet those they share a key with, so the branches of a chain at different places stay apart.
     """
     scratch = Scratch(venues.sparkSession, "repeats")
     low = lambda c: F.lower(text.blank(F.col(c)))
@@ -179,8 +123,8 @@ def drop_repeats(venues: DataFrame) -> DataFrame:
     spot = _spot(thin)
     keys = _listed(F.to_json(F.struct(F.lit("a").alias("k"), "n", "p", "w")), F.when(spot.isNotNull(), F.to_json(F.struct(F.lit("b").alias("k"), "n", spot.alias("s")))))
     thin = scratch.put(thin.select("seq", keys.alias("keys")))
-    acts = _replay(thin, _star(thin.select("seq", F.explode("keys").alias("k"))), Rule("keys", "keys", {}, sure="{"), scratch)
-    return venues.join(acts.where("into is not null").select("seq"), "seq", "left_anti")
+    gone = _matched(thin, Rule("keys", "keys", {}, sure="{"), scratch, held)
+    return venues.join(gone.select("seq"), "seq", "left_anti")
 
 
 def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres: float = 150) -> tuple[DataFrame, DataFrame]:
@@ -217,17 +161,19 @@ def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres
     links = named.select(late("seq").alias("a"), early("seq").alias("b")).distinct()
     # equal phones: every row is tied to the first of its phone in each cell around, which ties all within two cells
     phones = at.where("_phone <> ''").select("seq", "_phone", F.explode("_probe").alias("c"))
-    links = links.unionAll(_star(phones.select("seq", F.concat_ws("/", "_phone", "c").alias("k"))))
+    links = links.unionAll(_star(phones.select("seq", F.concat_ws("/", "_phone", "c").alias("k")), scratch))
 
     fills: dict[str, str | None] = {c: "_phone" if c == "phone" else None for c in _FILL}
-    acts = _replay(rows, links, Rule("_probe", "_post", fills, equal=("_phone",), metres=metres, measured_at_holder=True, joins="_new"), scratch)
+    rule = Rule("_probe", "_post", fills, equal=("_phone",), metres=metres, measured_at_holder=True, joins="_new")
+    acts = replay(rows, _roots(links, scratch), rule, scratch)
     return _settled(both, acts, _FILL).select(columns), acts.where("into is not null").select("seq", "into")
 
 
-def master(venues: DataFrame, country: str = "") -> tuple[DataFrame, DataFrame]:
+def master(venues: DataFrame, country: str = "", held: int = HELD) -> tuple[DataFrame, DataFrame]:
     """One row per venue by e-mail, site, phone, or name and place; blanks are filled and ``merged`` counts the rows.
 
-    Returns the kept rows and (seq, into). Keys are those a row had when it was read; the match itself sees filled values.
+    Returns the kept rows and (seq, into). Keys are those a row had when it was read; the match itself sees filled values. Two rows
+    with one e-mail, site or phone as a key are always the same, so chains of any size settle in rounds.
     """
     scratch = Scratch(venues.sparkSession, "master")
     rows = _prepared(venues, country)
@@ -237,9 +183,14 @@ def master(venues: DataFrame, country: str = "") -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("keys", _listed(keyed("e:", "_mail"), keyed("w:", "_site"), keyed("p:", "_phone"), where))
     rows = scratch.put(rows.select("seq", "lat", "lon", "_fold", "_raw", "_mail", "_site", "_phone", "keys", "email", "website", "phone"))
     fills: dict[str, str | None] = {"email": "_mail", "website": "_site", "phone": "_phone"}
-    rule = Rule("keys", "keys", fills, equal=("_mail", "_site", "_phone"), metres=100)
-    acts = _replay(rows, _star(rows.select("seq", F.explode("keys").alias("k"))), rule, scratch)
-    return _settled(venues, acts, list(fills), "merged"), acts.where("into is not null").select("seq", "into")
+    rule = Rule("keys", "keys", fills, equal=("_mail", "_site", "_phone"), sure="ewp", metres=100)
+    gone = scratch.put(_matched(rows, rule, scratch, held))
+    given = scratch.put(first_filled(gone, rows, list(fills)))
+    done = given.select("seq", "joined", *[F.col(c).alias(f"_{c}") for c in fills])
+    kept = venues.join(gone.select("seq"), "seq", "left_anti").join(done, "seq", "left")
+    out = {c: F.when(text.blank(F.col(c)) == "", F.coalesce(f"_{c}", c)).otherwise(F.col(c)) for c in fills}
+    out["merged"] = F.col("merged") + F.coalesce("joined", F.lit(0))
+    return kept.select([out[c].alias(c) if c in out else F.col(c) for c in venues.columns]), gone
 
 
 def unique_rows(rows: DataFrame, key: Column, order: list[Column]) -> DataFrame:
@@ -291,10 +242,10 @@ def merge_partners(venues: DataFrame, partners: DataFrame, country: str = "") ->
     long = rows.where(F.length("_fold") >= 6)
     held = long.where("not _new").groupBy("_fold").agg(F.count(F.lit(1)).alias("held"), F.min("seq").alias("_first")).where("held = 1")
     alone = scratch.put(long.where("_new").join(held, "_fold").select("seq", "_first"))
-    links = _star(rows.select("seq", F.explode("keys").alias("k"))).unionAll(alone.select(F.col("seq").alias("a"), F.col("_first").alias("b")))
+    links = _star(rows.select("seq", F.explode("keys").alias("k")), scratch).unionAll(alone.select(F.col("seq").alias("a"), F.col("_first").alias("b")))
     fills: dict[str, str | None] = dict.fromkeys([*_FILL, "social_website"])
     rule = Rule("keys", "keys", fills, sure="eif", joins="_new", last="_first", adds=("email",), notes={"source": "append", "partner_notes": "replace"})
-    done = _replay(rows.join(alone, "seq", "left"), links, rule, scratch)
+    done = replay(rows.join(alone, "seq", "left"), _roots(links, scratch), rule, scratch)
 
     after = done.select("seq", "into", "by", "joined", *[F.col(c).alias(f"_{c}") for c in told])
     outcome = F.when(~F.col("_new"), "ours").when(F.col("into").isNull(), "new").when(F.col("by") == "name", "merged by name").otherwise("merged")
