@@ -140,7 +140,7 @@ def discovered_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit("<html><body><p>We are at "), "pc", F.lit("</p><p>tel 020 7100 0000</p></body></html>"))
     pages = named.select(url.alias("url"), url.alias("final_url"), F.lit(200).alias("http_status"), F.lit(None).cast("string").alias("error"), F.lit(True).alias("robots_allowed"), page.alias("html"))
     dns = named.select(F.concat(stem, F.lit(".com")).alias("host"), F.lit("yes").alias("status"))
-    todo = venues(spark, sf_dir).join(named.select("name"), "name", "left_semi")
+    todo = venues(spark, sf_dir, kinds=True).join(named.select("name"), "name", "left_semi")
     # the view's e-mails and sites stay out of it
     todo = todo.join(v.where("site = ''").select("seq"), "seq", "left_semi").withColumn("area", F.lit(""))
     return enrich.discover(enrich.queue(todo), pages, dns).select("seq", "website", "evidence")

@@ -49,13 +49,19 @@ def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(VENUES.replace("FROM part JOIN nation", "FROM {part} AS part JOIN {nation} AS nation"), part=_table(spark, sf_dir, "part"), nation=_table(spark, sf_dir, "nation"))
 
 
-def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view as venue rows with categories, contacts split."""
+def venues(spark: SparkSession, sf_dir: str, kinds: bool = False) -> DataFrame:
+    """The view as venue rows, contacts split; with ``kinds`` their categories too, which take longer than all else.
+
+    Written, as the expressions are long and most plans read the rows several times.
+    """
     v = _view(spark, sf_dir)
     tags = F.create_map(F.lit("cuisine"), "cuisine", F.lit("amenity"), "amenity", F.lit("name"), "name")
-    rows = readers.venue_rows(v.select("seq", "borough", "name", "lat", "lon", tags.alias("tags"), F.col("mail").alias("email"), F.col("site").alias("website"), F.col("tel").alias("phone"), F.col("pc").alias("postcode"), F.lit("openstreetmap").alias("source"), F.lit(True).alias("latin_name")))
-    rows = relations.split_contacts(rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))))
-    return Scratch(spark, "venues").put(rows)  # long expressions, which plans that read it several times would repeat
+    given = [F.col("mail").alias("email"), F.col("site").alias("website"), F.col("tel").alias("phone"), F.col("pc").alias("postcode")]
+    fixed = [F.lit("openstreetmap").alias("source"), F.lit(True).alias("latin_name")]
+    rows = readers.venue_rows(v.select("seq", "borough", "name", "lat", "lon", tags.alias("tags"), *given, *fixed))
+    if kinds:
+        rows = rows.withColumn("categories", text.categorize(F.col("tags"), F.col("name")))
+    return Scratch(spark, "venues").put(relations.split_contacts(rows))
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -361,7 +367,7 @@ def _scored(v: DataFrame) -> DataFrame:
 
 
 def _live(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    v = _scored(venues(spark, sf_dir))
+    v = _scored(venues(spark, sf_dir, kinds=True))
     return v, relations.email_rows(v, relations.by_score()), relations.site_rows(v, relations.by_score())
 
 
@@ -378,14 +384,14 @@ k AS (SELECT borough, area FROM m UNION SELECT borough, area FROM w UNION SELECT
 SELECT k.borough, CASE WHEN k.area = '' THEN '(unassigned)' ELSE k.area END AS area, coalesce(m.n, 0) AS emails, coalesce(w.n, 0) AS websites FROM k LEFT JOIN m USING (borough, area) LEFT JOIN w USING (borough, area)""")
 def area_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = _areas(spark, sf_dir)
-    v = _scored(joins.assign_areas(venues(spark, sf_dir), areas))
+    v = _scored(joins.assign_areas(venues(spark, sf_dir, kinds=True), areas))
     return relations.area_summary(relations.email_rows(v, relations.by_score()), relations.site_rows(v, relations.by_score()), areas)
 
 
 @query(f"""WITH {_LIVE}, d AS (SELECT *, count(*) OVER (PARTITION BY borough) AS density FROM scored WHERE website = '')
 SELECT seq, density FROM d ORDER BY s DESC, density DESC, borough, seq LIMIT 50""")
 def top_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = venues(spark, sf_dir)
+    v = venues(spark, sf_dir, kinds=True)
     v = v.withColumn("english_hint", text.english_hint(F.col("categories"), F.col("latin_name")))
     return enrich.queue(v, limit=50).select("seq", "density")
 
@@ -489,7 +495,7 @@ def short_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_OWN} SELECT count(*) AS venues, CAST(0 AS BIGINT) AS closed, count(*) FILTER (WHERE mail <> '' OR website <> '') AS reachable FROM own""")
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.totals(venues(spark, sf_dir))
+    return relations.totals(venues(spark, sf_dir, kinds=True))
 
 
 @query("""SELECT n_name AS name, n_name || ' District' AS label FROM nation""")
@@ -522,7 +528,7 @@ d AS (SELECT seq, stem, good, flatten([list_transform({_ENDS}, lambda e: stem ||
   CASE WHEN NOT contains(stem, 'london') THEN list_transform({_FEW}, lambda e: stem || 'london' || e) ELSE [] END, {_WORDS}]) AS found FROM w)
 SELECT seq, CASE WHEN len(good) > 0 AND length(stem) BETWEEN 4 AND 40 THEN array_to_string(found[1:30], '; ') ELSE '' END AS domains FROM d""")
 def domain_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = venues(spark, sf_dir)
+    v = venues(spark, sf_dir, kinds=True)
     return v.select("seq", _joined(text.domain_candidates(F.col("name"), F.lit(""), F.col("categories"))).alias("domains"))
 
 
