@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..functions import values as V
+from ..plans.scratch import Scratch
+from . import near
 
 
 def not_on_map(register: DataFrame, mapped: DataFrame) -> DataFrame:
@@ -20,19 +22,24 @@ def not_on_map(register: DataFrame, mapped: DataFrame) -> DataFrame:
 def add_wikidata(venues: DataFrame, items: DataFrame, metres: float = 200) -> DataFrame:
     """Official sites for venues without one: the first item within ``metres`` whose name matches and whose site is its own.
 
-    Cells are a hundredth of a degree; venues of latitudes beyond 79 degrees may miss an item across a cell's edge.
+    Distances are measured at the item's latitude. Both sides meet by cell and by the rarest four letters of the shorter name.
     """
+    scratch = Scratch(venues.sparkSession, "wikidata")
     folded = lambda c: F.replace(text.fold(c), F.lit(" "), F.lit(""))
-    per = 100
-    item = items.where(~text.not_venue_site(F.col("site"))).select("seq", "label", "site", F.col("lat").alias("ilat"), F.col("lon").alias("ilon"), folded(F.col("label")).alias("ifold"))
-    item = geo.neighbours(item, geo.cell(F.col("ilat"), per), geo.cell(F.col("ilon"), per)).withColumnRenamed("seq", "iseq")
-    bare = venues.where((F.col("website") == "") & geo.located(F.col("lat"))).select(F.col("seq").alias("vseq"), "name", "lat", "lon", folded(F.col("name")).alias("vfold"))
-    bare = bare.withColumns({"cy": geo.cell(F.col("lat"), per), "cx": geo.cell(F.col("lon"), per)})
-    near = bare.join(item, ["cy", "cx"]).where(geo.within(F.col("ilat"), F.col("ilon"), F.col("lat"), F.col("lon"), metres) & text.names_match(F.col("ifold"), F.col("vfold"), F.col("label"), F.col("name")))
-    best = near.groupBy(F.col("vseq").alias("seq")).agg(F.min_by("site", "iseq").alias("_site"))
-    out = venues.join(best, "seq", "left")
+    row = lambda d, name, side: d.select("seq", F.lit(side).alias("side"), "lat", "lon", folded(F.col(name)).alias("_fold"), text.strip(text.blank(F.col(name))).alias("_raw"))
+    own = items.where(~text.not_venue_site(F.col("site")) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    bare = venues.where((F.col("website") == "") & geo.located(F.col("lat")) & F.col("lon").isNotNull())
+    rows = scratch.put(row(own, "label", 1).unionAll(row(bare, "name", 0)))
+    met = near.named_pairs(rows, metres, scratch).where("x_side <> y_side")
+    of = lambda side, c: F.when(F.col("x_side") == side, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}"))
+    met = met.where(geo.within(of(1, "lat"), of(1, "lon"), of(0, "lat"), of(0, "lon"), metres))
+    first = met.groupBy(of(0, "seq").alias("seq")).agg(F.min(of(1, "seq")).alias("_item"))
+    best = first.join(own.select(F.col("seq").alias("_item"), F.col("site").alias("_site")), "_item")
+    out = venues.join(best.select("seq", "_site"), "seq", "left")
     hit = F.col("_site").isNotNull()
-    return out.withColumn("website_type", F.when(hit, "own site (Wikidata)").otherwise(F.col("website_type"))).withColumn("website", F.when(hit, text.normalize_url(F.col("_site"))).otherwise(F.col("website"))).select(venues.columns)
+    kind = F.when(hit, "own site (Wikidata)").otherwise(F.col("website_type"))
+    site = F.when(hit, text.normalize_url(F.col("_site"))).otherwise(F.col("website"))
+    return out.withColumn("website_type", kind).withColumn("website", site).select(venues.columns)
 
 
 def brand_sites(venues: DataFrame, branches: int = 3, agreement: float = 0.8) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo, text
 from ..plans.scratch import Scratch, ship
+from . import near
 from .components import components
 from .greedy import settle
 from .replay import Rule, first_filled, replay
@@ -131,9 +132,8 @@ def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres
     """Adds catalogue places to venues unless an earlier row nearby has the name within ``metres``, or the phone; then it fills blanks.
 
     Both need ``seq``, places after venues. Returns all kept rows, and (seq, into) of the merged places. Rows that could meet
-    have names that contain one another in neighbouring cells, or share a phone within two cells (a phone may be filled
-    once from one cell away, and matched from one further). Names meet by the first four letters of the shorter one, which the
-    longer one must hold, so a dense cell is not compared with itself.
+    have names that contain one another within ``metres`` (see ``near``), or share a phone within two cells (a phone may be filled
+    once from one cell away, and matched from one further).
     """
     scratch = Scratch(venues.sparkSession, "places")
     columns = venues.columns
@@ -147,17 +147,11 @@ def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres
     rows = scratch.put(rows.select("seq", "_new", "cy", "cx", "lat", "lon", "_fold", "_raw", "_phone", "_post", "_probe", *_FILL))
     at = rows.where("cy is not null")
 
-    # names: (cell, four letters); the shorter side asks for its first four, the longer side has all of its own
-    start = F.when(F.length("_fold") >= 4, F.substring("_fold", 1, 4)).when(F.length("_fold") > 0, F.concat(F.lit("="), "_fold")).when(F.col("_raw") != "", F.concat(F.lit("~"), "_raw"))
-    spots = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_fold") - 3, F.lit(1))), lambda i: F.substr(F.col("_fold"), i, F.lit(4)))
-    grams = F.when(F.length("_fold") >= 4, F.array_distinct(spots)).otherwise(F.array(start))
-    side = lambda d, p: d.select(*[F.col(c).alias(f"{p}{c}") for c in ("seq", "_new", "lat", "lon", "_fold", "_raw")], "c", "g")
-    asks = side(at.withColumn("c", F.explode("_probe")).withColumn("g", start), "x")
-    has = side(at.withColumn("c", cell(0, 0)).withColumn("g", F.explode(grams)), "y")
-    named = asks.join(has, ["c", "g"]).where("xseq <> yseq and length(x_fold) <= length(y_fold) and (x_new or y_new)")
-    early = lambda c: F.when(F.col("xseq") < F.col("yseq"), F.col(f"x{c}")).otherwise(F.col(f"y{c}"))
-    late = lambda c: F.when(F.col("xseq") < F.col("yseq"), F.col(f"y{c}")).otherwise(F.col(f"x{c}"))
-    named = named.where(text.names_match(F.col("x_fold"), F.col("y_fold"), F.col("x_raw"), F.col("y_raw")) & geo.within(early("lat"), early("lon"), late("lat"), late("lon"), metres))
+    named = near.named_pairs(at.withColumn("side", F.col("_new").cast("int")), metres, scratch).where("x_side = 1 or y_side = 1")
+    first = F.col("x_seq") < F.col("y_seq")
+    early = lambda c: F.when(first, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}"))
+    late = lambda c: F.when(first, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}"))
+    named = named.where(geo.within(early("lat"), early("lon"), late("lat"), late("lon"), metres))
     links = named.select(late("seq").alias("a"), early("seq").alias("b")).distinct()
     # equal phones: every row is tied to the first of its phone in each cell around, which ties all within two cells
     phones = at.where("_phone <> ''").select("seq", "_phone", F.explode("_probe").alias("c"))
