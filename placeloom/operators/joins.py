@@ -9,6 +9,8 @@ from ..functions import geo, text
 from ..functions import values as V
 from ..plans.scratch import Scratch
 from . import near
+from .nearest import nearest
+from .skew import bounded
 
 
 def not_on_map(register: DataFrame, mapped: DataFrame) -> DataFrame:
@@ -76,20 +78,66 @@ def locate_areas(areas: DataFrame, places: DataFrame, venues: DataFrame) -> Data
     return areas.join(best, "ord", "left").select(*areas.columns, F.col("_at.plat").alias("lat"), F.col("_at.plon").alias("lon"))
 
 
-def assign_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
-    """``area`` of each venue: the nearest of its borough's areas, those of its postcode district first; else their names."""
+def assign_areas(venues: DataFrame, areas: DataFrame, few: int = 64) -> DataFrame:
+    """``area`` of each venue: the nearest of its borough's areas, those of its postcode district first; else their names.
+
+    Distances are measured at the area's latitude, earlier areas (``ord``) first among equals. In boroughs of up to ``few`` areas a venue is
+    compared with each; in larger ones it descends to the nearest (see ``nearest``).
+    """
+    many = areas.groupBy("borough").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > few).select("borough")
+    if not many.limit(1).count():
+        got = _compared_areas(venues, areas)
+    else:
+        many = Scratch(venues.sparkSession, "areas").put(many)
+        apart = lambda d, how: d.join(bounded(many), "borough", how)
+        got = _compared_areas(apart(venues, "left_anti"), apart(areas, "left_anti"))
+        got = got.unionAll(_searched_areas(apart(venues, "left_semi"), apart(areas, "left_semi")))
+    out = venues.drop("area").join(got, "seq", "left")
+    return out.withColumn("area", F.coalesce("area", F.lit(""))).select(venues.columns)
+
+
+def _compared_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
+    """(seq, area) by comparing each venue with the areas of its borough."""
     a = areas.select("borough", "ord", F.col("area").alias("_a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"), F.col("districts").alias("_d"))
     pair = venues.select("seq", "borough", "lat", "lon", text.districts(F.col("postcode")).alias("_own")).join(a, "borough")
     pair = pair.withColumn("_in", F.arrays_overlap("_own", "_d"))
-    at = geo.located(F.col("lat"), F.col("lon")) & F.col("alat").isNotNull()
+    at = geo.located(F.col("lat"), F.col("lon")) & F.col("alat").isNotNull() & F.col("alon").isNotNull()
     gap = geo.degrees_apart(F.col("alat"), F.col("alon"), F.col("lat"), F.col("lon"))
-    nearest = lambda cond: F.min_by(F.when(cond, F.col("_a")), F.when(cond, F.struct(gap, "ord")))
+    nearest_of = lambda cond: F.min_by(F.when(cond, F.col("_a")), F.when(cond, F.struct(gap, "ord")))
     got = pair.groupBy("seq").agg(
-        F.max("_in").alias("_any"), nearest(at & F.col("_in")).alias("_near_in"), nearest(at).alias("_near"),
+        F.max("_in").alias("_any"), nearest_of(at & F.col("_in")).alias("_near_in"), nearest_of(at).alias("_near"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("_in"), F.col("_a")))), " / ").alias("_names"),
     )
-    chosen = F.when(F.col("_any"), F.coalesce("_near_in", "_names")).otherwise(F.coalesce("_near", F.lit("")))
-    return venues.drop("area").join(got.select("seq", chosen.alias("area")), "seq", "left").withColumn("area", F.coalesce("area", F.lit(""))).select(venues.columns)
+    return got.select("seq", F.when(F.col("_any"), F.coalesce("_near_in", "_names")).otherwise(F.coalesce("_near", F.lit(""))).alias("area"))
+
+
+def _searched_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
+    """(seq, area) without a table of pairs."""
+    scratch = Scratch(venues.sparkSession, "areas")
+    own = F.array_distinct(text.districts(F.col("postcode")))
+    v = scratch.put(venues.select(F.col("seq").alias("v"), "borough", "lat", "lon", own.alias("_own")))
+    placed = areas.where("lat is not null and lon is not null")
+    at = v.where(geo.located(F.col("lat"), F.col("lon")))
+    near = nearest(at.select("v", F.col("borough").alias("p"), "lat", "lon").where("p is not null"), placed.select(F.col("borough").alias("p"), F.col("ord").alias("t"), "lat", "lon").where("p is not null"), scratch)
+
+    # the areas of a venue's districts: each district is a partition of its own
+    part = lambda d: F.to_json(F.struct(F.col("borough").alias("b"), d.alias("d")))
+    asks = at.select("v", F.explode("_own").alias("d"), "borough", "lat", "lon").select("v", part(F.col("d")).alias("p"), "lat", "lon")
+    has = placed.select("borough", "ord", "lat", "lon", F.explode(F.array_distinct("districts")).alias("d")).select(part(F.col("d")).alias("p"), F.col("ord").alias("t"), "lat", "lon")
+    inside = nearest(asks, has, scratch).groupBy("v").agg(F.min(F.struct("gap", "t")).alias("x")).select("v", F.col("x.t").alias("_in"))
+
+    # names of all areas of the districts, once for each list of districts
+    lists = v.where(F.size("_own") > 0).select("borough", "_own").distinct()
+    each = areas.select("borough", "ord", "area", F.explode("districts").alias("d"))
+    told = lists.withColumn("d", F.explode("_own")).join(each, ["borough", "d"]).select("borough", "_own", "ord", "area").distinct()
+    told = told.groupBy("borough", "_own").agg(F.array_join(F.array_sort(F.collect_list("area")), " / ").alias("_names"))
+
+    name = areas.select(F.col("ord").alias("t"), F.col("area").alias("_a"))
+    pick = near.select("v", F.col("t").alias("_near")).join(inside, "v", "full")
+    pick = pick.join(name.withColumnsRenamed({"t": "_in", "_a": "_name_in"}), "_in", "left").join(name.withColumnsRenamed({"t": "_near", "_a": "_name_near"}), "_near", "left")
+    got = v.join(told, ["borough", "_own"], "left").join(pick, "v", "left")
+    chosen = F.when(F.col("_names").isNotNull(), F.coalesce("_name_in", "_names")).otherwise(F.coalesce("_name_near", F.lit("")))
+    return got.select(F.col("v").alias("seq"), chosen.alias("area"))
 
 
 def nearest_center(lat: Column, lon: Column, centers: dict[str, list[float]]) -> Column:

@@ -23,3 +23,8 @@ def with_values(rows: DataFrame, values: DataFrame, key: str, spread: str, total
     met = met.withColumn("_lane", F.when(apart, 1 + F.pmod(F.xxhash64(spread), F.lit(1 << 20)).cast("int")).otherwise(0))
     met = met.join(cool, [key, "_lane"], "left")
     return met.select(*rows.columns, *[F.coalesce(f"_hot.{c}", f"_cool.{c}").alias(c) for c in names])
+
+
+def bounded(table: DataFrame, most: int = 300_000) -> DataFrame:
+    """``table`` marked for a broadcast if it has ``most`` rows at most (some ten MB of a few numbers each); else as it is, for a shuffled join."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeloom.functions import geo
-from placeloom.operators import joins, near
+from placeloom.operators import joins, near, nearest
 from placeloom.plans.scratch import Scratch
 from placeloom.sources.readers import venue_rows
 
@@ -89,3 +89,45 @@ def test_items_across_any_edge(spark, lat):
     fold = lambda s: {"_fold": s.lower().replace(" ", ""), "_raw": s}
     want = {i: next((f"https://i{k}.test" for k, label, _, y, x in items if agree(fold(label), fold(name)) and apart((y, x), (v, u)) <= 200), "") for i, name, v, u, _ in rows}
     assert {r.seq: r.website for r in got.collect()} == want and any(want.values())
+
+
+def by_rank(point, targets):
+    """The nearest target at its own latitude, then the smallest number."""
+    return min((math.hypot(y - point[0], (x - point[1]) * math.cos(math.radians(y))), t) for t, y, x in targets)[1]
+
+
+@pytest.mark.parametrize("leaf", [1, 16])
+def test_nearest_is_that_of_all_pairs(spark, leaf):
+    rng = random.Random(leaf)
+    targets = [(p, t, 51.5 + rng.gauss(0, s) * (p != "same"), -0.1 + rng.gauss(0, s) * (p != "same")) for t, (p, s) in enumerate([("a", 0.3)] * 120 + [("a", 0.001)] * 120 + [("b", 1)] * 3 + [("same", 0)] * 40 + [("pole", 30)] * 60)]
+    targets += [("grid", 1000 + 7 * i, float(i % 7), float(i // 7)) for i in range(49)] + [("grid", 2000 + i, float(i % 7), float(i // 7)) for i in range(49)]
+    points = [(v, rng.choice(["a", "b", "same", "pole", "none"]), 51.5 + rng.gauss(0, 0.5), -0.1 + rng.gauss(0, 0.5)) for v in range(200)]
+    points += [(300 + i, "grid", rng.randrange(13) / 2, rng.randrange(13) / 2) for i in range(60)]  # as near to two or four
+    df = lambda rows, names: spark.createDataFrame(rows, names)
+    got = nearest.nearest(df(points, "v long, p string, lat double, lon double").repartition(3), df(targets, "p string, t long, lat double, lon double"), Scratch(spark, "t"), leaf)
+    want = {v: by_rank((y, x), own) for v, p, y, x in points if (own := [(t, a, b) for q, t, a, b in targets if q == p])}
+    assert {r.v: r.t for r in got.collect()} == want
+
+
+def test_a_hundred_thousand_areas_in_one_borough(spark):
+    n = 100_000
+    i = F.col("id")
+    lat, lon = 51 + (i * 7919 % 100_003) / 100_003, -1 + (i * 104_729 % 99_991) / 99_991
+    areas = spark.range(n).select(i.alias("ord"), F.lit("B").alias("borough"), F.concat(F.lit("area "), i.cast("string")).alias("area"), lat.alias("lat"), lon.alias("lon"), F.array(F.lit("E1")).alias("districts"))
+    rows = [(k, "B", 51 + (k * 37 % 101) / 101, -1 + (k * 53 % 97) / 97, "") for k in range(300)]
+    table = venue_rows(spark.createDataFrame(rows, "seq long, borough string, lat double, lon double, postcode string"))
+    got = {r.seq: r.area for r in joins.assign_areas(table, areas).select("seq", "area").collect()}
+    y, x = (np.array([f(k) for k in range(n)]) for f in (lambda k: 51 + (k * 7919 % 100_003) / 100_003, lambda k: -1 + (k * 104_729 % 99_991) / 99_991))
+    for k, _, v, u, _ in rows:
+        assert got[k] == f"area {np.hypot(y - v, (x - u) * np.cos(np.radians(y))).argmin()}"
+
+
+def test_areas_found_by_search_are_those_found_by_comparison(spark):
+    rng = random.Random(21)
+    pick = lambda *xs: rng.choice(xs)
+    areas = [(i, pick("B", "C"), f"n{rng.randrange(20)}", *pick((None, None), (51 + rng.randrange(9) / 8, rng.randrange(9) / 8), (51.5, 0.5)), rng.sample(["E1", "E2", "E3W", "E3", "E4"], rng.randrange(3))) for i in range(60)]
+    rows = [(i, pick("B", "C", "D"), pick(None, 51 + rng.randrange(17) / 16), pick(0.0, rng.randrange(17) / 16), pick("", "E1 1AA", "E3W 2BB", "E9 1AA", "E4")) for i in range(200)]
+    table = venue_rows(spark.createDataFrame(rows, "seq long, borough string, lat double, lon double, postcode string"))
+    places = spark.createDataFrame(areas, "ord long, borough string, area string, lat double, lon double, districts array<string>")
+    one, other = (joins.assign_areas(table, places, few).select("seq", "area").collect() for few in (64, 3))
+    assert dict(map(tuple, one)) == dict(map(tuple, other)) and len({r.area for r in one}) > 10
