@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -550,6 +551,37 @@ def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["point_in_polygon"] = f"""WITH v AS ({VENUES}) SELECT seq, d AS district FROM v, (VALUES ('a', -0.4, 51.3, 0.0, 51.5), ('b', -0.1, 51.4, 0.2, 51.6)) t(d, w, s, e, n) WHERE lon > w AND lon < e AND lat > s AND lat < n"""
 
 
+def _district(k: int) -> bytes:
+    """Two squares of nation ``k`` as one multipolygon, the first with a hole."""
+    import struct
+
+    def ring(w: float, s: float, e: float, n: float) -> bytes:
+        return struct.pack("<I", 5) + b"".join(struct.pack("<dd", *p) for p in ((w, s), (e, s), (e, n), (w, n), (w, s)))
+
+    w, s = k * 0.03 - 0.5, k % 5 * 0.05 + 51.3
+    first = struct.pack("<BII", 1, 3, 2) + ring(w, s, w + 0.2, s + 0.2) + ring(w + 0.05, s + 0.05, w + 0.1, s + 0.15)
+    return struct.pack("<BII", 1, 6, 2) + first + struct.pack("<BII", 1, 3, 1) + ring(w + 0.3, s, w + 0.32, s + 0.02)
+
+
+def _d(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+@query(f"""WITH v AS ({VENUES}), a AS (SELECT n_name, n_nationkey * {_d("0.03")} - {_d("0.5")} AS w, n_nationkey % 5 * {_d("0.05")} + {_d("51.3")} AS s FROM nation)
+SELECT seq, n_name AS district FROM v, a WHERE
+  (lon > w AND lon < w + {_d("0.2")} AND lat > s AND lat < s + {_d("0.2")} AND NOT (lon >= w + {_d("0.05")} AND lon <= w + {_d("0.1")} AND lat >= s + {_d("0.05")} AND lat <= s + {_d("0.15")}))
+  OR (lon > w + {_d("0.3")} AND lon < w + {_d("0.32")} AND lat > s AND lat < s + {_d("0.02")})""")
+def polygon_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venues in the districts of all nations: multipolygons with a hole that overlap one another."""
+
+    @F.pandas_udf("binary")
+    def shape(k: pd.Series) -> pd.Series:
+        return k.map(_district)
+
+    areas = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("district"), shape("n_nationkey").alias("geometry"))
+    return geo.point_in_polygon(_view(spark, sf_dir).select("seq", "lat", "lon"), areas).select("seq", "district")
+
+
 _VALUES = sorted({v for vs in V.CUISINES.values() for v in vs} | {"other"})
 _SERVED = ", ".join(f"('{v}', '{c}')" for c, vs in V.CUISINES.items() for v in vs)
 

@@ -1,3 +1,5 @@
+import math
+import random
 import time
 
 import numpy as np
@@ -117,3 +119,64 @@ def test_polygons_with_holes_and_parts(x, y, want):
     two = struct.pack("<BII", 1, 3, 1) + ring(20, 22)
     got = geo.inside(geo.polygon_rings(struct.pack("<BII", 1, 6, 2) + one + two), np.array([x, 100.0]), np.array([y, 100.0]))
     assert got.tolist() == [want, False]
+
+
+def around(rng, cx, cy, radius, corners, step=None):
+    """A closed ring of corners around a middle, on a lattice if ``step`` is given."""
+    turn = sorted(rng.uniform(0, 2 * math.pi) for _ in range(corners))
+    at = [(cx + radius * rng.uniform(0.4, 1) * math.cos(t), cy + radius * rng.uniform(0.4, 1) * math.sin(t)) for t in turn]
+    at = [(round(x / step) * step, round(y / step) * step) for x, y in at] if step else at
+    return np.array([*at, at[0]])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_covering_decides_as_the_whole_polygon_does(seed):
+    rng = random.Random(seed)
+    step = rng.choice([None, 0.5, 1 / 16])
+    rings = [around(rng, 3, 50, 20, 90, step), around(rng, 3, 50, 4, 30, step), around(rng, 40, 20, 0.7, 12, step)]
+    cells = geo.cover(rings, edges=rng.choice([4, 24]))
+    level = {d: {(cy, cx): (e, c) for k, cy, cx, e, c in cells if k == d} for d in range(4, 21, 2)}
+    grid = step or 0.25
+    points = [(rng.uniform(-20, 45), rng.uniform(15, 75)) for _ in range(800)]
+    points += [(round(rng.uniform(-20, 45) / grid) * grid, round(rng.uniform(25, 72) / grid) * grid) for _ in range(1500)]
+    points += [tuple(p) for r in rings for p in r] + [tuple((p + q) / 2) for r in rings for p, q in zip(r[:-1], r[1:], strict=True)]
+    x, y = (np.array(v) for v in zip(*points, strict=True))
+    want, got = geo.inside(rings, x, y), []
+    for u, v in points:
+        met = []
+        for d, own in level.items():
+            cell = tuple(math.floor((w + geo.WORLD) * (1 << d) / (2 * geo.WORLD)) for w in (v, u))
+            if cell in own:
+                edges, corner = own[cell]
+                met.append(True if edges is None else geo.inside_cell(np.frombuffer(edges), corner, geo.cell_edge(cell[1] + 1, d), geo.cell_edge(cell[0], d), np.array([u]), np.array([v]))[0])
+        assert len(met) <= 1
+        got.append(bool(met and met[0]))
+    assert got == want.tolist() and 200 < sum(got) < len(got) - 200
+
+
+def test_a_country_is_few_cells_that_carry_few_edges():
+    n = 20_000
+    turn = np.linspace(0, 2 * np.pi, n + 1)
+    far = 8 + 0.2 * np.sin(40 * turn)
+    ring = np.column_stack([10 + far * np.cos(turn), 50 + far * np.sin(turn)])
+    ring[-1] = ring[0]
+    cells = geo.cover([ring])
+    sizes = [len(e) // 32 for *_, e, _ in cells if e is not None]
+    assert len(cells) < n and max(sizes) <= geo.EDGES and sum(sizes) < 4 * n
+    assert geo.cover([]) == [] and geo.cover([np.zeros((0, 2))]) == []
+
+
+def test_points_meet_areas_of_any_shape(spark):
+    import struct
+
+    rng = random.Random(9)
+    pack = lambda r: struct.pack("<I", len(r)) + b"".join(struct.pack("<dd", *p) for p in r)
+    shapes = {n: [around(rng, x, y, r, k)] for n, x, y, r, k in (("a", 0, 51, 5, 300), ("b", 2, 51, 3, 40), ("c", 0.1, 51.5, 0.01, 9))}
+    shapes["a"].append(around(rng, 0, 51, 1, 20))
+    wkb = {n: struct.pack("<BII", 1, 3, len(rs)) + b"".join(map(pack, rs)) for n, rs in shapes.items()}
+    areas = spark.createDataFrame([(n, None, bytearray(w)) for n, w in wkb.items()] + [("none", None, None)], "district string, bbox int, geometry binary")
+    points = [(i, rng.uniform(45, 57), rng.uniform(-6, 6), 1) for i in range(500)] + [(500 + i, 51.5 + rng.uniform(-0.01, 0.01), 0.1 + rng.uniform(-0.01, 0.01), 2) for i in range(200)] + [(999, None, 1.0, 3)]
+    got = geo.point_in_polygon(spark.createDataFrame(points, "i int, lat double, lon double, depth int").repartition(3), areas)
+    want = {(i, n) for n, rs in shapes.items() for (i, y, x, _) in points if y is not None and geo.inside(rs, np.array([x]), np.array([y]))[0]}
+    rows = [(r.i, r.district) for r in got.collect()]
+    assert got.columns == ["i", "lat", "lon", "depth", "district"] and len(rows) == len(set(rows)) and set(rows) == want and len(want) > 100
