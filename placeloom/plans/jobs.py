@@ -39,8 +39,10 @@ def collect_boroughs(elements: DataFrame, register: DataFrame | None, today: str
     if register is not None:
         extra = readers.register_venues(register, F.col("unit")).where(F.col("name") != "")
         got = got.unionByName(joins.not_on_map(extra, got).withColumn("seq", F.col("seq") + _STEP))
-    got = got.withColumn("categories", text.categorize(F.col("tags"), F.col("tags")["name"])).where(wanted(F.col("categories"), categories or []))
-    return resolve.drop_repeats(got)
+    # written, as a filter would repeat the long expression of the categories, beyond what code can be generated for
+    told = got.withColumn("categories", text.categorize(F.col("tags"), F.col("tags")["name"]))
+    told = Scratch(elements.sparkSession, "categories").put(told)
+    return resolve.drop_repeats(told.where(wanted(F.col("categories"), categories or [])))
 
 
 def extra_area(elements: DataFrame, register: DataFrame, places: DataFrame, name: str, metres: float, today: str) -> DataFrame | None:
@@ -64,13 +66,13 @@ def collect_city(elements: DataFrame, config: CityConfig, today: str, places: Da
     """Venues of a city from map, catalogue and partners; the second value is the partners' report."""
     scratch = Scratch(elements.sparkSession, "collect")
     got = readers.element_venues(readers.food_elements(elements)).where(F.col("name") != "").where(~is_closed(F.col("tags"), today))
-    got = resolve.drop_repeats(localise(got.withColumn("area", F.col("borough")), config.local_script))
+    got = resolve.drop_repeats(scratch.put(localise(got.withColumn("area", F.col("borough")), config.local_script)))
     if places is not None and config.overture:
         rows = readers.catalogue(places, divisions, config)
         if not config.osm_areas:
             label = joins.district_labels(rows.select(F.col("district").alias("name")), got.select(F.col("borough").alias("label")).distinct())
             rows = rows.join(label.withColumnRenamed("name", "district"), "district").withColumn("district", F.col("label")).drop("label")
-        rows = scratch.put(rows.withColumn("seq", F.monotonically_increasing_id() + _STEP * 2))
+        rows = scratch.put(rows.orderBy("id", "district").withColumn("seq", F.monotonically_increasing_id() + _STEP * 2))
         extra = localise(readers.catalogue_venues(rows), config.local_script).withColumn("area", F.col("borough"))
         got, _ = resolve.merge_places(got, extra, config.country_code)
     report = None

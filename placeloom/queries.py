@@ -219,6 +219,15 @@ def area_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.assign_areas(v, _areas(spark, sf_dir)).select("seq", "area")
 
 
+def area_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``area_assign``, with the nearest found by descent in every borough."""
+    v = readers.venue_rows(_view(spark, sf_dir).withColumnRenamed("pc", "postcode"))
+    return joins.assign_areas(v, _areas(spark, sf_dir), few=0).select("seq", "area")
+
+
+QUERIES["area_search"], ORACLES["area_search"] = area_search, ORACLES["area_assign"]
+
+
 @query(f"SELECT borough, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon FROM ({VENUES}) v WHERE lat <> 0 AND lon <> 0 GROUP BY borough")
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.centroids(_view(spark, sf_dir)).select("borough", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
@@ -275,6 +284,22 @@ def collect_dedupe_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.drop_repeats(venues(spark, sf_dir).withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double"), "address": F.lit("")})).select("seq")
 
 
+def _again(name: str, of: str) -> Callable[[Query], Query]:
+    """Registers another way to the result of query ``of``, held against the same SQL."""
+
+    def add(fn: Query) -> Query:
+        QUERIES[name], ORACLES[name] = fn, ORACLES[of]
+        return fn
+
+    return add
+
+
+@_again("collect_dedupe_rounds", "collect_dedupe")
+def _collect_dedupe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``collect_dedupe``, with every component settled in parallel rounds."""
+    return resolve.drop_repeats(venues(spark, sf_dir), held=1).select("seq", "name", "borough")
+
+
 #: Whether the names of rows x and r agree: equal, or the shorter, of four letters at least, inside the longer.
 _NAMES = "(x.f = r.f OR (length(x.f) <= length(r.f) AND length(x.f) >= 4 AND contains(r.f, x.f)) OR (length(r.f) <= length(x.f) AND length(r.f) >= 4 AND contains(x.f, r.f)))"
 _METRES = "111320 * sqrt((x.lat - r.lat) * (x.lat - r.lat) + (x.lon - r.lon) * cos(radians({0}.lat)) * (x.lon - r.lon) * cos(radians({0}.lat)))"
@@ -303,6 +328,13 @@ def master_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("seq", "name", "email", "website", "phone", "merged")
 
 
+@_again("master_fold_rounds", "master_fold")
+def _master_fold_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``master_fold``, with components of more than three rows settled in parallel rounds."""
+    kept, _ = resolve.master(venues(spark, sf_dir), "44", held=3)
+    return kept.select("seq", "name", "email", "website", "phone", "merged")
+
+
 #: The catalogue has every second of our venues once more, a hundred metres or two further north.
 _MOVED = "CASE WHEN seq % 8 = 0 THEN CAST(0.002 AS DOUBLE) ELSE CAST(0.001 AS DOUBLE) END"
 _PLACE = "struct_pack(seq := {0}, f := f, lat := lat, lon := lon, cy := cy, cx := cx, mail := mail, website := website, tel := tel, phone := phone)"
