@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placeloom.plans.scratch import Scratch
 
@@ -24,10 +25,20 @@ def free_name(wanted: str, taken: list[str]) -> str:
     return wanted
 
 
+def hashable(kind: T.DataType) -> bool:
+    """Whether values of a type have a hash: those without a map at any depth."""
+    if isinstance(kind, T.ArrayType):
+        return hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def numbered(docs: DataFrame, scratch: Scratch, key: str) -> tuple[DataFrame, str]:
     """``docs``, written with a new column that numbers its rows in the order of ``key`` (nulls last, equal ids in any order), and that column's name."""
     row = free_name(ROW, docs.columns)
-    placed = docs.orderBy(F.asc_nulls_last(key), F.xxhash64(*[c for c in docs.columns if c != key]))
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name != key and hashable(f.dataType)]
+    placed = docs.orderBy(F.asc_nulls_last(key), *([F.xxhash64(*others)] if others else []))
     return scratch.put(placed.withColumn(row, F.monotonically_increasing_id())), row
 
 

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import hashable
+
 PER_BUCKET = 50_000
 _LEAST = 1024  # buckets
 _SPREAD = 1103515245  # odd multiplier of the mixed key; products stay below 2**63
@@ -67,7 +69,7 @@ def curve_order(df: DataFrame, cells: list[Column], bits: int, key: str, rows: i
     """``df`` with ``hilbert_index`` and ``position``, its place from 0 in curve order; ``rows`` is its count, if it is known."""
     keep = [c for c in df.columns if c.lower() not in ("hilbert_index", "position")]
     names = {c: f"_c{i}" for i, c in enumerate(keep)}
-    spare = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() != "map"])
+    spare = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if hashable(f.dataType)])
     work = df.select(F.struct(*[F.col(f"`{c}`").alias(a) for c, a in names.items()]).alias("row"), F.coalesce(F.col(f"`{key}`").try_cast("long"), spare).alias("k"), *[F.coalesce(c.try_cast("long"), F.lit(0)).alias(f"x{i}") for i, c in enumerate(cells)])
     mixed = (F.pmod(F.col("k"), F.lit(1 << 32)) * F.lit(_SPREAD)) % F.lit(1 << 32)
     x = [f"x{i}" for i in range(len(cells))]

@@ -23,6 +23,20 @@ SF = "/root/testdata/sf0.001"
 driver_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
 
+def test_columns_without_a_hash_are_carried(spark):
+    from placeloom.llm import rows, shards
+
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "doc_id long, text string")
+    odd = table.withColumns({"m": F.create_map(F.lit("k"), "text"), "ms": F.array(F.create_map(F.lit("k"), "text")), "s": F.struct(F.create_map(F.lit("k"), "text").alias("x"))})
+    got, key = rows.numbered(odd, Scratch(spark, "t"), "doc_id")
+    assert got.columns == [*odd.columns, key] and got.select(key).distinct().count() == 4
+    assert [r.doc_id for r in got.orderBy(key).collect()] == [1, 1, None, None]
+    only = odd.select("doc_id", "m")
+    assert rows.numbered(only, Scratch(spark, "t"), "doc_id")[0].count() == 4
+    placed = shards.curve_order(odd, [F.col("doc_id")], 2, "doc_id").collect()
+    assert sorted(r.position for r in placed) == [0, 1, 2, 3] and all(r.ms == [{"k": r.text}] for r in placed)
+
+
 # --- 11: weighted centroids ---
 
 
