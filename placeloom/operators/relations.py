@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions import values as V
+from ..plans.scratch import Scratch
+from . import numbering
 from .predicates import has_email, has_site, only_social
 from .resolve import unique_rows
+from .skew import bounded
 
 
 def by_borough() -> list[Column]:
@@ -81,10 +84,47 @@ def reject_reasons(rejected: DataFrame) -> DataFrame:
 
 def document_order(rows: DataFrame) -> DataFrame:
     """The order of printed lists: by priority, district and name where rated; else by borough, area (blank last) and name."""
+    return rows.orderBy(*_document_keys(rows))
+
+
+def _document_keys(rows: DataFrame) -> list[Column]:
     if "english_priority" in rows.columns:
         rank = F.when(F.col("english_priority") == "High", 0).when(F.col("english_priority") == "Medium", 1).otherwise(2)
-        return rows.orderBy(rank, "district", F.lower("name"))
-    return rows.orderBy("borough", F.when(F.col("area") == "", "~").otherwise(F.col("area")), F.lower("name"))
+        return [rank, F.coalesce(F.nullif("district", F.lit("")), "borough") if "borough" in rows.columns else F.col("district"), F.lower("name")]
+    return [F.col("borough"), F.when(F.col("area") == "", "~").otherwise(F.col("area")), F.lower("name")]
+
+
+def document(rows: DataFrame, kind: str, tie: str = "seq", per_page: int = 30) -> DataFrame:
+    """A printed list of ``kind`` (emails, websites or social) as rows: number, section, anchor, page, name, target, shown, details.
+
+    Sections are priorities where rows are rated, else boroughs; the index is page 1, each section starts a page, and a page holds
+    ``per_page`` rows. ``tie`` orders rows that are equal otherwise. Numbers have no gaps (see ``numbering``); the sections,
+    a row for each borough, are summed in one task.
+    """
+    scratch = Scratch(rows.sparkSession, "document")
+    rated = "english_priority" in rows.columns
+    section = F.concat("english_priority", F.lit(" English priority")) if rated else F.col("borough")
+    keys = _document_keys(rows)
+    told = numbering.numbered(rows.withColumn("section", section), [*keys, F.col(tie)], "number", scratch)
+    parts = told.groupBy("section").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    pages = F.coalesce(F.sum(F.ceil(F.col("n") / per_page)).over(before), F.lit(0))
+    parts = parts.select("section", "first", (F.lit(2) + pages).alias("page"))
+    told = told.join(bounded(parts), "section").withColumn("page", (F.col("page") + F.floor((F.col("number") - F.col("first")) / per_page)).cast("long"))
+
+    value = {"emails": "email", "websites": "website", "social": "social_url"}[kind]
+    target = F.concat(F.lit("mailto:"), "email") if kind == "emails" else F.col(value)
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "(?s)^.*?://", ""), r"^www\.", ""), "/+$", "")
+    shown = F.col("email") if kind == "emails" else bare
+    if kind == "websites":
+        shown = F.when(F.length(bare) > 48, F.concat(F.substring(bare, 1, 45), F.lit("..."))).otherwise(bare)
+    has = lambda c: F.nullif(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit(None).cast("string")
+    local = F.when(has("name_local") != F.col("name"), F.col("name_local")) if "name_local" in rows.columns else F.lit(None)
+    language = F.concat(F.lit("site: "), has("site_language")) if rated else F.lit(None)
+    branches = F.when(has("locations") != "1", F.concat(has("locations"), F.lit(" branches")))
+    details = F.concat_ws(" \u00b7 ", local, F.coalesce(has("district"), has("area")), has("categories"), has("phone"), language, has("email") if kind == "websites" else F.lit(None), branches)
+    anchor = F.concat(F.lit("b_"), F.regexp_replace("section", r"[^\p{L}\p{N}]", ""))
+    return told.select("number", "section", anchor.alias("anchor"), "page", "name", target.alias("target"), shown.alias("shown"), details.alias("details"))
 
 
 def layout(rows: DataFrame, name: str) -> DataFrame:

@@ -638,3 +638,19 @@ def site_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which web addresses are a venue's own: every host and label of the lists, and some that only look like them."""
     url = F.element_at(text.strings(_SITES), (F.col("c_custkey") % len(_SITES) + 1).cast("int"))
     return _table(spark, sf_dir, "customer").select("c_custkey", text.not_venue_site(url).alias("not_venue_site"), text.is_aggregator(url).alias("aggregator"))
+
+
+_SHOWN = "regexp_replace(regexp_replace(regexp_replace(website, '^.*?://', ''), '^www\\.', ''), '/+$', '')"
+
+
+@query(f"""WITH {_OWN}, r AS (SELECT *, seq % 3 + 1 AS locations, row_number() OVER (ORDER BY borough, lower(name), seq) - 1 AS number FROM own WHERE website <> ''),
+s AS (SELECT borough, min(number) AS first, count(*) AS n FROM r GROUP BY borough),
+p AS (SELECT borough, first, 2 + coalesce(sum(ceil(n / 30)) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS page FROM s),
+t AS (SELECT r.*, first, CAST(page + floor((number - first) / 30) AS BIGINT) AS page, {_SHOWN} AS bare FROM r JOIN p USING (borough))
+SELECT number, borough AS section, 'b_' || regexp_replace(borough, '[^A-Za-z0-9]', '', 'g') AS anchor, page, name, website AS target,
+  CASE WHEN length(bare) > 48 THEN substr(bare, 1, 45) || '...' ELSE bare END AS shown,
+  concat_ws(' \u00b7 ', nullif(tel, ''), nullif(mail, ''), CASE WHEN locations <> 1 THEN locations || ' branches' END) AS details FROM t""")
+def website_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed list of websites by borough, with numbers, anchors and pages."""
+    rows = venues(spark, sf_dir).where("website <> ''").withColumn("locations", F.col("seq") % 3 + 1)
+    return relations.document(rows.select("seq", "borough", "area", "name", "website", "email", "phone", "locations"), "websites")
