@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
@@ -224,4 +224,5 @@ def revalidate(rows: DataFrame, mx: DataFrame, order: str = "pos") -> DataFrame:
     good = told.where(text.email_verdict(F.col("e"), F.col("status")) == "valid").groupBy(order).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "e"))), lambda s: s["e"]).alias("_g"))
     out = rows.join(good, order).withColumn("email", F.try_element_at("_g", F.lit(1)))
     out = out.withColumn("other_emails", F.array_join(F.slice("_g", F.lit(2), F.greatest(F.size("_g") - 1, F.lit(0))), "; "))
-    return out.withColumn("_n", F.row_number().over(Window.partitionBy("email").orderBy(order))).where("_n = 1").select(rows.columns)
+    first = out.groupBy("email").agg(F.min_by(F.struct(*rows.columns), order).alias("_r"))  # reduced in tasks, so no address is hot
+    return first.select("_r.*")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions import geo, pages, text
 from .functions import values as V
 from .operators import enrich, joins, relations, resolve
-from .operators.predicates import is_closed
+from .operators.predicates import is_closed, wanted
 from .plans.scratch import Scratch, ship
 from .sources import readers
 
@@ -654,3 +654,42 @@ def website_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The printed list of websites by borough, with numbers, anchors and pages."""
     rows = venues(spark, sf_dir).where("website <> ''").withColumn("locations", F.col("seq") % 3 + 1)
     return relations.document(rows.select("seq", "borough", "area", "name", "website", "email", "phone", "locations"), "websites")
+
+
+@query(f"""SELECT seq FROM (SELECT seq, {_CATS} AS cats FROM ({VENUES}) v) c WHERE list_has_any(cats, ['Pizza', 'Pub', 'Seafood'])""")
+def wanted_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venues of the categories that a run asks for."""
+    tags = F.create_map(F.lit("cuisine"), "cuisine", F.lit("amenity"), "amenity")
+    told = _view(spark, sf_dir).withColumn("categories", text.categorize(tags, F.col("name")))
+    return told.where(wanted(F.col("categories"), ["Pizza", "Pub", "Seafood"])).select("seq")
+
+
+@query(f"""SELECT seq, borough FROM ({VENUES}) v WHERE contains(lower(borough), 'nation_1') OR contains(lower(borough), 'n_7')""")
+def picked_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venues of the units that a run asks for by a part of their name, whatever the case."""
+    return readers.pick_units(_view(spark, sf_dir).select("seq", "borough"), ["NATION_1", "n_7"], "borough")
+
+
+_FOUND = "lower(name) || '|' || upper(replace(pc, ' ', ''))"
+
+
+@query(f"""WITH {_OWN}, k AS (SELECT {_FOUND} AS key, min(seq) AS s FROM v GROUP BY 1), log AS (SELECT key, CASE WHEN s % 3 = 0 THEN '' ELSE 'https://found' || s || '.test/' END AS found, CASE s % 2 WHEN 0 THEN 'phone' ELSE 'postcode' END AS evidence FROM k)
+SELECT seq, found AS website, 'own site (found by name, ' || evidence || ' verified)' AS website_type FROM own JOIN log ON key = {_FOUND} WHERE website = '' AND found <> '' AND seq % 11 <> 0""")
+def discovery_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites that a search has found go to open venues of that name and postcode without one."""
+    v = venues(spark, sf_dir).withColumn("closed", F.col("seq") % 11 == 0)
+    log = _view(spark, sf_dir).groupBy(text.discovery_key(F.col("name"), F.col("pc")).alias("key")).agg(F.min("seq").alias("s"))
+    found = F.when(F.col("s") % 3 == 0, "").otherwise(F.concat(F.lit("https://found"), "s", F.lit(".test/")))
+    log = log.select("key", found.alias("website"), F.when(F.col("s") % 2 == 0, "phone").otherwise("postcode").alias("evidence"))
+    got = joins.take_discovery(v, log)
+    return got.where(F.col("website_type").startswith("own site (found")).select("seq", "website", "website_type")
+
+
+@query(f"""WITH {_OWN} SELECT seq, CASE WHEN seq % 3 = 0 THEN 'https://l' || seq || '.test' ELSE '' END AS website, seq % 3 = 0 AND seq % 2 = 0 AS closed FROM own WHERE website = '' AND mail = ''""")
+def places_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites and closures of a lookup table for venues that have neither a site nor an address."""
+    v = venues(spark, sf_dir).withColumn("closed", F.lit(False))
+    status = F.when(F.col("seq") % 2 == 0, "CLOSED_PERMANENTLY").otherwise("OPERATIONAL")
+    lookup = _view(spark, sf_dir).where("seq % 3 = 0").select("seq", F.concat(F.lit("https://l"), "seq", F.lit(".test")).alias("website"), status.alias("business_status"))
+    bare = v.where("website = '' and email = ''").select("seq")
+    return joins.take_places_lookup(v, lookup).join(bare, "seq").select("seq", "website", "closed")
