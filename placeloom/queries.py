@@ -693,3 +693,38 @@ def places_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = _view(spark, sf_dir).where("seq % 3 = 0").select("seq", F.concat(F.lit("https://l"), "seq", F.lit(".test")).alias("website"), status.alias("business_status"))
     bare = v.where("website = '' and email = ''").select("seq")
     return joins.take_places_lookup(v, lookup).join(bare, "seq").select("seq", "website", "closed")
+
+
+_NAMED = "'info@' || replace(p_name, ' ', '') || '.test'"
+
+
+@query(f"""SELECT p_partkey, {_NAMED} || CASE WHEN p_partkey % 3 = 0 THEN '; plain' || p_partkey || '@gmail.com' ELSE '' END AS emails FROM part""")
+def cloudflare_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of pages that hide them as bytes XORed with the first, each with a key of its own; plain ones come after them."""
+    key = (F.col("p_partkey") * 37 % 255 + 1).cast("int")
+    mail = F.concat(F.lit("info@"), F.replace("p_name", F.lit(" "), F.lit("")), F.lit(".test"))
+    pair = lambda n: F.lower(F.lpad(F.hex(n.cast("long")), 2, "0"))
+    each = F.transform(F.sequence(F.lit(1), F.length(mail)), lambda i: pair(F.ascii(F.substr(mail, i, F.lit(1))).bitwiseXOR(key)))
+    hidden = F.concat(F.lit('<a class="__cf_email__" data-cfemail="'), pair(key), F.array_join(each, ""), F.lit('">[protected]</a>'))
+    plain = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" or plain"), "p_partkey", F.lit("@gmail.com"))).otherwise("")
+    return _table(spark, sf_dir, "part").select("p_partkey", _joined(pages.page_emails(F.concat(plain, hidden))).alias("emails"))
+
+
+@query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN '/home' || page_id WHEN 1 THEN 'https://to' || page_id || '.test/' END AS target FROM pages""")
+def soft_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where pages forward to: by a refresh or a script, if they are short; the stored page behind makes the others long."""
+    k = F.col("page_id").cast("string")
+    refresh = F.concat(F.lit('<meta http-equiv="Refresh" content="0; URL=/home'), k, F.lit('">'))
+    script = F.concat(F.lit("<script>window.location.href = 'https://to"), k, F.lit(".test/'</script>"))
+    long = F.concat(refresh, F.rpad("html", 3000, "."))
+    page = F.when(F.col("page_id") % 4 == 0, refresh).when(F.col("page_id") % 4 == 1, script).when(F.col("page_id") % 4 == 2, long).otherwise("<p>no way on</p>")
+    return _table(spark, sf_dir, "pages").select("page_id", pages.soft_redirect(page).alias("target"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 6 IN (1, 2) OR event_id % 5 = 1 THEN 'dead' ELSE 'unknown' END AS status FROM events""")
+def fetch_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a failed fetch tells of a site: gone for good, or nothing."""
+    e = F.col("event_id")
+    code = F.when(e % 6 == 1, 404).when(e % 6 == 2, 410).when(e % 6 == 3, 500).when(e % 6 == 4, 403)
+    error = F.when(e % 5 == 1, "[Errno -2] Name or service not known").when(e % 5 == 2, "timed out")
+    return _table(spark, sf_dir, "events").select("event_id", pages.fetch_status(code, error).alias("status"))
