@@ -728,3 +728,21 @@ def fetch_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.when(e % 6 == 1, 404).when(e % 6 == 2, 410).when(e % 6 == 3, 500).when(e % 6 == 4, 403)
     error = F.when(e % 5 == 1, "[Errno -2] Name or service not known").when(e % 5 == 2, "timed out")
     return _table(spark, sf_dir, "events").select("event_id", pages.fetch_status(code, error).alias("status"))
+
+
+_CRAWLED = "regexp_replace(regexp_replace(lower(regexp_extract(website, '^https?://([^?#]*)', 1)), '^www\\.', ''), '/+$', '')"
+
+
+@query(f"""WITH {_OWN}, k AS (SELECT *, {_CRAWLED} AS key FROM own WHERE website <> ''), log AS (SELECT key, min(seq) AS s FROM k GROUP BY key HAVING min(seq) % 5 <> 0),
+t AS (SELECT k.seq, mail, s, coalesce(s % 4 IN (0, 1), false) AS shut, CASE WHEN s IS NOT NULL THEN 'found' || s || '@gmail.com' END AS found FROM k LEFT JOIN log USING (key))
+SELECT seq, shut AS closed, CASE WHEN mail = '' AND NOT shut AND found IS NOT NULL THEN found ELSE mail END AS email,
+  CASE WHEN mail <> '' AND NOT shut AND found IS NOT NULL THEN found ELSE '' END AS others, CASE WHEN NOT shut AND s % 2 = 1 THEN 'English' ELSE '' END AS site_language FROM t""")
+def crawl_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a crawl has read goes to venues: closed sites, own and free-mail addresses, the language; some sites are not in the log."""
+    v = venues(spark, sf_dir)
+    log = v.where("website <> ''").groupBy(text.crawl_key(F.col("website")).alias("key")).agg(F.min("seq").alias("s")).where("s % 5 <> 0")
+    mails = F.array(F.concat(F.lit("found"), "s", F.lit("@gmail.com")), F.concat(F.lit("else"), "s", F.lit("@other.test")))
+    status = F.element_at(text.strings(["closed", "dead", "ok", "unknown"]), (F.col("s") % 4 + 1).cast("int"))
+    lang = F.when(F.col("s") % 2 == 1, "English").otherwise("")
+    got = joins.take_crawl(v, log.select("key", mails.alias("emails"), status.alias("status"), F.lit("").alias("final_url"), lang.alias("lang")))
+    return got.where("website <> ''").select("seq", "closed", "email", _joined(F.col("other_emails")).alias("others"), "site_language")
