@@ -1,4 +1,4 @@
-"""Queries over the driver's tables that run sources, sinks, logs and whole jobs; each has an equivalent in SQL.
+"""Queries over the driver's tables that run sources, sinks, logs and whole jobs; each has an equivalent in SQL but for the followed log.
 
 They are added to ``queries.QUERIES``. Source records (map elements, register entries, catalogue places, ...) are made of the
 venue view in the shape that the readers give them.
@@ -9,7 +9,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from .plans import jobs
 from .plans.scratch import Scratch, ship
 from .queries import _CATS, _DECIMALS, _JUNK, _KEY, _OWN, QUERIES, VENUES, _table, _view, query, venues
 from .sources import readers, schemas
+from .streaming import logs
 
 __all__ = ["QUERIES"]
 
@@ -164,24 +165,41 @@ def crawl_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("key", F.array_join("emails", "; ").alias("emails"), "status", "final_url", "lang")
 
 
+def _records() -> tuple[Column, Column]:
+    """(number, JSON line) of each event as a crawl record."""
+    e, k = F.col("event_id"), F.col("user_id")
+    record = F.struct(
+        F.concat(F.when(k % 3 == 0, "u/").otherwise("u"), k.cast("string")).alias("key"), F.when(e % 2 == 0, F.array(F.lit("a@k.test"))).otherwise(F.array().cast("array<string>")).alias("emails"),
+        F.when(e % 5 == 0, "unknown").when(e % 5 == 1, "dead").otherwise("ok").alias("status"), F.lit("").alias("final_url"), F.lit("").alias("lang"), (e % 4 + 1).cast("int").alias("v"), e.alias("pos"),
+    )
+    return e, F.to_json(record)
+
+
 @query("""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM (SELECT *, CASE event_id % 5 WHEN 0 THEN 'unknown' WHEN 1 THEN 'dead' ELSE 'ok' END AS status, event_id % 4 + 1 AS v FROM events) x
   WHERE event_id % 7 <> 0 AND (v >= 3 OR status = 'dead' OR (status = 'ok' AND event_id % 2 = 0)) AND NOT (status = 'dead' AND user_id % 3 = 0 AND v < 4))
 SELECT CASE WHEN user_id % 3 = 0 THEN 'u/' ELSE 'u' END || user_id AS key, event_id AS pos, status FROM e WHERE n = 1""")
 def log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A crawl log written as JSON lines, one in seven cut short, and read again: fresh records, the last of each key."""
     ship(spark)
-    e, k = F.col("event_id"), F.col("user_id")
-    record = F.struct(
-        F.concat(F.when(k % 3 == 0, "u/").otherwise("u"), k.cast("string")).alias("key"), F.when(e % 2 == 0, F.array(F.lit("a@k.test"))).otherwise(F.array().cast("array<string>")).alias("emails"),
-        F.when(e % 5 == 0, "unknown").when(e % 5 == 1, "dead").otherwise("ok").alias("status"), F.lit("").alias("final_url"), F.lit("").alias("lang"), (e % 4 + 1).cast("int").alias("v"), e.alias("pos"),
-    )
-    line = F.to_json(record)
+    e, line = _records()
     path = f"{Scratch(spark, 'replay').base}/log"
     _table(spark, sf_dir, "events").select(F.when(e % 7 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
     rows = readers.fresh_crawls(readers.read_log(spark, path, schemas.CRAWL_LOG))
     return readers.last_wins(rows, "key").select("key", "pos", "status")
 
 
+@query()
+def log_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log, followed as a stream of files: bases and deltas merged on read, the last record of each key."""
+    ship(spark)
+    _, line = _records()
+    base = Scratch(spark, "follow").base
+    files = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    _table(spark, sf_dir, "events").repartition(files, "event_id").select(line.alias("value")).write.text(f"{base}/in")
+    logs.follow(spark, f"{base}/in", schemas.CRAWL_LOG, f"{base}/log", f"{base}/state", files=-(-files // 3)).awaitTermination()
+    return logs.current(spark, f"{base}/log").select("key", "pos", "status", "v")
+
+
 @query(f"""WITH v AS ({VENUES}), e AS (SELECT seq, unnest([mail, 'second' || seq % 30 || '@redwidget.test', 'third' || seq % 50 || '@gmail.com']) AS e, unnest([1, 2, 3]) AS i FROM v),
 g AS (SELECT seq, list(e ORDER BY i) AS good FROM e WHERE e <> '' AND split_part(e, '@', 2) NOT IN ('brand1.test', 'brand2.test', 'redwidget.test') GROUP BY seq),
 n AS (SELECT *, row_number() OVER (PARTITION BY good[1] ORDER BY seq) AS n FROM g) SELECT seq AS pos, good[1] AS email, array_to_string(good[2:], '; ') AS other_emails FROM n WHERE n = 1""")

@@ -55,6 +55,15 @@ def test_clean_emails_finds_hidden_addresses(spark, tmp_path):
     assert got == {1: "info@redlion.test", 3: "", 5: "me@redlion.test"}
 
 
+def test_log_follow_keeps_the_last_record(spark):
+    want = {}
+    for r in sorted(spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_id").collect(), key=lambda r: r.event_id):
+        status = {0: "unknown", 1: "dead"}.get(r.event_id % 5, "ok")
+        want[f"u{'/' * (r.user_id % 3 == 0)}{r.user_id}"] = (r.event_id, status, r.event_id % 4 + 1)
+    got = queries.QUERIES["log_follow"](spark, SF).collect()
+    assert len(got) == len(want) and {r.key: (r.pos, r.status, r.v) for r in got} == want
+
+
 def test_entry(spark):
     import __spark_entry__
 
