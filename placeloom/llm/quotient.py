@@ -131,12 +131,16 @@ def repeated_fingerprints(rows: DataFrame, ranges: int) -> DataFrame:
         yield close()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: dict[int, CountingQuotientFilter] = {}
+        held: dict[int, list[CountingQuotientFilter]] = {}
         for b in batches:
             for part, f, c in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                own = CountingQuotientFilter.piece(f, c)
-                whole[part] = whole[part].merge(own) if part in whole else own
-        for x in whole.values():
+                some = held.setdefault(part, [])
+                some.append(CountingQuotientFilter.piece(f, c))
+                # merged when those that wait outgrow the first: each fingerprint is merged as often as its filter doubles
+                if sum(len(x.counts) for x in some[1:]) > max(len(some[0].counts), 250_000):
+                    some[:] = [some[0].merge(*some[1:])]
+        for some in held.values():
+            x = some[0].merge(*some[1:])
             yield pa.RecordBatch.from_arrays([pa.array(x.fingerprints()[x.counts > 1].view(np.int64), pa.int64())], ["fp"])
 
     return rows.select("sha").mapInArrow(build, "part int, f binary, c binary").repartition(1 << ranges, "part").mapInArrow(merge, "fp long")
