@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words lose their outer punctuation and case (folded over all of Unicode); numbers, units after a number, and names (capitalised words)
-become typed placeholders that keep their values as slots. A capital that opens a sentence may be a name or not, and texts
+become typed placeholders that keep their values as slots. Numbers have digits or are English number words from two on, also joined by a
+hyphen; a word of capitals throughout is a name if no neighbour is one too (then it is only a loud text). A capital that opens a sentence may be a name or not, and texts
 are quoted inside other sentences, so every text has three readings: ``CAPITALS`` takes each capitalised word for a slot wherever
 it stands (in items one that opens a sentence must keep its value if it is one of the ``OPENING`` words and no name elsewhere in the
 item), ``OPENERS`` leaves those that open a sentence literal, ``WORDS`` has no slots at all.
@@ -15,7 +16,11 @@ with another name is left out, one whose values are all unchanged never. Numbers
 in the document, so they are free, unless a name is evenly torn between others: then each must stand for one value too. So a
 question with other numbers or names is caught, and a chance mixture of the same template is not.
 
-A document and a class match if consistent alignments share ``least`` windows of the item, or all it has if it has fewer.
+A window that more than ``COMMON`` classes have (a preamble, say) tells none of them: a class keeps its own windows only, those that
+``COMMON`` classes at most have, exact words and templates apart; if it has none of its own, its rarest. So a window meets few
+classes, however many items open alike, and no match rests on what items have in common.
+
+A document and a class match if consistent alignments share ``least`` of the windows that the class keeps, or all if it keeps fewer.
 An item shorter than a window is one window of its own length. Windows with fewer than half literal words in every reading with
 slots are left out, unless the item has no others: then those with a fifth at least stand for it, and where there are none
 of these either its words themselves, without slots.
@@ -43,6 +48,7 @@ from placeloom.plans.scratch import Scratch
 
 WINDOW = 8
 LEAST = 4
+COMMON = 8
 _CASED = 0x1F000  # no letter from here on has case
 
 #: Unit words.
@@ -53,6 +59,18 @@ year years hz khz mhz ghz v kv a ma w kw mw j kj n pa kpa k kb mb gb tb byte byt
 dollar dollars euro euros pound pounds cent cents degree degrees
 """.split()
 
+#: More unit words: every prefix with every base, and their plurals.
+_PREFIXES = ["", "nano", "micro", "milli", "centi", "deci", "hecto", "kilo", "mega", "giga", "tera"]
+_BASES = "metre meter gram gramme litre liter watt volt amp ampere joule newton pascal hertz byte bit second calorie tonne".split()
+MORE_UNITS = [f"{p}{b}{s}" for p in _PREFIXES for b in _BASES for s in ("", "s")]
+MORE_UNITS += [f"{b}{s}" for b in "acre hectare gallon pint quart ounce knot kelvin celsius fahrenheit franc peso cup mole".split() for s in ("", "s")] + ["yen", "rupee", "rupees"]
+
+#: Number words, those of tens and ones joined by a hyphen.
+_ONES = "one two three four five six seven eight nine".split()
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+NUMBERS = [*_ONES[1:], *"ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), *_TENS]
+NUMBERS += [f"{t}-{o}" for t in _TENS for o in _ONES] + "dozen hundred thousand million billion".split()
+
 #: Words that open sentences without being names, in English, French, Spanish and German.
 OPENING = """
 a an the this that these those it he she we you they i there here his her its our your their my
@@ -125,6 +143,17 @@ def _capitals(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return out
 
 
+def _acronyms(raw: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which words are two capitals A to Z or more and nothing else, between words that are not."""
+    upper = np.concatenate([[0], np.cumsum((raw >= 65) & (raw <= 90))])
+    out = (end - start > 1) & (upper[end] - upper[start] == end - start)
+    beside = np.zeros(len(out), bool)
+    both = out[1:] & out[:-1] & (doc[1:] == doc[:-1])
+    beside[1:] |= both
+    beside[:-1] |= both
+    return out & ~beside
+
+
 class Template:
     """Template words of a piece of texts: ``symbol``, ``value`` (of slots), ``kind`` by reading, ``word`` and ``doc`` of each."""
 
@@ -138,8 +167,8 @@ class Template:
         folded = Words(*text_bytes(_folded(texts)))
         self.word = hash_ranges(folded.raw, *_inner(folded)[1:])
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
-        number = digits[end] > digits[start]
-        capital = _capitals(raw, start, end)
+        number = (digits[end] > digits[start]) | np.isin(self.word, _hash_words(NUMBERS))
+        capital = _capitals(raw, start, end) | _acronyms(raw, start, end, self.doc)
         # a sentence starts a text, follows a full stop, or a line break
         opens = np.ones(n, bool)
         if n > 1:
@@ -147,7 +176,7 @@ class Template:
             opens[1:] = (self.doc[1:] != self.doc[:-1]) | _STOP[raw[w.end[keep][:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
         after = np.zeros(n, bool)
         after[1:] = number[:-1] & (self.doc[1:] == self.doc[:-1])
-        unit = after & np.isin(self.word, _hash_words(UNITS)) & ~number
+        unit = after & np.isin(self.word, _hash_words(UNITS + MORE_UNITS)) & ~number
         free = number | unit
         name = capital & ~free
         first = name & opens
@@ -240,8 +269,8 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
     """(item, sign, k, reading, pos, h, kinds, slots, total): the windows that stand for each item; ``sign`` tells its class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["item", "sign", "k", "reading", "pos", "h", "kinds", "slots", "total"]
-        types = [None, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int32()]
+        names = ["item", "sign", "k", "reading", "pos", "h", "kinds", "slots"]
+        types = [None, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64())]
         for b in slices(batches, "t"):
             for i in range(b.num_rows):
                 t = Template(b.column(1).slice(i, 1))
@@ -257,15 +286,15 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
                 if not rich[WORDS].any():
                     rich[WORDS][:] = True
                 rich[OPENERS] &= t.opener[got[OPENERS][0] + k] > t.opener[got[OPENERS][0]]  # else as in CAPITALS
-                n, sign = int(rich[WORDS].sum()), signature(t)
+                sign = signature(t)
                 for x, (first, h) in got.items():
                     first, h = first[rich[x]], h[rich[x]]
                     m = len(first)
-                    cols = [[b.column(0)[i].as_py()] * m, [sign] * m, [k] * m, [x] * m, first, h.view(np.int64), t.kinds(first, k, x), t.slots(first, k, x), [n] * m]
+                    cols = [[b.column(0)[i].as_py()] * m, [sign] * m, [k] * m, [x] * m, first, h.view(np.int64), t.kinds(first, k, x), t.slots(first, k, x)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, b.column(0).type if j == 0 else types[j]) for j, c in enumerate(cols)], names)
 
     kind = items.schema[key].dataType.simpleString()
-    schema = f"item {kind}, sign long, k int, reading int, pos int, h long, kinds array<tinyint>, slots array<long>, total int"
+    schema = f"item {kind}, sign long, k int, reading int, pos int, h long, kinds array<tinyint>, slots array<long>"
     return items.select(F.col(key).alias("item"), F.col(text).cast("string").alias("t")).mapInArrow(run, schema)
 
 
@@ -274,10 +303,21 @@ def item_classes(windows: DataFrame) -> DataFrame:
     return windows.select("sign", "item").distinct().groupBy("sign").agg(F.min("item").alias("class"), F.count(F.lit(1)).alias("n_items"))
 
 
+def own_windows(bench: DataFrame, common: int = COMMON) -> DataFrame:
+    """The windows by which each class is known, with ``total``, the number of their places."""
+    many = bench.select("h", "sign").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("many"))
+    exact = (F.col("reading") == WORDS).alias("exact")
+    every = bench.select("*", exact).join(many, "h")
+    rarest = every.groupBy("sign", "exact").agg(F.min("many").alias("rarest"))
+    own = every.join(rarest, ["sign", "exact"]).where(F.col("many") <= F.greatest(F.lit(common), "rarest"))
+    total = own.groupBy("sign").agg(F.countDistinct("pos").cast("int").alias("total"))
+    return own.join(total, "sign").select(*bench.columns, "total")
+
+
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text", item_text: str = "text", window: int = WINDOW, least: int = LEAST, scratch: Scratch | None = None) -> DataFrame:
     """(``key``, ``item_key``, n_items, n_windows, item_windows, reparameterised): every matching pair of document and class of items.
 
-    The class is named by its least id and has ``n_items`` items; ``reparameterised`` tells that too few windows are verbatim.
+    The class is named by its least id and has ``n_items`` items; ``item_windows`` are those that it keeps; ``reparameterised`` tells that too few windows are verbatim.
     """
     spark = docs.sparkSession
     scratch = scratch.part("templates") if scratch else Scratch(spark, "templates")
@@ -285,8 +325,8 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: st
     size = every.count()
     classes = scratch.put(item_classes(every), size)
     # items of one class share a row for each window but for those of exact words that differ
-    bench = every.groupBy("sign", "k", "reading", "pos", "h").agg(F.min_by(F.struct("kinds", "slots"), "item").alias("x"), F.max("total").alias("total"))
-    bench = scratch.put(bench.join(small(classes), "sign").select("sign", "n_items", "k", "reading", "pos", "h", "x.kinds", "x.slots", "total"), size)
+    bench = every.groupBy("sign", "k", "reading", "pos", "h").agg(F.min_by(F.struct("kinds", "slots"), "item").alias("x"))
+    bench = scratch.put(own_windows(bench.join(small(classes), "sign").select("sign", "n_items", "k", "reading", "pos", "h", "x.kinds", "x.slots")), size)
     n = bench.count()
     bits = prefix_bits(n, 64)
     ks = sorted((r.k, r.reading) for r in bench.select("k", "reading").distinct().collect())  # 3 * ``window`` at most

@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from placeloom.llm import centroids, cobucket, rowbytes, simhash
+from placeloom.llm import centroids, cobucket, quotient, rowbytes, simhash, templates
 from placeloom.operators.components import least_roots
 from placeloom.plans.scratch import Scratch
 
@@ -276,3 +276,51 @@ def test_op13_over_the_driver_tables(spark):
     tables = {n: pq.read_table(f"{SF}/{n}.parquet") for n in ("sales", "sale_lines")}
     rows = {n: [tuple(x.values()) for x in t.to_pylist()] for n, t in tables.items()}
     checked_pair(op13_cobucket(spark, SF).collect(), rows["sales"], rows["sale_lines"], {n: t.column_names for n, t in tables.items()})
+
+
+# --- 3: merges of a range ---
+
+
+def test_quotient_ranges_merge_many_pieces(spark, monkeypatch):
+    sums = [i % 700 for i in range(1000)]
+    rows = spark.createDataFrame([(bytearray(x.to_bytes(2, "big") * 16),) for x in sums], "sha binary").repartition(40)
+    got = {r.fp for r in quotient.repeated_fingerprints(rows, 1).collect()}
+    assert got == {int.from_bytes(x.to_bytes(2, "big") * 4, "big", signed=True) for x in range(300)}
+
+
+# --- 4: what items have in common ---
+
+LEAD = "Answer the following question about the story that you have read below this line"
+
+
+def letters(rng, n):
+    return " ".join("".join(rng.choice("bcdfghjklm") + rng.choice("aeiou") for _ in range(4)) for _ in range(n))
+
+
+def test_templates_ignore_what_many_items_share(spark):
+    rng = random.Random(23)
+    own = [letters(rng, 12) for _ in range(60)]
+    items = spark.createDataFrame([(i, f"{LEAD} {t}") for i, t in enumerate(own)] + [(100, LEAD)], "item_id long, text string")
+    docs = [f"{LEAD} {letters(rng, 30)}" for _ in range(60)] + [f"{letters(rng, 9)} {LEAD} {own[i]} {letters(rng, 9)}" for i in range(0, 60, 10)]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in templates.matches(table, items).collect()}
+    # the shared opening is an item itself, whole in every document; it tells of no other
+    assert got == {(d, 100) for d in range(66)} | {(60 + i, 10 * i) for i in range(6)}
+    got = {(r.doc_id, r.item_id) for r in templates.matches(table, items.where("item_id < 100")).collect()}
+    assert got == {(60 + i, 10 * i) for i in range(6)}
+
+
+@pytest.mark.parametrize("last", ["mill", "seventeen apples"])
+def test_templates_tell_items_by_one_word_of_their_own(spark, last):
+    items = spark.createDataFrame([(i, f"{LEAD} {w}") for i, w in enumerate([*letters(random.Random(3), 20).split(), last])], "item_id long, text string")
+    docs = spark.createDataFrame([(0, f"wa wb {LEAD} {last} wc"), (1, f"wa wb {LEAD} house wc")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in templates.matches(docs, items).collect()} == {(0, 20)}
+
+
+def test_templates_type_words_beyond_lists(spark):
+    text = "The farmer keeps {0} cows near the old mill and walks {1} every day while {2} flies over the valley at night"
+    items = spark.createDataFrame([(1, text.format("twelve", "60 kilometres", "NASA"))], "item_id long, text string")
+    same = [("fifteen", "90 miles", "JAXA"), ("12", "5 km", "ESA"), ("twenty-five", "7 gigametres", "Anna"), ("two", "3 acres", "NASA")]
+    docs = [text.format(*x) for x in same] + [letters(random.Random(1), 20), text.format("twelve", "60 kilometres", "NASA").upper()]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert {r.doc_id for r in templates.matches(table, items).collect()} == {0, 1, 2, 3, 5}
