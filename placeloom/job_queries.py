@@ -270,3 +270,44 @@ def categorize_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(s == 0, "Sushi House").when(s == 1, "Old Bakery Diner").when(s == 2, "Brasserie Élan").otherwise("")
     tags = F.create_map(F.lit("cuisine"), "cuisine", F.lit("amenity"), "amenity")
     return _view(spark, sf_dir).select("seq", F.array_join(text.categorize(tags, name), "; ").alias("categories"))
+
+
+_CITY = f"""{_COLLECTED}, rated AS (SELECT *, CASE WHEN kind IN ('ECONOMY', 'MEDIUM') OR seq % 10 = 8 OR amenity = 'pub' THEN 3 ELSE 1 END AS score FROM live),
+mails AS (SELECT *, row_number() OVER (PARTITION BY mail ORDER BY score DESC, borough, lower(name), seq) AS n, count(*) OVER (PARTITION BY mail) AS locations FROM rated WHERE mail <> '' AND split_part(mail, '@', 2) NOT IN ('brand1.test', 'redwidget.test')),
+sites AS (SELECT *, row_number() OVER (PARTITION BY {_KEY.format("website")} ORDER BY score DESC, borough, lower(name), seq) AS n, count(*) OVER (PARTITION BY {_KEY.format("website")}) AS locations FROM rated WHERE website <> '')"""
+
+
+def _city_job(spark: SparkSession, sf_dir: str) -> jobs.Run:
+    elements = Scratch(spark, "elements").put(_elements(spark, sf_dir))
+    config = readers.CityConfig(slug="town", country_code="44", english_priority=True)
+    got, _ = jobs.collect_city(elements, config, "2024-06-30")
+    mx = spark.createDataFrame([("brand1.test", "no_mx"), ("redwidget.test", "null_mx"), ("gmail.com", "ok")], "domain string, status string")
+    return jobs.city_run(got, config, mx)
+
+
+@query(f"""{_CITY}
+SELECT seq, website, borough AS district, CAST(score AS INTEGER) AS english_score, CASE WHEN score >= 2 THEN 'Medium' ELSE 'Low' END AS english_priority, locations FROM sites WHERE n = 1""")
+def city_job_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over a city from map elements to one row per site, the best rated venue of each."""
+    return _city_job(spark, sf_dir).sites.select("seq", "website", F.col("borough").alias("district"), "english_score", "english_priority", "locations")
+
+
+@query(f"""{_CITY} SELECT borough AS district, count(*) AS venues, (SELECT count(*) FROM mails m WHERE n = 1 AND m.borough = r.borough) AS emails, (SELECT count(*) FROM sites s WHERE n = 1 AND s.borough = r.borough) AS websites,
+CAST(0 AS BIGINT) AS high_priority_emails, CAST(0 AS BIGINT) AS high_priority_websites FROM rated r GROUP BY borough""")
+def city_job_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts of the city job; no site has been read, so none is rated high."""
+    return _city_job(spark, sf_dir).summary
+
+
+@query(f"""{_CITY} SELECT mail AS email, name, borough AS district, CAST(score AS VARCHAR) AS english_score, CASE WHEN website = '' THEN NULL ELSE website END AS website, CAST(locations AS VARCHAR) AS locations FROM mails WHERE n = 1""")
+def city_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city job's e-mail list written as CSV, a folder for each district, and read again."""
+    path = f"{Scratch(spark, 'files').base}/emails"
+    relations.write_csv(relations.layout(_city_job(spark, sf_dir).emails, "city_emails"), path, by="district")
+    return readers.read_table(spark, path).select("email", "name", "district", "english_score", "website", "locations")
+
+
+@query(f"""{_CITY} SELECT mail AS email, CASE WHEN split_part(mail, '@', 2) = 'brand1.test' THEN 'no_mx' ELSE 'null_mx' END AS reason, name, borough AS district FROM rated WHERE split_part(mail, '@', 2) IN ('brand1.test', 'redwidget.test')""")
+def city_job_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of rejected addresses of the city job, in the layout of its file."""
+    return relations.layout(_city_job(spark, sf_dir).rejected, "rejected")

@@ -54,26 +54,29 @@ def extra_area(elements: DataFrame, register: DataFrame, places: DataFrame, name
     return collect_boroughs(readers.around(elements, *at, metres), register, today).where((F.col("source") != "food standards agency") | near)
 
 
-def localise(venues: DataFrame, local: str) -> DataFrame:
-    """Names in the local script stand aside where an English one exists; categories follow the name that is shown."""
+def localise(venues: DataFrame, local: str, scratch: Scratch) -> DataFrame:
+    """Names in the local script stand aside where an English one exists; categories follow the name that is shown.
+
+    Names are written first: a category has them in many places, and code for their expressions in each would be too long.
+    """
     is_local = F.col("name").rlike(local) if local else F.lit(False)
     out = venues.withColumns({"latin_name": ~is_local, "name_local": F.when(is_local, F.col("name")).otherwise("")})
     out = out.withColumn("name", F.when(is_local & (F.col("name_en") != ""), F.col("name_en")).otherwise(F.col("name")))
-    return out.withColumn("categories", text.categorize(F.col("tags"), F.col("name"))).select(venues.columns)
+    return scratch.put(out).withColumn("categories", text.categorize(F.col("tags"), F.col("name"))).select(venues.columns)
 
 
 def collect_city(elements: DataFrame, config: CityConfig, today: str, places: DataFrame | None = None, divisions: DataFrame | None = None, partners: list[tuple[dict, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Venues of a city from map, catalogue and partners; the second value is the partners' report."""
     scratch = Scratch(elements.sparkSession, "collect")
     got = readers.element_venues(readers.food_elements(elements)).where(F.col("name") != "").where(~is_closed(F.col("tags"), today))
-    got = resolve.drop_repeats(scratch.put(localise(got.withColumn("area", F.col("borough")), config.local_script)))
+    got = resolve.drop_repeats(scratch.put(localise(got.withColumn("area", F.col("borough")), config.local_script, scratch)))
     if places is not None and config.overture:
         rows = readers.catalogue(places, divisions, config)
         if not config.osm_areas:
             label = joins.district_labels(rows.select(F.col("district").alias("name")), got.select(F.col("borough").alias("label")).distinct())
             rows = rows.join(label.withColumnRenamed("name", "district"), "district").withColumn("district", F.col("label")).drop("label")
         rows = scratch.put(rows.orderBy("id", "district").withColumn("seq", F.monotonically_increasing_id() + _STEP * 2))
-        extra = localise(readers.catalogue_venues(rows), config.local_script).withColumn("area", F.col("borough"))
+        extra = localise(readers.catalogue_venues(rows), config.local_script, scratch).withColumn("area", F.col("borough"))
         got, _ = resolve.merge_places(got, extra, config.country_code)
     report = None
     if partners:
