@@ -96,12 +96,17 @@ def assign_areas(venues: DataFrame, areas: DataFrame, few: int = 64) -> DataFram
     return out.withColumn("area", F.coalesce("area", F.lit(""))).select(venues.columns)
 
 
+def _placed() -> Column:
+    """A longitude of 0 is a place like any other: the meridian of Greenwich runs through the city."""
+    return geo.located(F.col("lat")) & F.col("lon").isNotNull()
+
+
 def _compared_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
     """(seq, area) by comparing each venue with the areas of its borough."""
     a = areas.select("borough", "ord", F.col("area").alias("_a"), F.col("lat").alias("alat"), F.col("lon").alias("alon"), F.col("districts").alias("_d"))
     pair = venues.select("seq", "borough", "lat", "lon", text.districts(F.col("postcode")).alias("_own")).join(a, "borough")
     pair = pair.withColumn("_in", F.arrays_overlap("_own", "_d"))
-    at = geo.located(F.col("lat"), F.col("lon")) & F.col("alat").isNotNull() & F.col("alon").isNotNull()
+    at = _placed() & F.col("alat").isNotNull() & F.col("alon").isNotNull()
     gap = geo.degrees_apart(F.col("alat"), F.col("alon"), F.col("lat"), F.col("lon"))
     nearest_of = lambda cond: F.min_by(F.when(cond, F.col("_a")), F.when(cond, F.struct(gap, "ord")))
     got = pair.groupBy("seq").agg(
