@@ -122,7 +122,7 @@ def _searched_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
     own = F.array_distinct(text.districts(F.col("postcode")))
     v = scratch.put(venues.select(F.col("seq").alias("v"), "borough", "lat", "lon", own.alias("_own")))
     placed = areas.where("lat is not null and lon is not null")
-    at = v.where(geo.located(F.col("lat"), F.col("lon")))
+    at = v.where(_placed())
     near = nearest(at.select("v", F.col("borough").alias("p"), "lat", "lon").where("p is not null"), placed.select(F.col("borough").alias("p"), F.col("ord").alias("t"), "lat", "lon").where("p is not null"), scratch)
 
     # the areas of a venue's districts: each district is a partition of its own

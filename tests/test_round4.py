@@ -8,5 +8,5 @@ def test_the_meridian_is_a_place_for_areas(spark):
     rows = [(0, "B", 51.6, 0.0), (1, "B", 51.41, -0.3), (2, "B", 0.0, 0.0), (3, "B", 51.6, None)]
     v = readers.venue_rows(spark.createDataFrame(rows, "seq long, borough string, lat double, lon double"))
     areas = spark.createDataFrame([(0, "B", "West", 51.4, -0.3, ["E1"]), (1, "B", "East", 51.6, 0.1, ["E2"])], "ord int, borough string, area string, lat double, lon double, districts array<string>")
-    for few in (64,):
+    for few in (64, 0):
         assert {r.seq: r.area for r in joins.assign_areas(v, areas, few=few).collect()} == {0: "East", 1: "West", 2: "", 3: ""}
