@@ -141,8 +141,11 @@ def venue_rows(df: DataFrame) -> DataFrame:
 
 
 def element_venues(rows: DataFrame) -> DataFrame:
-    """Map elements (with ``unit`` and ``pos``) as venues, ``seq`` from pos."""
-    at = lambda k: F.coalesce(F.when(F.col(k) != 0, F.col(k)), F.col(f"center.{k}"))
+    """Map elements (with ``unit`` and ``pos``) as venues, ``seq`` from pos.
+
+    Zeros give way to a centre; without one a longitude of 0 stays beside a latitude that is not 0.
+    """
+    at = lambda k: F.coalesce(F.when(F.col(k) != 0, F.col(k)), F.col(f"center.{k}"), F.when(F.col("lat") != 0, F.col(k)))
     address = F.concat_ws(" ", *[F.nullif(F.col("tags")[k], F.lit("")) for k in ("addr:housenumber", "addr:street")])
     return venue_rows(
         rows.select(

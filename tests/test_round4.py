@@ -1,5 +1,7 @@
 """What the review of round 3 found."""
 
+from pyspark.sql import functions as F
+
 from placeloom.operators import joins
 from placeloom.sources import readers
 
@@ -10,3 +12,10 @@ def test_the_meridian_is_a_place_for_areas(spark):
     areas = spark.createDataFrame([(0, "B", "West", 51.4, -0.3, ["E1"]), (1, "B", "East", 51.6, 0.1, ["E2"])], "ord int, borough string, area string, lat double, lon double, districts array<string>")
     for few in (64, 0):
         assert {r.seq: r.area for r in joins.assign_areas(v, areas, few=few).collect()} == {0: "East", 1: "West", 2: "", 3: ""}
+
+
+def test_elements_on_the_meridian_keep_their_longitude(spark):
+    rows = [(0, 51.6, 0.0, None), (1, 0.0, 0.0, None), (2, 0.0, 0.0, (51.5, 0.2)), (3, None, None, (51.5, 0.0)), (4, None, None, None)]
+    e = spark.createDataFrame(rows, "pos long, lat double, lon double, center struct<lat: double, lon: double>")
+    e = e.select("*", F.lit("node").alias("type"), F.col("pos").alias("id"), F.lit("B").alias("unit"), F.create_map(F.lit("name"), F.lit("Kite")).alias("tags"))
+    assert {r.seq: (r.lat, r.lon) for r in readers.element_venues(e).collect()} == {0: (51.6, 0.0), 1: (None, None), 2: (51.5, 0.2), 3: (51.5, 0.0), 4: (None, None)}
