@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from placeloom.operators import joins
+from placeloom.plans.scratch import Scratch
 from placeloom.sources import readers
 
 
@@ -19,3 +20,10 @@ def test_elements_on_the_meridian_keep_their_longitude(spark):
     e = spark.createDataFrame(rows, "pos long, lat double, lon double, center struct<lat: double, lon: double>")
     e = e.select("*", F.lit("node").alias("type"), F.col("pos").alias("id"), F.lit("B").alias("unit"), F.create_map(F.lit("name"), F.lit("Kite")).alias("tags"))
     assert {r.seq: (r.lat, r.lon) for r in readers.element_venues(e).collect()} == {0: (51.6, 0.0), 1: (None, None), 2: (51.5, 0.2), 3: (51.5, 0.0), 4: (None, None)}
+
+
+def test_a_table_that_is_small_only_as_a_file_is_not_broadcast(spark):
+    scratch = Scratch(spark, "wide")
+    wide = scratch.put(spark.range(300_000).select("id", F.lit("x" * 200).alias("x")))
+    met = wide.join(spark.range(1_000_000).withColumn("y", F.rand(1)), "id")
+    assert met.count() == 300_000 and "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
