@@ -10,7 +10,7 @@ from ..functions import values as V
 from ..plans.scratch import Scratch
 from . import near
 from .nearest import nearest
-from .skew import bounded
+from .skew import bounded, dealt
 
 
 def not_on_map(register: DataFrame, mapped: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def take_places_lookup(venues: DataFrame, lookup: DataFrame) -> DataFrame:
 def take_crawl(venues: DataFrame, log: DataFrame) -> DataFrame:
     """What was read on venues' sites: closed ones are marked; addresses fill and extend, the language is kept."""
     rec = log.select(F.col("key").alias("_k"), F.col("emails").alias("_e"), F.col("status").alias("_s"), F.col("final_url").alias("_f"), text.blank(F.col("lang")).alias("_l"))
-    out = venues.withColumn("_k", F.when(F.col("website") != "", text.crawl_key(F.col("website")))).join(rec, "_k", "left")
+    out = venues.withColumn("_k", F.when(F.col("website") != "", text.crawl_key(F.col("website")))).join(rec.withColumnRenamed("_k", "_key"), dealt("_k", "seq") == F.col("_key"), "left")
     shut = F.coalesce(F.col("_s").isin(V.CLOSED_STATUSES), F.lit(False))
     live = (F.col("website") != "") & ~shut
     out = out.withColumn("_found", text.valid_emails(F.coalesce("_e", F.array().cast("array<string>")), F.array("website", text.blank(F.col("_f")))))

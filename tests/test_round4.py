@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from placeloom.operators import joins
+from placeloom.operators.skew import dealt
 from placeloom.plans.scratch import Scratch
 from placeloom.sources import readers
 
@@ -27,3 +28,16 @@ def test_a_table_that_is_small_only_as_a_file_is_not_broadcast(spark):
     wide = scratch.put(spark.range(300_000).select("id", F.lit("x" * 200).alias("x")))
     met = wide.join(spark.range(1_000_000).withColumn("y", F.rand(1)), "id")
     assert met.count() == 300_000 and "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 500 == 0, F.col("id").cast("string")).alias("k"))
+    values = spark.range(2000).select(F.col("id").cast("string").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = rows.join(values.hint("merge"), dealt("k", "id") == F.col("v"), "left").withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted(r.id for r in met if r.v is not None) == [0, 500, 1000, 1500] and all(r.v == r.k for r in met) and len(met) == 2000
+    held = [sum(r.at == p for r in met) for p in {r.at for r in met}]
+    assert len(held) == 4 and max(held) < 700
