@@ -42,6 +42,7 @@ class Rule:
     last: str | None = None  # seq of a row to join where no key leads to one
     adds: tuple[str, ...] = ()  # "; " lists that take over what they lack, whatever they have
     notes: dict[str, str] = field(default_factory=dict)  # columns that every joining row changes: "append" or "replace"
+    earliest: bool = False  # ``probe`` has (pos, t): the earliest row under any key ``t`` of one ``pos`` counts, and every key is sure
     told: str | None = None  # seq of the row that a row is known to join, its own if it is known to stay; no key is looked up for it
 
     def columns(self) -> list[str]:
@@ -94,6 +95,14 @@ class Replay:
         if self.rule.told and (known := self.col[self.rule.told][i]) is not None:
             j = self.number[known]
             return (None if j == i else j), "key"
+        if self.rule.earliest:
+            best, at = None, None
+            for key in self.col[self.rule.probe][i]:
+                if best is not None and key["pos"] != at:
+                    break
+                if (j := self.found.get(key["t"])) and (best is None or j[0] < best):
+                    best, at = j[0], key["pos"]
+            return best, "key"
         for key in self.col[self.rule.probe][i]:
             for j in self.found.get(key, ()):
                 if self._same(j, i, key):

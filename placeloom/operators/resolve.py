@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import geo, text
 from ..plans.scratch import Scratch, ship
 from . import near
+from . import partners as partners_
 from .components import components
 from .greedy import settle
 from .replay import Rule, first_filled, replay
@@ -236,12 +237,11 @@ def merge_partners(venues: DataFrame, partners: DataFrame, country: str = "") ->
     long = rows.where(F.length("_fold") >= 6)
     held = long.where("not _new").groupBy("_fold").agg(F.count(F.lit(1)).alias("held"), F.min("seq").alias("_first")).where("held = 1")
     alone = scratch.put(long.where("_new").join(held, "_fold").select("seq", "_first"))
-    links = _star(rows.select("seq", F.explode("keys").alias("k")), scratch).unionAll(alone.select(F.col("seq").alias("a"), F.col("_first").alias("b")))
-    fills: dict[str, str | None] = dict.fromkeys([*_FILL, "social_website"])
-    rule = Rule("keys", "keys", fills, sure="eif", joins="_new", last="_first", adds=("email",), notes={"source": "append", "partner_notes": "replace"})
-    done = replay(rows.join(alone, "seq", "left"), _roots(links, scratch), rule, scratch)
+    # names and keys do not change, so what rows take over is left until all have found theirs
+    joined = scratch.put(partners_.found(rows, alone, "eif", scratch))
+    gains = partners_.taken(joined, rows, [*_FILL, "social_website"])
 
-    after = done.select("seq", "into", "by", "joined", *[F.col(c).alias(f"_{c}") for c in told])
+    after = gains.select("seq", "joined", *[F.col(c).alias(f"_{c}") for c in told]).join(joined, "seq", "full")
     outcome = F.when(~F.col("_new"), "ours").when(F.col("into").isNull(), "new").when(F.col("by") == "name", "merged by name").otherwise("merged")
     acts = rows.select("seq", "_new", *told).join(after, "seq", "left")
     acts = scratch.put(acts.select("seq", outcome.alias("outcome"), "into", (F.coalesce("joined", F.lit(0)) > 0).alias("changed"), *[F.coalesce(f"_{c}", c).alias(c) for c in told]))
