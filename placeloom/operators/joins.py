@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..functions import values as V
-from ..plans.scratch import Scratch
+from ..plans.scratch import Scratch, measured
 from . import near
 from .nearest import nearest
 from .skew import bounded, dealt
@@ -26,7 +26,7 @@ def add_wikidata(venues: DataFrame, items: DataFrame, metres: float = 200) -> Da
 
     Distances are measured at the item's latitude. Both sides meet by cell and by the rarest four letters of the shorter name.
     """
-    scratch = Scratch(venues.sparkSession, "wikidata")
+    scratch = Scratch(measured(venues.sparkSession), "wikidata")
     folded = lambda c: F.replace(text.fold(c), F.lit(" "), F.lit(""))
     row = lambda d, name, side: d.select("seq", F.lit(side).alias("side"), "lat", "lon", folded(F.col(name)).alias("_fold"), text.strip(text.blank(F.col(name))).alias("_raw"))
     own = items.where(~text.not_venue_site(F.col("site")) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -88,7 +88,7 @@ def assign_areas(venues: DataFrame, areas: DataFrame, few: int = 64) -> DataFram
     if not many.limit(1).count():
         got = _compared_areas(venues, areas)
     else:
-        many = Scratch(venues.sparkSession, "areas").put(many)
+        many = Scratch(measured(venues.sparkSession), "areas").put(many)
         apart = lambda d, how: d.join(bounded(many), "borough", how)
         got = _compared_areas(apart(venues, "left_anti"), apart(areas, "left_anti"))
         got = got.unionAll(_searched_areas(apart(venues, "left_semi"), apart(areas, "left_semi")))
@@ -118,7 +118,7 @@ def _compared_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
 
 def _searched_areas(venues: DataFrame, areas: DataFrame) -> DataFrame:
     """(seq, area) without a table of pairs."""
-    scratch = Scratch(venues.sparkSession, "areas")
+    scratch = Scratch(measured(venues.sparkSession), "areas")
     own = F.array_distinct(text.districts(F.col("postcode")))
     v = scratch.put(venues.select(F.col("seq").alias("v"), "borough", "lat", "lon", own.alias("_own")))
     placed = areas.where("lat is not null and lon is not null")

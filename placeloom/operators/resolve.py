@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo, text
-from ..plans.scratch import Scratch, ship
+from ..plans.scratch import Scratch, measured, ship
 from . import near
 from . import partners as partners_
 from .components import components
@@ -118,7 +118,7 @@ def drop_repeats(venues: DataFrame, held: int = HELD) -> DataFrame:
 
     Rows meet those they share a key with, so the branches of a chain at different places stay apart.
     """
-    scratch = Scratch(venues.sparkSession, "repeats")
+    scratch = Scratch(measured(venues.sparkSession), "repeats")
     low = lambda c: F.lower(text.blank(F.col(c)))
     where = F.when(low("postcode") != "", low("postcode")).otherwise(low("address"))
     thin = venues.select("seq", low("name").alias("n"), where.alias("p"), low("website").alias("w"), F.when(geo.located(F.col("lat"), F.col("lon")), F.col("lat")).alias("lat"), "lon")
@@ -136,7 +136,7 @@ def merge_places(venues: DataFrame, places: DataFrame, country: str = "", metres
     have names that contain one another within ``metres`` (see ``near``), or share a phone within two cells (a phone may be filled
     once from one cell away, and matched from one further).
     """
-    scratch = Scratch(venues.sparkSession, "places")
+    scratch = Scratch(measured(venues.sparkSession), "places")
     columns = venues.columns
     both = venues.select("*", F.lit(False).alias("_new")).unionByName(places.select(*columns, F.lit(True).alias("_new")).where(geo.located(F.col("lat")) & (F.col("name") != "")))
     cells = {"cy": F.when(geo.located(F.col("lat")), geo.cell(F.col("lat"), 200)), "cx": F.when(geo.located(F.col("lat")), geo.cell(F.col("lon"), 200))}
@@ -170,7 +170,7 @@ def master(venues: DataFrame, country: str = "", held: int = HELD) -> tuple[Data
     Returns the kept rows and (seq, into). Keys are those a row had when it was read; the match itself sees filled values. Two rows
     with one e-mail, site or phone as a key are always the same, so chains of any size settle in rounds.
     """
-    scratch = Scratch(venues.sparkSession, "master")
+    scratch = Scratch(measured(venues.sparkSession), "master")
     rows = _prepared(venues, country)
     spot = _spot(rows)
     keyed = lambda p, c: F.when(F.col(c) != "", F.concat(F.lit(p), c))
@@ -221,7 +221,7 @@ def merge_partners(venues: DataFrame, partners: DataFrame, country: str = "") ->
     Both inputs have canonical social links. A name counts as unique if exactly one venue that is not a partner's has it.
     """
     ship(venues.sparkSession)
-    scratch = Scratch(venues.sparkSession, "partners")
+    scratch = Scratch(measured(venues.sparkSession), "partners")
     told = ["email", "website", "social_website", "phone", "facebook", "instagram", "source", "partner_notes"]
     own = venues.select("seq", "name", *told, F.lit(False).alias("_new"))
     rows = _prepared(own.unionByName(partners.where("excluded = ''").select("seq", "name", *told, F.lit(True).alias("_new"))), country)

@@ -13,7 +13,7 @@ from ..operators.predicates import is_closed, wanted
 from ..sources import readers, schemas
 from ..sources.readers import CityConfig
 from ..streaming.logs import exists
-from .scratch import Scratch
+from .scratch import Scratch, measured
 
 _STEP = 1 << 40  # sources follow one another in seq
 CRAWL_VERSION = 4  # of crawl records
@@ -41,7 +41,7 @@ def collect_boroughs(elements: DataFrame, register: DataFrame | None, today: str
         got = got.unionByName(joins.not_on_map(extra, got).withColumn("seq", F.col("seq") + _STEP))
     # written, as a filter would repeat the long expression of the categories, beyond what code can be generated for
     told = got.withColumn("categories", text.categorize(F.col("tags"), F.col("tags")["name"]))
-    told = Scratch(elements.sparkSession, "categories").put(told)
+    told = Scratch(measured(elements.sparkSession), "categories").put(told)
     return resolve.drop_repeats(told.where(wanted(F.col("categories"), categories or [])))
 
 
@@ -67,7 +67,7 @@ def localise(venues: DataFrame, local: str, scratch: Scratch) -> DataFrame:
 
 def collect_city(elements: DataFrame, config: CityConfig, today: str, places: DataFrame | None = None, divisions: DataFrame | None = None, partners: list[tuple[dict, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Venues of a city from map, catalogue and partners; the second value is the partners' report."""
-    scratch = Scratch(elements.sparkSession, "collect")
+    scratch = Scratch(measured(elements.sparkSession), "collect")
     got = readers.element_venues(readers.food_elements(elements)).where(F.col("name") != "").where(~is_closed(F.col("tags"), today))
     got = resolve.drop_repeats(scratch.put(localise(got.withColumn("area", F.col("borough")), config.local_script, scratch)))
     if places is not None and config.overture:
@@ -112,7 +112,7 @@ def known_records(spark: SparkSession, path: str, schema: str) -> DataFrame | No
 def _append(rows: DataFrame, path: str, known: DataFrame | None) -> DataFrame:
     """Appends ``rows`` after all that the log has, and returns them with their places."""
     last = -1 if known is None else known.agg(F.max("pos")).first()[0]
-    rows = Scratch(rows.sparkSession, "log").put(rows.withColumn("pos", F.monotonically_increasing_id() + F.lit((-1 if last is None else last) + 1)))
+    rows = Scratch(measured(rows.sparkSession), "log").put(rows.withColumn("pos", F.monotonically_increasing_id() + F.lit((-1 if last is None else last) + 1)))
     if path:
         relations.append_log(rows, path)
     return rows
@@ -146,7 +146,7 @@ def enrich_venues(
     venues: DataFrame, wikidata: DataFrame | None, pages: DataFrame | None, dns: DataFrame | None, config: CityConfig | None, limit: int = 0, logs: Logs | None = None, lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Contacts split, sites from items, chains and searches, then what the sites say; ``lookup`` is a table of sites by seq."""
-    scratch, logs = Scratch(venues.sparkSession, "enrich"), logs or Logs()
+    scratch, logs = Scratch(measured(venues.sparkSession), "enrich"), logs or Logs()
     got = relations.split_contacts(venues)
     if wikidata is not None:
         got = joins.add_wikidata(got, wikidata)
@@ -170,7 +170,7 @@ def borough_run(venues: DataFrame, areas: DataFrame, place_nodes: DataFrame, mx:
     located = joins.locate_areas(areas, place_nodes, venues)
     got = enrich_venues(joins.assign_areas(venues, located), wikidata, pages, dns, None, **more)
     live, rejected = joins.validate(got.where("not closed"), mx)
-    live = Scratch(venues.sparkSession, "live").put(resolve.collect_social(live))
+    live = Scratch(measured(venues.sparkSession), "live").put(resolve.collect_social(live))
     order = relations.by_borough()
     emails, sites = relations.email_rows(live, order), relations.site_rows(live, order)
     return Run(live, emails, sites, relations.social_rows(live, order), rejected, relations.area_summary(emails, sites, located.join(venues.select("borough").distinct(), "borough", "left_semi")))
@@ -181,7 +181,7 @@ def city_run(venues: DataFrame, config: CityConfig, mx: DataFrame, wikidata: Dat
 
     E-mail and site relations hold contacts as they were before the master list filled blanks, the social relation those after.
     """
-    scratch = Scratch(venues.sparkSession, "city")
+    scratch = Scratch(measured(venues.sparkSession), "city")
     got = enrich_venues(venues, wikidata, pages, dns, config, **more)
     live, rejected = joins.validate(got.where("not closed"), mx)
     live = scratch.put(relations.score(resolve.collect_social(live)))

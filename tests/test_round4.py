@@ -10,7 +10,7 @@ from placeloom.operators import joins, resolve
 from placeloom.operators.partners import found
 from placeloom.operators.replay import Replay, Rule
 from placeloom.operators.skew import dealt
-from placeloom.plans.scratch import Scratch
+from placeloom.plans.scratch import Scratch, measured
 from placeloom.sources import readers
 from placeloom.sources.readers import venue_rows
 
@@ -31,7 +31,7 @@ def test_elements_on_the_meridian_keep_their_longitude(spark):
 
 
 def test_a_table_that_is_small_only_as_a_file_is_not_broadcast(spark):
-    scratch = Scratch(spark, "wide")
+    scratch = Scratch(measured(spark), "wide")
     wide = scratch.put(spark.range(300_000).select("id", F.lit("x" * 200).alias("x")))
     met = wide.join(spark.range(1_000_000).withColumn("y", F.rand(1)), "id")
     assert met.count() == 300_000 and "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
