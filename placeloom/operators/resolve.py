@@ -101,7 +101,8 @@ def _spot(rows: DataFrame) -> Column:
 
     @F.pandas_udf(T.StringType())
     def key(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) or pd.isna(b) else f"{round(a, 3) + 0.0}:{round(b, 3) + 0.0}" for a, b in zip(lat, lon, strict=True)], dtype=object)
+        at = zip(lat.astype(float).tolist(), lon.astype(float).tolist(), strict=True)
+        return pd.Series([None if a != a or b != b else f"{round(a, 3) + 0.0}:{round(b, 3) + 0.0}" for a, b in at], dtype=object)
 
     return key("lat", "lon")
 

@@ -147,7 +147,7 @@ def enrich_venues(
 ) -> DataFrame:
     """Contacts split, sites from items, chains and searches, then what the sites say; ``lookup`` is a table of sites by seq."""
     scratch, logs = Scratch(measured(venues.sparkSession), "enrich"), logs or Logs()
-    got = relations.split_contacts(venues)
+    got = scratch.put(relations.split_contacts(venues))  # written, as what follows would repeat its expressions in filters
     if wikidata is not None:
         got = joins.add_wikidata(got, wikidata)
     got = scratch.put(joins.add_brand_sites(got))

@@ -1,7 +1,39 @@
 """What keeps the time of venue queries in line with their rows."""
 
+from pyspark.sql import functions as F
+
+from placeloom.functions import text
+from placeloom.operators import joins, resolve
+from placeloom.plans import jobs
 from placeloom.plans.scratch import measured
+from placeloom.sources.readers import venue_rows
 
 
 def test_code_too_long_for_the_jvm_to_compile_is_cut_up(spark):
     assert measured(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_name_patterns_are_tried_once_a_row(spark):
+    tags = F.create_map(F.lit("amenity"), F.col("a"))
+    rows = spark.createDataFrame([("pub", "Dim Sum Deli"), ("cafe", "Kite"), (None, None)], "a string, n string").select("n", text.categorize(tags, F.col("n")).alias("c"))
+    assert [r.c for r in rows.collect()] == [["Chinese", "Deli", "Pub"], ["Cafe"], ["Restaurant"]]
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("|delicatessen") == 1
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_contacts_are_split_before_later_steps_read_them(spark, monkeypatch):
+    v = venue_rows(spark.createDataFrame([(1, "Kite", "A@kite.test; b@kite.test", "kite.test")], "seq long, name string, email string, website string"))
+    seen = []
+    monkeypatch.setattr(joins, "add_brand_sites", lambda rows: seen.append(rows) or rows)
+    got = jobs.enrich_venues(v, None, None, None, None).collect()
+    assert [(r.email, r.other_emails, r.website) for r in got] == [("a@kite.test", ["b@kite.test"], "https://kite.test")]
+    assert "Python" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_of_three_decimals_are_as_before(spark):
+    rows = [(51.5004, -0.1), (0.0625, -0.0625), (-0.0001, 0.0), (None, 1.0), (1.0, None), (float("nan"), 1.0)]
+    got = [r.s for r in spark.createDataFrame(rows, "lat double, lon double").select("lat", "lon", resolve._spot(None).alias("s")).collect()]
+    assert got == ["51.5:-0.1", "0.062:-0.062", "0.0:0.0", None, None, None]
