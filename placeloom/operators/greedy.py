@@ -17,19 +17,21 @@ from .skew import with_values
 NONE, WAIT, JOIN = 0, 1, 2
 
 
-def settle(keys: DataFrame, scratch: Scratch, rounds: int = 12, least: float = 0.05) -> tuple[DataFrame, DataFrame, DataFrame]:
+def settle(keys: DataFrame, scratch: Scratch, rounds: int = 12, least: float = 0.05, few: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(seq, into) of rows that join, (seq) of rows that stay, (seq) of rows still open, of ``keys`` (seq, pos, k, sure).
 
-    ``pos`` orders the keys of a row; positions do not repeat. Rounds end when nothing is open, after ``rounds``, or
-    when one settles less than ``least`` of what was open, as in a chain in which each row waits for the one before.
+    ``pos`` orders the keys of a row; positions do not repeat. Rounds end when ``few`` rows at most are open, after ``rounds``, or
+    when two in turn settle less than ``least`` of what was open, as in a chain in which each row waits for the one before. One such
+    round says nothing: the few rows that stay in it are those that most others join in the next.
     """
     left, total = keys, keys.count()
     none = scratch.spark.createDataFrame([], "seq long, into long")
     held = scratch.put(keys.where("false").select("k", F.col("seq").alias("held")))
     joined, stayed = none, none.select("seq")
     open_ = keys.select("seq").distinct().count()
+    slow = 0
     for _ in range(rounds):
-        if not open_:
+        if open_ <= few:
             break
         first = left.groupBy("k").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("c"))
         values = scratch.put(first.join(held, "k", "left"), total)
@@ -44,8 +46,10 @@ def settle(keys: DataFrame, scratch: Scratch, rounds: int = 12, least: float = 0
         joined, stayed = joined.unionAll(joins), stayed.unionAll(stays)
         more = left.join(stays, "seq").groupBy("k").agg(F.min("seq").alias("held"))
         held = scratch.put(held.unionAll(more).groupBy("k").agg(F.min("held").alias("held")), total)
-        left = scratch.put(left.join(act.where(F.col("what") == WAIT).select("seq"), "seq"), total)
-        was, open_ = open_, left.select("seq").distinct().count()
-        if was - open_ < least * was:
+        waits = act.where(F.col("what") == WAIT).select("seq")
+        left = scratch.put(left.join(waits, "seq"), total)
+        was, open_ = open_, waits.count()
+        slow = slow + 1 if was - open_ < least * was else 0
+        if slow == 2:
             break
     return joined, stayed, left.select("seq").distinct()

@@ -57,7 +57,8 @@ def _matched(rows: DataFrame, rule: Rule, scratch: Scratch, held: int) -> DataFr
     few = replay(rows, roots.join(large, "root", "left_anti"), rule, scratch).where("into is not null").select("seq", "into")
     sure = F.substring("k", 1, 1).isin(list(rule.sure))
     own = scratch.put(keys.join(roots.join(large, "root", "left_semi").select("seq"), "seq").withColumn("sure", sure))
-    joined, stayed, open_ = (scratch.put(t) for t in settle(own, scratch))
+    few_open = min(HELD, own.select("seq").distinct().count() // 10)  # one task replays these and what they meet
+    joined, stayed, open_ = (scratch.put(t) for t in settle(own, scratch, few=few_open))
     if not open_.limit(1).count():
         return few.unionAll(joined)
 

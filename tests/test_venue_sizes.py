@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from placeloom.functions import text
 from placeloom.operators import joins, resolve
+from placeloom.operators.greedy import settle
 from placeloom.plans import jobs
-from placeloom.plans.scratch import measured
+from placeloom.plans.scratch import Scratch, measured
 from placeloom.sources.readers import venue_rows
 
 
@@ -37,3 +38,13 @@ def test_cells_of_three_decimals_are_as_before(spark):
     rows = [(51.5004, -0.1), (0.0625, -0.0625), (-0.0001, 0.0), (None, 1.0), (1.0, None), (float("nan"), 1.0)]
     got = [r.s for r in spark.createDataFrame(rows, "lat double, lon double").select("lat", "lon", resolve._spot(None).alias("s")).collect()]
     assert got == ["51.5:-0.1", "0.062:-0.062", "0.0:0.0", None, None, None]
+
+
+def test_a_round_in_which_few_rows_stay_is_not_the_last(spark):
+    # row 0 alone stays in the first round, all others join it in the second
+    keys = spark.range(100).select(F.col("id").alias("seq"), F.lit(0).alias("pos"), F.lit("e:1").alias("k"), F.lit(True).alias("sure"))
+    joined, stayed, left = settle(keys, Scratch(spark, "t"))
+    assert {r.seq: r.into for r in joined.collect()} == {i: 0 for i in range(1, 100)}
+    assert [r.seq for r in stayed.collect()] == [0] and not left.count()
+    joined, stayed, left = settle(keys, Scratch(spark, "t"), few=99)  # so many are left to a replay
+    assert not joined.count() and stayed.count() == 1 and left.count() == 99
