@@ -425,7 +425,7 @@ class _Grams:
         return by, context[start], start, shard[start]
 
 
-def _send_grams(chunks: DataFrame, order: int, shards: int, hot: np.ndarray) -> DataFrame:
+def _send_grams(chunks: DataFrame, order: int, shards: int, hot: np.ndarray, width: int) -> DataFrame:
     schema = [("shard", pa.int32()), ("chunk", pa.int64()), ("context", pa.binary()), ("n", pa.binary()), ("word", pa.binary()), ("c", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,7 +435,7 @@ def _send_grams(chunks: DataFrame, order: int, shards: int, hot: np.ndarray) ->
                 g = _Grams.of(lens, unpack(rank, np.uint64, True), unpack(tokens, np.uint32), order)
                 by, context, start, of = g.dealt(shards, hot)
                 count = np.bincount(g.place[_train_mask(unpack(train, np.uint8), lens)], minlength=len(by)).astype(np.uint32)[by]
-                word, ends = g.word[by], np.append(start, len(by))
+                word, ends = g.word.astype(_word_kind(width))[by], np.append(start, len(by))
                 size = np.diff(ends).astype(np.uint32)
                 for s in np.unique(of).tolist():
                     x, y = np.searchsorted(of, [s, s + 1])
@@ -445,17 +445,9 @@ def _send_grams(chunks: DataFrame, order: int, shards: int, hot: np.ndarray) ->
     return chunks.select("chunk", "train", "lens", "tokens", "rank").mapInArrow(run, "shard int, chunk long, context binary, n binary, word binary, c binary")
 
 
-def _runs(rows: list[tuple], most: int) -> Iterator[list[tuple]]:
-    """Messages (chunk, context, n, word, c) in runs of about ``most`` pairs."""
-    held, n = [], 0
-    for row in rows:
-        held.append(row)
-        n += int.from_bytes(row[3][:8], "little")  # what ``pack`` puts first
-        if n >= most:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def _word_kind(width: int) -> type:
+    """What ranks of ``width`` bits are sent as."""
+    return np.uint32 if width <= 32 else np.uint64
 
 
 def _by_both(context: np.ndarray, word: np.ndarray, order: int, width: int) -> np.ndarray:
@@ -477,39 +469,48 @@ def _answer_grams(sent: DataFrame, order: int, shards: int, known: dict[int, int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, rows in _groups(batches):
-            seen = [[], [], []]
+            held, sizes = [[], [], []], []
             for _, context, n, word, count in rows:
-                c = unpack(count, np.uint32)
-                on = c > 0
-                for held, x in zip(seen, (np.repeat(unpack(context, np.uint64, True), unpack(n, np.uint32))[on], unpack(word, np.uint64)[on], c[on]), strict=True):
-                    held.append(x)
-            c, w, n = (np.concatenate(x) for x in seen)
-            del seen
+                sizes.append(unpack(n, np.uint32))
+                for x, y in zip(held, (np.repeat(unpack(context, np.uint64, True), sizes[-1]), unpack(word, _word_kind(width)), unpack(count, np.uint32)), strict=True):
+                    x.append(y)
+            c, w, n = (np.concatenate(x) for x in held)
+            del held
             by = _by_both(c, w, order, width)
             c, w, n = c[by], w[by], n[by].astype(np.int64)
-            at = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])) if len(c) else np.zeros(0, np.int64)
-            c, w, n = c[at], w[at], np.add.reduceat(n, at) if len(at) else n
-            built = NgramTrie.build(c, w, n, known, width).to_bytes()
+            at = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]))
+            c, w, n = c[at], w[at], np.add.reduceat(n, at)
+            on = n > 0
+            built = NgramTrie.build(c[on], w[on], n[on], known, width).to_bytes()
             block = mmap.mmap(-1, len(built))  # the levels lie in mapped memory, outside the heap
             block.write(built)
             trie = NgramTrie.open(block)
             often = n >= least
             most = np.stack([next_context(c[often], w[often], order + 1), n[often].astype(np.uint64)])
-            del built, c, w, n, by, at
+            del built, n, on
             i, found = trie.contexts(hot)
             types = trie.pointer.get(i[found] + 1) - trie.pointer.get(i[found])
             yield _pack_rows([(s, None, None, None, np.stack([hot[found], types]).tobytes(), most.tobytes())], schema)
-            for some in _runs(rows, LOOKUPS):
-                keys, sizes, words = ([unpack(x[i], kind, up) for x in some] for i, kind, up in ((1, np.uint64, True), (2, np.uint32, False), (3, np.uint64, False)))
-                i, found = trie.contexts(np.concatenate(keys))
-                code = trie.lookup(i, found, np.concatenate(sizes), np.concatenate(words))
+            # the trie is asked once for each distinct pair, in its own order; all chunks that have the pair get that answer
+            told = np.empty((2, len(c)), np.uint16)
+            for x in range(0, len(c), LOOKUPS):
+                context = c[x : x + LOOKUPS]
+                first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+                size = np.diff(np.append(first, len(context)))
+                i, found = trie.contexts(context[first])
+                told[0, x : x + LOOKUPS] = trie.lookup(i, found, size, w[x : x + LOOKUPS])
                 backoff = np.full(len(i), 65535, np.uint16)  # an unseen context leaves everything to the order below
                 backoff[found] = trie.backoff[i[found]]
-                ends = zip(np.cumsum([len(x) for x in keys]).tolist(), np.cumsum([len(x) for x in words]).tolist(), strict=True)
-                x = y = 0
-                for row, (x_end, y_end) in zip(some, ends, strict=True):
-                    yield _pack_rows([(s, row[0], pack(code[y:y_end]), pack(backoff[x:x_end]), None, None)], schema)
-                    x, y = x_end, y_end
+                told[1, x : x + LOOKUPS] = np.repeat(backoff, size)
+            del c, w
+            answer = np.empty((2, len(by)), np.uint16)
+            answer[:, by] = np.repeat(told, np.diff(np.append(at, len(by))), axis=1)
+            del told, by, at
+            x = 0
+            for row, size in zip(rows, sizes, strict=True):
+                ends = x + np.cumsum(size, dtype=np.int64)
+                yield _pack_rows([(s, row[0], pack(answer[0, x : ends[-1]]), pack(answer[1, ends - size]), None, None)], schema)
+                x = int(ends[-1])
 
     dealt = sent.repartition(shards, "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(run, "shard int, chunk long, code binary, backoff binary, types binary, most binary")
@@ -545,7 +546,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         if begin >= least:
             known[0] = begin
         hot = np.array(sorted(known), np.uint64)
-        got = scratch.put(_answer_grams(_send_grams(ranked, n, shards, hot), n, shards, known, width, least), 1_000_000 * shards)
+        got = scratch.put(_answer_grams(_send_grams(ranked, n, shards, hot, width), n, shards, known, width, least), 1_000_000 * shards)
         rest, following = dict.fromkeys(known, 0.0), {}
         for r in got.where("chunk is null").select("types", "most").toLocalIterator():  # 4 * shards * _SPREAD pairs at most
             for k, types in np.frombuffer(bytes(r.types), np.uint64).reshape(2, -1).T.tolist():
