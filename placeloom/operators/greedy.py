@@ -33,8 +33,10 @@ def settle(keys: DataFrame, scratch: Scratch, rounds: int = 12, least: float = 0
     for _ in range(rounds):
         if open_ <= few:
             break
-        first = left.groupBy("k").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("c"))
-        values = scratch.put(first.join(held, "k", "left"), total)
+        none_yet = F.lit(None).cast("long")
+        both = left.select("k", "seq", none_yet.alias("held")).unionAll(held.select("k", none_yet.alias("seq"), "held"))
+        first = both.groupBy("k").agg(F.min("seq").alias("first"), F.count("seq").alias("c"), F.min("held").alias("held"))
+        values = scratch.put(first.where("c > 0"), total)
         told = with_values(left, values, "k", "seq", total)
         known = F.col("held") < F.least("seq", "first")
         what = F.when(F.coalesce(known & F.col("sure"), F.lit(False)), JOIN).when((F.col("first") < F.col("seq")) | F.coalesce(F.col("held") < F.col("seq"), F.lit(False)), WAIT).otherwise(NONE)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from placeloom.functions import text
-from placeloom.operators import joins, resolve
+from placeloom.operators import joins, resolve, skew
 from placeloom.operators.greedy import settle
 from placeloom.plans import jobs
 from placeloom.plans.scratch import Scratch, measured
@@ -48,3 +48,26 @@ def test_a_round_in_which_few_rows_stay_is_not_the_last(spark):
     assert [r.seq for r in stayed.collect()] == [0] and not left.count()
     joined, stayed, left = settle(keys, Scratch(spark, "t"), few=99)  # so many are left to a replay
     assert not joined.count() and stayed.count() == 1 and left.count() == 99
+
+
+def _with_counts(spark):
+    rows = spark.range(6000).select(F.col("id").alias("seq"), F.when(F.col("id") % 7 != 0, F.concat(F.lit("k"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 50))).alias("k"))
+    values = Scratch(spark, "t").put(rows.where("k is not null and k <> 'k3'").groupBy("k").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("c")))
+    return rows, values, skew.with_values(rows, values, "k", "seq", 6000)
+
+
+def test_frequent_keys_are_broadcast_by_number(spark):
+    _, _, got = _with_counts(spark)
+    modes = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "HashedRelationBroadcastMode" in line]
+    assert modes and not any("string" in line for line in modes)  # an empty map of texts takes 64 MB
+
+
+def test_keys_of_one_hash_are_told_apart(spark, monkeypatch):
+    rows, values, plain = _with_counts(spark)
+    want = sorted(map(tuple, rows.join(values.select("k", "first"), "k", "left").select("seq", "k", "first").collect()))
+    assert sorted(map(tuple, plain.collect())) == want and values.where("c > 1000").count() == 1
+    monkeypatch.setattr(skew, "HOT", 6_000_000)
+    monkeypatch.setattr(skew, "LEAST", 1)  # every key counts as frequent
+    monkeypatch.setattr(skew.F, "xxhash64", lambda *c: F.col("seq" if c == ("seq",) else "k").isNull().cast("long"))
+    got = skew.with_values(rows, values, "k", "seq", 6000)
+    assert sorted(map(tuple, got.collect())) == want
