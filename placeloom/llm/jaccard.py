@@ -14,8 +14,10 @@ only for pairs that may link and are not connected yet:
 2. Now a fragment is weak if more than ``COMMON`` labels have it. Each text counts the fragments that it shares with each other
    label; with fewer than its due it has no link there. Texts of two labels that both pass are counted against each other, in one
    task with all that are tied to them by such pairs if they fit a block, else pair by pair of labels.
-3. Texts that are still heavy, without having found a label to share, form loose clusters by their weak fragments, and are counted
-   in blocks of ``BLOCK`` texts (or ``BLOCK_SHINGLES`` shingles) at most one size class apart.
+3. Of the texts that are still heavy, without having found a label to share, those stay that have enough of their shingles in common with
+   any others of them. Their shingles are ordered by how many of them have each, and linked texts share one of their rarest, as many as a
+   text may lack and one. By these they form loose clusters, and are counted in blocks of ``BLOCK`` texts (or ``BLOCK_SHINGLES``
+   shingles) at most one size class apart. Texts of a cluster's most frequent label meet its other texts only.
 
 No link between texts of different components is lost: fragments prove a pair unlinked, or it is counted exactly. Tasks
 return spanning forests of their links, not pairs.
@@ -42,6 +44,7 @@ from .rows import ROW, numbered, small
 from placeloom.plans.scratch import Scratch
 
 COMMON = 4
+KEYS = 1_000_000  # that are broadcast at most (some 30 MB)
 BLOCK = 1000  # texts
 BLOCK_SHINGLES = 800_000
 FRAGMENTS = 8  # of the global order, in which overlaps are counted
@@ -114,7 +117,7 @@ def _sets(docs: DataFrame, key: str, text: str, k: int, num: int, den: int) -> D
 
 
 def _shared(sent: DataFrame, ranges: int) -> DataFrame:
-    """(h, common): fragment hashes that at least two rows of ``sent`` have, and whether more than COMMON do."""
+    """(h, common): hashes that at least two rows of the lists ``sent`` have, and whether more than COMMON do."""
     schema = "part int, f binary, c binary"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +220,12 @@ def _count_block(ids: list[int], sides: list[int], sets: list[bytes], num: int,
     return forest(linked, key[left], key[right])
 
 
+def _texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """(k, t): the texts of the keys ``k`` of ``wanted``, or those of all rows where they are too many for a broadcast of numbers."""
+    mine, keys = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t")), small(wanted.select("k"), KEYS)
+    return mine.join(keys, "k", "left_semi")
+
+
 def _links(docs: DataFrame, key: str, text: str, members: DataFrame, k: int, num: int, den: int, tasks: int) -> DataFrame:
     """(a, b): links inside the blocks; ``members`` has k and the array ``at`` of (task, side)."""
 
@@ -248,7 +257,7 @@ def _links(docs: DataFrame, key: str, text: str, members: DataFrame, k: int, num
         if len(ids) > 1:
             yield close()
 
-    mine = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t")).join(small(members, 100_000), "k").select("k", "t", "at")
+    mine = _texts(docs, key, text, members).join(small(members, 100_000), "k").select("k", "t", "at")
     dealt = mine.mapInArrow(sets, "task string, side int, k long, v binary").repartition(tasks, "task").sortWithinPartitions("task")
     return dealt.mapInArrow(count, "a long, b long")
 
@@ -300,19 +309,24 @@ def _label_members(passed: DataFrame, sizes: DataFrame, most: int, scratch: Scra
 
 
 def _cluster_members(loose: DataFrame) -> DataFrame:
-    """(k, at): the tasks of each member of a loose cluster (k, root, n, class).
+    """(k, at): the tasks of each member of a loose cluster (k, root, n, class, label).
 
-    A cluster of one block is one task. Larger ones are cut by size class (ratio den/num, so linked sizes are in
-    one class or adjacent ones) and by hash; every two blocks that may hold a link share a task.
+    Texts of one label are connected, so those of the label that most members have (``mass``) meet the others only, and a cluster of
+    one label needs no task. A cluster of one block is one task. Larger ones are cut by size class (ratio den/num, so linked sizes are
+    in one class or adjacent ones) and by hash; every two blocks that may hold a link share a task.
     """
+    label = loose.groupBy("root", "label").agg(F.count(F.lit(1)).alias("c"))
+    label = label.groupBy("root").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
     size = loose.groupBy("root").agg(_blocks_of().alias("m"))
-    rows = loose.join(size, "root")
-    alone = rows.where("m = 1").select("k", F.array(_place(F.concat_ws(".", F.lit(""), "root"), 0)).alias("at"))
+    rows = loose.join(small(label.where("labels > 1").join(size, "root")), "root").withColumn("mass", F.col("label") == F.col("most"))
+    alone = rows.where("m = 1").select("k", F.array(_place(F.concat_ws(".", F.lit(""), "root"), F.when(F.col("mass"), 2).otherwise(0))).alias("at"))
     large = rows.where("m > 1")
-    count = large.groupBy("root", "class").agg(_blocks_of().alias("blocks"))
-    near = count.select("root", F.explode(F.array(*[F.struct((F.col("class") + d).alias("class"), F.lit(d).alias("d"), F.col("blocks").alias("b")) for d in (-1, 0, 1)])).alias("x"))
-    near = near.groupBy("root", F.col("x.class").alias("class")).agg(*[F.coalesce(F.max(F.when(F.col("x.d") == d, F.col("x.b"))), F.lit(0)).alias(c) for d, c in ((0, "own"), (-1, "above"), (1, "below"))])
-    cut = large.join(near, ["root", "class"]).withColumn("i", F.pmod(F.xxhash64("k"), F.col("own").cast("long")).cast("int"))
+    count = large.groupBy("root", "class", "mass").agg(_blocks_of().alias("blocks"))
+    near = count.select("root", "mass", F.explode(F.array(*[F.struct((F.col("class") + d).alias("class"), F.lit(d).alias("d"), F.col("blocks").alias("b")) for d in (-1, 0, 1)])).alias("x"))
+    blocks = [(u, d, c) for u, names in ((False, ("below", "own", "above")), (True, ("mass_below", "mass_own", "mass_above"))) for d, c in zip((1, 0, -1), names, strict=True)]
+    near = near.groupBy("root", F.col("x.class").alias("class")).agg(*[F.coalesce(F.max(F.when((F.col("mass") == u) & (F.col("x.d") == d), F.col("x.b"))), F.lit(0)).alias(c) for u, d, c in blocks])
+    cut = large.join(small(near), ["root", "class"])
+    cut = cut.withColumn("i", F.pmod(F.xxhash64("k"), F.when(F.col("mass"), F.col("mass_own")).otherwise(F.col("own")).cast("long")).cast("int"))
     name = lambda c, i, d, j: F.concat_ws(".", F.col("root"), c, i, d, j)
     c, i = F.col("class"), F.col("i")
     # pairs inside a block are counted where it meets the first block above, or alone where there is none
@@ -320,7 +334,60 @@ def _cluster_members(loose: DataFrame) -> DataFrame:
     inside = F.transform(meets, lambda j: _place(name(c, F.least(i, j), F.lit("="), F.greatest(i, j)), F.when(i == j, 0).otherwise(F.when(i < j, 1).otherwise(2))))
     above = F.transform(_upto(F.col("above")), lambda j: _place(name(c, i, F.lit("+"), j), F.when(j == 0, 0).otherwise(1)))
     below = F.transform(_upto(F.col("below")), lambda j: _place(name(c - 1, j, F.lit("+"), i), 2))
-    return alone.unionAll(cut.select("k", F.concat(inside, above, below).alias("at"))).select("k", F.explode("at").alias("at"))
+    between = lambda c, mass: F.concat_ws("*", c, mass)
+    masses = lambda x, d: F.transform(_upto(F.col(x)), lambda j: _place(name(between(c, c + d), i, F.lit("*"), j), 1))
+    others = lambda x, d: F.transform(_upto(F.col(x)), lambda j: _place(name(between(c + d, c), j, F.lit("*"), i), 2))
+    mass = F.concat(others("below", -1), others("own", 0), others("above", 1))
+    at = F.when(F.col("mass"), mass).otherwise(F.concat(inside, above, below, masses("mass_below", -1), masses("mass_own", 0), masses("mass_above", 1)))
+    return alone.unionAll(cut.select("k", at.alias("at"))).select("k", F.explode("at").alias("at"))
+
+
+def _alike(docs: DataFrame, key: str, text: str, wanted: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(k, n, sent): of the texts ``wanted`` (k), those that may link with another of them, with their shingles.
+
+    A linked text has num / den of its shingles in common with its partner, so with texts that are not its own. A few shingles count
+    as such by mistake, which keeps a text too many.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t"):
+            value, at = shingles(Words(*text_bytes(b.column(1))), k)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.view(np.int64)))], ["k", "n", "sent"])
+
+    mine = _texts(docs, key, text, wanted).join(small(wanted), "k").select("k", "t")
+    every = scratch.put(mine.mapInArrow(sets, "k long, n long, sent array<long>"))
+    total = int(every.agg(F.sum("n")).first()[0] or 0)
+    shared = scratch.put(_shared(every, max(3, (total // 500_000).bit_length())), total)
+    bits = prefix_bits(shared.count())
+    known = docs.sparkSession.sparkContext.broadcast(bit_table(shared, bits))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            n = b.column(1).to_numpy()
+            met = np.bincount(np.repeat(np.arange(len(n)), n)[held(known.value, bits, h)], minlength=len(n))
+            yield b.filter(pa.array(den * met >= num * n))
+
+    out = scratch.put(every.mapInArrow(sift, every.schema))
+    scratch.drop(every, shared)
+    return out
+
+
+def _loose_clusters(sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(node, root): components of ``sets`` (k, n, sent) that share one of their rarest shingles, as many as a set may lack and one.
+
+    If two sets share none of these, then the one whose last of them comes first in the order of all has too few left to link. Shingles of one set alone are
+    no part of any overlap and count as lacking.
+    """
+    one = sets.select("k", "n", F.explode("sent").alias("h"))
+    often = scratch.put(one.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    own = one.join(small(often), "h").groupBy("k").agg(F.min("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "h"))).alias("met"))
+    may = F.size("met") - F.ceil(F.col("n") * num / F.lit(den)) + 1
+    rare = scratch.put(own.withColumn("may", may.cast("int")).where("may > 0").select("k", F.explode(F.slice("met", F.lit(1), F.col("may"))).alias("x")).select("k", "x.h"))
+    first = rare.groupBy("h").agg(F.min("k").alias("b"))
+    out = components(rare.join(first, "h").select(F.col("k").alias("a"), "b").where("a <> b").distinct(), scratch)
+    scratch.drop(often, rare)
+    return out
 
 
 def _postings(reps: DataFrame, total: int, scratch: Scratch) -> DataFrame:
@@ -395,11 +462,10 @@ def _linked(docs: DataFrame, key: str, text: str, reps: DataFrame, sizes: DataFr
     # 3: what is heavy still
     rest = scratch.put(left_out.where("weak > spare").select("k"), fragments)
     if rest.limit(1).count():
-        weak = weak.select("k", "h").join(small(rest), "k")
-        first = weak.groupBy("h").agg(F.min("k").alias("b"))
-        loose = components(weak.join(first, "h").select(F.col("k").alias("a"), "b").where("a <> b").distinct(), scratch)
+        loose = _loose_clusters(_alike(docs, key, text, rest, k, num, den, scratch), num, den, scratch)
         kind = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num) + 1e-9))).cast("int")
-        loose = loose.join(sizes, "node").select(F.col("node").alias("k"), "root", "n", kind.alias("class"))
+        loose = loose.join(sizes, "node").join(small(label.withColumnRenamed("root", "label")), "node", "left")
+        loose = loose.select(F.col("node").alias("k"), "root", "n", kind.alias("class"), F.coalesce("label", "node").alias("label"))
         members = members.unionAll(_cluster_members(scratch.put(loose, fragments)))
     members = scratch.put(members, fragments)
     scratch.drop(labels, rows, many)

@@ -406,6 +406,39 @@ def test_jaccard_odd_tables(spark):
     assert sorted((r.name or "", r.n_shingles, r.component_id or "") for r in got) == [("", 2, ""), ("p", 1, "p"), ("p", 2, "p"), ("q", 2, "p"), ("r", 0, "r")]
 
 
+def test_jaccard_heavy_texts_that_cannot_link(spark, monkeypatch):
+    """Texts that share half of their words with all others are heavy, but none of them is counted, however many they are."""
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    rows, plain = [], jaccard._links
+
+    def links(docs, key, text, members, *rest):
+        rows.append(members.select(F.explode("at")).count())
+        return plain(docs, key, text, members, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", links)
+    rng = random.Random(30)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} {' '.join('q' + str(rng.randrange(10**9)) for _ in range(55))}" for _ in range(150)]
+    texts += [f"{texts[i]} more" for i in (3, 3, 140)] + [passage, f"{passage} once more"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(table(spark, texts)).collect()}
+    assert got == linked(texts, 5, 80, 100) and sum(rows) < 4 * len(texts)
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_jaccard_blocks_of_a_cluster(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(block)
+    rows = [(k, k % 3, 1, rng.choice([4, 5, 6, 6, 8]), 900 if rng.random() < 0.7 else rng.choice([k, 901])) for k in range(150)] + [(k, 5, 1, 4, 77) for k in range(200, 230)]
+    met = {}
+    for r in jaccard._cluster_members(spark.createDataFrame(rows, "k long, root long, n long, class int, label long")).collect():
+        met.setdefault(r["at"].task, []).append((r.k, r["at"].side))
+    counted = {(a, b) for x in met.values() for a, s in x for b, t in x if a < b and (s != t or s == 0)}
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and abs(a[3] - b[3]) <= 1 and a[4] != b[4]}
+    assert want and want <= counted
+    assert not any(a[4] == b[4] == 900 for a, b in ((rows[a], rows[b]) for a, b in counted)) and not any(a >= 200 for a, _ in counted)
+    assert all(len(x) < 4 * block for x in met.values())
+
+
 def test_jaccard_tells_long_words_apart(spark):
     one, two = thue_morse(1024)
     got = jaccard.link_components(table(spark, [f"{one} x y", f"{two} x y", f"{one} x y"]), 3, 90, 100).collect()
