@@ -126,16 +126,22 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum(count)])
     run = window_hashes(h, k)
     inside = np.flatnonzero(words.doc[: len(run)] == words.doc[k - 1 :]) if len(run) else np.zeros(0, np.int64)
-    value, doc = run[inside], words.doc[inside]
     few = np.flatnonzero((count > 0) & (count < k))
+    each = np.maximum(count - k + 1, 0)
+    each[few] = 1
+    at = np.concatenate([[0], np.cumsum(each)])
+    value, doc = np.zeros(at[-1], np.uint64), np.repeat(np.arange(rows), each)
+    whole = np.ones(len(value), bool)
+    whole[at[few]] = False
+    value[whole] = run[inside]
     if len(few):
         short = np.zeros(len(few), np.uint64)
         for i in range(k - 1):
             has = count[few] > i
             short[has] = mix(short[has] + h[first[few[has]] + i] + U(i + 1))
-        value, doc = np.concatenate([value, mix(short ^ U(0xA5A5A5A5))]), np.concatenate([doc, few])
-    order = np.lexsort((value, doc))
-    value, doc = value[order], doc[order]
+        value[at[few]] = mix(short ^ U(0xA5A5A5A5))
+    for i in np.flatnonzero(each > 1).tolist():  # far faster than one sort by row and value
+        value[at[i] : at[i + 1]].sort()
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
     value, doc = value[new], doc[new]

@@ -42,12 +42,15 @@ class CountingQuotientFilter:
     @classmethod
     def of(cls, fingerprints: np.ndarray, counts: np.ndarray | None = None, bits: int | None = None) -> CountingQuotientFilter:
         """Built from fingerprints in any order; ``bits`` defaults to about one slot per fingerprint."""
-        order = np.argsort(fingerprints, kind="stable")
-        f = fingerprints[order]
+        order = None if counts is None else np.argsort(fingerprints, kind="stable")
+        f = np.sort(fingerprints) if counts is None else fingerprints[order]
         new = np.ones(len(f), bool)
         new[1:] = f[1:] != f[:-1]
         first = np.flatnonzero(new)
-        total = np.add.reduceat(np.ones(len(f), np.int64) if counts is None else counts[order], first) if len(f) else np.zeros(0, np.int64)
+        if counts is None:
+            total = np.diff(first, append=len(f))
+        else:
+            total = np.add.reduceat(counts[order], first) if len(f) else np.zeros(0, np.int64)
         bits = max(1, int(max(len(first), 1) - 1).bit_length()) if bits is None else bits
         f = f[first]
         quotient = f >> U(64 - bits)
